@@ -68,7 +68,7 @@ def batch_numbers(
 ) -> DataFrame:
     """Cut each group into consecutive batches of ``size`` rows, labelled ``0001``, ``0002``, …"""
     numbered = number_rows(df, order, group, "_n")
-    label = F.lpad(F.ceil(F.col("_n") / F.lit(size)).cast("string"), width, "0")
+    label = F.format_string(f"%0{width}d", F.ceil(F.col("_n") / F.lit(size)).cast("bigint"))
     return numbered.withColumn(name, label).drop("_n")
 
 
