@@ -22,6 +22,7 @@ def build_session(app: str = "goldthread", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():
