@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalar", "identity")
+MODULES = ("scalar", "identity", "tables")
 
 
 def load() -> None:

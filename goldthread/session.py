@@ -66,7 +66,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` in bytes (very large when unknown)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
