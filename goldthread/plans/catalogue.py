@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalar", "identity", "tables")
+MODULES = ("scalar", "identity", "tables", "relational", "survivorship")
 
 
 def load() -> None:
