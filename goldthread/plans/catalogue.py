@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalar", "identity", "tables", "relational", "survivorship")
+MODULES = ("scalar", "identity", "tables", "relational", "survivorship", "landing", "lifecycle")
 
 
 def load() -> None:
