@@ -12,6 +12,9 @@ from goldthread.operators.skew import salted_join, top_keys
 from goldthread.session import stage
 
 
+HUB_NEIGHBOURS = 1_000_000  # from here on a node's rows are spread over several tasks
+
+
 class NotConverged(RuntimeError):
     """The round limit was reached before every component became a star."""
 
@@ -25,41 +28,58 @@ def canonical_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     )
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    lowest = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows"))
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
+def _shape(edges: DataFrame) -> tuple[bool, int]:
+    """(is a star forest, largest number of neighbours).
+
+    In a star forest every node either has one parent and no child, or no parent.
+    """
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    row = nodes.agg(
+        F.bool_or((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("bad"),
+        F.max(F.col("up") + F.col("down")).alias("most"),
+    ).first()
+    return not row["bad"], row["most"] or 0
+
+
+def _join_lowest(rows: DataFrame, lowest: DataFrame, hubs: bool) -> DataFrame:
+    """Add each node's smallest neighbour; rows of hub nodes are spread over many tasks."""
+    if not hubs:
+        return rows.join(lowest.drop("_rows"), "u")
     heavy = top_keys(lowest, ["u"], "_rows")
-    lowest = lowest.select("u", F.least("u", "m").alias("m"))
-    upward = both.filter("v > u")
-    return salted_join(upward, lowest, ["u"], ["v"], heavy=heavy).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return salted_join(rows, lowest.drop("_rows"), ["u"], ["v"], heavy=heavy)
+
+
+def _large_star(edges: DataFrame, hubs: bool) -> DataFrame:
+    both = _both_ways(edges)
+    lowest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("_rows"))
+    joined = _join_lowest(both.filter("v > u"), lowest, hubs)
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hubs: bool) -> DataFrame:
     lowest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows"))
-    heavy = top_keys(lowest, ["u"], "_rows")
-    lowest = lowest.select("u", "m")
-    moved = salted_join(edges, lowest, ["u"], ["v"], heavy=heavy).filter("v <> m")
+    moved = _join_lowest(edges, lowest, hubs).filter("v <> m")
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
         lowest.select("u", F.col("m").alias("v"))
     ).distinct()
 
 
-def _is_star_forest(edges: DataFrame) -> bool:
-    """Every node has one parent and no parent has a parent."""
-    parents = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    if not parents.filter("n > 1").isEmpty():
-        return False
-    return edges.select(F.col("v").alias("u")).distinct().join(edges.select("u"), "u", "left_semi").isEmpty()
-
-
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
     """``(node, root)`` for every node of an edge; the root is the smallest node of the component."""
     current = stage(canonical_edges(edges, src, dst), "edges")
     for _ in range(max_rounds):
-        if _is_star_forest(current):
+        done, most = _shape(current)
+        if done:
             roots = current.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
             return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
-        current = stage(_small_star(_large_star(current)), "edges")
+        hubs = most > HUB_NEIGHBOURS
+        current = stage(_small_star(_large_star(current, hubs), hubs), "edges")
     raise NotConverged(f"no star forest after {max_rounds} rounds")
 
 

@@ -310,3 +310,33 @@ def snapshot_fallback(t: Tables) -> DataFrame:
     now = t.orders.filter(F.col("o_orderdate") >= _at("1999-01-01"))
     one = lambda df, place: df.select(F.col("o_custkey").alias("user_id")).distinct().withColumn("place", F.lit(place))
     return lookup_with_fallback(t.events.select("user_id").distinct(), one(now, "current"), one(sn.read_version(t.spark, path), "snapshot"), ["user_id"])
+
+
+@query("str1_resumed_stream", "SELECT event_id, 1 + (ts >= TIMESTAMP '2024-01-16')::INTEGER AS run FROM events")
+def resumed(t: Tables) -> DataFrame:
+    """The second run reads only files that came after the first one."""
+    spark, source = t.spark, new_path(t.spark, "resume-in")
+    target, checkpoint = new_path(spark, "resume-out"), new_path(spark, "resume-checkpoint")
+    for run, rows in enumerate((t.events.filter(F.col("ts") < _at("2024-01-16")), t.events.filter(F.col("ts") >= _at("2024-01-16")))):
+        rows.coalesce(2).write.mode("append").parquet(source)
+
+        def write(batch: DataFrame, batch_id: int, run: int = run) -> None:
+            batch.select("event_id", F.lit(run + 1).alias("run")).write.mode("append").parquet(target)
+
+        ingest.run_once(ingest.file_stream(spark, source, t.events.schema), checkpoint, write)
+    return spark.read.parquet(target)
+
+
+@query("str2_replayed_batch", "SELECT event_id, user_id FROM events")
+def replayed(t: Tables) -> DataFrame:
+    """Every batch is delivered twice, as after a lost commit; the target is unchanged by the second."""
+    spark, target = t.spark, new_path(t.spark, "replay-out")
+    write = ingest.insert_batch(target, ["event_id"])
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    stream = ingest.file_stream(spark, _event_files(t, "replay-in"), t.events.schema, 2)
+    ingest.run_once(stream, new_path(spark, "replay-checkpoint"), twice)
+    return ingest.read_target(spark, target, t.events.schema).select("event_id", "user_id")

@@ -223,10 +223,10 @@ def zero(t: Tables) -> DataFrame:
         {"deleted_with_phone": (keyed(t), (F.col("action") == "DELETE") & F.col("phone").isNotNull())})
 
 
-@query("dq3_missing_batches", "SELECT DISTINCT user_id, event_type FROM events EXCEPT SELECT user_id, event_type FROM events WHERE value > 20")
+@query("dq3_missing_batches", "SELECT DISTINCT user_id, event_type FROM events EXCEPT SELECT user_id, event_type FROM events WHERE value > 150")
 def missing(t: Tables) -> DataFrame:
     expected = t.events.select("user_id", "event_type").distinct()
-    return dq.missing_keys(expected, t.events.filter("value > 20"), ["user_id", "event_type"])
+    return dq.missing_keys(expected, t.events.filter("value > 150"), ["user_id", "event_type"])
 
 
 @query("dq4_oversized_documents", """

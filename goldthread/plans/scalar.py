@@ -374,3 +374,64 @@ def downgrade(t: Tables) -> DataFrame:
     from goldthread.plans.fixtures import keyed
     k = keyed(t).withColumn("quality", F.lit("ok"))
     return pj.downgrade_listed(k, k.filter("balance < -900").select("phone"), ["phone"], "quality").select("src_id", "quality")
+
+
+# --- functions that users call by name
+
+@query("u1_lower_or_empty", f"WITH {PROFILES_CTE} SELECT src_id, CASE WHEN trim(coalesce(email_address, '')) = '' THEN '' ELSE lower(email_address) END AS name_text FROM profiles")
+def u1(t: Tables) -> DataFrame:
+    return profiles(t).select("src_id", tx.lower_or_empty(F.col("email_address")).alias("name_text"))
+
+
+@query("u2_contact_match_keys", f"WITH {PROFILES_CTE} SELECT src_id, CASE WHEN trim(email_address) <> '' THEN lower(email_address) END AS email_key, CASE WHEN trim(phone_number) <> '' THEN lower(phone_number) END AS phone_key FROM profiles")
+def u2(t: Tables) -> DataFrame:
+    return profiles(t).select("src_id", tx.lower_or_null(F.col("email_address")).alias("email_key"), tx.lower_or_null(F.col("phone_number")).alias("phone_key"))
+
+
+@query("u3_five_part_address_key", f"""
+WITH a AS ({_ADDRESS.replace('{', '').replace('}', '')})
+SELECT c_custkey, nullif(concat_ws('', lower(nullif(trim(line1), '')), lower(nullif(trim(city), '')), lower(nullif(trim(province), '')), lower(nullif(trim(city), '')), lower(nullif(trim(postal), ''))), '') AS address_key FROM a""")
+def u3(t: Tables) -> DataFrame:
+    parts = [F.col(c) for c in ("line1", "city", "province", "city", "postal")]
+    return t.sql(_ADDRESS).select("c_custkey", tx.address_key(*parts).alias("address_key"))
+
+
+@query("u4_name_key_by_priority", f"""
+WITH {_NAMED_CTE}, l AS (SELECT c_custkey, lower(fn) AS lf, lower(whole) AS w FROM n WHERE true),
+k AS (SELECT c_custkey, CASE WHEN lf IS NOT NULL AND lf <> 'null' THEN [lf] WHEN trim(w) <> '' THEN
+  CASE WHEN len(string_split(regexp_replace(trim(w), '\\s+', ' ', 'g'), ' ')) > 2 THEN [regexp_replace(w, '\\s+', '', 'g')] ELSE string_split(regexp_replace(trim(w), '\\s+', ' ', 'g'), ' ') END END AS tokens FROM l)
+SELECT c_custkey, array_to_string(list_sort(list_distinct(tokens)), '') AS name_key FROM k""")
+def u4(t: Tables) -> DataFrame:
+    """Local name first, English name when it is missing; the run-together form."""
+    none = F.lit(None).cast("string")
+    key = tx.sorted_name_key([(F.col("fn"), none, none), (none, none, F.col("whole"))], "")
+    return t.sql(_NAMED).select("c_custkey", key["asc"].alias("name_key"))
+
+
+@query("u5_mapping_contact_keys", f"WITH {PROFILES_CTE} SELECT src_id, CASE WHEN phone_number IS NULL THEN NULL WHEN trim(phone_number) = '' THEN '' ELSE lower(phone_number) END AS phone_key FROM profiles")
+def u5(t: Tables) -> DataFrame:
+    return profiles(t).select("src_id", tx.lower_keep_blank(F.col("phone_number")).alias("phone_key"))
+
+
+@query("u6_mapping_document", f"WITH {PROFILES_CTE} SELECT src_id, market_code AS market, true AS keeps_nulls FROM profiles")
+def u6(t: Tables) -> DataFrame:
+    empty = F.lit(None).cast("string")
+    body = jsonfn.mapping_envelope(
+        F.col("action"), empty, empty, empty, empty, F.col("source_code"), F.col("src_id").cast("string"), F.col("brand_code"),
+        F.col("source_entity_id"), F.col("market_code"), F.col("brand_code"))
+    return profiles(t).select("src_id", body.alias("body")).select(
+        "src_id", jsonfn.node(F.col("body"), "ConsumerMappingList", "ConsumerMapping", "MasterConsumer", "MarketCode").alias("market"),
+        F.col("body").contains('"DocumentUUID":null').alias("keeps_nulls"))
+
+
+@query("u7_jaro_in_sql", "SELECT s_suppkey, round(jaro_winkler_similarity(upper(s_name), 'SUPPLIERS'), 9) AS similarity FROM supplier")
+def u7(t: Tables) -> DataFrame:
+    similarity.register(t.spark)
+    return t.sql("SELECT s_suppkey, round(jaro_sim(upper(s_name), 'SUPPLIERS'), 9) AS similarity FROM {supplier}")
+
+
+@query("u8_generated_ids", "SELECT count(*) AS rows, count(*) AS distinct_ids, 36 AS id_length FROM customer")
+def u8(t: Tables) -> DataFrame:
+    similarity.register(t.spark)
+    ids = t.sql("SELECT c_custkey, gen_uuid() AS id FROM {customer}")
+    return ids.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("distinct_ids"), F.max(F.length("id")).alias("id_length"))
