@@ -101,8 +101,8 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
                   latest: Sequence[Column] = (), ddl: str | None = None) -> DataFrame:
     """Differences of two sets of documents: ``keys, path, kind, left_value, right_value``.
 
-    ``kind`` is missing_left, missing_right, type or value; ``latest`` picks one document per key and
-    side. Both sides become rows, so one large document or one large key is spread like any other data.
+    ``kind`` is missing_left or missing_right (absent or null there), type or value; ``latest`` picks
+    one document per key and side. Both sides become rows, so one large document or one large key is spread like any other data.
     """
     if latest:
         left, right = latest_per_key(left, keys, latest), latest_per_key(right, keys, latest)
@@ -114,8 +114,8 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
     equal = same if rules.null_equals_empty else same & F.col("_ta").isNotNull() & F.col("_tb").isNotNull()
     kind = (
         F.when(equal, None)
-        .when(F.col("_ta").isNull(), "missing_left")
-        .when(F.col("_tb").isNull(), "missing_right")
+        .when(F.coalesce("_ta", F.lit("null")) == "null", "missing_left")
+        .when(F.coalesce("_tb", F.lit("null")) == "null", "missing_right")
         .when((F.col("_ta") != F.col("_tb")), "type")
         .when(~same, "value")
     )
