@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.operators.skew import salted_join, top_keys
+from goldthread.operators.skew import HOT_ROWS, salted_join, top_keys, with_group_values
 from goldthread.session import stage
 
 
-HUB_NEIGHBOURS = 1_000_000  # from here on a node's rows are spread over several tasks
+HUB_NEIGHBOURS = HOT_ROWS
 
 
 class NotConverged(RuntimeError):
@@ -89,5 +89,10 @@ def with_singletons(components: DataFrame, nodes: DataFrame, node: str = "node")
     return nodes.select(node).distinct().join(found, node, "left").withColumn("root", F.coalesce("root", F.col(node)))
 
 
+def with_group_size(members: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    """Add ``group_size``, the number of members, to every member."""
+    return with_group_values(members, [root], [node], group_size=F.count(F.lit(1)))
+
+
 def component_sizes(members: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
     return members.groupBy(root).agg(F.countDistinct(node).alias("group_size"))

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from goldthread.functions.jsonfn import flatten_paths, infer_schema
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.skew import salted_join, top_keys
+from goldthread.session import stage
 
 MAX_ITEMS = 100_000
 
@@ -48,11 +49,13 @@ def nest_lists(lists: Mapping[str, ChildList], keys: Sequence[str], max_items: i
         )
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), payload.values())
     counts = union.groupBy(*keys, "_list").agg(F.count(F.lit(1)).alias("_rows"))
-    large = counts.filter(F.col("_rows") > max_items)
-    heavy = top_keys(large, [*keys, "_list"], "_rows")
-    parts = large.select(*keys, "_list", F.ceil(F.col("_rows") / max_items).alias("_parts"))
-    union = salted_join(union, parts, [*keys, "_list"], ["_hash"], "left", heavy)
-    union = union.withColumn("part", F.coalesce(F.pmod(F.col("_hash"), F.col("_parts")), F.lit(0)).cast("int"))
+    large = stage(counts.filter(F.col("_rows") > max_items), "large-lists")
+    if large.isEmpty():
+        union = union.withColumn("part", F.lit(0))
+    else:
+        parts = large.select(*keys, "_list", F.ceil(F.col("_rows") / max_items).alias("_parts"))
+        union = salted_join(union, parts, [*keys, "_list"], ["_hash"], "left", top_keys(large, [*keys, "_list"], "_rows"))
+        union = union.withColumn("part", F.coalesce(F.pmod(F.col("_hash"), F.col("_parts")), F.lit(0)).cast("int"))
     gathered = union.groupBy(*keys, "part").agg(*[F.array_sort(F.collect_list(f"_{n}")).alias(n) for n in names])
     return gathered.select(*keys, "part", *[F.transform(n, lambda x: x["e"]).alias(n) for n in names])
 
@@ -90,7 +93,9 @@ def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rule
         leaves = leaves.withColumn("path", F.regexp_replace("path", r"\[0\]", ""))
     if rules.null_equals_empty:
         leaves = leaves.withColumn("value", F.when(F.col("value") != "", F.col("value")))
-    # A path can repeat only inside one document (equal elements of an unordered list).
+    if not rules.keyed:
+        return leaves.select(*keys, "path", "type", "value")
+    # A path can repeat only inside one document (elements of a list with the same key).
     return leaves.groupBy(*keys, "path").agg(
         F.max("type").alias("type"), F.array_join(F.sort_array(F.collect_list("value")), "\u001e").alias("value"),
         F.count("value").alias("_filled"),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.operators.dedup import latest_per_key
-from goldthread.operators.skew import salted_join, with_group_values
+from goldthread.operators.skew import group_values, join_groups
 
 HISTORY_ID_LENGTH = 36  # ids shorter than a uuid come from the first load and are the oldest
 
@@ -31,9 +32,10 @@ def assign_keys(
     ``members`` has ``node, root``; ``known`` has ``node``, ``key`` and the columns of ``order`` for the
     records that already carry a key.
     """
-    with_keys = members.join(known.filter(F.col(key).isNotNull()), node)
-    first = with_keys.groupBy("root").agg(F.min_by(key, F.struct(*order)).alias("_known"))
-    joined = salted_join(members, first, ["root"], [node], "left")
+    carried = members.join(known.select(node, F.struct(*order).alias("_order"), F.col(key).alias("_key")), node, "left")
+    first = carried.groupBy("root").agg(
+        F.min_by("_key", F.when(F.col("_key").isNotNull(), F.col("_order"))).alias("_known"), F.count(F.lit(1)).alias("_rows"))
+    joined = join_groups(members, first, ["root"], [node])
     return joined.select(
         node, "root", F.coalesce("_known", derived_key(F.col("root"), domain)).alias("group_key"),
         F.col("_known").isNull().alias("is_new"),
@@ -50,13 +52,13 @@ def final_assignment(assigned: DataFrame, best: DataFrame, node: str = "node") -
 
 def flag_conflicts(df: DataFrame, new_key: str, checks: Mapping[str, Sequence[str]], spread_by: Sequence[str]) -> DataFrame:
     """One boolean per check: the same old key (or business id) has several new keys."""
+    out = df
     for flag, keys in checks.items():
-        complete = F.lit(True)
-        for k in keys:
-            complete = complete & F.col(k).isNotNull()
-        df = with_group_values(df, keys, spread_by, _low=F.min(new_key), _high=F.max(new_key))
-        df = df.withColumn(flag, F.coalesce(complete & (F.col("_low") != F.col("_high")), F.lit(False))).drop("_low", "_high")
-    return df
+        groups = group_values(df, keys, _low=F.min(new_key), _high=F.max(new_key))
+        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        out = join_groups(out.withColumn("_k", F.struct(*keys)), groups, ["_k"], spread_by)
+        out = out.withColumn(flag, F.coalesce(complete & (F.col("_low") != F.col("_high")), F.lit(False))).drop("_k", "_low", "_high")
+    return out
 
 
 def quarantine(df: DataFrame, flags: Sequence[str]) -> tuple[DataFrame, DataFrame]:

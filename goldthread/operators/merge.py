@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from goldthread.operators.skew import null_safe
-from goldthread.session import fits_broadcast
+from goldthread.session import fits_broadcast, stage
 
 Row = Column  # a struct column; ``row["name"]`` is a field
 Test = Callable[[Row, Row], Column]  # (target row, source row) -> condition
@@ -60,13 +60,17 @@ def merge(
 
     ``update`` names the columns taken from the source (all common ones by default) or maps a column
     to an expression of both rows. A source within the broadcast limit is joined to the target without
-    moving the target; a larger one costs one full outer join on the keys.
+    moving the target (one scan, and one of the key columns); a larger one costs one full outer join.
     """
     sets = _assignments(target, source, update)
+    match = _equal(keys, null_safe_keys)
+    small = fits_broadcast(source)
+    if small:  # written once: read three times below, and its real size replaces the estimate
+        source = stage(source, "merge-source")
+        small = fits_broadcast(source, expansion=4)
     t = target.select(F.struct(*target.columns).alias("_t"))
     s = source.select(F.struct(*source.columns).alias("_s"))
-    match = _equal(keys, null_safe_keys)
-    if fits_broadcast(source):
+    if small:
         hit = F.broadcast(target.select(*keys).select(F.struct(*keys).alias("_t")).join(
             F.broadcast(source.select(F.struct(*keys).alias("_s"))), match, "left_semi").distinct())
         fresh = s.join(hit, match, "left_anti").select(F.lit(None).cast(t.schema["_t"].dataType).alias("_t"), "_s")

@@ -15,8 +15,9 @@ def orphans(children: Mapping[str, tuple[DataFrame, str]], parent: DataFrame, ke
     keys = parent.select(key)
     parts = []
     for name, (df, fk) in children.items():
-        lost = df.select(F.col(fk).alias(key)).filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
-        parts.append(lost.agg(F.count(F.lit(1)).alias("bad_rows")).select(F.lit(name).alias("check"), "bad_rows"))
+        used = df.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias(key)).agg(F.count(F.lit(1)).alias("n"))
+        lost = used.join(keys, key, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bad_rows"))
+        parts.append(lost.select(F.lit(name).alias("check"), "bad_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.functions import text as tx
 from goldthread.operators.similar import edit_similar, jaro_candidates, weighted_name_score
-from goldthread.operators.skew import salted_join, top_keys
+from goldthread.operators.skew import join_groups
 
 LINK_COLUMNS = ["id", "anchor", "rule", "priority", "score", "similarity", "review"]
 
@@ -105,7 +105,7 @@ def exact_links(records: DataFrame, rules: Sequence[ExactRule], id: str = "id",
     """Links of all exact rules in one pass: one aggregate per (rule, key) and one join back.
 
     With ``batch`` (a boolean column) blocks without a batch record are left out, as nothing new can
-    match there.
+    match there. An id with several rows may be linked several times.
     """
     is_new = F.col(batch) if batch else F.lit(True)
     entries = F.filter(
@@ -118,8 +118,7 @@ def exact_links(records: DataFrame, rules: Sequence[ExactRule], id: str = "id",
         F.min("id").alias("anchor"), F.max("id").alias("_last"), F.bool_or("_new").alias("_any"),
         F.count(F.lit(1)).alias("_rows"),
     ).filter("anchor < _last AND _any")
-    heavy = top_keys(blocks, ["rule", "key"], "_rows")
-    joined = salted_join(keyed.drop("_new"), blocks.select("rule", "key", "anchor"), ["rule", "key"], ["id"], heavy=heavy)
+    joined = join_groups(keyed.drop("_new"), blocks.select("rule", "key", "anchor", "_rows"), ["rule", "key"], ["id"])
     info = {r.name: r for r in rules}
 
     def attribute(get) -> Column:
@@ -129,7 +128,7 @@ def exact_links(records: DataFrame, rules: Sequence[ExactRule], id: str = "id",
         "id", "anchor", "rule",
         attribute(lambda r: r.priority).alias("priority"), attribute(lambda r: r.score).alias("score"),
         F.lit(1.0).alias("similarity"), attribute(lambda r: r.review).alias("review"),
-    ).distinct()
+    )
 
 
 def _named_groups(records: DataFrame, id: str, batch: str | None, block: Column, names: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
@@ -149,8 +148,7 @@ def _named_groups(records: DataFrame, id: str, batch: str | None, block: Column,
 
 def _same_name_links(keyed: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
     several = groups.filter("anchor < _last AND _any")
-    heavy = top_keys(several, by, "_rows")
-    return salted_join(keyed.drop("_new"), several.select(*by, "anchor"), by, ["id"], heavy=heavy).select("id", "anchor")
+    return join_groups(keyed.drop("_new"), several.select(*by, "anchor", "_rows"), by, ["id"]).select("id", "anchor")
 
 
 def _finish(df: DataFrame, rule: EditRule | NameRule) -> DataFrame:
@@ -219,10 +217,10 @@ def match_links(records: DataFrame, rules: Sequence[Rule], id: str = "id", batch
 
 
 def auto_edges(links: DataFrame) -> DataFrame:
-    """Edges for grouping: links that need no review."""
+    """Edges for grouping: links that need no review. They may repeat; the components step makes them distinct."""
     return links.filter(~F.col("review") & (F.col("id") != F.col("anchor"))).select(
         F.col("id").alias("src"), F.col("anchor").alias("dst")
-    ).distinct()
+    )
 
 
 def edge_labels(links: DataFrame) -> DataFrame:

@@ -7,8 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from goldthread.session import stage
+
 HEAVY_KEYS = 64  # any key with more than 1/64 of the rows is among the 64 most frequent ones
 SALTS = 32
+HOT_ROWS = 1_000_000  # a group above this many rows is spread over several tasks
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int = HEAVY_KEYS) -> DataFrame:
@@ -52,19 +55,37 @@ def salted_join(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def join_groups(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread_by: Sequence[str], how: str = "inner", size: str = "_rows",
+) -> DataFrame:
+    """Join rows to values aggregated from them. ``groups`` has one row per key and its row count in ``size``.
+
+    The aggregate is written once, so the rows are aggregated once and read once more. The written
+    counts tell whether any group is hot: if not, this is a plain join, else a salted one.
+    """
+    groups = stage(groups, "groups")
+    most = groups.agg(F.max(size)).first()[0] or 0
+    if most <= HOT_ROWS:
+        return rows.join(groups.drop(size), list(keys), how)
+    return salted_join(rows, groups.drop(size), keys, spread_by, how, top_keys(groups, keys, size))
+
+
+def group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
+    """Aggregates per group with the group's row count; ``_k`` holds the keys, null ones included."""
+    keyed = df.groupBy(F.struct(*[F.col(k) for k in keys]).alias("_k"))
+    return keyed.agg(F.count(F.lit(1)).alias("_rows"), *[v.alias(n) for n, v in values.items()])
+
+
 def with_group_values(
     df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], **values: Column
 ) -> DataFrame:
-    """Add per-group aggregates to every row: partial aggregation, then a salted join back.
+    """Add per-group aggregates to every row: partial aggregation, then a join back that splits hot groups.
 
     The same result as ``agg.over(partitionBy(keys))`` without one task holding a whole group.
     Rows with a null key are kept and form their own group.
     """
-    keyed = df.withColumn("_k", F.struct(*[F.col(k) for k in keys]))
-    aggregates = [v.alias(n) for n, v in values.items()]
-    groups = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
-    heavy = top_keys(groups, ["_k"], "_rows")
-    return salted_join(keyed, groups.drop("_rows"), ["_k"], spread_by, "left", heavy).drop("_k")
+    rows = df.withColumn("_k", F.struct(*[F.col(k) for k in keys]))
+    return join_groups(rows, group_values(df, keys, **values), ["_k"], spread_by, "left").drop("_k")
 
 
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:

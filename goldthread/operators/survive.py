@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.operators.dedup import latest_per_key
-from goldthread.operators.skew import with_group_values
+from goldthread.operators.skew import salted_join, with_group_values
 
 
 def priority_value(conditions: Sequence[Column | None], value: Column, pick=F.max) -> Column:
@@ -152,28 +152,40 @@ def contact_survivor(contacts: DataFrame, keys: Sequence[str], rules: ContactRul
     valid = F.col("quality").isin(*rules.valid_quality)
     agreed = F.col("optin_flag") == 1
     by_type = [*keys, "type_code"]
-    spread = ["contact_id"]
-    # Per value: trusted and alive, trusted, alive, any.
-    per_value = with_priority_max(
-        contacts, [*by_type, "value"], [trusted & alive, trusted, alive, None], "optin_date", "_value_date", spread
-    ).filter(F.col("optin_date") == F.col("_value_date"))
-    # Per type: trusted / valid / agreed in falling strictness.
-    levels = [trusted & valid & agreed, trusted & valid, trusted & agreed, trusted, valid & agreed, valid, agreed, None]
-    per_type = with_priority_max(per_value, by_type, levels, "optin_date", "_type_date", spread)
-    decided = per_type.filter(F.col("optin_date") == F.col("_type_date")).groupBy(*by_type).agg(
-        F.max("source_timestamp").alias("_ts"))
-    fallback = priority_max(
-        contacts, by_type, [trusted & alive & valid, trusted & alive, alive & valid, alive, None], "source_timestamp", "_ts2")
-    chosen = fallback.join(decided, by_type, "left").withColumn("_ts", F.coalesce("_ts", "_ts2")).drop("_ts2")
-    joined = contacts.alias("c").join(chosen.alias("k"), reduce(
-        lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"k.{k}")) for k in by_type]))
-    picked = joined.groupBy(*[F.col(f"c.{k}").alias(k) for k in by_type]).agg(F.max_by(
-        F.struct(*[F.col(f"c.{c}") for c in contacts.columns if c not in by_type]),
-        F.struct(
-            F.coalesce(F.col("c.source_timestamp") == F.col("k._ts"), F.lit(False)), "c.update_dt", "c.record_id", "c.contact_id",
-        ),
-    ).alias("_r"))
-    return picked.select(*by_type, "_r.*").select(*contacts.columns)
+    # In falling strictness; every row meets the last condition.
+    value_levels = [trusted & alive, trusted, alive, F.lit(True)]
+    type_levels = [trusted & valid & agreed, trusted & valid, trusted & agreed, trusted, valid & agreed, valid, agreed, F.lit(True)]
+    time_levels = [trusted & alive & valid, trusted & alive, alive & valid, alive, F.lit(True)]
+
+    def some(prefix: str, levels: Sequence[Column]) -> list[Column]:
+        return [F.bool_or(F.coalesce(c, F.lit(False))).alias(f"{prefix}{i}") for i, c in enumerate(levels)]
+
+    def first_level(prefix: str, n: int, value: Column) -> Column:
+        return F.coalesce(*[F.max(F.when(F.col(f"{prefix}{i}"), value)) for i in range(n)])
+
+    times = [F.max(F.when(c, F.col("source_timestamp"))).alias(f"t{i}") for i, c in enumerate(time_levels)]
+    ts = F.max("source_timestamp").alias("ts")
+    # Rows with the same value and date are interchangeable for the dates, so they are merged first.
+    dates = contacts.groupBy(*by_type, "value", "optin_date").agg(*some("v", value_levels), *some("k", type_levels), *times, ts)
+    flags = [f"k{i}" for i in range(len(type_levels))]
+    dated = dates.filter(F.col("optin_date").isNotNull())
+    per_value = dated.groupBy(*by_type, "value").agg(
+        first_level("v", len(value_levels), F.struct("optin_date", *flags, "ts")).alias("d"))
+    per_date = per_value.select(*by_type, "d.*").groupBy(*by_type, "optin_date").agg(*[F.bool_or(f).alias(f) for f in flags], F.max("ts").alias("ts"))
+    decided = per_date.groupBy(*by_type).agg(first_level("k", len(flags), F.struct("optin_date", "ts")).alias("d"))
+    fallback = dates.groupBy(*by_type).agg(F.coalesce(*[F.max(f"t{i}") for i in range(len(time_levels))]).alias("_by_time"))
+    chosen = fallback.select(F.struct(*by_type).alias("_k"), "_by_time").join(
+        decided.select(F.struct(*by_type).alias("_k"), F.col("d.ts").alias("_by_date")), "_k", "left"
+    ).select("_k", F.coalesce("_by_date", "_by_time").alias("_ts"))
+    # The best row of every timestamp, then the best of those.
+    rest = [c for c in contacts.columns if c not in by_type]
+    order = ("update_dt", "record_id", "contact_id")
+    per_time = contacts.groupBy(F.struct(*by_type).alias("_k"), F.col("source_timestamp").alias("_at")).agg(
+        F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    joined = salted_join(per_time, chosen, ["_k"], ["_at"])
+    hit = F.coalesce(F.col("_at") == F.col("_ts"), F.lit(False))
+    picked = joined.groupBy("_k").agg(F.max_by("_r", F.struct(hit, *[f"_r.{c}" for c in order])).alias("_r"))
+    return picked.select("_k.*", "_r.*").select(*contacts.columns)
 
 
 def merge_consents(derived: DataFrame, own: DataFrame, keys: Sequence[str], date: str, *ties: str) -> DataFrame:

@@ -56,9 +56,8 @@ def _contact_components(t: Tables) -> DataFrame:
 @query("er7_components_exact", _CONTACT_PAIRS + """
 SELECT node AS src_id, root AS component_root, CAST(count(*) OVER (PARTITION BY root) AS BIGINT) AS group_size FROM roots""")
 def components_exact(t: Tables) -> DataFrame:
-    members = _contact_components(t)
-    sizes = cc.component_sizes(members)
-    return members.join(sizes, "root").select(F.col("node").alias("src_id"), F.col("root").alias("component_root"), "group_size")
+    sized = cc.with_group_size(_contact_components(t))
+    return sized.select(F.col("node").alias("src_id"), F.col("root").alias("component_root"), "group_size")
 
 
 @query("er8_components_chain", f"""

@@ -69,12 +69,15 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimated size is within the session's automatic broadcast limit."""
+def fits_broadcast(df: DataFrame, expansion: int = 1) -> bool:
+    """True when the estimated size is within the session's automatic broadcast limit.
+
+    ``expansion`` is how much larger the rows are in memory than in the files they come from.
+    """
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if limit in ("-1", None):
         return False
     text = limit.lower().rstrip("b")
     unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], None)
     size = int(text[:-1]) * unit if unit else int(text)
-    return plan_bytes(df) <= size
+    return plan_bytes(df) * expansion <= size

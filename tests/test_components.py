@@ -40,7 +40,9 @@ def test_chain_longer_than_any_fixed_number_of_label_rounds(spark):
     assert set(solve(spark, edges).values()) == {0}
 
 
-def test_star_with_a_hub(spark):
+@pytest.mark.parametrize("hub", [10, 10**6])
+def test_star_with_a_hub(spark, monkeypatch, hub):
+    monkeypatch.setattr(cc, "HUB_NEIGHBOURS", hub)
     edges = [(5000, i) for i in range(1000)]
     found = solve(spark, edges)
     assert len(found) == 1001 and set(found.values()) == {0}

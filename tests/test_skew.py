@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from goldthread.operators import dedup as dd, documents as dc, ordering as od, rules as ru, skew as sk
@@ -42,7 +43,9 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert largest[1] > 1 and largest[0] < N / 3
 
 
-def test_group_values_equal_a_window(spark, rows):
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_group_values_equal_a_window(spark, rows, monkeypatch, hot_rows):
+    monkeypatch.setattr(sk, "HOT_ROWS", hot_rows)
     _, df = hot(spark)
     df = df.withColumn("k", F.when(F.col("k") != "k2", F.col("k")))  # a null group
     got = sk.with_group_values(df, ["k"], ["id"], m=F.max("v"), n=F.count(F.lit(1)))
@@ -81,7 +84,9 @@ def test_large_child_lists_become_several_parts_and_lose_nothing(spark, rows):
     assert [x["id"] for x in first] == sorted((x["id"] for x in first), key=order.get)
 
 
-def test_hot_block_makes_linear_links(spark):
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_hot_block_makes_linear_links(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(sk, "HOT_ROWS", hot_rows)
     _, df = hot(spark)
     found = ru.exact_links(df, [ru.ExactRule("r", (F.col("k"),))])
     assert found.count() <= N
