@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
@@ -16,6 +18,7 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
     return F.when(longest == 0, 1.0).otherwise(1.0 - F.levenshtein(a, b) / longest)
 
 
+@lru_cache(maxsize=1 << 16)  # names repeat; the cache belongs to a Python worker and is bounded
 def _jaro_winkler(a: str | None, b: str | None) -> float:
     if not a or not b:
         return 0.0

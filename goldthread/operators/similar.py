@@ -109,8 +109,9 @@ def jaro_candidates(names: DataFrame, threshold: float) -> DataFrame:
         raise ValueError("threshold too low: no pair can be ruled out without comparing all pairs")
     sized = names.filter(F.length("text") > 0).select("block", "id", F.length("text").alias("len"), _char_tokens(F.col("text")).alias("tokens"))
     length = F.col("len")
-    low = F.greatest(F.lit(1), F.ceil(length * F.lit(need - 1) - F.lit(_EPS)).cast("int"))
-    high = F.greatest(low, _floor(length / F.lit(need - 1)))
+    present = [r["len"] for r in sized.select("len").distinct().orderBy("len").collect()]  # text lengths: a few integers
+    low, high = F.ceil(length * F.lit(need - 1) - F.lit(_EPS)), F.ceil(length / F.lit(need - 1))
+    others = F.filter(F.array(*[F.lit(n) for n in present]), lambda n: n.between(low, high))
 
     def prefix(other: Column) -> Column:
         common = F.ceil(F.lit(need) * length * other / (length + other) - F.lit(_EPS)).cast("int")
@@ -125,8 +126,8 @@ def jaro_candidates(names: DataFrame, threshold: float) -> DataFrame:
         )
 
     tokens = sized.select(
-        "block", "id", "len", F.explode(F.flatten(F.transform(F.sequence(low, high), prefix))).alias("t")
-    ).select("block", "id", "len", "t.*").distinct()
+        "block", "id", "len", F.explode(F.flatten(F.transform(others, prefix))).alias("t")
+    ).select("block", "id", "len", "t.*")
     left = tokens.filter("len = lo").select("block", "lo", "hi", "c", "n", F.col("id").alias("x"))
     right = tokens.filter("len = hi").select("block", "lo", "hi", "c", "n", F.col("id").alias("y"))
     return (
