@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
@@ -95,12 +96,13 @@ def infer_schema(df: DataFrame, json: str) -> str:
     return found.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
 
 
-def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mapping[str, str] | None = None) -> Column:
+def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mapping[str, str | Sequence[str]] | None = None) -> Column:
     """Array of ``(path, type, value)`` for every leaf below ``value``, following its declared type.
 
     An array element's place in the path is its index, or the value of its key member when ``keyed``
     names one for that array path (``a``, ``a[].b``), so that unordered lists can be compared by key.
-    The member ``*`` places an element by its whole content.
+    A key may be several members (``("Code", "Source.Id")``); ``*`` is the element's whole content.
+    An array itself is a leaf too, with its length as value.
     """
     keyed = keyed or {}
     row = "struct<path:string,type:string,value:string>"
@@ -114,8 +116,11 @@ def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mappin
         def element(x: Column, i: Column) -> Column:
             if member == "*":
                 place = F.md5(F.to_json(F.struct(x.alias("x"))))
+            elif member:
+                parts = [reduce(lambda v, name: v[name], p.split("."), x) for p in ([member] if isinstance(member, str) else member)]
+                place = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
             else:
-                place = F.coalesce(x[member].cast("string"), F.lit("null")) if member else i.cast("string")
+                place = i.cast("string")
             inner = flatten_paths(schema.elementType, x, f"{path}[{mark}]", keyed)
             return F.transform(
                 inner,
@@ -125,9 +130,8 @@ def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mappin
                 ),
             )
 
-        return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(
-            F.flatten(F.transform(value, element))
-        ).cast(f"array<{row}>")
+        leaves = F.concat(_leaf(path, "array", F.size(value)), F.flatten(F.transform(value, element)))
+        return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(leaves).cast(f"array<{row}>")
     return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(
         _leaf(path, schema.simpleString(), value.cast("string"))
     )

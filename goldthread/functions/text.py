@@ -116,7 +116,7 @@ def sorted_name_key(names: Sequence[tuple[Column, Column, Column]], separator: s
 
 def strip_timezone(c: Column) -> Column:
     """Drop a trailing ``Z`` or ``+hh:mm`` from a timestamp text."""
-    return F.regexp_replace(c, r"(Z|[+-]\d{2}:?\d{2})$", "")
+    return F.regexp_replace(c.cast("string"), r"(Z|[+-]\d\d:\d\d)$", "")
 
 
 def truthy(c: Column) -> Column:

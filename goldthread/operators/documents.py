@@ -73,7 +73,7 @@ class CompareRules:
 
     ignore: tuple[str, ...] = ()
     trim: tuple[str, ...] = ()
-    keyed: Mapping[str, str] | None = None
+    keyed: Mapping[str, str | Sequence[str]] | None = None
     null_equals_empty: bool = True
     unwrap_single: bool = False
 
@@ -106,7 +106,7 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
                   latest: Sequence[Column] = (), ddl: str | None = None) -> DataFrame:
     """Differences of two sets of documents: ``keys, path, kind, left_value, right_value``.
 
-    ``kind`` is missing_left or missing_right (absent or null there), type or value; ``latest`` picks
+    ``kind`` is missing_left or missing_right (absent or null there), type, length (of a list) or value; ``latest`` picks
     one document per key and side. Both sides become rows, so one large document or one large key is spread like any other data.
     """
     if latest:
@@ -121,6 +121,7 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
         F.when(equal, None)
         .when(F.coalesce("_ta", F.lit("null")) == "null", "missing_left")
         .when(F.coalesce("_tb", F.lit("null")) == "null", "missing_right")
+        .when((F.col("_ta") == "array") & (F.col("_tb") == "array"), "length")
         .when((F.col("_ta") != F.col("_tb")), "type")
         .when(~same, "value")
     )

@@ -27,17 +27,16 @@ def due_requests(requests: DataFrame, now: Column, grace: str = "grace_date", co
     return due
 
 
-def rate_limit(df: DataFrame, quotas: DataFrame, group: str, unit: Sequence[str], order: Sequence[str], quota: str = "quota",
-               default: int | None = None) -> DataFrame:
+def rate_limit(df: DataFrame, quotas: DataFrame, group: str, unit: Sequence[str], order: Sequence[str], quota: str = "quota") -> DataFrame:
     """All rows of the first ``quota`` units (e.g. requests) per group, oldest first.
 
-    ``quotas`` is the small table (group, quota). ``order`` must be columns of the unit's first row.
-    A group without a quota passes nothing, or ``default`` units.
+    ``quotas`` is the small table (group, quota); a null quota means no limit, a group that is not in it
+    passes nothing. ``order`` are columns of the unit's first row.
     """
+    largest = quotas.agg(F.max(quota)).first()[0] or 0
+    open_groups = quotas.filter(F.col(quota).isNull()).select(group)
     first = df.groupBy(group, *unit).agg(F.min(F.struct(*order)).alias("_o"))
-    limited = first.join(quotas.select(group, quota), group, "left").withColumn(
-        quota, F.coalesce(F.col(quota).cast("bigint"), F.lit(default or 0).cast("bigint")))
-    largest = max(quotas.agg(F.max(quota)).first()[0] or 0, default or 0)
+    limited = first.join(quotas.filter(F.col(quota).isNotNull()).select(group, F.col(quota).cast("bigint")), group)
     ranking = [F.col("_o").asc(), *[F.col(u).asc() for u in unit]]
     if largest <= GROUP_LIMIT:
         from pyspark.sql import Window
@@ -46,7 +45,8 @@ def rate_limit(df: DataFrame, quotas: DataFrame, group: str, unit: Sequence[str]
     else:
         ranked = number_rows(limited, ["_o", *unit], [group], "_n")
     allowed = ranked.filter(F.col("_n") <= F.col(quota)).select(group, *unit)
-    return df.join(allowed, [group, *unit], "left_semi")
+    within = df.join(allowed, [group, *unit], "left_semi")
+    return within.unionByName(df.join(open_groups, group, "left_semi"))
 
 
 def same_members(left: DataFrame, right: DataFrame, group: Sequence[str], member: Sequence[str]) -> DataFrame:
@@ -76,15 +76,16 @@ def member_differences(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
     return joined.select(*keys, F.when(F.col("_l"), "left").otherwise("right").alias("side"))
 
 
-def key_strategy(requests: DataFrame, master: DataFrame, key: str, brand: str, domain: str = "erased") -> DataFrame:
-    """``key, new_key, strategy``: a new key when brands outside the request remain, else the same key."""
-    asked = requests.select(key, brand).distinct()
-    held = master.select(key, brand).distinct().join(asked.select(key).distinct(), key, "left_semi")
-    rest = held.join(asked, [key, brand], "left_anti").select(key).distinct().withColumn("_more", F.lit(True))
-    out = asked.select(key).distinct().join(rest, key, "left")
+def key_strategy(requests: DataFrame, master: DataFrame, key: str, brand: str, scope: Sequence[str] = (), domain: str = "erased") -> DataFrame:
+    """``scope, key, new_key, strategy``: a new key when brands outside the request remain, else the same key."""
+    by = [*scope, key]
+    asked = requests.select(*by, brand).distinct()
+    held = master.select(*by, brand).distinct().join(asked.select(*by).distinct(), by, "left_semi")
+    rest = held.join(asked, [*by, brand], "left_anti").select(*by).distinct().withColumn("_more", F.lit(True))
+    out = asked.select(*by).distinct().join(rest, by, "left")
     split = F.col("_more").isNotNull()
     return out.select(
-        key, F.when(split, derived_key(F.col(key), domain)).otherwise(F.col(key)).alias("new_key"),
+        *by, F.when(split, derived_key(F.col(key), domain)).otherwise(F.col(key)).alias("new_key"),
         F.when(split, "NEW").otherwise("SAME").alias("strategy"))
 
 

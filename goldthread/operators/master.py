@@ -27,12 +27,21 @@ def upsert_parents(
 
 def replace_changed_children(
     master: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str], also: Column | None = None,
+    deleted: Column | None = None, blank: Sequence[str] = (), ts: str | None = None, deleted_at: str | None = None,
 ) -> DataFrame:
-    """Insert new children, and swap a child for its new row when a compared column differs.
+    """Insert new children, and swap a child for its new row when a compared column differs (null and
+    the empty text are equal).
 
     ``also`` (over the batch row) forces the swap, e.g. for a sibling's update flag or a listed source.
+    Where the parent is ``deleted``, the ``blank`` columns become empty and ``ts`` the parent's time.
     """
-    differs = changed(compare)
+    differs = changed(compare, blank_is_null=True)
+    if deleted is not None:
+        gone = F.coalesce(deleted, F.lit(False))
+        sets = {c: F.when(gone, "").otherwise(F.col(c)) for c in blank}
+        if ts and deleted_at:
+            sets[ts] = F.when(gone, F.col(deleted_at)).otherwise(F.col(ts))
+        batch = batch.withColumns(sets)
     source = batch if also is None else batch.withColumn("_also", F.coalesce(also, F.lit(False)))
     test = differs if also is None else (lambda t, s: differs(t, s) | s["_also"])
     return merge(master, source, keys, update_when=test, null_safe_keys=True)

@@ -33,9 +33,12 @@ def _equal(keys: Sequence[str], safe: bool) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"_t.{k}") == F.col(f"_s.{k}") for k in keys])
 
 
-def changed(columns: Sequence[str]) -> Test:
-    """Any of ``columns`` differs, null-safely."""
-    return lambda t, s: reduce(lambda a, b: a | b, [~t[c].eqNullSafe(s[c]) for c in columns])
+def changed(columns: Sequence[str], blank_is_null: bool = False) -> Test:
+    """Any of ``columns`` differs, null-safely; optionally with the empty text equal to null."""
+    def value(c: Column) -> Column:
+        return F.coalesce(c.cast("string"), F.lit("")) if blank_is_null else c
+
+    return lambda t, s: reduce(lambda a, b: a | b, [~value(t[c]).eqNullSafe(value(s[c])) for c in columns])
 
 
 def newer(ts: str, strict: bool = True) -> Test:

@@ -39,6 +39,18 @@ def rows_hit_by_rules(df: DataFrame, market: str, rules: Sequence[tuple[str, str
     return df.filter(rule_condition(market, rules))
 
 
+def failing_keys(tables: Mapping[str, tuple[DataFrame, str, str]], rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Distinct ``(market, id)`` that break a rule in any of their tables.
+
+    ``tables`` maps a kind to (table, market column, id column); a rule is (market, kind, predicate).
+    """
+    parts = [
+        rows_hit_by_rules(df, market, [(m, p) for m, k, p in rules if k == kind]).select(F.col(market).alias("market"), F.col(id).alias("id"))
+        for kind, (df, market, id) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def classify_rows(df: DataFrame, classes: Sequence[tuple[str, Column]]) -> DataFrame:
     """``exclude_type``: the first class whose condition holds; ``is_include``: none holds."""
     kind = F.lit(None).cast("string")

@@ -92,13 +92,32 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def ratio_alert(raw: DataFrame, valid: DataFrame, keys: Sequence[str], limit: float) -> DataFrame:
-    """Alert when raw and valid rows differ by at least ``limit`` of the raw rows, or valid rows have no raw ones."""
+    """Raw and valid rows per key, judged by ``judge_ratio``."""
     a = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("raw_rows"))
     b = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("valid_rows"))
-    joined = a.join(b, list(keys), "full_outer").na.fill(0, ["raw_rows", "valid_rows"])
-    ratio = F.abs(F.col("raw_rows") - F.col("valid_rows")) / F.col("raw_rows")
-    return joined.withColumn("is_alert", F.when(F.col("raw_rows") == 0, F.col("valid_rows") > 0).otherwise(
-        F.when(F.col("raw_rows") > 0, ratio >= limit)))
+    return judge_ratio(a.join(b, list(keys), "full_outer").na.fill(0, ["raw_rows", "valid_rows"]), limit)
+
+
+def topic_pair_alert(messages: DataFrame, pairs: DataFrame, topic: str, limit: float) -> DataFrame:
+    """Rows of each pair of ``raw_topic`` and ``valid_topic``; a topic without messages counts 0."""
+    counts = messages.groupBy(topic).agg(F.count(F.lit(1)).alias("n"))
+    raw = counts.select(F.col(topic).alias("raw_topic"), F.col("n").alias("raw_rows"))
+    valid = counts.select(F.col(topic).alias("valid_topic"), F.col("n").alias("valid_rows"))
+    joined = pairs.join(raw, "raw_topic", "left").join(valid, "valid_topic", "left")
+    return judge_ratio(joined.na.fill(0, ["raw_rows", "valid_rows"]), limit)
+
+
+def judge_ratio(counts: DataFrame, limit: float) -> DataFrame:
+    """Add ``ratio``, ``is_alert`` and ``rule_hit``: an alert when only one side has rows, or when they
+    differ by at least ``limit`` of the raw rows; none when both are empty."""
+    raw, valid = F.col("raw_rows"), F.col("valid_rows")
+    ratio = F.when(raw > 0, F.abs(raw - valid) / raw).otherwise(0.0)
+    rule = (
+        F.when((raw == 0) & (valid > 0), "raw_empty").when((raw > 0) & (valid == 0), "valid_empty")
+        .when(raw == 0, "both_empty").otherwise("ratio")
+    )
+    alert = F.when(F.col("rule_hit") == "ratio", F.col("ratio") >= limit).otherwise(F.col("rule_hit") != "both_empty")
+    return counts.withColumns({"ratio": ratio, "rule_hit": rule}).withColumn("is_alert", alert)
 
 
 def topic_volume(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -112,13 +131,15 @@ def no_log_alert(log: DataFrame, ts: str, start: Column, end: Column) -> DataFra
     return inside.agg(F.count(F.lit(1)).alias("log_rows")).withColumn("is_alert", F.col("log_rows") == 0)
 
 
-def keep_home_market(rows: DataFrame, keys: Sequence[str], found_in: str, home: str) -> DataFrame:
+def keep_home_market(rows: DataFrame, keys: Sequence[str], found_in: str, home: str, markets: Sequence | None = None) -> DataFrame:
     """Rows of an extract with ``is_retained``: a row found in another market's extract is kept only when
-    its home market's extract lacks it. One join for all markets."""
+    its home market's extract lacks it; a row of an unknown market is not. One join for all markets."""
     at_home = rows.filter(F.col(found_in) == F.col(home)).select(*keys, home).distinct().withColumn("_at_home", F.lit(True))
     joined = rows.join(at_home, [*keys, home], "left")
-    return joined.withColumn(
-        "is_retained", (F.col(found_in) == F.col(home)) | F.col("_at_home").isNull()).drop("_at_home")
+    keep = (F.col(found_in) == F.col(home)) | F.col("_at_home").isNull()
+    if markets is not None:
+        keep = keep & F.coalesce(F.col(home).isin(*markets), F.lit(False))
+    return joined.withColumn("is_retained", keep).drop("_at_home")
 
 
 def market_match_counts(rows: DataFrame, found_in: str, home: str) -> DataFrame:

@@ -243,9 +243,9 @@ class PersonRules:
     """Rule set over (blocking class, market): each contact with each name form, ids, and known keys."""
 
     market: str = "market_code"
-    blocking: str = "blocking_class"
-    contacts: Mapping[str, str] = field(default_factory=lambda: {
-        "Email": "email_key", "Phone": "phone_key", "Address": "address_key"})
+    blocking: str | None = "blocking_class"
+    contacts: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: {
+        "Email": ("email_key",), "Phone": ("phone_key",), "Address": ("address_key",)})
     name_asc: str = "name_asc"
     name_desc: str | None = None
     local: tuple[str, str] | None = None
@@ -255,10 +255,10 @@ class PersonRules:
     known_key: str | None = None
 
     def build(self) -> list[Rule]:
-        base = (F.col(self.blocking), F.col(self.market))
+        base = (F.col(self.market),) if self.blocking is None else (F.col(self.blocking), F.col(self.market))
         out: list[Rule] = []
-        for label, contact in self.contacts.items():
-            block = (*base, tx.blank_to_null(F.col(contact)))
+        for label, contacts in self.contacts.items():
+            block = (*base, *[tx.blank_to_null(F.col(c)) for c in contacts])
             out.append(ExactRule(f"FullName_{label}_Match", (*block, F.col(self.name_asc))))
             if self.name_desc:
                 out.append(ExactRule(f"FullNameDesc_{label}_Match", (*block, F.col(self.name_desc)), 4))
@@ -278,18 +278,17 @@ class PersonRules:
         return out
 
 
-def transaction_rules(market: str = "market_code", email: str = "email_key", phone: str = "phone_key",
-                      name: str = "name_asc", order_key: Sequence[str] = (), mapping_id: str | None = None) -> list[Rule]:
-    """E-mail and phone and name; the order id; the mapping id of already mapped records."""
-    rules: list[Rule] = [ExactRule(
-        "FullName_Email_Phone_Match",
-        (F.col(market), tx.blank_to_null(F.col(email)), tx.blank_to_null(F.col(phone)), F.col(name)),
-    )]
+def transaction_rules(names: PersonRules, order_key: Sequence[str] = (), mapping_id: str | None = None, is_master: str | None = None) -> list[Rule]:
+    """Person rules (with a contact made of e-mail and phone together), the order id, and the mapping id
+    that two already mapped records share."""
+    out = names.build()
+    market = F.col(names.market)
     if order_key:
-        rules.append(ExactRule("OrderId_Match", (F.col(market), *[F.col(c) for c in order_key]), 2))
+        out.append(ExactRule("OrderId_Match", (market, *[F.col(c) for c in order_key]), 6))
     if mapping_id:
-        rules.append(ExactRule("MappingId_Match", (F.col(market), F.col(mapping_id)), 3))
-    return rules
+        known = F.col(mapping_id) if is_master is None else F.when(F.col(is_master), F.col(mapping_id))
+        out.append(ExactRule("MappingId_Match", (market, known), 7))
+    return out
 
 
 def blocking_class(market: Column, brand: Column, group: Column, plain_markets: Sequence[str],

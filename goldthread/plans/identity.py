@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.functions import contact, text as tx
+from goldthread.functions import codes, text as tx
 from goldthread.operators import components as cc, keys as ky, rules as ru
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.merge import merge_two_keys
@@ -183,7 +183,7 @@ def person_rules(t: Tables) -> DataFrame:
         "blocking_class": F.lit("Normal"),
         "name_asc": tx.sorted_name_key([(F.col("fn"), F.col("ln"), F.lit(None).cast("string"))])["asc"],
     })
-    spec = ru.PersonRules(contacts={"Email": "email", "Phone": "phone"}, local=("fn", "ln"),
+    spec = ru.PersonRules(contacts={"Email": ("email",), "Phone": ("phone",)}, local=("fn", "ln"),
                           business_id=("brand_code", "source_code", "source_entity_id"))
     return ru.match_links(records, spec.build(), "src_id").select("id", "anchor", "rule")
 
@@ -191,11 +191,13 @@ def person_rules(t: Tables) -> DataFrame:
 @query("er5_transaction_rules", f"""
 WITH {KEYED_CTE}, u AS (SELECT *, concat_ws('_', least(fn, ln), greatest(fn, ln)) AS nk FROM keyed),
 r AS (SELECT src_id AS id, min(src_id) OVER w AS anchor, count(*) OVER w AS n, 'FullName_Email_Phone_Match' AS rule FROM u WHERE phone IS NOT NULL AND email IS NOT NULL WINDOW w AS (PARTITION BY market_code, phone, email, nk)
+ UNION ALL SELECT src_id, min(src_id) OVER w, count(*) OVER w, 'LocalName_Email_Phone_Match' FROM u WHERE phone IS NOT NULL AND email IS NOT NULL WINDOW w AS (PARTITION BY market_code, phone, email, fn, ln)
  UNION ALL SELECT src_id, min(src_id) OVER w, count(*) OVER w, 'OrderId_Match' FROM u WINDOW w AS (PARTITION BY market_code, source_entity_id))
 SELECT id, anchor, rule FROM r WHERE n > 1""")
 def transaction_rules(t: Tables) -> DataFrame:
     records = keyed(t).withColumn("name_asc", tx.sorted_name_key([(F.col("fn"), F.col("ln"), F.lit(None).cast("string"))])["asc"])
-    built = ru.transaction_rules(email="email", phone="phone", order_key=("source_entity_id",))
+    names = ru.PersonRules(blocking=None, contacts={"Email_Phone": ("email", "phone")}, local=("fn", "ln"))
+    built = ru.transaction_rules(names, order_key=("source_entity_id",))
     return ru.match_links(records, built, "src_id").select("id", "anchor", "rule")
 
 
@@ -303,13 +305,13 @@ def key_conflicts(t: Tables) -> DataFrame:
 
 @query("er12_quarantined", _BATCH_ROOTS + """, e AS (SELECT source_entity_id FROM assigned GROUP BY source_entity_id HAVING count(DISTINCT root) > 1)
 SELECT node AS src_id, source_entity_id NOT IN (SELECT source_entity_id FROM e) OR NOT is_batch AS is_include,
-  CASE WHEN is_batch AND source_entity_id IN (SELECT source_entity_id FROM e) THEN 'CidDuplicate' END AS exclude_type FROM assigned""")
+  CASE WHEN is_batch AND source_entity_id IN (SELECT source_entity_id FROM e) THEN 'ExcludeByCidDuplicate' END AS exclude_type FROM assigned""")
 def quarantined(t: Tables) -> DataFrame:
     records = _with_master(t)
     a = _assigned(t).select(F.col("node").alias("src_id"), "root").join(records.select("src_id", "source_entity_id", "is_batch"), "src_id")
     _, bad = ky.quarantine(ky.flag_conflicts(a, "root", {"id_conflict": ["source_entity_id"]}, ["src_id"]), ["id_conflict"])
     base = records.select("src_id", F.lit(True).alias("is_include"), F.lit(None).cast("string").alias("exclude_type"))
-    return ky.mark_excluded(base, bad.filter("is_batch"), ["src_id"], "CidDuplicate")
+    return ky.mark_excluded(base, bad.filter("is_batch"), ["src_id"], codes.CID_DUPLICATE)
 
 
 @query("er13_attach_special_source", f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.functions import jsonfn
+from goldthread.functions import codes
 from goldthread.operators import erasure as er, quality as dq, runlog, sharing as sh
 from goldthread.operators.projection import SinkSpec, decrypt
 from goldthread.plans.fixtures import KEYED_CTE, keyed
@@ -111,10 +111,10 @@ def due(t: Tables) -> DataFrame:
 
 @query("an2_rate_limit", """
 WITH u AS (SELECT o_orderpriority AS market, o_custkey, min(o_orderdate) AS first_at FROM orders GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY first_at, o_custkey) AS n FROM u)
-SELECT o_orderkey FROM orders JOIN r ON o_orderpriority = market AND orders.o_custkey = r.o_custkey WHERE n <= CASE market WHEN '1-URGENT' THEN 2000 WHEN '2-HIGH' THEN 5 ELSE 0 END""")
+SELECT o_orderkey FROM orders JOIN r ON o_orderpriority = market AND orders.o_custkey = r.o_custkey WHERE n <= CASE market WHEN '1-URGENT' THEN 2000 WHEN '2-HIGH' THEN 5 WHEN '5-LOW' THEN 1000000000 ELSE 0 END""")
 def limit(t: Tables) -> DataFrame:
     quota = F.when(F.col("o_orderpriority") == "1-URGENT", 2000).when(F.col("o_orderpriority") == "2-HIGH", 5)
-    quotas = t.orders.select("o_orderpriority").distinct().withColumn("quota", quota).filter("quota IS NOT NULL")
+    quotas = t.orders.select("o_orderpriority").distinct().withColumn("quota", quota).filter("quota IS NOT NULL OR o_orderpriority = '5-LOW'")
     return er.rate_limit(t.orders, quotas, "o_orderpriority", ["o_custkey"], ["o_orderdate"]).select("o_orderkey")
 
 
@@ -236,10 +236,10 @@ def oversized(t: Tables) -> DataFrame:
 
 
 @query("dq5_invalid_samples", f"""
-WITH {KEYED_CTE}, c AS (SELECT src_id, CASE WHEN email IS NULL AND phone IS NULL THEN 'PkMiss' WHEN balance < 0 THEN 'ClearMiss' END AS exclude_type FROM keyed)
+WITH {KEYED_CTE}, c AS (SELECT src_id, CASE WHEN email IS NULL AND phone IS NULL THEN 'ExcludeByPkMiss' WHEN balance < 0 THEN 'FailByClearMiss' END AS exclude_type FROM keyed)
 SELECT exclude_type, src_id FROM c WHERE exclude_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY exclude_type ORDER BY src_id) <= 5""")
 def samples(t: Tables) -> DataFrame:
-    kind = F.when(F.col("email").isNull() & F.col("phone").isNull(), "PkMiss").when(F.col("balance") < 0, "ClearMiss")
+    kind = F.when(F.col("email").isNull() & F.col("phone").isNull(), codes.PK_MISS).when(F.col("balance") < 0, codes.CLEAR_MISS)
     return dq.sample_per_type(keyed(t).withColumn("exclude_type", kind), "exclude_type", [F.col("src_id")], 5).select("exclude_type", "src_id")
 
 
@@ -249,10 +249,13 @@ def daily_volume(t: Tables) -> DataFrame:
 
 
 @query("dq7_topic_ratio", """
-WITH r AS (SELECT user_id, count(*) AS raw_rows FROM events GROUP BY 1), v AS (SELECT user_id, count(*) AS valid_rows FROM events WHERE event_type <> 'error' AND value > 20 GROUP BY 1)
-SELECT user_id, raw_rows, coalesce(valid_rows, 0) AS valid_rows, abs(raw_rows - coalesce(valid_rows, 0))::DOUBLE / raw_rows >= 0.8 AS is_alert FROM r LEFT JOIN v USING (user_id)""")
+WITH c AS (SELECT event_type AS topic, count(*) AS n FROM events GROUP BY 1), p AS (SELECT * FROM (VALUES ('click', 'view'), ('error', 'signup'), ('view', 'nothing'), ('nothing', 'click'), ('void', 'nothing')) v(raw_topic, valid_topic)),
+j AS (SELECT raw_topic, valid_topic, coalesce(a.n, 0) AS raw_rows, coalesce(b.n, 0) AS valid_rows FROM p LEFT JOIN c a ON a.topic = raw_topic LEFT JOIN c b ON b.topic = valid_topic)
+SELECT *, CASE WHEN raw_rows = 0 AND valid_rows > 0 THEN 'raw_empty' WHEN raw_rows > 0 AND valid_rows = 0 THEN 'valid_empty' WHEN raw_rows = 0 THEN 'both_empty' ELSE 'ratio' END AS rule_hit,
+ CASE WHEN raw_rows = 0 THEN valid_rows > 0 WHEN valid_rows = 0 THEN true ELSE abs(raw_rows - valid_rows)::DOUBLE / raw_rows >= 0.8 END AS is_alert FROM j""")
 def topic_ratio(t: Tables) -> DataFrame:
-    return dq.ratio_alert(t.events, t.events.filter("event_type <> 'error' AND value > 20"), ["user_id"], 0.8)
+    pairs = t.spark.createDataFrame([("click", "view"), ("error", "signup"), ("view", "nothing"), ("nothing", "click"), ("void", "nothing")], "raw_topic string, valid_topic string")
+    return dq.topic_pair_alert(t.events, pairs, "event_type", 0.8).drop("ratio")
 
 
 @query("dq8_no_log_alert", "SELECT count(*) AS log_rows, count(*) = 0 AS is_alert FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'")
@@ -269,10 +272,10 @@ def column_fill(t: Tables) -> DataFrame:
 
 @query("dq11_home_market", """
 WITH r AS (SELECT o_custkey AS id, o_orderkey % 4 AS found_in, o_custkey % 4 AS home FROM orders), h AS (SELECT DISTINCT id FROM r WHERE found_in = home)
-SELECT id, found_in, found_in = home OR id NOT IN (SELECT id FROM h) AS is_retained, count(*) AS rows FROM r GROUP BY ALL""")
+SELECT id, found_in, home <> 3 AND (found_in = home OR id NOT IN (SELECT id FROM h)) AS is_retained, count(*) AS rows FROM r GROUP BY ALL""")
 def home_market(t: Tables) -> DataFrame:
     r = t.orders.select(F.col("o_custkey").alias("id"), (F.col("o_orderkey") % 4).alias("found_in"), (F.col("o_custkey") % 4).alias("home"))
-    return dq.keep_home_market(r, ["id"], "found_in", "home").groupBy("id", "found_in", "is_retained").agg(F.count(F.lit(1)).alias("rows"))
+    return dq.keep_home_market(r, ["id"], "found_in", "home", [0, 1, 2]).groupBy("id", "found_in", "is_retained").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("dq12_step_log", "SELECT 'load' AS step, 'SUCCESS' AS status, '' AS message, (SELECT count(*) FROM orders) AS rows UNION ALL SELECT 'check', 'WARNING', 'duplicates', (SELECT count(*) FROM lineitem) UNION ALL SELECT 'send', 'FAILED', 'ValueError: no receiver', (SELECT count(*) FROM events)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.functions import contact, jsonfn, similarity, text as tx
+from goldthread.functions import codes, contact, jsonfn, similarity, text as tx
 from goldthread.operators import projection as pj, rules
 from goldthread.plans.fixtures import KEYED_CTE, PROFILES_CTE, profiles
 from goldthread.plans.registry import Tables, query
@@ -145,7 +145,7 @@ def birth_dates(t: Tables) -> DataFrame:
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS local_time FROM events""")
 def timezones(t: Tables) -> DataFrame:
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    zone = F.when(F.col("event_id") % 3 == 0, "Z").when(F.col("event_id") % 3 == 1, "+08:00").otherwise("-0530")
+    zone = F.when(F.col("event_id") % 3 == 0, "Z").when(F.col("event_id") % 3 == 1, "+08:00").otherwise("-05:30")
     return t.events.select("event_id", tx.strip_timezone(F.concat(stamp, zone)).alias("local_time"))
 
 
@@ -296,14 +296,14 @@ def rule_filter(t: Tables) -> DataFrame:
 
 
 @query("prj5_row_quality", f"""
-WITH {KEYED_CTE}, c AS (SELECT src_id, CASE WHEN email IS NULL AND phone IS NULL THEN 'PkMiss' WHEN balance < 0 THEN 'ClearMiss'
-  WHEN market_code = 'M2' AND city = 'BUILDING' THEN 'Config' END AS exclude_type FROM keyed)
+WITH {KEYED_CTE}, c AS (SELECT src_id, CASE WHEN email IS NULL AND phone IS NULL THEN 'ExcludeByPkMiss' WHEN balance < 0 THEN 'FailByClearMiss'
+  WHEN market_code = 'M2' AND city = 'BUILDING' THEN 'ExcludeByConfig' END AS exclude_type FROM keyed)
 SELECT src_id, exclude_type, exclude_type IS NULL AS is_include FROM c""")
 def row_quality(t: Tables) -> DataFrame:
     from goldthread.plans.fixtures import keyed
     return pj.classify_rows(keyed(t), [
-        ("PkMiss", F.col("email").isNull() & F.col("phone").isNull()), ("ClearMiss", F.col("balance") < 0),
-        ("Config", pj.rule_condition("market_code", [_RULES[2]]))]).select("src_id", "exclude_type", "is_include")
+        (codes.PK_MISS, F.col("email").isNull() & F.col("phone").isNull()), (codes.CLEAR_MISS, F.col("balance") < 0),
+        (codes.CONFIG, pj.rule_condition("market_code", [_RULES[2]]))]).select("src_id", "exclude_type", "is_include")
 
 
 @query("prj6_fallback", f"WITH {PROFILES_CTE} SELECT src_id, CASE WHEN trim(coalesce(phone_number, '')) = '' THEN email_address ELSE phone_number END AS best_contact FROM profiles")
@@ -319,6 +319,18 @@ def sink_projection(t: Tables) -> DataFrame:
     return pj.project_for_sink(t.orders, spec)
 
 
+@query("prj8_store_types", """
+WITH b AS (SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN 'Brand.com' WHEN 'STANDARD' THEN 'Free Standing' WHEN 'PROMO' THEN 'Not assigned' WHEN 'SMALL' THEN NULL ELSE p_type END AS t FROM part),
+c AS (SELECT p_partkey, CASE t WHEN 'Brand.com' THEN 'onl' WHEN 'Free Standing' THEN 'frestnstr' WHEN 'Not assigned' THEN '' ELSE coalesce(t, '') END AS type_code FROM b)
+SELECT p_partkey, type_code, CASE WHEN p_partkey % 10 = 0 OR type_code = 'onl' THEN 'Online' ELSE 'Offline' END AS channel, CASE WHEN type_code IN ('frestnstr', 'crpstr', 'onl') THEN 'true' ELSE 'false' END AS is_direct FROM c""")
+def store_types(t: Tables) -> DataFrame:
+    kind = F.col("p_type")
+    business = F.when(kind == "ECONOMY", "Brand.com").when(kind == "STANDARD", "Free Standing").when(kind == "PROMO", "Not assigned").when(kind != "SMALL", kind)
+    door = F.when(F.col("p_partkey") % 10 == 0, "Y").otherwise("N")
+    typed = t.part.select("p_partkey", codes.store_type(business).alias("type_code"), door.alias("door"))
+    return typed.select("p_partkey", "type_code", codes.store_channel(F.col("door"), F.col("type_code")).alias("channel"), codes.is_direct_store(F.col("type_code")).alias("is_direct"))
+
+
 @query("prj8_category_recode", """
 SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN 'E' WHEN 'STANDARD' THEN 'S' WHEN 'PROMO' THEN 'P' ELSE 'OTHER' END AS category, p_size >= 25 AS is_large FROM part""")
 def recode(t: Tables) -> DataFrame:
@@ -333,6 +345,28 @@ def by_market(t: Tables) -> DataFrame:
     return keyed(t).select("src_id", pj.by_group(F.col("market_code"), {"M0": fn & ln, "M1": fn | ln}, fn).alias("name_filled"))
 
 
+@query("prj9_name_filled_flag", f"""
+WITH {KEYED_CTE}, q AS (SELECT *, CASE WHEN balance < 0 THEN 'inv' END AS quality FROM keyed)
+SELECT src_id, CASE WHEN market_code = 'M0' THEN (fn IS NOT NULL OR email IS NOT NULL OR phone IS NOT NULL) WHEN market_code = 'M1' THEN fn IS NOT NULL OR email IS NOT NULL
+ ELSE fn IS NOT NULL OR email IS NOT NULL END AND (market_code = 'M1' OR quality IS DISTINCT FROM 'inv') AS is_filled FROM q""")
+def name_filled(t: Tables) -> DataFrame:
+    from goldthread.plans.fixtures import keyed
+    quality = F.when(F.col("balance") < 0, codes.INVALID)
+    flag = codes.name_filled(F.col("market_code"), [quality], [F.col("fn"), F.col("email")], {"M0": [F.col("phone")]}, ("M1",))
+    return keyed(t).select("src_id", (flag == 1).alias("is_filled"))
+
+
+@query("prj4_failing_keys_of_tables", """
+SELECT 'N' || c_nationkey AS market, c_custkey AS id FROM customer WHERE c_nationkey = 1 AND c_acctbal < 0
+UNION SELECT 'N' || c_nationkey, c_custkey FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_nationkey = 2 AND o_totalprice > 400000""")
+def failing_keys(t: Tables) -> DataFrame:
+    market = F.concat(F.lit("N"), "c_nationkey")
+    people = t.customer.withColumn("market", market)
+    orders = t.orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    rules = [("N1", "person", "c_acctbal < 0"), ("N2", "order", "o_totalprice > 400000")]
+    return pj.failing_keys({"person": (people, "market", "c_custkey"), "order": (orders, "market", "o_custkey")}, rules)
+
+
 @query("prj10_blocking_class", """
 SELECT c_custkey, CASE WHEN c_nationkey = 1 THEN 'Normal' WHEN c_nationkey = 2 AND c_mktsegment = 'BUILDING' THEN 'Special'
  WHEN c_mktsegment = 'MACHINERY' AND c_acctbal > 0 THEN 'Staff' ELSE 'Normal' END AS blocking FROM customer""")

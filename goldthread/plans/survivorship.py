@@ -81,6 +81,21 @@ def contact_survivor(t: Tables) -> DataFrame:
     return out.select("person", "type_code", "value", "contact_id", "optin_flag", "quality")
 
 
+_CHANNELS = """WITH o AS (SELECT o_custkey AS owner, o_orderpriority AS p, o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'KOR' ELSE 'AUS' END AS market_code,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'mblprs' WHEN '2-HIGH' THEN 'hmeprs' ELSE 'mblprf' END AS type_code FROM {orders})"""
+
+
+@query("ms10_consent_channels", plain(_CHANNELS) + """, c AS (SELECT user_id AS owner, CASE WHEN user_id % 2 = 0 THEN 'KOR' ELSE 'AUS' END AS market_code, CASE event_type WHEN 'click' THEN 'sms' WHEN 'view' THEN 'mms' ELSE 'eml' END AS channel, max(ts) AS optin_date FROM events GROUP BY 1, 2, 3)
+SELECT o_orderkey, channel, optin_date FROM o LEFT JOIN c ON o.owner = c.owner AND o.market_code = c.market_code AND channel IN ('sms', 'mms') AND (o.market_code = 'KOR' OR type_code IN ('mblprs', 'mblprf'))""")
+def consent_channels(t: Tables) -> DataFrame:
+    from goldthread.functions import codes
+    contacts = t.sql(_CHANNELS + " SELECT * FROM o")
+    market = F.when(F.col("user_id") % 2 == 0, "KOR").otherwise("AUS")
+    channel = F.when(F.col("event_type") == "click", "sms").when(F.col("event_type") == "view", "mms").otherwise("eml")
+    consents = t.events.groupBy(F.col("user_id").alias("owner"), market.alias("market_code"), channel.alias("channel")).agg(F.max("ts").alias("optin_date")).withColumn("optin_flag", F.lit(1))
+    return codes.attach_consents(contacts, consents, "phone", ["owner", "market_code"]).select("o_orderkey", "channel", "optin_date")
+
+
 @query("ms11_consent_merge", f"""
 WITH d AS (SELECT o_custkey AS person, o_orderpriority AS channel, max(o_orderdate) AS consent_date, 'derived' AS origin FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
 o AS (SELECT o_custkey AS person, o_orderpriority AS channel, max(o_orderdate) AS consent_date, 'own' AS origin FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2)

@@ -57,6 +57,13 @@ def test_nested_lists_keep_their_places_apart(spark, rows):
     assert diff(spark, rows, a, b, keyed={"l": "k", "l[].m": "q"}) == [("l[x].m[1].v", "value", "1", "9")]
 
 
+def test_list_lengths_and_composite_keys(spark, rows):
+    assert diff(spark, rows, {"l": [1, 2]}, {"l": [1]}) == [("l", "length", "2", "1"), ("l[1]", "missing_right", "2", None)]
+    a = {"l": [{"k": "x", "s": {"q": 1}, "v": 1}, {"k": "x", "s": {"q": 2}, "v": 2}]}
+    b = {"l": [{"k": "x", "s": {"q": 2}, "v": 2}, {"k": "x", "s": {"q": 1}, "v": 5}]}
+    assert diff(spark, rows, a, b, keyed={"l": ("k", "s.q")}) == [("l[x|1].v", "value", "1", "5")]
+
+
 def test_special_signs_in_list_keys(spark, rows):
     a, b = {"l": [{"k": "$1\\x", "v": 1}]}, {"l": [{"k": "$1\\x", "v": 2}]}
     assert diff(spark, rows, a, b, keyed={"l": "k"}) == [("l[$1\\x].v", "value", "1", "2")]

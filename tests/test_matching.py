@@ -158,6 +158,6 @@ def test_person_rules_similar_english_names(spark, rows):
     df = spark.createDataFrame(
         [(1, "katherine", "lee"), (2, "katherina", "lee"), (3, "bob", "lee"), (4, "", ""), (5, "", "")], "id long, ef string, el string"
     ).withColumns({"market_code": F.lit("M"), "blocking_class": F.lit("Normal"), "email_key": F.lit("a@b.co"), "name_asc": F.lit(None).cast("string")})
-    spec = ru.PersonRules(contacts={"Email": "email_key"}, english=("el", "ef"))
+    spec = ru.PersonRules(contacts={"Email": ("email_key",)}, english=("el", "ef"))
     found = ru.match_links(df, spec.build())
     assert rows(found, "id", "anchor", "rule") == [(1, 2, "EnglishName_Email_Match"), (2, 1, "EnglishName_Email_Match")]

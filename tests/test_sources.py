@@ -122,7 +122,7 @@ def test_quota_prefix_does_not_skip_a_batch_that_does_not_fit(spark, rows):
 
 
 def test_rate_limit_keeps_all_rows_of_an_allowed_unit(spark, rows):
-    df = spark.createDataFrame([("m", 1, 5), ("m", 1, 9), ("m", 2, 6), ("n", 3, 1)], "g string, u long, at long")
+    df = spark.createDataFrame([("m", 1, 5), ("m", 1, 9), ("m", 2, 6), ("n", 3, 1)], "g string, u long, at long")  # n has no quota
     quota = spark.createDataFrame([("m", 1)], "g string, quota long")
     assert rows(er.rate_limit(df, quota, "g", ["u"], ["at"])) == [("m", 1, 5), ("m", 1, 9)]
     big = spark.createDataFrame([("m", 5000)], "g string, quota long")

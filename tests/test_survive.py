@@ -86,3 +86,11 @@ def test_parent_that_lost_all_children(spark, rows):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "p long, c string")
     parents = spark.createDataFrame([(1,)], "p long")
     assert rows(ms.replace_children(old, old.limit(0), ["p"], parents)) == [(2, "b")]
+
+
+def test_children_of_a_deleted_parent_are_blanked_with_its_time(spark, rows):
+    schema = "p long, kind string, phone string, ts long, action string, parent_ts long"
+    old = spark.createDataFrame([(1, "m", "5", 1, None, None), (2, "m", None, 1, None, None)], schema)
+    new = spark.createDataFrame([(1, "m", "5", 2, "DELETE", 9), (2, "m", "", 2, "CHANGE", 9), (3, "m", "7", 2, "CREATE", 9)], schema)
+    out = ms.replace_changed_children(old, new, ["p", "kind"], ["phone"], deleted=F.col("action") == "DELETE", blank=["phone"], ts="ts", deleted_at="parent_ts")
+    assert rows(out, "p", "phone", "ts") == [(1, "", 9), (2, None, 1), (3, "7", 2)]
