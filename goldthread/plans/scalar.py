@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from goldthread.functions import codes, contact, jsonfn, similarity, text as tx
 from goldthread.operators import projection as pj, rules
+from goldthread.operators.documents import nest_children
 from goldthread.plans.fixtures import KEYED_CTE, PROFILES_CTE, profiles
 from goldthread.plans.registry import Tables, query
 
@@ -167,15 +168,16 @@ def object_or_array(t: Tables) -> DataFrame:
     return rows.select("event_id", "item.k", F.col("node").startswith("[").alias("was_list"))
 
 
-_CONVERSATION_JSON = """SELECT conv_id, to_json(struct(struct(turns AS Turn) AS TurnList)) AS payload FROM (
-  SELECT conv_id, sort_array(collect_list(named_struct('@No', turn, 'Role', role, 'Text', text))) AS turns FROM {conversations} GROUP BY conv_id)"""
+def _conversations(t: Tables) -> DataFrame:
+    """One JSON document per conversation (several for one with very many turns)."""
+    nested = nest_children(t.conversations, ["conv_id"], {"@No": "turn", "Role": "role", "Text": "text"}, ["turn", "role", "text"], "Turn")
+    return nested.select("conv_id", F.to_json(F.struct(F.struct("Turn").alias("TurnList"))).alias("payload"))
 
 
 @query("sc16_json_list_explode", "SELECT conv_id, turn, role, text, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS BIGINT) AS item_pos FROM conversations")
 def list_explode(t: Tables) -> DataFrame:
-    docs = t.sql(_CONVERSATION_JSON)
     rows = jsonfn.explode_list(
-        docs, jsonfn.node(F.col("payload"), "TurnList", "Turn"), "struct<`@No`:bigint,Role:string,Text:string>", ["conv_id"])
+        _conversations(t), jsonfn.node(F.col("payload"), "TurnList", "Turn"), "struct<`@No`:bigint,Role:string,Text:string>", ["conv_id"])
     return rows.select("conv_id", F.col("item_pos").cast("bigint"), F.col("item.`@No`").alias("turn"), F.col("item.Role").alias("role"), F.col("item.Text").alias("text"))
 
 
@@ -183,7 +185,7 @@ def list_explode(t: Tables) -> DataFrame:
 SELECT conv_id, arg_min(text, turn) FILTER (role = 'assistant') AS first_answer FROM conversations GROUP BY conv_id""")
 def element(t: Tables) -> DataFrame:
     turns = F.from_json(jsonfn.node(F.col("payload"), "TurnList", "Turn"), "array<struct<`@No`:bigint,Role:string,Text:string>>")
-    return t.sql(_CONVERSATION_JSON).select("conv_id", jsonfn.element_by(turns, "Role", "assistant")["Text"].alias("first_answer"))
+    return _conversations(t).select("conv_id", jsonfn.element_by(turns, "Role", "assistant")["Text"].alias("first_answer"))
 
 
 @query("sc18_higher_order", """
@@ -193,7 +195,7 @@ def higher_order(t: Tables) -> DataFrame:
     turns = F.from_json(jsonfn.node(F.col("payload"), "TurnList", "Turn"), "array<struct<Role:string,Text:string>>")
     mine = F.filter(turns, lambda x: x["Role"] == "user")
     chars = F.aggregate(F.transform(mine, lambda x: F.length(x["Text"]).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return t.sql(_CONVERSATION_JSON).select(
+    return _conversations(t).select(
         "conv_id", F.when(F.size(mine) > 0, chars).alias("user_chars"), F.size(mine).cast("bigint").alias("user_turns"))
 
 
@@ -226,7 +228,7 @@ def envelope(t: Tables) -> DataFrame:
 SELECT n_nationkey, unnest(CASE WHEN r_name = 'ASIA' THEN ['as.one', 'as.two'] WHEN r_name = 'EUROPE' THEN ['eu.one'] ELSE ['other'] END) AS topic
 FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def topics(t: Tables) -> DataFrame:
-    joined = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     listed = tx.mapped(F.col("r_name"), {"ASIA": "as.one, as.two", "EUROPE": "eu.one"}, F.lit("other"))
     return pj.split_rows(joined, listed, "topic").select("n_nationkey", "topic")
 
