@@ -28,9 +28,9 @@ def _log(t: Tables, config: str) -> DataFrame:
 @query("dl1_incremental_share", f"""
 WITH f AS ({plain(_FEED)}), n AS (SELECT * FROM f WHERE op_time > (SELECT max(date_trunc('day', ts)) FROM events WHERE ts < TIMESTAMP '2024-01-20')
  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY op_time DESC) = 1)
-SELECT event_id, 'M' || user_id % 3 AS "MarketCode" FROM n WHERE user_id % 3 = 1 AND event_type <> 'error'""")
+SELECT event_id, upper(event_type) AS "MarketCode" FROM n WHERE event_type = 'click' AND user_id > 10""")
 def incremental(t: Tables) -> DataFrame:
-    spec = SinkSpec({"MarketCode": "concat('M', user_id % 3)"}, market="M1", condition="event_type <> 'error'", include=("event_id", "MarketCode"))
+    spec = SinkSpec({"MarketCode": "upper(event_type)"}, market="CLICK", condition="user_id > 10", include=("event_id", "MarketCode"))
     feed = t.sql(_FEED)
     return sh.incremental_share(feed, feed.limit(0), _log(t, "c1"), "c1", ["user_id", "event_type"], "op_time", spec)
 
@@ -78,7 +78,7 @@ def clear_sent(t: Tables) -> DataFrame:
 
 
 # One batch per user and type, as the ingest log holds them.
-_LOG = """SELECT event_type AS topic, user_id AS batch_number, min(ts) AS creation_time, count(*) AS read_record_count, user_id % 7 = 0 AS is_handle
+_LOG = """SELECT event_type AS topic, user_id AS batch_number, min(ts) AS creation_time, count(*) AS read_record_count, max(value) < 20 AS is_handle
 FROM {events} GROUP BY event_type, user_id"""
 
 

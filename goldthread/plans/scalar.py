@@ -314,9 +314,9 @@ def fallbacks(t: Tables) -> DataFrame:
 
 
 @query("prj7_sink_projection", """
-SELECT o_orderkey, 'M' || o_custkey % 5 AS "MarketCode", o_totalprice * 2 AS doubled FROM orders WHERE o_custkey % 5 = 3 AND o_orderstatus = 'F'""")
+SELECT o_orderkey, 'M' || substr(o_orderpriority, 1, 1) AS "MarketCode", o_totalprice * 2 AS doubled FROM orders WHERE o_orderpriority LIKE '3%' AND o_orderstatus = 'F'""")
 def sink_projection(t: Tables) -> DataFrame:
-    spec = pj.SinkSpec(value_map={"MarketCode": "concat('M', o_custkey % 5)", "doubled": "o_totalprice * 2"},
+    spec = pj.SinkSpec(value_map={"MarketCode": "concat('M', substring(o_orderpriority, 1, 1))", "doubled": "o_totalprice * 2"},
                        market="M3", condition="o_orderstatus = 'F'", include=("o_orderkey", "MarketCode", "doubled"))
     return pj.project_for_sink(t.orders, spec)
 

@@ -285,11 +285,11 @@ def blank_children(t: Tables) -> DataFrame:
 
 
 @query("ms6_unbind_owners", f"""
-WITH {MESSAGES_CTE}, d AS (SELECT event_type, CAST(floor(value) AS BIGINT) AS contact, max(ts) AS gone FROM messages WHERE action = 'DELETE' OR event_id % 7 = 0 GROUP BY 1, 2)
+WITH {MESSAGES_CTE}, d AS (SELECT event_type, CAST(floor(value) AS BIGINT) AS contact, max(ts) AS gone FROM messages WHERE action = 'DELETE' OR value > 80 GROUP BY 1, 2)
 SELECT DISTINCT user_id FROM messages m JOIN d ON d.event_type = m.event_type AND d.contact = CAST(floor(value) AS BIGINT) WHERE gone > ts""")
 def unbind_owners(t: Tables) -> DataFrame:
     m = messages(t).withColumn("contact", F.floor("value"))
-    _, owners = ms.unbind(m, m.filter("action = 'DELETE' OR event_id % 7 = 0"), ["event_type", "contact"], "ts", ["contact"], "user_id")
+    _, owners = ms.unbind(m, m.filter("action = 'DELETE' OR value > 80"), ["event_type", "contact"], "ts", ["contact"], "user_id")
     return owners
 
 
@@ -313,12 +313,12 @@ def expired_programs(t: Tables) -> DataFrame:
 
 
 @query("ms16_reference_data_master", """
-WITH st AS (SELECT l_suppkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) SELECT s_suppkey, n_name AS nation, CASE WHEN s_suppkey % 2 = 0 THEN last_ship ELSE coalesce(last_ship, s0) END AS last_ship
-FROM (SELECT *, TIMESTAMP '1990-01-01' AS s0 FROM supplier) JOIN nation ON s_nationkey = n_nationkey LEFT JOIN st ON l_suppkey = s_suppkey WHERE last_ship IS NOT NULL OR s_suppkey % 2 = 1""")
+WITH st AS (SELECT l_suppkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) SELECT s_suppkey, n_name AS nation, CASE WHEN s_nationkey >= 12 THEN last_ship ELSE coalesce(last_ship, s0) END AS last_ship
+FROM (SELECT *, TIMESTAMP '1990-01-01' AS s0 FROM supplier) JOIN nation ON s_nationkey = n_nationkey LEFT JOIN st ON l_suppkey = s_suppkey WHERE last_ship IS NOT NULL OR s_nationkey < 12""")
 def reference_master(t: Tables) -> DataFrame:
     stage = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_shipdate").alias("last_ship"), "l_orderkey", "l_linenumber").join(t.supplier.select("s_suppkey", "s_nationkey"), "s_suppkey")
     dim = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
-    old = t.supplier.filter("s_suppkey % 2 = 1").join(dim, "s_nationkey").select("s_suppkey", "nation", _at("1990-01-01").alias("last_ship"))
+    old = t.supplier.filter("s_nationkey < 12").join(dim, "s_nationkey").select("s_suppkey", "nation", _at("1990-01-01").alias("last_ship"))
     return ms.reference_master(old, stage, ["s_suppkey"], [F.col("last_ship").desc()], dim, ["s_nationkey"], [F.col("nation").desc()], ["last_ship", "nation"])
 
 

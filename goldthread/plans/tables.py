@@ -54,15 +54,15 @@ def merge_changed(t: Tables) -> DataFrame:
 
 
 @query("snk6_merge_newer_wins", f"""
-WITH {MESSAGES_CTE}, {_latest('odd', 'event_id % 2 = 1')}, {_latest('even', 'event_id % 2 = 0')}
+WITH {MESSAGES_CTE}, {_latest('low', 'value < 30')}, {_latest('high', 'value >= 30')}
 SELECT user_id, event_type, CASE WHEN o.ts IS NULL OR e.ts > o.ts THEN e.event_id ELSE o.event_id END AS event_id,
        CASE WHEN o.ts IS NULL OR e.ts > o.ts THEN e.ts ELSE o.ts END AS ts
-FROM odd o FULL JOIN even e USING (user_id, event_type)""")
+FROM low o FULL JOIN high e USING (user_id, event_type)""")
 def newer_wins(t: Tables) -> DataFrame:
     m = messages(t)
-    odd = latest_per_key(m.filter("event_id % 2 = 1"), _KEY, _newest())
-    even = latest_per_key(m.filter("event_id % 2 = 0"), _KEY, _newest())
-    return mg.upsert_newer(odd, even, _KEY, "ts").select("user_id", "event_type", "event_id", "ts")
+    low = latest_per_key(m.filter("value < 30"), _KEY, _newest())
+    high = latest_per_key(m.filter("value >= 30"), _KEY, _newest())
+    return mg.upsert_newer(low, high, _KEY, "ts").select("user_id", "event_type", "event_id", "ts")
 
 
 @query("snk7_action_routing", f"""
@@ -107,10 +107,10 @@ def append_coerced(t: Tables) -> DataFrame:
 
 
 @query("snk2_slice_overwrite", """
-SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT o_orderkey, 0.0::DOUBLE FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 2 = 0""")
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT o_orderkey, 0.0::DOUBLE FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000""")
 def slice_overwrite(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    fresh = o.filter("o_orderstatus = 'F' AND o_custkey % 2 = 0").withColumn("o_totalprice", F.lit(0.0))
+    fresh = o.filter("o_orderstatus = 'F' AND o_totalprice > 200000").withColumn("o_totalprice", F.lit(0.0))
     once = mg.replace_slice(o, fresh, F.col("o_orderstatus") == "F")
     return mg.replace_slice(once, fresh, F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
 
@@ -170,12 +170,12 @@ def update_delete(t: Tables) -> DataFrame:
 def _state(t: Tables, before: str) -> DataFrame:
     rows = messages(t).filter(F.col("ts") < F.expr(f"TIMESTAMP_NTZ '{before}'"))
     newest = latest_per_key(rows, ["user_id", "event_type"], _newest())
-    return newest.filter((F.col("action") != "DELETE") | (F.col("event_id") % 2 == 0)).select(*_KEY, "event_id", "action")
+    return newest.filter((F.col("action") != "DELETE") | (F.col("value") > 40)).select(*_KEY, "event_id", "action")
 
 
 def _state_sql(name: str, before: str) -> str:
     return f"""{name} AS (SELECT user_id, event_type, event_id, action FROM (SELECT * FROM messages WHERE ts < TIMESTAMP '{before}'
-      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1) WHERE action <> 'DELETE' OR event_id % 2 = 0)"""
+      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1) WHERE action <> 'DELETE' OR value > 40)"""
 
 
 _CUTS = ("2024-01-08", "2024-01-16", "2024-01-24", "2024-02-10")
