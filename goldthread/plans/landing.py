@@ -268,6 +268,18 @@ def snapshot_copy(t: Tables) -> DataFrame:
     return table_counts({n: sn.read_version(spark, f"{target}/{n}") for n in ("orders", "suppliers")})
 
 
+@query("snk2_partition_overwrite", """
+SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderpriority < '3' AND o_orderstatus = 'F' THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice FROM orders""")
+def partition_overwrite(t: Tables) -> DataFrame:
+    """Only two of the five partitions are read and written again."""
+    columns = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    path = new_path(t.spark, "partitioned")
+    t.orders.select(*columns).write.partitionBy("o_orderpriority").parquet(path)
+    fresh = t.orders.filter("o_orderpriority < '3' AND o_orderstatus = 'F'").select(*columns).withColumn("o_totalprice", F.lit(0.0))
+    sn.merge_partitions(t.spark, path, fresh, ["o_orderkey", "o_orderpriority"], ["o_orderpriority"])
+    return t.spark.read.schema(fresh.schema).parquet(path).select(*columns)
+
+
 # --- history loads
 
 @query("hl1_history_load", """

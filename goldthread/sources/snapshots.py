@@ -1,15 +1,20 @@
-"""Versioned snapshots of a table as plain folders: ``<table>/version=N``.
+"""Versioned snapshots of a table as plain folders (``<table>/version=N``), and partition-wise updates.
 
-A version is written once and never changed; a version whose write did not finish lacks Spark's
-``_SUCCESS`` mark and is ignored. That gives reads at a version or a time, change feeds, restores and
-copies without a table format.
+A version counts once its row is in the version log, so a write that did not finish is never read and
+can be repeated. That gives reads at a version or a time, change feeds, restores and copies without a
+table format.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from goldthread.operators.changes import first_version, snapshot_diff
+from goldthread.operators.merge import merge
+from goldthread.session import stage
 
 _LOG = "versions"
 
@@ -19,17 +24,52 @@ def history(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema("version bigint, committed_at timestamp").parquet(f"{table}/{_LOG}")
 
 
-def commit(df: DataFrame, table: str, version: int, committed_at: Column | None = None) -> int:
-    """Write ``df`` as a new version, then publish it by one row in the version log."""
-    df.write.mode("errorifexists").parquet(f"{table}/version={version}")
-    spark = df.sparkSession
+def _is_published(spark: SparkSession, table: str, version: int) -> bool:
+    try:
+        return not history(spark, table).filter(F.col("version") == version).isEmpty()
+    except AnalysisException:  # no log yet
+        return False
+
+
+def _publish(spark: SparkSession, table: str, version: int, committed_at: Column | None) -> None:
     stamp = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         (F.current_timestamp() if committed_at is None else committed_at).cast("timestamp").alias("committed_at"))
     stamp.coalesce(1).write.mode("append").parquet(f"{table}/{_LOG}")
+
+
+def commit(df: DataFrame, table: str, version: int, committed_at: Column | None = None) -> int:
+    """Write ``df`` as a new version, then publish it."""
+    return commit_together({table: df}, version, committed_at)
+
+
+def commit_together(tables: Mapping[str, DataFrame], version: int, committed_at: Column | None = None) -> int:
+    """Write the same version of several tables (a parent and its children) and publish them only when
+    all are written: a failure in between leaves no half-loaded batch to be read."""
+    for table, df in tables.items():
+        if _is_published(df.sparkSession, table, version):
+            raise ValueError(f"{table} has version {version} already")
+    for table, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{table}/version={version}")
+    for table, df in tables.items():
+        _publish(df.sparkSession, table, version, committed_at)
     return version
 
 
+def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str], **options) -> None:
+    """Merge into a partitioned table, reading and rewriting only the partitions the source touches.
+
+    ``keys`` must hold the partition columns, as a row cannot change its partition here. The merged rows
+    are written aside first; running the same merge again after a failure gives the same table.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError("the keys must hold the partition columns")
+    touched = source.select(*partition_by).distinct()
+    target = spark.read.schema(source.schema).parquet(path).join(touched, list(partition_by), "left_semi")
+    merged = stage(merge(target.select(*source.columns), source, keys, **options), "merged-partitions")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def latest_version(spark: SparkSession, table: str) -> int:
     return history(spark, table).agg(F.max("version")).first()[0]
 

@@ -49,6 +49,33 @@ def test_versions_and_restore(spark, rows):
         sn.version_before(spark, path, at(1))
 
 
+def test_untouched_partitions_are_not_rewritten(spark, rows):
+    path = session.new_path(spark, "parts")
+    schema = "k long, v string, p string"
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y")], schema).write.partitionBy("p").parquet(path)
+    before = sorted(os.listdir(f"{path}/p=y"))
+    fresh = spark.createDataFrame([(2, "B", "x"), (4, "d", "z")], schema)
+    for _ in range(2):  # the same merge twice
+        sn.merge_partitions(spark, path, fresh, ["k", "p"], ["p"])
+    assert sorted(os.listdir(f"{path}/p=y")) == before
+    assert rows(spark.read.schema(schema).parquet(path), "k", "v", "p") == [(1, "a", "x"), (2, "B", "x"), (3, "c", "y"), (4, "d", "z")]
+    with pytest.raises(ValueError):
+        sn.merge_partitions(spark, path, fresh, ["k"], ["p"])
+
+
+def test_a_batch_that_fails_half_way_is_not_published(spark):
+    parent, child = session.new_path(spark, "parent"), session.new_path(spark, "child")
+    sn.commit_together({parent: spark.range(1), child: spark.range(2)}, 0)
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception):
+        sn.commit_together({parent: spark.range(5), child: broken}, 1)
+    assert sn.latest_version(spark, parent) == 0 and sn.read_version(spark, parent).count() == 1
+    sn.commit_together({parent: spark.range(5), child: spark.range(6)}, 1)  # the retry
+    assert sn.read_version(spark, child).count() == 6
+    with pytest.raises(ValueError):
+        sn.commit(spark.range(1), parent, 1)
+
+
 def test_first_run_has_no_previous_snapshot(spark, rows):
     path = session.new_path(spark, "t")
     sn.commit(spark.range(2), path, 0)
