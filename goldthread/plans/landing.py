@@ -107,6 +107,14 @@ def stream_merge(t: Tables) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{target}/version={max(batches)}").select("user_id", "event_id", "ts")
 
 
+@query("str3_stream_state_view", "SELECT user_id, max(event_id) AS event_id, max(ts) AS ts FROM events GROUP BY user_id")
+def stream_view(t: Tables) -> DataFrame:
+    spark, target = t.spark, new_path(t.spark, "view-out")
+    stream = ingest.file_stream(spark, _event_files(t, "view-in"), t.events.schema, files_per_batch=2)
+    ingest.run_once(stream, new_path(spark, "view-checkpoint"), ingest.insert_batch(target, ["event_id"]))
+    return ingest.current_rows(spark, target, t.events.schema, ["user_id"], "ts", ["event_id"]).select("user_id", "event_id", "ts")
+
+
 @query("str4_stream_change_feed", "SELECT user_id, count(DISTINCT user_id) AS inserts FROM events GROUP BY user_id")
 def stream_changes(t: Tables) -> DataFrame:
     spark, source = t.spark, _event_files(t, "feed-in")

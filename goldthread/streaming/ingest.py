@@ -57,10 +57,20 @@ def read_target(spark: SparkSession, target: str, schema: StructType) -> DataFra
     return spark.read.schema(StructType(list(schema)).add(BATCH, LongType())).parquet(target)
 
 
+def current_rows(spark: SparkSession, target: str, schema: StructType, keys: Sequence[str], ts: str, ties: Sequence[str] = ()) -> DataFrame:
+    """The newest row per key of an insert-only target: the merged state as a view.
+
+    For a state too large to be rewritten by every batch: ``insert_batch`` only adds the new rows, late
+    ones lose here, and only readers pay for the ranking.
+    """
+    rows = read_target(spark, target, schema)
+    return latest_per_key(rows, keys, [F.col(ts).desc(), *[F.col(c).desc() for c in ties]]).drop(BATCH)
+
+
 def merge_batch(target: str, keys: Sequence[str], ts: str, ties: Sequence[str] = (), changes: str | None = None) -> Callable[[DataFrame, int], None]:
     """Merge each batch into the state, newest row per key; late rows lose.
 
-    State ``version=N`` is written from ``version=N-1``, so a replayed batch gives the same state. With
+    For states of moderate size; ``current_rows`` serves larger ones. State ``version=N`` is written from ``version=N-1``, so a replayed batch gives the same state. With
     ``changes`` the I/U/D rows of every batch are kept too.
     """
 
