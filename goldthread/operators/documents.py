@@ -110,7 +110,8 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
     one document per key and side. Both sides become rows, so one large document or one large key is spread like any other data.
     """
     if latest:
-        left, right = latest_per_key(left, keys, latest), latest_per_key(right, keys, latest)
+        columns = [*keys, json]  # written once: read for the schema and again for the leaves
+        left, right = (stage(latest_per_key(d, keys, latest).select(*columns), "documents") for d in (left, right))
     ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json)
     a = document_paths(left, keys, json, ddl, rules).withColumnsRenamed({"type": "_ta", "value": "left_value"})
     b = document_paths(right, keys, json, ddl, rules).withColumnsRenamed({"type": "_tb", "value": "right_value"})

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from goldthread.functions import text as tx
 from goldthread.operators.similar import edit_similar, jaro_candidates, weighted_name_score
 from goldthread.operators.skew import join_groups
+from goldthread.session import stage
 
 LINK_COLUMNS = ["id", "anchor", "rule", "priority", "score", "similarity", "review"]
 
@@ -143,7 +144,7 @@ def _named_groups(records: DataFrame, id: str, batch: str | None, block: Column,
         F.min("id").alias("anchor"), F.max("id").alias("_last"), F.bool_or("_new").alias("_any"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    return keyed, groups
+    return keyed, stage(groups, "names")  # read several times by the callers
 
 
 def _same_name_links(keyed: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
