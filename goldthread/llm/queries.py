@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import ring
+from goldthread.llm import mix, ring
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -11,3 +11,8 @@ __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 @register("op10_ring_sharding")
 def op10_ring_sharding(spark, folder):
     return ring.shard_documents(table(spark, folder, "documents"))
+
+
+@register("op1_cube_mix")
+def op1_cube_mix(spark, folder):
+    return mix.mix_report(table(spark, folder, "documents"))
