@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import mix, ring
+from goldthread.llm import line_rules, mix, ring
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -16,3 +16,46 @@ def op10_ring_sharding(spark, folder):
 @register("op1_cube_mix")
 def op1_cube_mix(spark, folder):
     return mix.mix_report(table(spark, folder, "documents"))
+
+
+@register("op8_line_frequency", sql=r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs
+), spots AS (
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM spots) WHERE n > 1
+), repeated AS (
+  SELECT r, count(DISTINCT i + d) AS n FROM again, (VALUES (0), (1), (2)) AS v(d) GROUP BY r
+), lines AS (
+  SELECT r, doc_id, source, t, line,
+         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS lw
+  FROM (SELECT r, doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM docs)
+), full_lines AS (
+  SELECT r, doc_id, source, t, line, array_to_string(lw, ' ') AS norm, len(lw) AS n FROM lines WHERE len(lw) > 0
+), dups AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY r
+), shared AS (
+  SELECT source, norm, count(DISTINCT t) AS n_docs, arg_min(t, doc_id) AS owner FROM full_lines GROUP BY source, norm
+), hosts AS (
+  SELECT source, count(DISTINCT t) AS host_docs FROM docs GROUP BY source
+), frequent AS (
+  SELECT s.source, norm, owner FROM shared s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
+  WHERE n_docs > 20 AND n_docs > host_docs * 0.01
+), removed AS (
+  SELECT r, sum(n) AS n FROM full_lines l JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm
+  WHERE l.t <> f.owner GROUP BY r
+), base AS (
+  SELECT w.doc_id, len(w.w) AS n_words, len(array_to_string(w.w, '')) AS word_chars,
+         len(t) - len(translate(t, '#*$%&|<>', '')) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines,
+         coalesce(repeated.n, 0) AS n_repeat_words, coalesce(removed.n, 0)::BIGINT AS removed_words
+  FROM words w LEFT JOIN dups USING (r) LEFT JOIN repeated USING (r) LEFT JOIN removed USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= n_words * 0.3 AS kept
+FROM base
+""")
+def op8_line_frequency(spark, folder):
+    return line_rules.quality_report(table(spark, folder, "documents"))
