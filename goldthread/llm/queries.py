@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import line_rules, mix, ring
+from goldthread.llm import decontaminate, line_rules, mix, ring
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -59,3 +59,36 @@ FROM base
 """)
 def op8_line_frequency(spark, folder):
     return line_rules.quality_report(table(spark, folder, "documents"))
+
+
+@register("op7_prefix_decontaminate", sql=r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id::VARCHAR AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
+), spots AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)
+), hits AS (
+  SELECT r, i, s.n, item_id FROM spots s JOIN wins v ON s.n = v.n AND s.win = v.win
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""")
+def op7_prefix_decontaminate(spark, folder):
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("text_key")

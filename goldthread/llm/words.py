@@ -20,7 +20,7 @@ def lowered(text: str | None) -> str | None:
     return text.encode().lower().decode() if text else text
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
+def hash_words(words: list[bytes] | list[str]) -> np.ndarray:
     """A 64-bit hash (SipHash with a fixed key) of each word."""
     if not words:
         return np.zeros(0, np.uint64)
@@ -53,7 +53,7 @@ def pieces(batch: pd.DataFrame, rows: int = SMALL_BATCH) -> Iterator[pd.DataFram
         yield batch.iloc[start:start + rows]
 
 
-def hashed_texts(word_lists: list[list[bytes]]) -> list[np.ndarray]:
+def hashed_texts(word_lists: list[list[bytes]] | list[list[str]]) -> list[np.ndarray]:
     """The word hashes of several texts, hashed in one go."""
     flat = hash_words([w for words in word_lists for w in words])
     return np.split(flat, np.cumsum([len(w) for w in word_lists])[:-1]) if word_lists else []
