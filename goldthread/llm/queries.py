@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import decontaminate, line_rules, mix, ring
+from goldthread.llm import decontaminate, line_rules, mix, near_dup, ring
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -92,3 +92,8 @@ FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 def op7_prefix_decontaminate(spark, folder):
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("text_key")
+
+
+@register("op6_lsh_forest")
+def op6_lsh_forest(spark, folder):
+    return near_dup.near_duplicates(table(spark, folder, "documents"))
