@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import decontaminate, line_rules, mix, near_dup, ring
+from goldthread.llm import decontaminate, line_rules, mix, near_dup, ring, token_files
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -97,3 +97,10 @@ def op7_prefix_decontaminate(spark, folder):
 @register("op6_lsh_forest")
 def op6_lsh_forest(spark, folder):
     return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
+@register("op3_arrow_tokens")
+def op3_arrow_tokens(spark, folder):
+    import public_tokenizers
+
+    return token_files.tokenized(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
