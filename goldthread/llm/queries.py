@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import chat, decontaminate, line_rules, mix, near_dup, ring, token_files
+from goldthread.llm import chat, decontaminate, line_rules, mix, near_dup, ring, token_files, warc
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -130,3 +130,8 @@ def op4_relational_chat(spark, folder):
         "-1L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", f"'{probe}' AS text")
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_report(turns.unionByName(extra))
+
+
+@register("op9_warc_shards")
+def op9_warc_shards(spark, folder):
+    return warc.archive_report(table(spark, folder, "pages"))
