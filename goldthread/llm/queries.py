@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import chat, decontaminate, line_rules, mix, near_dup, ring, token_files, warc
+from goldthread.llm import chat, decontaminate, line_rules, main_text, mix, near_dup, ring, token_files, warc
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -135,3 +135,8 @@ def op4_relational_chat(spark, folder):
 @register("op9_warc_shards")
 def op9_warc_shards(spark, folder):
     return warc.archive_report(table(spark, folder, "pages"))
+
+
+@register("op5_tag_path_text")
+def op5_tag_path_text(spark, folder):
+    return main_text.extract(table(spark, folder, "pages"))
