@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldthread.llm import chat, decontaminate, line_rules, main_text, mix, near_dup, ring, token_files, warc
+from goldthread.llm import chat, decontaminate, line_dedup, line_rules, main_text, mix, near_dup, ring, token_files, warc
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -140,3 +140,8 @@ def op9_warc_shards(spark, folder):
 @register("op5_tag_path_text")
 def op5_tag_path_text(spark, folder):
     return main_text.extract(table(spark, folder, "pages"))
+
+
+@register("op2_fuzzy_lines")
+def op2_fuzzy_lines(spark, folder):
+    return line_dedup.line_report(table(spark, folder, "documents"))
