@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.llm.rows import text_key, without
+from goldthread.llm.rows import id_text, text_key, with_id, without
 from goldthread.llm.words import hash_runs, hashed_texts, lowered, pieces
 from goldthread.session import stage
 
@@ -104,7 +104,7 @@ def _scan(shared, bits: int, needs: dict[int, int]):
 
 
 _SCANNED = (
-    "_row bigint, doc_id bigint, text_key bigint, n_words bigint, "
+    "_row bigint, doc_id string, text_key bigint, n_words bigint, "
     "runs array<struct<start:int,width:int,words:array<string>,shingles:array<bigint>>>"
 )
 
@@ -118,9 +118,9 @@ def find_windows(docs: DataFrame, items: DataFrame, size: int = WINDOW, shingle:
     needs = {r["width"]: r["least"] - r["width"] + 1 for r in texts.groupBy("width").agg(F.min("length").alias("least")).collect()}
     shared = spark.sparkContext.broadcast(shingle_bitmap(texts.select(F.explode("shingles").alias("shingle")).distinct()))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), "text",
+        F.monotonically_increasing_id().alias("_row"), id_text(), text_key().alias("text_key"), "text",
     )
-    scanned = stage(rows.mapInPandas(_scan(shared, BITMAP_BITS, needs), _SCANNED), "scanned")
+    scanned = stage(with_id(rows.mapInPandas(_scan(shared, BITMAP_BITS, needs), _SCANNED)), "scanned")
     runs = scanned.select("_row", F.explode("runs").alias("run")).select("_row", "run.*")
     spots = runs.select("_row", "start", "width", F.size("words").alias("n"), F.posexplode("shingles").alias("at", "shingle"))
 

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from goldthread.llm.rows import text_key, without
+from goldthread.llm.rows import id_text, text_key, with_id, without
 from goldthread.llm.words import hash_runs, hashed_texts, pieces, words_of
 from goldthread.session import stage
 
@@ -31,7 +31,7 @@ KEEP_SHARE = 0.3
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 _SCHEMA = (
-    "_row bigint, doc_id bigint, host string, text_key bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
+    "_row bigint, doc_id string, host string, text_key bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
     "n_dup_lines bigint, n_repeat_words bigint, lines array<bigint>, line_words array<int>"
 )
 
@@ -72,10 +72,10 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     """A row per document with its statistics and the hashes and word counts of its lines that have a word."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.monotonically_increasing_id().alias("_row"), id_text(),
         F.col(host).cast("string").alias("host"), text_key().alias("text_key"), "text",
     )
-    return rows.mapInPandas(_measure, _SCHEMA)
+    return with_id(rows.mapInPandas(_measure, _SCHEMA))
 
 
 def judge(

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from goldthread.llm.rows import free_name
 from goldthread.operators.ordering import number_rows
 from goldthread.session import stage
 
@@ -195,9 +196,7 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, **rules) -> DataFrame:
     """The documents of the mix with the columns of ``docs``; a document taken twice is two rows."""
     units = draw_copies(docs, **rules).filter("copies > 0")
-    taken = units.select(*[F.col(c).alias(f"_{c}") for c in UNIT], F.col("copies").alias("_copies"))
-    same = text_size() == F.col("_size")
-    for c in ("source", "doc_id"):
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    mixed = docs.join(taken, same)
-    return mixed.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
+    key, of, copy = (free_name(docs, n) for n in ("_unit", "_of", "_copy"))
+    taken = units.select(F.struct(*UNIT).alias(of), F.sequence(F.lit(1).cast("bigint"), F.col("copies")).alias(copy))
+    mixed = docs.withColumn(key, F.struct("source", "doc_id", text_size().alias("size"))).join(taken, F.col(key) == F.col(of))
+    return mixed.withColumn(copy, F.explode(copy)).select(*docs.columns)

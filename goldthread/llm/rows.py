@@ -20,6 +20,16 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+def id_text() -> Column:
+    """doc_id as text, for functions on pandas batches, where a null would turn integers into floats."""
+    return F.col("doc_id").cast("bigint").cast("string").alias("doc_id")
+
+
+def with_id(df: DataFrame, *names: str) -> DataFrame:
+    """``doc_id`` (or ``names``) as bigint again."""
+    return df.withColumns({n: F.col(n).cast("bigint") for n in names or ("doc_id",)})
+
+
 def key_of(names: Sequence[str] = ("doc_id",)) -> Column:
     """What identifies a document: ``names`` and its text. Equal rows have equal keys; nulls are values."""
     return F.struct(*[F.col(n) for n in names], text_key().alias("text_key"))
@@ -27,14 +37,14 @@ def key_of(names: Sequence[str] = ("doc_id",)) -> Column:
 
 def without(docs: DataFrame, keys: DataFrame, names: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The rows of ``docs`` whose :func:`key_of` is not in ``keys`` (one struct column), with all their columns."""
-    name = free_name(docs, "_key")
-    listed = keys.toDF("_listed").distinct()
-    return docs.withColumn(name, key_of(names)).join(listed, F.col(name) == F.col("_listed"), "left_anti").drop(name)
+    name, other = free_name(docs, "_key"), free_name(docs, "_listed")
+    listed = keys.toDF(other).distinct()
+    return docs.withColumn(name, key_of(names)).join(listed, F.col(name) == F.col(other), "left_anti").drop(name)
 
 
 def only(docs: DataFrame, keys: DataFrame, names: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One row of ``docs`` for each key of ``keys`` (one struct column), with all the columns of ``docs``."""
-    name = free_name(docs, "_key")
-    listed = keys.toDF("_listed").distinct()
-    kept = docs.withColumn(name, key_of(names)).join(listed, F.col(name) == F.col("_listed"), "left_semi")
+    name, other = free_name(docs, "_key"), free_name(docs, "_listed")
+    listed = keys.toDF(other).distinct()
+    kept = docs.withColumn(name, key_of(names)).join(listed, F.col(name) == F.col(other), "left_semi")
     return kept.dropDuplicates([name]).drop(name)

@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from goldthread.llm.files import make_folder, open_store
+from goldthread.llm.rows import id_text
 from goldthread.llm.words import pieces
 from goldthread.session import new_path, stage
 
@@ -196,7 +197,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
     make_folder(folder)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("_tie"))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
+    rows = rows.repartitionByRange(parts, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select(id_text(), "text")
     manifest = stage(rows.mapInPandas(_write(folder, tokenizer, end_id, sequence), MANIFEST), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
     return manifest.withColumn("first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("bigint")))

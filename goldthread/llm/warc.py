@@ -190,6 +190,8 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, ro
     rows = rows.withColumn("range", F.coalesce(F.floor((F.col("page_id") - low) / F.lit(width)), F.lit(-1)).cast("bigint"))
     sequence = ["range", F.col("page_id").asc_nulls_first(), "sha1", F.col("marker").desc(), "url"]
     sorted_rows = rows.repartition(parts, "range").sortWithinPartitions(*sequence)
+    text = F.col("page_id").cast("string").alias("page_id"), F.col("refers_to").cast("string").alias("refers_to")  # a null would make floats
+    sorted_rows = sorted_rows.select("range", *text, "url", "html", "sha1", "marker")
     written = stage(sorted_rows.mapInPandas(_write(folder, roll_bytes), MANIFEST), "warc-files")
     return commit(written, folder, parts)
 
@@ -238,7 +240,8 @@ class _Members:
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     number = lambda f, name: int(f[name]) if name in f else None
-    names = [c.split()[0] for c in RECORD.split(", ")]
+    frame = lambda rows: pd.DataFrame({
+        c.split()[0]: pd.array(v, "Int64") if c.endswith("bigint") else list(v) for c, v in zip(RECORD.split(", "), zip(*rows))})
     for file in (f for batch in batches for f in batch["file"]):
         rows = []
         for offset, member in _Members(file):
@@ -252,10 +255,10 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     fields["WARC-Type"], number(fields, "Refers-To-Page-Id"), None if revisit else payload.decode(), file, offset,
                 ))
             if len(rows) >= 256:
-                yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield frame(rows)
                 rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield frame(rows)
 
 
 def read_warc(manifest: DataFrame, parts: int | None = None) -> DataFrame:
