@@ -1,9 +1,9 @@
 """Candidate pairs inside buckets, without all pairs of a bucket, and the components of confirmed links.
 
-First every member of a bucket is paired with its leader. Confirmed links give components; where a bucket still
-holds more than one, the members outside its largest component are compared with the members of other
-components. So every pair that shares a bucket is either tested or already connected, and a bucket of copies costs
-as many tests as it has members.
+First every member of a bucket is paired with its leader, the member most like the others. Confirmed links give
+components; where a bucket still holds more than one, the members outside its largest component are compared with the
+members of other components. So every pair that shares a bucket is either tested or already connected, and a bucket of
+copies costs as many tests as it has members.
 """
 
 from __future__ import annotations
@@ -14,15 +14,29 @@ from goldthread.operators.components import connected_components
 from goldthread.session import stage
 
 
-def led(members: DataFrame) -> DataFrame:
-    """Members ``(bucket, node, ...)`` of buckets of two or more, with ``lead`` (the smallest node) and ``n``."""
-    leads = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return members.join(leads, "bucket")
+def crowded(members: DataFrame) -> DataFrame:
+    """Members ``(bucket, node, ...)`` of buckets of two or more, with their number ``n``."""
+    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return members.join(counts, "bucket")
+
+
+def degrees(crowd: DataFrame) -> DataFrame:
+    """``(node, degree)``: how much company a node has over all its buckets."""
+    return crowd.groupBy("node").agg(F.sum("n").alias("degree"))
+
+
+def led(crowd: DataFrame) -> DataFrame:
+    """``crowd`` (with ``degree``) with the ``lead`` of each bucket: its member of highest degree, the smallest of equal ones.
+
+    Of a group of copies that is the one most like the others, so most members link with it at once.
+    """
+    best = crowd.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("best"))
+    return crowd.join(best.select("bucket", (-F.col("best")["col2"]).alias("lead")), "bucket")
 
 
 def star_pairs(led_members: DataFrame) -> DataFrame:
     """``(a, b)``: each member with its leader."""
-    return led_members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    return led_members.filter("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
 
 
 def components_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -32,16 +46,42 @@ def components_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return stage(out.select("node", F.coalesce("root", "node").alias("root")), "components")
 
 
-def open_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(a, b)``, a < b: pairs that share a bucket but no component, the bucket's largest component against the others
-    and those among themselves."""
+def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets with several components, with ``root`` and ``main``, the bucket's largest component."""
     at = members.select("bucket", "node").join(roots, "node")
     sizes = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).getField("root").alias("main")
     ).filter("roots > 1")
-    at = stage(at.join(main.select("bucket", "main"), "bucket"), "open")
+    return stage(at.join(main.select("bucket", "main"), "bucket"), "open")
+
+
+def open_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(a, b)``, a < b: pairs that share a bucket but no component, the bucket's largest component against the others
+    and those among themselves."""
+    at = _open_members(members, roots)
     left = at.filter("root <> main").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
     right = at.select("bucket", F.col("node").alias("y"), F.col("root").alias("y_root"), "main")
     pairs = left.join(right, "bucket").filter("x_root <> y_root and (y_root = main or x < y)")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_rows: int) -> DataFrame:
+    """``(main, i, j, query, node, root)``: what has to be compared, in blocks of bounded size, without any pair.
+
+    For each component that is the largest of some bucket: the other members of those buckets are queries, its own
+    members and the queries are the rows to search; block (i, j) holds the i-th part of the queries and the j-th of the rows.
+    """
+    at = _open_members(members, roots)
+    queries = at.filter("root <> main").select("main", "node", "root").distinct()
+    rows = roots.withColumn("main", F.col("root")).join(queries.select("main").distinct(), "main", "left_semi")
+    rows = rows.select("main", "node", "root").unionByName(queries)
+    shape = queries.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("n_i")).join(
+        rows.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("n_j")), "main")
+    shape = stage(shape, "shape")
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    q = queries.join(shape, "main").withColumn("i", part("n_i")).withColumn("j", every("n_j")).withColumn("query", F.lit(True))
+    r = rows.join(shape, "main").withColumn("j", part("n_j")).withColumn("i", every("n_i")).withColumn("query", F.lit(False))
+    names = ["main", "i", "j", "query", "node", "root"]
+    return q.select(names).unionByName(r.select(names))

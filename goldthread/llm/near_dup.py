@@ -24,8 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.llm.linking import components_of, led, open_pairs, star_pairs
-from goldthread.llm.rows import only, text_key
+from goldthread.llm.linking import components_of, crowded, degrees, led, open_blocks, star_pairs
+from goldthread.llm.rows import id_text, only, text_key, with_id
 from goldthread.llm.words import hash_runs, hashed_texts, pieces, words_of
 from goldthread.session import stage
 
@@ -36,6 +36,8 @@ BASE = 4
 PERCENT = 85
 DOUBT = 0.15  # an estimate further below the limit than this (nearly five standard deviations) is no candidate
 BLOCK = 2048
+QUERY_ROWS = 256
+BLOCK_ROWS = 512
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -68,8 +70,8 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles, digest (of the shingle set) and labels of every document."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), "text")
-    return rows.mapInPandas(_sketch, "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, labels binary")
+    rows = docs.select(id_text(), text_key().alias("text_key"), "text")
+    return with_id(rows.mapInPandas(_sketch, "doc_id string, text_key bigint, n_shingles bigint, digest binary, labels binary"))
 
 
 def _estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,6 +114,39 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataF
     return both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm(percent), "a bigint, b bigint")
 
 
+def _search(percent: int, least: float):
+    """Links between the queries of a block and its rows, as few as connect what is similar (exact, on full sets)."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        asked, rows = block[block["query"]], block[~block["query"]]
+        sets = [shingle_set(h) for h in hashed_texts([_lower_words(t) for t in rows["text"]])]
+        if not len(asked) or not sets:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        known, places = np.unique(np.concatenate(sets), return_inverse=True)
+        sizes = np.array([len(s) for s in sets])
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        table = np.frombuffer(b"".join(rows["labels"]), ">u4").reshape(len(rows), -1)
+        nodes, owner = rows["node"].to_numpy(), rows["root"].to_numpy().copy()
+        links, joined = [], {}
+        own = [shingle_set(h) for h in hashed_texts([_lower_words(t) for t in asked["text"]])]
+        for node, root, label, mine in zip(asked["node"], asked["root"], asked["labels"], own):
+            while root in joined:
+                root = joined[root]
+            maybe = (100 * np.minimum(sizes, len(mine)) >= percent * np.maximum(sizes, len(mine))) & (owner != root)
+            maybe &= (table == np.frombuffer(label, ">u4")).mean(axis=1) >= least
+            if not maybe.any():
+                continue
+            shared = np.add.reduceat(np.isin(known, mine, assume_unique=True)[places], starts)
+            found = np.flatnonzero(maybe & (100 * shared >= percent * (sizes + len(mine) - shared)))
+            for other, k in zip(*np.unique(owner[found], return_index=True)):  # one link per component is enough
+                links.append((node, nodes[found[k]]))
+                joined[other] = root
+                owner[owner == other] = root
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, text_key, n_shingles, root (of its component, null without words), component_id."""
     sketched = stage(sketch(docs), "sketches")
@@ -126,11 +161,12 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     label = F.substring("labels", F.col("tree") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
     rows = trees.select("node", "tree", label.alias("label"))
     prefix = lambda depth: F.xxhash64("tree", F.substring("label", 1, 4 * depth))
-    regions = stage(led(rows.withColumn("bucket", prefix(BASE))), "regions")
+    crowd = stage(crowded(rows.withColumn("bucket", prefix(BASE))), "crowd")
+    regions = stage(led(crowd.join(degrees(crowd), "node")), "regions")
     pairs, crowd = star_pairs(regions), regions
     for depth in range(BASE + 1, DEPTH + 1):
-        crowd = crowd.filter("n > 2").select("node", "tree", "label").withColumn("bucket", prefix(depth))
-        crowd = stage(led(crowd), "regions")
+        crowd = crowd.filter("n > 2").select("node", "tree", "label", "degree").withColumn("bucket", prefix(depth))
+        crowd = stage(led(crowded(crowd)), "regions")
         pairs = pairs.unionByName(star_pairs(crowd))
     least = percent / 100 - DOUBT
     pairs = stage(likely(pairs.distinct(), nodes, least), "likely")
@@ -140,15 +176,19 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts = docs.select(F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key")).alias("_k"), "text")
     texts = stage(texts.join(keys, "_k").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    closest = pairs.groupBy("b").agg(F.max(F.struct("likeness", -F.col("a"))).alias("best"))
-    tried = closest.select((-F.col("best").getField("col2")).alias("a"), "b")
+    both_ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "likeness"))
+    closest = both_ways.groupBy("b").agg(F.max(F.struct("likeness", -F.col("a"))).alias("best"))
+    closest = closest.select((-F.col("best").getField("col2")).alias("a"), "b")
+    tried = closest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stage(confirm(tried, texts, percent), "links")
     roots = components_of(links, members)
     rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
     between = lambda p: p.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b").filter("_ra <> _rb").select("a", "b")
-    more = likely(open_pairs(regions.filter("n > 2"), roots), nodes, least).select("a", "b")
-    more = between(rest).unionByName(more).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(stage(confirm(more, texts, percent), "links"))
+    blocks = open_blocks(regions.filter("n > 2"), roots, QUERY_ROWS, BLOCK_ROWS)
+    blocks = blocks.join(texts, "node").join(nodes.select("node", "labels"), "node")
+    searched = blocks.groupBy("main", "i", "j").applyInPandas(_search(percent, least), "a bigint, b bigint")
+    more = confirm(between(rest), texts, percent).unionByName(searched)
+    links = links.unionByName(stage(more, "links"))
     roots = components_of(links, members).toDF("_node", "root")
 
     named = nodes.join(roots, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
