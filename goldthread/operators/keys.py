@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.skew import group_values, join_groups
+from goldthread.session import stage
 
 HISTORY_ID_LENGTH = 36  # ids shorter than a uuid come from the first load and are the oldest
 
@@ -96,9 +97,25 @@ def attach_by_lookup(
     return out.withColumn(name, F.coalesce(*found)).drop(*found)
 
 
+def final_keys(key_map: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """``old_key, new_key`` with every chain followed to its end (A to B and B to C give A to C).
+
+    Each round doubles the steps taken, so a chain of n keys needs log2(n) rounds; a cycle is refused.
+    """
+    now = stage(key_map.select("old_key", "new_key"), "key-map")
+    for _ in range(max_rounds):
+        onward = now.select(F.col("old_key").alias("new_key"), F.col("new_key").alias("_next"))
+        if now.join(onward, "new_key", "left_semi").isEmpty():
+            return now
+        now = stage(now.join(onward, "new_key", "left").select("old_key", F.coalesce("_next", "new_key").alias("new_key")), "key-map")
+        if not now.filter("old_key = new_key").isEmpty():
+            break
+    raise ValueError("the key map has a cycle")
+
+
 def repoint(df: DataFrame, key: str, key_map: DataFrame) -> DataFrame:
-    """Replace ``key`` by its latest successor; ``key_map`` has unique ``old_key`` and ``new_key``."""
-    m = key_map.select(F.col("old_key").alias(key), F.col("new_key").alias("_new"))
+    """Replace ``key`` by its latest successor; ``key_map`` has unique ``old_key`` and ``new_key`` and may hold chains."""
+    m = final_keys(key_map).select(F.col("old_key").alias(key), F.col("new_key").alias("_new"))
     return df.join(m, key, "left").withColumn(key, F.coalesce("_new", key)).select(*df.columns)
 
 
@@ -123,11 +140,24 @@ def check_no_empty(df: DataFrame, column: str) -> DataFrame:
 
 
 def correct_keys(table: DataFrame, corrections: DataFrame, keys: Sequence[str], key: str) -> tuple[DataFrame, DataFrame]:
-    """(corrected table, corrections that matched nothing). Equal corrections count once, others must not clash."""
-    once = corrections.select(*keys, F.col(key).alias("_to")).distinct()
+    """(corrected table, corrections not applied). Equal corrections count once.
+
+    The second result has ``keys``, ``key`` and ``reason``: ``blank`` when a field is empty, ``clash`` when the same row is
+    to get several keys (none of them is applied), ``unmatched`` when the table has no such row.
+    """
+    filled = [F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "") for c in (*keys, key)]
+    given = corrections.select(*keys, key).distinct().withColumn("_blank", ~reduce(lambda a, b: a & b, filled))
+    full = given.filter(~F.col("_blank")).drop("_blank")
+    clashing = full.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
+    once = full.join(clashing, list(keys), "left_anti").select(*keys, F.col(key).alias("_to"))
     fixed = table.join(once, list(keys), "left").withColumn(key, F.coalesce("_to", key)).select(*table.columns)
     unmatched = once.join(table.select(*keys).distinct(), list(keys), "left_anti").withColumnRenamed("_to", key)
-    return fixed, unmatched
+    refused = (
+        given.filter("_blank").drop("_blank").withColumn("reason", F.lit("blank"))
+        .unionByName(full.join(clashing, list(keys), "left_semi").withColumn("reason", F.lit("clash")))
+        .unionByName(unmatched.withColumn("reason", F.lit("unmatched")))
+    )
+    return fixed, refused
 
 
 def membership_mapping(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.skew import null_safe
 from goldthread.session import fits_broadcast, stage
 
@@ -59,18 +60,17 @@ def merge(
     delete_when: Test | None = None,
     null_safe_keys: bool = False,
 ) -> DataFrame:
-    """The target after merging ``source`` into it. ``source`` must have unique keys (``check_unique``).
+    """The target after merging ``source`` into it. A source with two rows for a key is refused (``DuplicateKeys``).
 
-    ``update`` names the columns taken from the source (all common ones by default) or maps a column
+    The source is written once, then checked and joined from there. ``update`` names the columns taken from the source (all common ones by default) or maps a column
     to an expression of both rows. A source within the broadcast limit is joined to the target without
     moving the target (one scan, and one of the key columns); a larger one costs one full outer join.
     """
     sets = _assignments(target, source, update)
     match = _equal(keys, null_safe_keys)
-    small = fits_broadcast(source)
-    if small:  # written once: read three times below, and its real size replaces the estimate
-        source = stage(source, "merge-source")
-        small = fits_broadcast(source, expansion=4)
+    source = stage(source, "merge-source")  # read several times below, and its real size replaces the estimate
+    check_unique(source if null_safe_keys else source.na.drop(subset=list(keys)), keys)
+    small = fits_broadcast(source, expansion=4)
     t = target.select(F.struct(*target.columns).alias("_t"))
     s = source.select(F.struct(*source.columns).alias("_s"))
     if small:
@@ -118,7 +118,7 @@ def route_actions(
 ) -> DataFrame:
     """CREATE/CHANGE insert or replace an older row; DELETE blanks the personal columns at any time.
 
-    A DELETE for an unknown key does nothing. ``source`` needs one row per key (``latest_action``).
+    A DELETE for an unknown key does nothing. ``source`` has one row per key (``latest_action``).
     """
     source = source.withColumn(deleted_flag, F.lit(False))
     older = newer(ts)
@@ -141,9 +141,13 @@ def route_actions(
     )
 
 
-def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``source`` whose key the target lacks, one per key: what an insert-only merge appends."""
-    return source.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Rows of ``source`` whose key the target lacks, one per key: what an insert-only merge appends.
+
+    Of several rows for a key the first in ``order`` wins, then the smallest by all columns, so every run inserts the same.
+    """
+    fresh = latest_per_key(source, keys, [*order, *[F.col(c).asc() for c in source.columns]])
+    return fresh.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
 
 
 def delete_keys(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -170,10 +174,14 @@ def merge_two_keys(
     target: DataFrame, first: DataFrame, first_keys: Sequence[str], second: DataFrame, second_keys: Sequence[str],
     column: str,
 ) -> DataFrame:
-    """Update ``column`` from two sources with different keys (first wins): two equi-joins, no OR join."""
-    a = first.select(*first_keys, F.col(column).alias("_a"))
-    b = second.select(*second_keys, F.col(column).alias("_b"))
-    joined = target.join(a, list(first_keys), "left").join(b, list(second_keys), "left")
+    """Update ``column`` from two sources with different keys (first wins): two equi-joins, no OR join.
+
+    Equal rows of a source count once; two values for a key are refused (``DuplicateKeys``).
+    """
+    joined = target
+    for source, keys, name in ((first, first_keys, "_a"), (second, second_keys, "_b")):
+        once = stage(source.select(*keys, F.col(column).alias(name)).na.drop(subset=list(keys)).distinct(), "merge-source")
+        joined = joined.join(check_unique(once, keys), list(keys), "left")
     return joined.withColumn(column, F.coalesce("_a", "_b", column)).select(*target.columns)
 
 
@@ -190,6 +198,16 @@ def align_schema(df: DataFrame, schema: StructType, fill_missing: bool = True) -
     return df.select(*out)
 
 
+def cast_losses(df: DataFrame, schema: StructType) -> DataFrame:
+    """``column_name, filled, lost``: values that ``align_schema`` turns into null because they cannot be cast."""
+    have = {c.lower(): c for c in df.columns}
+    fields = [(f, have[f.name.lower()]) for f in schema if f.name.lower() in have]
+    sums = [(F.count(c), F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(f.dataType).isNull())) for f, c in fields]
+    row = df.agg(*[x.alias(f"{k}{i}") for i, (n, lost) in enumerate(sums) for k, x in (("n", n), ("l", lost))])
+    each = [F.struct(F.lit(f.name).alias("column_name"), F.col(f"n{i}").alias("filled"), F.col(f"l{i}").alias("lost")) for i, (f, _) in enumerate(fields)]
+    return row.select(F.inline(F.array(*each)))
+
+
 def schema_report(df: DataFrame, schema: StructType) -> DataFrame:
     """One row per column: on both sides, only in the source, only in the target, or of another type."""
     have = {f.name.lower(): f.dataType.simpleString() for f in df.schema}

@@ -91,33 +91,32 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()])
 
 
+def two_sided_counts(rows: DataFrame, keys: Sequence[str], is_raw: Column, limit: float) -> DataFrame:
+    """``keys, raw_rows, valid_rows, gap, is_alert`` of rows that stand on one of two sides, in one aggregate.
+
+    ``n`` is how many messages a row stands for. ``gap`` is the difference as a share of the raw side (null without raw
+    rows); the alert is raised when exactly one side is empty or the gap reaches ``limit``.
+    """
+    side = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0))
+    sums = rows.groupBy(*keys).agg(side(is_raw).alias("raw_rows"), side(~is_raw).alias("valid_rows"))
+    gap = F.try_divide(F.abs(F.col("raw_rows") - F.col("valid_rows")), F.col("raw_rows"))
+    one_empty = (F.col("raw_rows") > 0) != (F.col("valid_rows") > 0)
+    return sums.withColumn("gap", gap).withColumn("is_alert", one_empty | (F.coalesce("gap", F.lit(0.0)) >= limit))
+
+
 def ratio_alert(raw: DataFrame, valid: DataFrame, keys: Sequence[str], limit: float) -> DataFrame:
-    """Raw and valid rows per key, judged by ``judge_ratio``."""
-    a = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("raw_rows"))
-    b = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("valid_rows"))
-    return judge_ratio(a.join(b, list(keys), "full_outer").na.fill(0, ["raw_rows", "valid_rows"]), limit)
+    """Raw and valid rows per key, compared by ``two_sided_counts``."""
+    side = lambda df, is_raw: df.select(*keys, F.lit(is_raw).alias("_raw"), F.lit(1).alias("n"))
+    return two_sided_counts(side(raw, True).unionByName(side(valid, False)), keys, F.col("_raw"), limit)
 
 
 def topic_pair_alert(messages: DataFrame, pairs: DataFrame, topic: str, limit: float) -> DataFrame:
-    """Rows of each pair of ``raw_topic`` and ``valid_topic``; a topic without messages counts 0."""
-    counts = messages.groupBy(topic).agg(F.count(F.lit(1)).alias("n"))
-    raw = counts.select(F.col(topic).alias("raw_topic"), F.col("n").alias("raw_rows"))
-    valid = counts.select(F.col(topic).alias("valid_topic"), F.col("n").alias("valid_rows"))
-    joined = pairs.join(raw, "raw_topic", "left").join(valid, "valid_topic", "left")
-    return judge_ratio(joined.na.fill(0, ["raw_rows", "valid_rows"]), limit)
-
-
-def judge_ratio(counts: DataFrame, limit: float) -> DataFrame:
-    """Add ``ratio``, ``is_alert`` and ``rule_hit``: an alert when only one side has rows, or when they
-    differ by at least ``limit`` of the raw rows; none when both are empty."""
-    raw, valid = F.col("raw_rows"), F.col("valid_rows")
-    ratio = F.when(raw > 0, F.abs(raw - valid) / raw).otherwise(0.0)
-    rule = (
-        F.when((raw == 0) & (valid > 0), "raw_empty").when((raw > 0) & (valid == 0), "valid_empty")
-        .when(raw == 0, "both_empty").otherwise("ratio")
-    )
-    alert = F.when(F.col("rule_hit") == "ratio", F.col("ratio") >= limit).otherwise(F.col("rule_hit") != "both_empty")
-    return counts.withColumns({"ratio": ratio, "rule_hit": rule}).withColumn("is_alert", alert)
+    """The same for pairs of ``raw_topic`` and ``valid_topic``: each pair becomes two rows, one per topic."""
+    names = ["raw_topic", "valid_topic"]
+    sides = pairs.select(*names, F.explode(F.array(*[F.struct(F.col(c).alias(topic), F.lit(c == "raw_topic").alias("_raw")) for c in names])).alias("_s"))
+    volume = messages.groupBy(topic).agg(F.count(F.lit(1)).alias("n"))
+    rows = sides.select(*names, "_s.*").join(volume, topic, "left").na.fill(0, ["n"])
+    return two_sided_counts(rows, names, F.col("_raw"), limit)
 
 
 def topic_volume(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

@@ -27,7 +27,7 @@ class StepLog:
 
     def __exit__(self, kind, error, trace) -> bool:
         if kind is not None:
-            self.status, self.message = "FAILED", f"{kind.__name__}: {error}"[:2000]
+            self.status, self.message = "FAILED", f"{kind.__name__}: {error}"
         row = (self.task_id, self.step, self.status, self.message, self.start, datetime.now(timezone.utc))
         self.spark.createDataFrame([row], STEP_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
         return False

@@ -11,6 +11,7 @@ from goldthread.operators.changes import collapse_versions
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.ordering import batch_numbers, number_rows, running_sum
 from goldthread.operators.projection import SinkSpec, project_for_sink
+from goldthread.session import stage
 
 
 def share_window(changes: DataFrame, op_time: str, first: Column | None = None, second: Column | None = None) -> DataFrame:
@@ -96,8 +97,9 @@ def allocate_batches(log: DataFrame, priority: DataFrame, max_rows: int, topic:
     """Batches for the next task: per round each active topic gives up to ``priority`` batches, oldest
     first, higher priority first, until its own quota and the total are used up.
 
-    Both quotas take the longest prefix that fits, as running sums: first per topic, then over all
-    remaining batches in round order.
+    A topic stops at its first batch that does not fit its quota or the room left in the task; such a batch uses up
+    no room, so other topics go on. ``task_rows`` is the running total of the task. Each pass takes what fits in order and
+    closes every topic whose next batch is larger than the room left; room only shrinks, so that is final.
     """
     active = priority.filter("is_active").select(topic, "priority", "topic_quota")
     open_batches = log.filter(~F.col(done).cast("boolean")).join(active, topic)
@@ -105,8 +107,20 @@ def allocate_batches(log: DataFrame, priority: DataFrame, max_rows: int, topic:
         F.col("_topic_rows") <= F.col("topic_quota"))
     placed = number_rows(numbered, [created, batch], [topic], "_seq").withColumn(
         "round", F.ceil(F.col("_seq") / F.col("priority")).cast("bigint"))
-    total = running_sum(placed.withColumn("_rank", -F.col("priority")), rows, ["round", "_rank", topic, "_seq"], (), "task_rows")
-    return total.filter(F.col("task_rows") <= max_rows).drop("_seq", "_rank", "_topic_rows")
+    order = ["round", F.col("priority").desc(), topic, "_seq"]
+    waiting = stage(number_rows(placed, order, (), "_at"), "batches")
+    taken, used = [], 0
+    while True:
+        ran = stage(running_sum(waiting, rows, ["_at"], (), "task_rows").withColumn("task_rows", F.col("task_rows") + used), "batches")
+        fits = F.col("task_rows") <= max_rows
+        taken.append(ran.filter(fits))
+        used = max(used, ran.agg(F.max(F.when(fits, F.col("task_rows")))).first()[0] or 0)
+        rest = ran.filter(~fits).drop("task_rows")
+        following = rest.groupBy(topic).agg(F.min_by(rows, "_at").alias("_next"))
+        waiting = rest.join(following.filter(F.col("_next") <= max_rows - used).select(topic), topic, "left_semi")
+        if waiting.isEmpty():
+            break
+    return union_all(taken).drop("_seq", "_at", "_topic_rows")
 
 
 def task_summary(allocated: DataFrame, task_id: str, topic: str = "topic", rows: str = "read_record_count") -> DataFrame:

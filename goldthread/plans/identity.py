@@ -389,8 +389,32 @@ FROM {orders} WHERE o_orderstatus = 'F'"""
 WITH f AS ({plain(_FIXES)}) SELECT c_custkey, coalesce(f.c_name, c.c_name) AS c_name, 'table' AS part FROM customer c LEFT JOIN f USING (c_custkey)
 UNION ALL SELECT c_custkey, f.c_name, 'unmatched' FROM f WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""")
 def manual(t: Tables) -> DataFrame:
-    fixed, unmatched = ky.correct_keys(t.customer.select("c_custkey", "c_name"), t.sql(_FIXES), ["c_custkey"], "c_name")
-    return fixed.withColumn("part", F.lit("table")).unionByName(unmatched.withColumn("part", F.lit("unmatched")))
+    fixed, refused = ky.correct_keys(t.customer.select("c_custkey", "c_name"), t.sql(_FIXES), ["c_custkey"], "c_name")
+    return fixed.withColumn("part", F.lit("table")).unionByName(refused.withColumnRenamed("reason", "part"))
+
+
+_CLASHES = """SELECT DISTINCT o_custkey AS c_custkey, CASE WHEN o_orderpriority = '5-LOW' THEN ' ' WHEN o_orderpriority = '1-URGENT' THEN 'A' ELSE 'B' END AS c_name
+FROM {orders} WHERE o_orderpriority < '3' OR o_orderpriority = '5-LOW'"""
+
+
+@query("er17_clashing_corrections", f"""
+WITH f AS ({plain(_CLASHES)}), g AS (SELECT * FROM f WHERE c_name <> ' '), n AS (SELECT c_custkey, count(*) AS n FROM g GROUP BY 1), ok AS (SELECT g.* FROM g JOIN n USING (c_custkey) WHERE n = 1)
+SELECT c_custkey, coalesce(ok.c_name, c.c_name) AS c_name, 'table' AS part FROM customer c LEFT JOIN ok USING (c_custkey)
+UNION ALL SELECT *, 'blank' FROM f WHERE c_name = ' ' UNION ALL SELECT g.*, 'clash' FROM g JOIN n USING (c_custkey) WHERE n > 1
+UNION ALL SELECT *, 'unmatched' FROM ok WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""")
+def clashing(t: Tables) -> DataFrame:
+    fixed, refused = ky.correct_keys(t.customer.select("c_custkey", "c_name"), t.sql(_CLASHES), ["c_custkey"], "c_name")
+    return fixed.withColumn("part", F.lit("table")).unionByName(refused.withColumnRenamed("reason", "part"))
+
+
+@query("er15_key_chain", """
+SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 THEN o_custkey ELSE o_custkey - o_custkey % 7 END AS owner_key FROM orders""")
+def key_chain(t: Tables) -> DataFrame:
+    """Every key that is no multiple of 7 moved to the one below it: chains of up to six steps."""
+    moves = t.orders.select(F.col("o_custkey").alias("c")).distinct()
+    steps = moves.withColumn("old_key", F.explode(F.sequence(F.col("c") - F.col("c") % 7, F.col("c")))).filter("old_key % 7 <> 0")
+    key_map = steps.select("old_key", (F.col("old_key") - 1).alias("new_key")).distinct()
+    return ky.repoint(t.orders.select("o_orderkey", F.col("o_custkey").alias("owner_key")), "owner_key", key_map)
 
 
 _PROGRAMS = "SELECT o_custkey AS owner, o_orderpriority AS program, o_orderdate FROM {orders}"

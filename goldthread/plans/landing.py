@@ -85,9 +85,9 @@ def ingest_once(t: Tables) -> DataFrame:
     target, checkpoint = new_path(spark, "stream-out"), new_path(spark, "stream-checkpoint")
     schema = t.events.schema
     stream = ingest.file_stream(spark, source, schema, files_per_batch=2)
-    ingest.run_once(stream, checkpoint, ingest.insert_batch(target, ["event_id"]))
+    ingest.run_once(stream, checkpoint, ingest.insert_batch(target, ["event_id"], day="ts"))
     t.events.write.mode("append").parquet(source)
-    ingest.run_once(stream, checkpoint, ingest.insert_batch(target, ["event_id"]))
+    ingest.run_once(stream, checkpoint, ingest.insert_batch(target, ["event_id"], day="ts"))
     return ingest.read_target(spark, target, schema).select("event_id", "user_id", "value")
 
 
@@ -115,15 +115,41 @@ def stream_view(t: Tables) -> DataFrame:
     return ingest.current_rows(spark, target, t.events.schema, ["user_id"], "ts", ["event_id"]).select("user_id", "event_id", "ts")
 
 
-@query("str4_stream_change_feed", "SELECT user_id, count(DISTINCT user_id) AS inserts FROM events GROUP BY user_id")
+_CUTS = ("2024-01-09", "2024-01-16")
+
+
+@query("src6_two_checkpoints", "SELECT event_id, user_id, value FROM events")
+def two_checkpoints(t: Tables) -> DataFrame:
+    """Two queries with checkpoints of their own fill one target from overlapping sources; every message is stored once."""
+    spark, target = t.spark, new_path(t.spark, "shared-out")
+    halves = t.events.filter(F.col("ts") < _at(_CUTS[1])), t.events.filter(F.col("ts") >= _at(_CUTS[0]))
+    for rows in halves:
+        source = new_path(spark, "half-in")
+        rows.coalesce(2).write.parquet(source)
+        stream = ingest.file_stream(spark, source, t.events.schema, files_per_batch=1)
+        ingest.run_once(stream, new_path(spark, "half-checkpoint"), ingest.insert_batch(target, ["event_id"], day="ts"))
+    return ingest.read_target(spark, target, t.events.schema).select("event_id", "user_id", "value")
+
+
+@query("str4_stream_change_feed", f"""
+WITH cuts AS (SELECT * FROM (VALUES (0, TIMESTAMP '{_CUTS[0]}'), (1, TIMESTAMP '{_CUTS[1]}'), (2, TIMESTAMP '2100-01-01')) v(state_version, cut)),
+newest AS (SELECT state_version, user_id, arg_max(event_id, struct_pack(t := ts, i := event_id)) AS event_id, arg_max(event_type, struct_pack(t := ts, i := event_id)) AS kind
+           FROM cuts JOIN events ON ts < cut GROUP BY ALL),
+state AS (SELECT state_version, user_id, event_id FROM newest WHERE kind <> 'error'),
+feed AS (SELECT coalesce(b.state_version, a.state_version + 1) AS state_version, CASE WHEN a.user_id IS NULL THEN 'I' WHEN b.user_id IS NULL THEN 'D' ELSE 'U' END AS code, a.event_id AS e0, b.event_id AS e1
+         FROM state a FULL JOIN state b ON a.user_id = b.user_id AND b.state_version = a.state_version + 1)
+SELECT state_version, code, count(*) AS rows FROM feed WHERE state_version < 3 AND e0 IS DISTINCT FROM e1 GROUP BY ALL""")
 def stream_changes(t: Tables) -> DataFrame:
-    spark, source = t.spark, _event_files(t, "feed-in")
-    target, feed = new_path(spark, "feed-state"), new_path(spark, "feed-out")
-    schema = t.events.schema
-    write = ingest.merge_batch(target, ["user_id"], "ts", ["event_id"], feed)
-    ingest.run_once(ingest.file_stream(spark, source, schema, files_per_batch=1), new_path(spark, "feed-checkpoint"), write)
-    changes = spark.read.parquet(feed)
-    return changes.filter("CDC_CODE = 'I'").groupBy("user_id").agg(F.count(F.lit(1)).alias("inserts"))
+    """Three batches; a user whose newest event is an error leaves the state."""
+    spark, source = t.spark, new_path(t.spark, "feed-in")
+    target, feed, checkpoint = (new_path(spark, n) for n in ("feed-state", "feed-out", "feed-checkpoint"))
+    write = ingest.merge_batch(target, ["user_id"], "ts", ["event_id"], feed, F.col("event_type") == "error")
+    first, second = (_at(c) for c in _CUTS)
+    for rows in (F.col("ts") < first, (F.col("ts") >= first) & (F.col("ts") < second), F.col("ts") >= second):
+        t.events.filter(rows).coalesce(1).write.mode("append").parquet(source)
+        ingest.run_once(ingest.file_stream(spark, source, t.events.schema), checkpoint, write)
+    changes = spark.read.parquet(feed).groupBy("state_version", F.col("CDC_CODE").alias("code")).agg(F.count(F.lit(1)).alias("rows"))
+    return changes.withColumn("state_version", F.col("state_version").cast("int"))
 
 
 @query("src7_csv_read", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -167,11 +193,27 @@ def _slices(df: DataFrame, predicates) -> DataFrame:
     return df.withColumns({"slice": index, "hits": hits})
 
 
-@query("src10_integer_slices", "SELECT o_orderkey, 1 AS hits FROM orders")
+@query("snk2_partition_delete", """
+SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderpriority <> '2-HIGH' AND NOT (o_orderpriority = '5-LOW' AND o_custkey % 3 = 0)""")
+def partition_delete(t: Tables) -> DataFrame:
+    """A merge that deletes all rows of one partition and some of another."""
+    path, keys = new_path(t.spark, "delete-parts"), ["o_orderkey", "o_orderpriority"]
+    columns = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    columns.write.partitionBy("o_orderpriority").parquet(path)
+    gone = columns.filter("o_orderpriority = '2-HIGH' OR (o_orderpriority = '5-LOW' AND o_custkey % 3 = 0)")
+    sn.merge_partitions(t.spark, path, gone, keys, ["o_orderpriority"], delete_when=lambda target, source: F.lit(True))
+    return t.spark.read.schema(columns.schema).parquet(path).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+@query("src10_integer_slices", """
+WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) + 1 AS hi FROM orders), p AS (SELECT lo, hi, (hi - 1 - lo) // 1000 + 1 AS n FROM b)
+SELECT floor((o_orderkey - lo)::DOUBLE * n / (hi - lo))::BIGINT + 1 AS slice, count(*) AS rows FROM orders, p GROUP BY 1""")
 def integer_slices(t: Tables) -> DataFrame:
+    """Rows that each slice of the plan's bounds reads."""
     low, high = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     plan = jdbc.integer_plan("o_orderkey", low, high, per_slice=1000)
-    return _slices(t.orders, jdbc.integer_predicates(plan)).select("o_orderkey", "hits")
+    bucket = F.width_bucket(F.col("o_orderkey").cast("double"), F.lit(float(plan.lower)), F.lit(float(plan.upper)), F.lit(plan.partitions).cast("bigint"))
+    return t.orders.groupBy(bucket.alias("slice")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("src11_text_buckets", "SELECT c_custkey, 1 AS hits FROM customer")
@@ -196,7 +238,7 @@ def dispatch(t: Tables) -> DataFrame:
     low, high = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     plan = jdbc.plan_for("o_orderkey", "bigint", {"min": low, "max": high})
     path = new_path(t.spark, "history")
-    jdbc.write_history(_slices(t.orders, jdbc.integer_predicates(plan)).filter("hits = 1"), path, rows_per_file=4000)
+    jdbc.write_history(t.orders.repartitionByRange(plan.partitions, plan.column), path, rows_per_file=4000)
     files = t.spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
     return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 4000).alias("files_within_limit"))
 

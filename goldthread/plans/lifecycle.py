@@ -82,13 +82,23 @@ _LOG = """SELECT event_type AS topic, user_id AS batch_number, min(ts) AS creati
 FROM {events} GROUP BY event_type, user_id"""
 
 
-@query("dl8_batch_allocation", f"""
-WITH p AS (SELECT DISTINCT event_type AS topic, CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 2 ELSE 1 END AS priority, (SELECT count(*) FROM events) // 10 AS topic_quota FROM events WHERE event_type <> 'error'),
-o AS (SELECT l.*, priority, topic_quota FROM ({plain(_LOG)}) l JOIN p USING (topic) WHERE NOT is_handle),
-a AS (SELECT *, sum(read_record_count) OVER (PARTITION BY topic ORDER BY creation_time, batch_number) AS c FROM o),
-b AS (SELECT *, ceil(row_number() OVER (PARTITION BY topic ORDER BY creation_time, batch_number) / priority) AS round, row_number() OVER (PARTITION BY topic ORDER BY creation_time, batch_number) AS seq FROM a WHERE c <= topic_quota),
-d AS (SELECT *, sum(read_record_count) OVER (ORDER BY round, -priority, topic, seq) AS total FROM b)
-SELECT topic, batch_number, CAST(round AS BIGINT) AS round, CAST(total AS BIGINT) AS task_rows FROM d WHERE total <= (SELECT count(*) FROM events) // 4""")
+def _allocated(batches: str, room: str) -> str:
+    """Batches ``o`` of ``batches`` taken one by one in round order; a topic is closed by the first that does not fit."""
+    fits = f"(NOT list_contains(r.closed, d.topic) AND r.total + d.n <= {room})"
+    return f"""
+WITH RECURSIVE {batches},
+b AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY creation_time, batch_number) AS seq FROM o),
+d AS (SELECT topic, batch_number, n, ceil(seq / priority)::BIGINT AS round, row_number() OVER (ORDER BY ceil(seq / priority), -priority, topic, seq) AS pos FROM b),
+r AS (SELECT 0::BIGINT AS pos, 0::BIGINT AS total, []::VARCHAR[] AS closed, ''::VARCHAR AS topic, 0::BIGINT AS batch_number, 0::BIGINT AS round, false AS ok
+      UNION ALL SELECT d.pos, r.total + CASE WHEN {fits} THEN d.n ELSE 0 END, CASE WHEN {fits} THEN r.closed ELSE list_append(r.closed, d.topic) END,
+                       d.topic, d.batch_number, d.round, {fits} FROM r JOIN d ON d.pos = r.pos + 1)
+SELECT topic, batch_number, round, total AS task_rows FROM r WHERE ok"""
+
+
+@query("dl8_batch_allocation", _allocated(f"""
+p AS (SELECT DISTINCT event_type AS topic, CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 2 ELSE 1 END AS priority, (SELECT count(*) FROM events) // 10 AS topic_quota FROM events WHERE event_type <> 'error'),
+a AS (SELECT l.*, priority, topic_quota, sum(read_record_count) OVER (PARTITION BY topic ORDER BY creation_time, batch_number) AS c FROM ({plain(_LOG)}) l JOIN p USING (topic) WHERE NOT is_handle),
+o AS (SELECT topic, batch_number, creation_time, read_record_count AS n, priority FROM a WHERE c <= topic_quota)""", "(SELECT count(*) FROM events) // 4"))
 def allocation(t: Tables) -> DataFrame:
     rows = t.events.count()
     rank = F.when(F.col("topic") == "click", 3).when(F.col("topic") == "view", 2).otherwise(1)
@@ -97,6 +107,19 @@ def allocation(t: Tables) -> DataFrame:
     return sh.allocate_batches(t.sql(_LOG), priority, rows // 4).select("topic", "batch_number", "round", "task_rows")
 
 
+@query("dl8_oversized_batch", _allocated(f"""
+p AS (SELECT DISTINCT event_type AS topic, CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 2 ELSE 1 END AS priority FROM events),
+o AS (SELECT topic, batch_number, creation_time, read_record_count * CASE WHEN batch_number % 5 = 0 THEN 1000 ELSE 1 END AS n, priority FROM ({plain(_LOG)}) l JOIN p USING (topic) WHERE NOT is_handle)""", "900"))
+def oversized(t: Tables) -> DataFrame:
+    """Batches larger than the whole task close their topic and leave the room to the others."""
+    rank = F.when(F.col("topic") == "click", 3).when(F.col("topic") == "view", 2).otherwise(1)
+    priority = t.events.select(F.col("event_type").alias("topic")).distinct().select(
+        "topic", rank.alias("priority"), F.lit(10**12).alias("topic_quota"), F.lit(True).alias("is_active"))
+    large = F.when(F.col("batch_number") % 5 == 0, F.lit(1000)).otherwise(F.lit(1))
+    log = t.sql(_LOG).withColumn("read_record_count", F.col("read_record_count") * large)
+    return sh.allocate_batches(log, priority, 900).select("topic", "batch_number", "round", "task_rows")
+
+
 # --- erasure
 
 @query("an1_due_requests", """
@@ -251,11 +274,11 @@ def daily_volume(t: Tables) -> DataFrame:
 @query("dq7_topic_ratio", """
 WITH c AS (SELECT event_type AS topic, count(*) AS n FROM events GROUP BY 1), p AS (SELECT * FROM (VALUES ('click', 'view'), ('error', 'signup'), ('view', 'nothing'), ('nothing', 'click'), ('void', 'nothing')) v(raw_topic, valid_topic)),
 j AS (SELECT raw_topic, valid_topic, coalesce(a.n, 0) AS raw_rows, coalesce(b.n, 0) AS valid_rows FROM p LEFT JOIN c a ON a.topic = raw_topic LEFT JOIN c b ON b.topic = valid_topic)
-SELECT *, CASE WHEN raw_rows = 0 AND valid_rows > 0 THEN 'raw_empty' WHEN raw_rows > 0 AND valid_rows = 0 THEN 'valid_empty' WHEN raw_rows = 0 THEN 'both_empty' ELSE 'ratio' END AS rule_hit,
+SELECT *, abs(raw_rows - valid_rows)::DOUBLE / nullif(raw_rows, 0) AS gap,
  CASE WHEN raw_rows = 0 THEN valid_rows > 0 WHEN valid_rows = 0 THEN true ELSE abs(raw_rows - valid_rows)::DOUBLE / raw_rows >= 0.8 END AS is_alert FROM j""")
 def topic_ratio(t: Tables) -> DataFrame:
     pairs = t.spark.createDataFrame([("click", "view"), ("error", "signup"), ("view", "nothing"), ("nothing", "click"), ("void", "nothing")], "raw_topic string, valid_topic string")
-    return dq.topic_pair_alert(t.events, pairs, "event_type", 0.8).drop("ratio")
+    return dq.topic_pair_alert(t.events, pairs, "event_type", 0.8)
 
 
 @query("dq8_no_log_alert", "SELECT count(*) AS log_rows, count(*) = 0 AS is_alert FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'")

@@ -204,7 +204,7 @@ WITH a AS (SELECT event_type, count(*) AS raw_rows FROM events WHERE value < 50
 SELECT event_type, coalesce(raw_rows, 0) AS raw_rows, coalesce(valid_rows, 0) AS valid_rows, CASE WHEN coalesce(raw_rows, 0) = 0 THEN coalesce(valid_rows, 0) > 0 ELSE valid_rows IS NULL OR abs(raw_rows - valid_rows)::DOUBLE / raw_rows >= 0.8 END AS is_alert
 FROM a FULL JOIN b USING (event_type)""")
 def ratio_alert(t: Tables) -> DataFrame:
-    return dq.ratio_alert(t.events.filter("value < 50"), t.events.filter("value < 10"), ["event_type"], 0.8).drop("ratio", "rule_hit")
+    return dq.ratio_alert(t.events.filter("value < 50"), t.events.filter("value < 10"), ["event_type"], 0.8).drop("gap")
 
 
 @query("ag16_topic_volume", "SELECT event_type, count(*) AS messages, min(ts) AS first_time, max(ts) AS last_time FROM events GROUP BY event_type")

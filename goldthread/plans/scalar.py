@@ -22,8 +22,7 @@ def match_key(t: Tables) -> DataFrame:
 WITH {PROFILES_CTE}, e AS (SELECT src_id, lower(trim(email_address)) AS email FROM profiles),
 v AS (SELECT *, coalesce(regexp_matches(email, '^[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{{2,}}$'), false) AS ok FROM e)
 SELECT src_id, email, ok AS valid_contact, CASE WHEN ok THEN 'VALID' ELSE 'INVALID' END AS quality_code,
-       CASE WHEN email IS NULL OR email = '' THEN 'Email address is null'
-            WHEN NOT ok THEN 'Invalid email — does not match email format' ELSE 'Valid email' END AS reason
+       CASE WHEN coalesce(email, '') = '' THEN 'empty' WHEN NOT ok THEN 'malformed' ELSE 'ok' END AS reason
 FROM v""")
 def email_validity(t: Tables) -> DataFrame:
     c = F.col("email")
@@ -36,9 +35,7 @@ def email_validity(t: Tables) -> DataFrame:
 @query("sc3_phone_validity", f"""
 WITH {PROFILES_CTE}, e AS (SELECT src_id, regexp_replace(phone_number, '[^0-9]', '', 'g') AS phone FROM profiles)
 SELECT src_id, phone, length(phone) BETWEEN 7 AND 15 AS valid_contact,
-       CASE WHEN phone = '' THEN 'Phone number is null'
-            WHEN length(phone) NOT BETWEEN 7 AND 15 THEN 'Invalid phone — digit count out of 7-15 range'
-            ELSE 'Valid phone' END AS reason FROM e""")
+       CASE WHEN phone = '' THEN 'empty' WHEN length(phone) < 7 THEN 'too_short' WHEN length(phone) > 15 THEN 'too_long' ELSE 'ok' END AS reason FROM e""")
 def phone_validity(t: Tables) -> DataFrame:
     c = F.col("phone")
     return profiles(t).select("src_id", contact.clean_phone(F.col("phone_number")).alias("phone")).select(
@@ -56,8 +53,8 @@ _ADDRESS = """SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN ' ' ELSE ' Stre
 WITH a AS ({_ADDRESS.replace('{', '').replace('}', '')})
 SELECT c_custkey, upper(trim(coalesce(line1, '')) || '|' || trim(coalesce(city, '')) || '|' || trim(coalesce(province, ''))
        || '|' || trim(coalesce(postal, ''))) AS address_key,
-       CASE WHEN city IS NULL AND province IS NULL THEN 'City and province missing' WHEN city IS NULL THEN 'City missing'
-            WHEN province IS NULL THEN 'Province missing' ELSE 'Valid address' END AS reason FROM a""")
+       CASE WHEN city IS NULL AND province IS NULL THEN 'no_city,no_province' WHEN city IS NULL THEN 'no_city'
+            WHEN province IS NULL THEN 'no_province' ELSE 'ok' END AS reason FROM a""")
 def address_validity(t: Tables) -> DataFrame:
     a = t.sql(_ADDRESS)
     return a.select(

@@ -96,6 +96,28 @@ def insert_only(t: Tables) -> DataFrame:
     return mg.insert_missing(old.select(*keys), fresh.select(*keys), keys)
 
 
+@query("snk10_insert_winner", f"""
+WITH m AS (SELECT user_id, event_type, CAST(floor(value / 10) AS BIGINT) AS slot, event_id, value, ts FROM events),
+w AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, slot ORDER BY value DESC, event_id) AS n FROM m WHERE ts >= {_AT})
+SELECT user_id, event_type, slot, event_id, value FROM w WHERE n = 1 AND (user_id, event_type, slot) NOT IN (SELECT user_id, event_type, slot FROM m WHERE ts < {_AT})""")
+def insert_winner(t: Tables) -> DataFrame:
+    keys = [*_KEY, "slot"]
+    m = t.events.withColumn("slot", F.floor(F.col("value") / 10)).select(*keys, "event_id", "value", "ts")
+    old, fresh = m.filter(F.col("ts") < _split()), m.filter(F.col("ts") >= _split())
+    return mg.insert_missing(old, fresh, keys, [F.col("value").desc(), F.col("event_id")]).drop("ts")
+
+
+@query("snk3_cast_losses", """
+SELECT 'p_container' AS column_name, count(p_brand) AS filled, count(*) FILTER (p_brand IS NOT NULL AND TRY_CAST(p_brand AS INTEGER) IS NULL) AS lost FROM part
+UNION ALL SELECT 'p_size', count(p_size), 0 FROM part UNION ALL SELECT 'p_name', count(x), count(*) FILTER (x IS NOT NULL AND TRY_CAST(x AS BIGINT) IS NULL)
+FROM (SELECT CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_partkey::VARCHAR END AS x FROM part)""")
+def cast_losses(t: Tables) -> DataFrame:
+    rows = t.part.select(
+        F.col("p_brand").alias("P_CONTAINER"), "p_size", F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(F.col("p_partkey").cast("string")).alias("p_name"))
+    wanted = StructType([StructField("p_container", IntegerType()), StructField("p_size", LongType()), StructField("p_name", LongType()), StructField("note", StringType())])
+    return mg.cast_losses(rows, wanted)
+
+
 @query("snk1_append_coerced", """
 SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, NULL::VARCHAR AS segment FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_acctbal, 'SUPPLIER' FROM supplier""")

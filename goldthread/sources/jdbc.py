@@ -8,8 +8,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Ids per slice, rows per fetch, buckets of text keys, slices of uuid keys, rows per file.
-IDS_PER_SLICE, FETCH_ROWS, TEXT_BUCKETS, UUID_SLICES, ROWS_PER_FILE, MAX_PARTITIONS = 200_000, 10_000, 16, 256, 500_000, 200
+# Ids per slice, rows per fetch, least buckets of text keys, slices of uuid keys, rows per file.
+IDS_PER_SLICE, FETCH_ROWS, TEXT_BUCKETS, UUID_SLICES, ROWS_PER_FILE = 200_000, 10_000, 16, 256, 500_000
 
 
 @dataclass(frozen=True)
@@ -24,31 +24,17 @@ class ReadPlan:
 
 
 def integer_plan(column: str, low: int, high: int, per_slice: int = IDS_PER_SLICE) -> ReadPlan:
-    slices = clamp((high - low) // per_slice + 1)
-    return ReadPlan(column, low, high + 1, slices)
-
-
-def clamp(n: int, low: int = 1, high: int = MAX_PARTITIONS) -> int:
-    return max(low, min(high, n))
+    """Bounds for Spark's own partitioned read; as many slices as the id range needs (the cluster's cores limit connections)."""
+    return ReadPlan(column, low, high + 1, (high - low) // per_slice + 1)
 
 
 def output_partitions(rows: int) -> int:
-    return clamp(-(-rows // ROWS_PER_FILE))
-
-
-def integer_predicates(plan: ReadPlan) -> list[str]:
-    """The slices Spark makes of the bounds, as predicates: open at both ends, null ids in the first."""
-    step = max(1, (plan.upper - plan.lower) // plan.partitions)
-    cuts = [plan.lower + step * i for i in range(1, plan.partitions)]
-    if not cuts:
-        return ["1 = 1"]
-    c = plan.column
-    middle = [f"{c} >= {a} AND {c} < {b}" for a, b in zip(cuts, cuts[1:])]
-    return [f"{c} < {cuts[0]} OR {c} IS NULL", *middle, f"{c} >= {cuts[-1]}"]
+    return max(1, -(-rows // ROWS_PER_FILE))
 
 
-def text_plan(column: str, buckets: int = TEXT_BUCKETS) -> ReadPlan:
-    """Hash buckets over all rows; null keys fall into bucket 0."""
+def text_plan(column: str, buckets: int | None = None, rows: int = 0) -> ReadPlan:
+    """Hash buckets over all rows, as many as ``rows`` needs; null keys fall into bucket 0."""
+    buckets = buckets or max(TEXT_BUCKETS, -(-rows // IDS_PER_SLICE))
     return ReadPlan(predicates=tuple(f"MOD(CRC32(COALESCE({column}, '')), {buckets}) = {i}" for i in range(buckets)))
 
 
@@ -82,7 +68,7 @@ def plan_for(column: str, sql_type: str, stats: Mapping) -> ReadPlan:
         return time_plan(column, stats["start"], stats["end"], stats.get("days", 30))
     if "uuid" in kind or kind.replace(" ", "") in ("char(36)", "varchar(36)"):
         return uuid_plan(column)
-    return text_plan(column)
+    return text_plan(column, rows=stats.get("rows", 0))
 
 
 def read(spark: SparkSession, url: str, table: str, plan: ReadPlan, properties: Mapping[str, str]) -> DataFrame:

@@ -67,7 +67,20 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     touched = source.select(*partition_by).distinct()
     target = spark.read.schema(source.schema).parquet(path).join(touched, list(partition_by), "left_semi")
     merged = stage(merge(target.select(*source.columns), source, keys, **options), "merged-partitions")
+    left = merged.select(*partition_by).distinct()
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
+    rows = spark.read.schema(source.schema).parquet(path).select(*partition_by, folder).distinct()
+    emptied = rows.join(touched, list(partition_by), "left_semi").join(left, list(partition_by), "left_anti")
+    emptied = [r["_folder"] for r in emptied.select("_folder").collect()]  # folders of partitions without a row left
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    for name in emptied:  # an overwrite replaces only partitions that it has rows for
+        _delete_folder(spark, name)
+
+
+def _delete_folder(spark: SparkSession, uri: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def latest_version(spark: SparkSession, table: str) -> int:
