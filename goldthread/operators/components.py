@@ -6,13 +6,15 @@ many neighbours are spread over many tasks. A chain of n nodes needs O(log n) ro
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.operators.skew import HOT_ROWS, salted_join, top_keys, with_group_values
+from goldthread.operators.skew import salted_join, with_group_values
 from goldthread.session import stage
 
-
-HUB_NEIGHBOURS = HOT_ROWS
+log = logging.getLogger(__name__)
 
 
 class NotConverged(RuntimeError):
@@ -32,54 +34,54 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _shape(edges: DataFrame) -> tuple[bool, int]:
-    """(is a star forest, largest number of neighbours).
-
-    In a star forest every node either has one parent and no child, or no parent.
-    """
-    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
-    row = nodes.agg(
-        F.bool_or((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("bad"),
-        F.max(F.col("up") + F.col("down")).alias("most"),
-    ).first()
-    return not row["bad"], row["most"] or 0
+def _neighbourhood(edges: DataFrame) -> DataFrame:
+    """``u, m, _rows, up, down`` per node: its smallest neighbour or itself, and how many neighbours, smaller and larger ones."""
+    both = _both_ways(edges)
+    return both.groupBy("u").agg(
+        F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("_rows"),
+        F.count_if(F.col("v") < F.col("u")).alias("up"), F.count_if(F.col("v") > F.col("u")).alias("down"),
+    )
 
 
-def _join_lowest(rows: DataFrame, lowest: DataFrame, hubs: bool) -> DataFrame:
-    """Add each node's smallest neighbour; rows of hub nodes are spread over many tasks."""
-    if not hubs:
-        return rows.join(lowest.drop("_rows"), "u")
-    heavy = top_keys(lowest, ["u"], "_rows")
-    return salted_join(rows, lowest.drop("_rows"), ["u"], ["v"], heavy=heavy)
+def _is_star_forest(nodes: DataFrame) -> bool:
+    """Every node has either one parent and no child, or no parent."""
+    return nodes.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
-def _large_star(edges: DataFrame, hubs: bool) -> DataFrame:
-    both = _both_ways(edges)
-    lowest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("_rows"))
-    joined = _join_lowest(both.filter("v > u"), lowest, hubs)
+def _large_star(edges: DataFrame, nodes: DataFrame, rows_per_task: int | None) -> DataFrame:
+    """Larger neighbours move to the node's smallest neighbour."""
+    larger = _both_ways(edges).filter("v > u")
+    joined = salted_join(larger, nodes.select("u", "m"), ["u"], ["v"], counts=nodes, rows_per_task=rows_per_task)
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, hubs: bool) -> DataFrame:
-    lowest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows"))
-    moved = _join_lowest(edges, lowest, hubs).filter("v <> m")
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Smaller neighbours, and the node itself, move to the node's smallest neighbour (hot nodes: split by Spark's skew join)."""
+    lowest = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(lowest, "u").filter("v <> m")
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
         lowest.select("u", F.col("m").alias("v"))
     ).distinct()
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
-    """``(node, root)`` for every node of an edge; the root is the smallest node of the component."""
+def connected_components(
+    edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50, rows_per_task: int | None = None
+) -> DataFrame:
+    """``(node, root)`` for every node of an edge; the root is the smallest node of the component.
+
+    A round makes one aggregate over the edges; it gives the minima and, written once per round, the test whether the
+    graph is done. Rounds and their seconds are logged.
+    """
     current = stage(canonical_edges(edges, src, dst), "edges")
-    for _ in range(max_rounds):
-        done, most = _shape(current)
-        if done:
-            roots = current.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
-            return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
-        hubs = most > HUB_NEIGHBOURS
-        current = stage(_small_star(_large_star(current, hubs), hubs), "edges")
+    for turn in range(max_rounds + 1):
+        began = time.perf_counter()
+        nodes = stage(_neighbourhood(current), "nodes")
+        if _is_star_forest(nodes):
+            return nodes.select(F.col("u").alias("node"), F.col("m").alias("root"))
+        if turn == max_rounds:
+            break
+        current = stage(_small_star(_large_star(current, nodes, rows_per_task)), "edges")
+        log.info("round %d of the components took %.1f s", turn + 1, time.perf_counter() - began)
     raise NotConverged(f"no star forest after {max_rounds} rounds")
 
 

@@ -12,11 +12,9 @@ from pyspark.sql.types import StructType
 
 from goldthread.functions.jsonfn import flatten_paths, infer_schema
 from goldthread.operators.dedup import latest_per_key
-from goldthread.operators.skew import salted_join, top_keys
+from goldthread.operators.ordering import number_rows
 from goldthread.session import stage
 
-MAX_ITEMS = 100_000
-
 
 @dataclass(frozen=True)
 class ChildList:
@@ -28,42 +26,40 @@ class ChildList:
 
 
 def nest_children(rows: DataFrame, keys: Sequence[str], element: Mapping[str, Column | str], order: Sequence[str],
-                  name: str = "items", max_items: int = MAX_ITEMS) -> DataFrame:
-    """``keys, part, <name>``: the children of a key as sorted lists.
+                  name: str = "items") -> DataFrame:
+    """``keys, <name>``: the children of each key as one sorted list."""
+    return nest_lists({name: ChildList(rows, element, tuple(order))}, keys)
 
-    A key with up to ``max_items`` children has one part. A larger one is cut into several parts by a
-    hash of the order columns, so that no task ever collects an unbounded group and no child is lost.
-    """
-    return nest_lists({name: ChildList(rows, element, tuple(order))}, keys, max_items)
 
+def nest_lists(lists: Mapping[str, ChildList], keys: Sequence[str]) -> DataFrame:
+    """Several child lists per key in one shuffle, always one row per key: a tagged union and a single aggregation.
 
-def nest_lists(lists: Mapping[str, ChildList], keys: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame:
-    """Several child lists per key in one shuffle: a tagged union and a single aggregation."""
+    Map tasks gather their share of a list; only the last step holds a whole key, as the resulting row does. Where lists need
+    not be one value, ``numbered_children`` gives the same elements as rows.
+    """
     keys, names = list(keys), list(lists)
     payload = {}
     for name, c in lists.items():
-        cols = [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in c.element.items()]
-        payload[name] = c.rows.select(
-            *keys, F.lit(name).alias("_list"), F.xxhash64(*c.order).alias("_hash"),
-            F.struct(F.struct(*c.order).alias("o"), F.struct(*cols).alias("e")).alias(f"_{name}"),
-        )
+        payload[name] = c.rows.select(*keys, F.struct(F.struct(*c.order).alias("o"), _element(c).alias("e")).alias(f"_{name}"))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), payload.values())
-    counts = union.groupBy(*keys, "_list").agg(F.count(F.lit(1)).alias("_rows"))
-    large = stage(counts.filter(F.col("_rows") > max_items), "large-lists")
-    if large.isEmpty():
-        union = union.withColumn("part", F.lit(0))
-    else:
-        parts = large.select(*keys, "_list", F.ceil(F.col("_rows") / max_items).alias("_parts"))
-        union = salted_join(union, parts, [*keys, "_list"], ["_hash"], "left", top_keys(large, [*keys, "_list"], "_rows"))
-        union = union.withColumn("part", F.coalesce(F.pmod(F.col("_hash"), F.col("_parts")), F.lit(0)).cast("int"))
-    gathered = union.groupBy(*keys, "part").agg(*[F.array_sort(F.collect_list(f"_{n}")).alias(n) for n in names])
-    return gathered.select(*keys, "part", *[F.transform(n, lambda x: x["e"]).alias(n) for n in names])
-
-
-def assemble(heads: DataFrame, lists: Mapping[str, ChildList], keys: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame:
-    """Heads with all their lists (null when a head has none). A head with oversized lists has several parts."""
-    nested = nest_lists(lists, keys, max_items)
-    joined = heads.join(nested, list(keys), "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    gathered = union.groupBy(*keys).agg(*[F.array_sort(F.collect_list(f"_{n}")).alias(n) for n in names])
+    return gathered.select(*keys, *[F.transform(n, lambda x: x["e"]).alias(n) for n in names])
+
+
+def _element(c: ChildList) -> Column:
+    return F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in c.element.items()])
+
+
+def numbered_children(children: ChildList, keys: Sequence[str]) -> DataFrame:
+    """``keys, position, element``: the elements of the lists as rows, numbered from 1 without gathering a key in a task."""
+    rows = children.rows.select(*keys, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(children.order)], _element(children).alias("element"))
+    order = [f"_o{i}" for i in range(len(children.order))]
+    return number_rows(rows, [*order, "element"], keys, "position").drop(*order)
+
+
+def assemble(heads: DataFrame, lists: Mapping[str, ChildList], keys: Sequence[str]) -> DataFrame:
+    """Heads with all their lists (null when a head has none), one row per head."""
+    joined = heads.join(nest_lists(lists, keys), list(keys), "left")
     return joined.withColumns({n: F.when(F.size(n) > 0, F.col(n)) for n in lists})
 
 

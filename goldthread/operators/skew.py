@@ -9,22 +9,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.session import stage
 
-HEAVY_KEYS = 64  # any key with more than 1/64 of the rows is among the 64 most frequent ones
-SALTS = 32
-HOT_ROWS = 1_000_000  # a group above this many rows is spread over several tasks
+ROWS_PER_TASK = 1_000_000  # a key with more rows is cut into as many tasks as it needs; shapes the plan, never the rows
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int = HEAVY_KEYS) -> DataFrame:
-    """The ``limit`` most frequent keys. By pigeonhole they include every key above 1/limit of all rows.
+def hot_keys(counts: DataFrame, keys: Sequence[str], size: str = "_rows", rows_per_task: int | None = None) -> DataFrame:
+    """``keys, _salts``: into how many parts each key with more than ``rows_per_task`` rows is cut.
 
-    The result has at most ``limit`` rows, so broadcasting it is safe at any scale.
+    Every such key is listed; there are at most rows / rows_per_task of them. Written once, so that Spark knows the size
+    and picks the join.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return top_keys(counts, keys, "_rows", limit)
-
-
-def top_keys(counts: DataFrame, keys: Sequence[str], size: str, limit: int = HEAVY_KEYS) -> DataFrame:
-    return counts.filter(F.col(size) > 1).orderBy(F.desc(size), *keys).limit(limit).select(*keys)
+    limit = ROWS_PER_TASK if rows_per_task is None else rows_per_task
+    hot = counts.filter(F.col(size) > limit).select(*keys, F.ceil(F.col(size) / F.lit(limit)).cast("int").alias("_salts"))
+    return stage(hot, "hot-keys")
 
 
 def salted_join(
@@ -33,41 +29,37 @@ def salted_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    heavy: DataFrame | None = None,
-    salts: int = SALTS,
+    counts: DataFrame | None = None,
+    size: str = "_rows",
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Join ``big`` to a side with one row per key, spreading the heaviest keys over ``salts`` tasks.
+    """Join ``big`` to a side with one row per key, cutting each hot key into parts by a hash of ``spread_by``.
 
-    Only the heavy keys of ``unique`` are copied (``limit * salts`` rows at most); every other row
-    keeps salt 0. ``how`` is ``inner`` or ``left`` with ``big`` on the left.
+    ``counts`` has the rows of ``big`` per key (counted here when missing). The row of a hot key is copied once per part: at
+    most rows / rows_per_task copies in all. ``how`` is ``inner`` or ``left`` with ``big`` on the left.
     """
     keys = list(keys)
-    heavy = heavy_keys(big, keys) if heavy is None else heavy
-    tag = heavy.select(*keys).withColumn("_heavy", F.lit(True))
-    left = big.join(F.broadcast(tag), keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0),
-    ).drop("_heavy")
-    right = unique.join(F.broadcast(tag), keys, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("_heavy")
+    if counts is None:
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(size))
+    hot = hot_keys(counts, keys, size, rows_per_task)
+    if hot.isEmpty():
+        return big.join(unique, keys, how)
+    parts = F.coalesce("_salts", F.lit(1))
+    left = big.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int")).drop("_salts")
+    right = unique.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def join_groups(
     rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread_by: Sequence[str], how: str = "inner", size: str = "_rows",
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Join rows to values aggregated from them. ``groups`` has one row per key and its row count in ``size``.
 
-    The aggregate is written once, so the rows are aggregated once and read once more. The written
-    counts tell whether any group is hot: if not, this is a plain join, else a salted one.
+    The aggregate is written once, so the rows are aggregated once and read once more; the written counts name the hot keys.
     """
     groups = stage(groups, "groups")
-    most = groups.agg(F.max(size)).first()[0] or 0
-    if most <= HOT_ROWS:
-        return rows.join(groups.drop(size), list(keys), how)
-    return salted_join(rows, groups.drop(size), keys, spread_by, how, top_keys(groups, keys, size))
+    return salted_join(rows, groups.drop(size), keys, spread_by, how, groups, size, rows_per_task)
 
 
 def group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:

@@ -18,8 +18,8 @@ def main() -> None:
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     if os.environ.get("CHECK_HOT"):  # as on a cluster with hot groups: shuffle joins, salted
-        from goldthread.operators import components, skew
-        skew.HOT_ROWS = components.HUB_NEIGHBOURS = int(os.environ["CHECK_HOT"])
+        from goldthread.operators import skew
+        skew.ROWS_PER_TASK = int(os.environ["CHECK_HOT"])
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     con, sqls, bad, slow = duck(folder), entry_points.oracle_sql(), 0, []
     for name, run in entry_points.queries().items():
