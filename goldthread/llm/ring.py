@@ -128,6 +128,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, nodes: int = 64, slack: fl
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit(1).cast("bigint").alias("_one"),
     )
+    rows = stage(rows, "sizes")  # texts are read once
     out = assign_shards(rows, "doc_id", "_one", shards, nodes, slack, ("size", "text_crc32"))
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
