@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, StructType, VariantType
 
 
 def as_array_text(c: Column) -> Column:
@@ -90,27 +90,45 @@ def mapping_envelope(
     return document(F.struct(body.alias("ConsumerMappingList")))
 
 
-def infer_schema(df: DataFrame, json: str) -> str:
-    """Schema of a JSON column over all of its rows (one aggregate), as DDL text for ``from_json``."""
+# A quoted name, or a type that stands where a type can stand: at the start, after a name's colon, or inside ARRAY<>.
+_TYPES = re.compile(r"`(?:[^`]|``)*`|(?:(?<=: )|(?<=ARRAY<)|^)(OBJECT|VARIANT|VOID)(?=[<,>]|$)")
+
+
+def infer_schema(df: DataFrame, json: str, mixed: str = "STRING") -> str:
+    """Schema of a JSON column over all of its rows (one aggregate), as DDL text for ``from_json``.
+
+    Names stay as they are; ``mixed`` is the type of a member that holds different types in different rows.
+    """
     found = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(json))).alias("ddl")).first()[0]
-    return found.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
+    types = {"OBJECT": "STRUCT", "VARIANT": mixed, "VOID": "STRING"}
+    ddl = _TYPES.sub(lambda m: types[m[1]] if m[1] else m[0], found)
+    return ddl if ddl.startswith("STRUCT<") else "STRUCT<>"
 
 
-def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mapping[str, str | Sequence[str]] | None = None) -> Column:
+def path_name(name: str) -> str:
+    """A member's name in a path; quoted when it holds a sign that paths use."""
+    return f"`{name}`" if re.search(r"[.\[\]`]", name) else name
+
+
+def flatten_paths(
+    schema: DataType, value: Column, path: str = "", keyed: Mapping[str, str | Sequence[str]] | None = None, unwrap: bool = False,
+) -> Column:
     """Array of ``(path, type, value)`` for every leaf below ``value``, following its declared type.
 
     An array element's place in the path is its index, or the value of its key member when ``keyed``
     names one for that array path (``a``, ``a[].b``), so that unordered lists can be compared by key.
     A key may be several members (``("Code", "Source.Id")``); ``*`` is the element's whole content.
-    An array itself is a leaf too, with its length as value.
+    An array itself is a leaf too, with its length as value. With ``unwrap`` a list of one element is that element.
     """
     keyed = keyed or {}
     row = "struct<path:string,type:string,value:string>"
     if isinstance(schema, StructType):
-        parts = [flatten_paths(f.dataType, value[f.name], f"{path}.{f.name}" if path else f.name, keyed) for f in schema]
-        return F.when(value.isNotNull(), F.concat(*parts)).otherwise(_leaf(path, "null", F.lit(None)))
+        names = [(f, f"{path}.{path_name(f.name)}" if path else path_name(f.name)) for f in schema]
+        parts = [flatten_paths(f.dataType, value.getField(f.name), at, keyed, unwrap) for f, at in names]
+        inside = F.concat(*parts) if parts else _leaf(path, "object", F.lit("{}"))
+        return F.when(value.isNotNull(), inside).otherwise(_leaf(path, "null", F.lit(None)))
     if isinstance(schema, ArrayType):
-        member = keyed.get(re.sub("\\0\\d*\\0", "", path))
+        member = keyed.get(re.sub("\0\\d*\0", "", path))
         mark = f"\0{path.count('[')}\0"
 
         def element(x: Column, i: Column) -> Column:
@@ -121,7 +139,7 @@ def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mappin
                 place = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
             else:
                 place = i.cast("string")
-            inner = flatten_paths(schema.elementType, x, f"{path}[{mark}]", keyed)
+            inner = flatten_paths(schema.elementType, x, f"{path}[{mark}]", keyed, unwrap)
             return F.transform(
                 inner,
                 lambda leaf: F.struct(
@@ -131,7 +149,19 @@ def flatten_paths(schema: DataType, value: Column, path: str = "", keyed: Mappin
             )
 
         leaves = F.concat(_leaf(path, "array", F.size(value)), F.flatten(F.transform(value, element)))
+        if unwrap:
+            leaves = F.when(F.size(value) == 1, flatten_paths(schema.elementType, F.get(value, F.lit(0)), path, keyed, unwrap)).otherwise(leaves)
         return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(leaves).cast(f"array<{row}>")
+    if isinstance(schema, VariantType):
+        text, items = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "array<variant>")
+        if unwrap:
+            text = F.when(F.size(items) == 1, F.try_variant_get(value, "$[0]", "string")).otherwise(text)
+        places = F.transform(items, lambda x, i: F.struct(
+            F.concat(F.lit(f"{path}["), i.cast("string"), F.lit("]")).alias("path"), F.lit("string").alias("type"),
+            F.try_variant_get(x, "$", "string").alias("value")))
+        listed = items.isNotNull() & (F.size(items) != (1 if unwrap else -1))
+        one = F.when(text.isNull(), _leaf(path, "null", F.lit(None))).otherwise(_leaf(path, "string", text))
+        return F.when(listed, F.concat(_leaf(path, "array", F.size(items)), places)).otherwise(one).cast(f"array<{row}>")
     return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(
         _leaf(path, schema.simpleString(), value.cast("string"))
     )

@@ -12,7 +12,7 @@ import time
 from pyspark.sql import DataFrame, functions as F
 
 from goldthread.operators.skew import salted_join, with_group_values
-from goldthread.session import stage
+from goldthread.session import release, stage
 
 log = logging.getLogger(__name__)
 
@@ -80,7 +80,8 @@ def connected_components(
             return nodes.select(F.col("u").alias("node"), F.col("m").alias("root"))
         if turn == max_rounds:
             break
-        current = stage(_small_star(_large_star(current, nodes, rows_per_task)), "edges")
+        done, current = (current, nodes), stage(_small_star(_large_star(current, nodes, rows_per_task)), "edges")
+        release(current.sparkSession, *done)
         log.info("round %d of the components took %.1f s", turn + 1, time.perf_counter() - began)
     raise NotConverged(f"no star forest after {max_rounds} rounds")
 

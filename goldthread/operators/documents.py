@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -65,31 +66,39 @@ def assemble(heads: DataFrame, lists: Mapping[str, ChildList], keys: Sequence[st
 
 @dataclass(frozen=True)
 class CompareRules:
-    """Paths are without array places: ``a.b[].c``."""
+    """Paths are without array places: ``a.b[].c``.
+
+    ``keyed`` lists are matched by a key. ``unordered`` ones have none: equal elements match whatever their place, and of
+    the rest those that share most leaves are compared with each other. ``unwrap_single`` takes a list of one element as that
+    element.
+    """
 
     ignore: tuple[str, ...] = ()
     trim: tuple[str, ...] = ()
     keyed: Mapping[str, str | Sequence[str]] | None = None
+    unordered: tuple[str, ...] = ()
     null_equals_empty: bool = True
     unwrap_single: bool = False
 
 
 def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rules: CompareRules) -> DataFrame:
-    """``keys, path, type, value``: one row per leaf of the document."""
-    body = df.select(*keys, F.from_json(json, ddl).alias("_d"))
+    """``keys, path, type, value``: one row per leaf of the document; a text that is no JSON is one leaf of type unreadable."""
+    broken = F.col(json).isNotNull() & F.try_parse_json(F.col(json)).isNull()
+    body = df.select(*keys, F.from_json(json, ddl).alias("_d"), F.when(broken, F.col(json)).alias("_text"))
     schema = body.schema["_d"].dataType
     assert isinstance(schema, StructType)
-    leaves = body.select(*keys, F.explode(flatten_paths(schema, F.col("_d"), keyed=rules.keyed)).alias("_l"))
+    places = {**(rules.keyed or {}), **dict.fromkeys(rules.unordered, "*")}
+    flat = flatten_paths(schema, F.col("_d"), keyed=places, unwrap=rules.unwrap_single)
+    unread = F.array(F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("type"), F.col("_text").alias("value")))
+    leaves = body.select(*keys, F.explode(F.when(F.col("_text").isNotNull(), unread).otherwise(flat)).alias("_l"))
     leaves = leaves.select(*keys, "_l.*").withColumn("_plain", F.regexp_replace("path", r"\[[^\]]*\]", "[]"))
     for path in rules.ignore:
         leaves = leaves.filter(~F.col("_plain").rlike(rf"^{re.escape(path)}([.\[]|$)"))
     if rules.trim:
         leaves = leaves.withColumn("value", F.when(F.col("_plain").isin(*rules.trim), F.trim("value")).otherwise(F.col("value")))
-    if rules.unwrap_single:
-        leaves = leaves.withColumn("path", F.regexp_replace("path", r"\[0\]", ""))
     if rules.null_equals_empty:
         leaves = leaves.withColumn("value", F.when(F.col("value") != "", F.col("value")))
-    if not rules.keyed:
+    if not places:
         return leaves.select(*keys, "path", "type", "value")
     # A path can repeat only inside one document (elements of a list with the same key).
     return leaves.groupBy(*keys, "path").agg(
@@ -98,24 +107,69 @@ def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rule
     ).withColumn("value", F.when(F.col("_filled") > 0, F.col("value"))).drop("_filled")
 
 
+def _greedy(pairs: pd.DataFrame) -> pd.DataFrame:
+    """Of the candidate pairs of one list, best first, those whose elements are both free."""
+    pairs = pairs.sort_values(["_n", "_left", "_right"], ascending=[False, True, True])
+    lefts, rights, keep = set(), set(), []
+    for a, b in zip(pairs["_left"], pairs["_right"]):
+        keep.append(a not in lefts and b not in rights)
+        if keep[-1]:
+            lefts.add(a)
+            rights.add(b)
+    return pairs[keep].drop(columns="_n")
+
+
+def align_unordered(a: DataFrame, b: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """``b`` with the elements of the unordered list ``path`` renamed after the elements of ``a`` they are closest to.
+
+    An element's place is the hash of its content, so equal elements agree already; the others are paired by the number of
+    equal leaves.
+    """
+    inside = re.escape(path).replace(re.escape("[]"), r"\[[^\]]*\]")
+    form = rf"^({inside})\[([0-9a-f]{{32}})\](.*)$"
+    part = lambda i: F.regexp_extract("path", form, i)
+    names = [*keys, "_list"]
+
+    def split(df: DataFrame, name: str) -> DataFrame:
+        hit = df.filter(F.col("path").rlike(form))
+        return hit.select(*keys, part(1).alias("_list"), part(2).alias(name), part(3).alias("_sub"), "value")
+
+    lefts, rights = split(a, "_left"), split(b, "_right")
+    only = lambda x, y, n, m: x.join(y.select(*names, F.col(m).alias(n)).distinct(), [*names, n], "left_anti")
+    mine, theirs = only(lefts, rights, "_left", "_right"), only(rights, lefts, "_right", "_left")
+    shared = mine.join(theirs, [*names, "_sub", "value"]).groupBy(*names, "_left", "_right").agg(F.count(F.lit(1)).alias("_n"))
+    schema = shared.drop("_n").schema
+    pairs = shared.groupBy(*names).applyInPandas(_greedy, schema).withColumnsRenamed({"_list": "_l2"})
+    marked = b.withColumns({"_l": part(1), "_r": part(2), "_s": part(3)})
+    joined = marked.join(pairs.withColumnsRenamed({"_l2": "_l", "_right": "_r"}), [*keys, "_l", "_r"], "left")
+    moved = F.concat("_l", F.lit("["), "_left", F.lit("]"), "_s")
+    return joined.withColumn("path", F.when(F.col("_left").isNotNull(), moved).otherwise(F.col("path"))).select(*b.columns)
+
+
 def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json: str, rules: CompareRules = CompareRules(),
                   latest: Sequence[Column] = (), ddl: str | None = None) -> DataFrame:
     """Differences of two sets of documents: ``keys, path, kind, left_value, right_value``.
 
-    ``kind`` is missing_left or missing_right (absent or null there), type, length (of a list) or value; ``latest`` picks
+    ``kind`` is missing_left or missing_right (absent or null there), type, length (of a list), value, or unreadable (a text that is
+    no JSON); ``latest`` picks
     one document per key and side. Both sides become rows, so one large document or one large key is spread like any other data.
     """
     if latest:
         columns = [*keys, json]  # written once: read for the schema and again for the leaves
         left, right = (stage(latest_per_key(d, keys, latest).select(*columns), "documents") for d in (left, right))
-    ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json)
-    a = document_paths(left, keys, json, ddl, rules).withColumnsRenamed({"type": "_ta", "value": "left_value"})
-    b = document_paths(right, keys, json, ddl, rules).withColumnsRenamed({"type": "_tb", "value": "right_value"})
+    ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json, "VARIANT" if rules.unwrap_single else "STRING")
+    a, b = (document_paths(d, keys, json, ddl, rules) for d in (left, right))
+    for path in sorted(rules.unordered, key=len):  # outer lists first: inner ones are compared inside paired elements
+        a, b = stage(a, "leaves"), stage(b, "leaves")
+        b = align_unordered(a, b, keys, path)
+    a = a.withColumnsRenamed({"type": "_ta", "value": "left_value"})
+    b = b.withColumnsRenamed({"type": "_tb", "value": "right_value"})
     joined = a.join(b, [*keys, "path"], "full_outer")
     same = F.col("left_value").eqNullSafe(F.col("right_value"))
     equal = same if rules.null_equals_empty else same & F.col("_ta").isNotNull() & F.col("_tb").isNotNull()
     kind = (
         F.when(equal, None)
+        .when((F.col("_ta") == "unreadable") | (F.col("_tb") == "unreadable"), "unreadable")
         .when(F.coalesce("_ta", F.lit("null")) == "null", "missing_left")
         .when(F.coalesce("_tb", F.lit("null")) == "null", "missing_right")
         .when((F.col("_ta") == "array") & (F.col("_tb") == "array"), "length")

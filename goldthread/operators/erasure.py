@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from goldthread.operators.dedup import top_per_key
 from goldthread.operators.keys import derived_key
@@ -121,6 +121,43 @@ def split_by_retention(table: DataFrame, ts: str, cutoff: Column) -> tuple[DataF
     return table.filter(old), table.filter(~old)
 
 
+@dataclass(frozen=True)
+class ArchiveRule:
+    """A group of rows that leave ``table`` for the archive ``keep_days`` after ``ts``."""
+
+    group: str
+    table: DataFrame
+    ts: str
+    keep_days: int
+
+
+def archive_run(spark: SparkSession, rules: Sequence[ArchiveRule], now: Column, folder: str, dry_run: bool = False) -> DataFrame:
+    """``group, status, archived, kept, message``, one row per group.
+
+    The rules are checked first. Per group the archive is written to ``folder/archive/<group>`` and counted before the rows that
+    stay are written to ``folder/kept/<group>``, so no row is ever in neither. A group that fails is reported (FAILED) and the
+    next one goes on; a dry run only counts.
+    """
+    twice = {r.group for r in rules if sum(o.group == r.group for o in rules) > 1}
+    if twice or any(not r.group or r.keep_days < 0 for r in rules):
+        raise ValueError(f"groups need different names and a retention of 0 days or more: {sorted(twice)}")
+    results = []
+    for rule in rules:
+        try:
+            old, rest = split_by_retention(rule.table, rule.ts, F.date_sub(now, rule.keep_days))
+            counts = rule.table.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(rule.ts) < F.date_sub(now, rule.keep_days)).alias("old")).first()
+            if not dry_run:
+                old.write.mode("overwrite").parquet(f"{folder}/archive/{rule.group}")
+                found = spark.read.schema(old.schema).parquet(f"{folder}/archive/{rule.group}").count()
+                if found != counts["old"]:
+                    raise RuntimeError(f"the archive holds {found} rows instead of {counts['old']}")
+                rest.write.mode("overwrite").parquet(f"{folder}/kept/{rule.group}")
+            results.append((rule.group, "DRY_RUN" if dry_run else "SUCCESS", counts["old"], counts["n"] - counts["old"], ""))
+        except Exception as error:  # one group must not stop the others; the error is in its row
+            results.append((rule.group, "FAILED", 0, 0, f"{type(error).__name__}: {error}"))
+    return spark.createDataFrame(results, "group string, status string, archived bigint, kept bigint, message string")
+
+
 def expired_keys(datasets: DataFrame, master: DataFrame, keys: Sequence[str], ts: str, cutoff: Column) -> DataFrame:
     """Keys whose latest document is older than the cutoff and that left the master."""
     latest = datasets.groupBy(*keys).agg(F.max(ts).alias("last_time")).filter(F.col("last_time") < cutoff)

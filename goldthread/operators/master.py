@@ -28,12 +28,14 @@ def upsert_parents(
 def replace_changed_children(
     master: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str], also: Column | None = None,
     deleted: Column | None = None, blank: Sequence[str] = (), ts: str | None = None, deleted_at: str | None = None,
+    unbound: DataFrame | None = None, unbound_at: str = "unbound_at",
 ) -> DataFrame:
     """Insert new children, and swap a child for its new row when a compared column differs (null and
     the empty text are equal).
 
     ``also`` (over the batch row) forces the swap, e.g. for a sibling's update flag or a listed source.
-    Where the parent is ``deleted``, the ``blank`` columns become empty and ``ts`` the parent's time.
+    Where the parent is ``deleted``, the ``blank`` columns become empty and ``ts`` the parent's time. ``unbound`` (keys and
+    ``unbound_at``) does the same to a child that was unbound after its ``ts``; the latest unbinding of a child counts.
     """
     differs = changed(compare, blank_is_null=True)
     if deleted is not None:
@@ -42,6 +44,12 @@ def replace_changed_children(
         if ts and deleted_at:
             sets[ts] = F.when(gone, F.col(deleted_at)).otherwise(F.col(ts))
         batch = batch.withColumns(sets)
+    if unbound is not None:
+        last = unbound.groupBy(*keys).agg(F.max(unbound_at).alias("_unbound"))
+        later = F.coalesce(F.col("_unbound") > F.col(ts), F.lit(False))
+        joined = batch.join(last, list(keys), "left")
+        empty = {c: F.when(later, "").otherwise(F.col(c)) for c in blank}
+        batch = joined.withColumns({**empty, ts: F.when(later, F.col("_unbound")).otherwise(F.col(ts))}).select(*batch.columns)
     source = batch if also is None else batch.withColumn("_also", F.coalesce(also, F.lit(False)))
     test = differs if also is None else (lambda t, s: differs(t, s) | s["_also"])
     return merge(master, source, keys, update_when=test, null_safe_keys=True)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.skew import salted_join, with_group_values
+from goldthread.session import stage
 
 
 def priority_value(conditions: Sequence[Column | None], value: Column, pick=F.max) -> Column:
@@ -213,15 +214,15 @@ def merge_attributes(
 
 
 def touched_scope(
-    records: DataFrame, touched: DataFrame, keys: Sequence[str], excluded: DataFrame | None = None, max_rows: int | None = None,
-) -> DataFrame:
-    """Records of the touched keys, without excluded keys and without keys of more than ``max_rows`` records."""
+    records: DataFrame, touched: DataFrame, keys: Sequence[str], max_rows: int, excluded: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(records of the touched keys without excluded keys and without keys of more than ``max_rows`` records; the keys left out for
+    their size, with ``rows``)."""
     scoped = records.join(touched.select(*keys).distinct(), list(keys), "left_semi")
     if excluded is not None:
         scoped = scoped.join(excluded.select(*keys).distinct(), list(keys), "left_anti")
-    if max_rows is not None:
-        scoped = scoped.join(oversized_keys(scoped, keys, max_rows).select(*keys), list(keys), "left_anti")
-    return scoped
+    large = stage(oversized_keys(scoped, keys, max_rows), "oversized")
+    return scoped.join(large.select(*keys), list(keys), "left_anti"), large
 
 
 def oversized_keys(records: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:

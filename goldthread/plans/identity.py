@@ -270,6 +270,21 @@ def earliest_key(t: Tables) -> DataFrame:
     return joined.groupBy("root").agg(F.min_by("old_key", F.struct(*ky.earliest_first("node", "source_timestamp")[:1], "source_timestamp", "node")).alias("old_key"))
 
 
+@query("wn14_history_first", """
+WITH n AS (SELECT o_custkey AS root, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey::VARCHAR ELSE lpad(o_orderkey::VARCHAR, 40, '0') END AS node, o_orderdate AS created,
+ CASE WHEN o_orderkey % 5 <> 0 THEN 'K' || o_orderkey END AS k FROM orders),
+f AS (SELECT root, k, row_number() OVER (PARTITION BY root ORDER BY length(node) >= 36, CASE WHEN length(node) >= 36 THEN created END NULLS FIRST, node) AS r FROM n WHERE k IS NOT NULL)
+SELECT node, n.root, coalesce(f.k, sha256('H|' || n.root)) AS group_key, f.k IS NULL AS is_new FROM n LEFT JOIN f ON f.root = n.root AND r = 1""")
+def history_first(t: Tables) -> DataFrame:
+    """Keys of first-load records (short ids) before all others, then the earliest created; all terms of the order count."""
+    key = F.col("o_orderkey")
+    node = F.when(key % 3 == 0, key.cast("string")).otherwise(F.lpad(key.cast("string"), 40, "0"))
+    rows = t.orders.select(F.col("o_custkey").alias("root"), node.alias("node"), F.col("o_orderdate").alias("created"),
+                           F.when(key % 5 != 0, F.concat(F.lit("K"), key)).alias("k"))
+    known = rows.filter("k IS NOT NULL").select("node", "k", "created")
+    return ky.assign_keys(rows.select("node", "root"), known, "k", ky.earliest_first("node", "created"), "H")
+
+
 @query("er11_master_in_scope", f"""
 WITH {_UNIVERSE_CTE} SELECT m.src_id FROM universe m WHERE NOT m.is_batch AND (m.phone IN (SELECT phone FROM universe WHERE is_batch AND phone IS NOT NULL)
  OR m.email IN (SELECT email FROM universe WHERE is_batch AND email IS NOT NULL) OR m.source_entity_id IN (SELECT source_entity_id FROM universe WHERE is_batch))""")

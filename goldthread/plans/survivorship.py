@@ -122,9 +122,21 @@ def attribute_merge(t: Tables) -> DataFrame:
 WITH s AS (SELECT * FROM orders WHERE o_custkey IN (SELECT user_id FROM events WHERE event_type = 'signup') AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))
 SELECT o_orderkey FROM s WHERE o_custkey IN (SELECT o_custkey FROM s GROUP BY 1 HAVING count(*) <= 12)""")
 def scope(t: Tables) -> DataFrame:
+    return _scope(t)[0].select("o_orderkey")
+
+
+@query("ms15_oversized_keys", """
+WITH s AS (SELECT * FROM orders WHERE o_custkey IN (SELECT user_id FROM events WHERE event_type = 'signup') AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))
+SELECT o_custkey, count(*) AS rows FROM s GROUP BY 1 HAVING count(*) > 12""")
+def oversized(t: Tables) -> DataFrame:
+    """The keys that the scope leaves out, with their number of records."""
+    return _scope(t)[1]
+
+
+def _scope(t: Tables) -> tuple[DataFrame, DataFrame]:
     touched = t.events.filter("event_type = 'signup'").select(F.col("user_id").alias("o_custkey"))
     excluded = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
-    return sv.touched_scope(t.orders, touched, ["o_custkey"], excluded, 12).select("o_orderkey")
+    return sv.touched_scope(t.orders, touched, ["o_custkey"], 12, excluded)
 
 
 # --- documents
@@ -221,6 +233,45 @@ def document_diff(t: Tables) -> DataFrame:
     return dc.document_diff(_docs(t, False), _docs(t, True), ["o_custkey"], "payload", rules, newest)
 
 
+def _payloads(t: Tables, body: Column) -> DataFrame:
+    return t.orders.select("o_orderkey", F.to_json(body, {"ignoreNullFields": "false"}).alias("payload"))
+
+
+@query("dq9_unwrap_single", """
+SELECT o_orderkey, 'Status[1]' AS path, 'value' AS kind, o_orderstatus AS left_value, o_orderpriority AS right_value FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_orderkey, 'Status', 'value', o_orderstatus, 'changed' FROM orders WHERE o_orderkey % 3 = 2""")
+def unwrap_single(t: Tables) -> DataFrame:
+    """A list of one element against the element alone, equal (0) and changed (2), and lists of two elements (1)."""
+    key, status, other = F.col("o_orderkey") % 3, F.col("o_orderstatus"), F.col("o_orderpriority")
+    pair = lambda second: F.struct(F.array(status, second).alias("Status"))
+    one, bare = F.to_json(F.struct(F.array(status).alias("Status"))), lambda c: F.to_json(F.struct(c.alias("Status")))
+    left = t.orders.select("o_orderkey", F.when(key == 1, F.to_json(pair(status))).otherwise(one).alias("payload"))
+    right = t.orders.select("o_orderkey", F.when(key == 1, F.to_json(pair(other))).when(key == 0, bare(status)).otherwise(bare(F.lit("changed"))).alias("payload"))
+    return dc.document_diff(left, right, ["o_orderkey"], "payload", dc.CompareRules(unwrap_single=True))
+
+
+@query("dq9_unordered_lists", """
+SELECT o_orderkey, 'value' AS kind, '1' AS left_value, '2' AS right_value FROM orders WHERE o_orderkey % 4 = 0""")
+def unordered_lists(t: Tables) -> DataFrame:
+    """Lists without a key in another order; in some documents one member of one element differs."""
+    item = lambda name, v: F.struct(F.lit(name).alias("Name"), F.col("o_orderstatus").alias("Status"), v.alias("V"))
+    v = F.when(F.col("o_orderkey") % 4 == 0, F.lit(2)).otherwise(F.lit(1))
+    left = _payloads(t, F.struct(F.array(item("a", F.lit(1)), item("b", F.lit(1)), item("c", F.lit(9))).alias("List")))
+    right = _payloads(t, F.struct(F.array(item("c", F.lit(9)), item("b", v), item("a", F.lit(1))).alias("List")))
+    return dc.document_diff(left, right, ["o_orderkey"], "payload", dc.CompareRules(unordered=("List",))).drop("path")
+
+
+@query("dq9_odd_names", """
+SELECT o_orderkey, u.path, 'value' AS kind, '1' AS left_value, '2' AS right_value
+FROM orders, (VALUES ('VOIDED'), ('VARIANT_ID'), ('OBJECT.VOID'), ('`a.b`'), ('x: VOID')) u(path) WHERE o_orderkey % 2 = 0""")
+def odd_names(t: Tables) -> DataFrame:
+    """Members whose names look like types or hold the signs of paths."""
+    def body(v: Column) -> Column:
+        return F.struct(v.alias("VOIDED"), v.alias("VARIANT_ID"), F.struct(v.alias("VOID")).alias("OBJECT"), v.alias("a.b"), v.alias("x: VOID"))
+    other = F.when(F.col("o_orderkey") % 2 == 0, F.lit(2)).otherwise(F.lit(1))
+    return dc.document_diff(_payloads(t, body(F.lit(1))), _payloads(t, body(other)), ["o_orderkey"], "payload")
+
+
 # --- master maintenance
 
 @query("ms1_parent_upsert", f"""
@@ -257,6 +308,22 @@ def changed_children(t: Tables) -> DataFrame:
     return out.select("l_orderkey", "l_linenumber", "l_quantity", "version")
 
 
+@query("ms2_newer_unbind", f"""
+WITH {_ONE_LINE} SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 5 = 0 AND l_partkey % 2 = 0 THEN '' ELSE 'S' || l_suppkey END AS address,
+ CASE WHEN l_suppkey % 5 = 0 AND l_partkey % 2 = 0 THEN l_shipdate + INTERVAL 1 DAY WHEN l_linenumber = 1 OR l_suppkey % 10 <> 0 THEN l_shipdate ELSE l_shipdate - INTERVAL 9 DAY END AS ts FROM lines""")
+def newer_unbind(t: Tables) -> DataFrame:
+    """Addresses replaced by a batch; those unbound after the batch row's time become empty, earlier unbindings do nothing."""
+    days = lambda n: F.col("l_shipdate") + F.expr(f"INTERVAL {n} DAYS")
+    keys, address = ["l_orderkey", "l_linenumber"], F.concat(F.lit("S"), "l_suppkey").alias("address")
+    lines = _lines(t)
+    batch = lines.select(*keys, address, F.col("l_shipdate").alias("ts"))
+    same = F.when(F.col("l_suppkey") % 10 == 0, F.concat(F.lit("S"), "l_suppkey")).otherwise("elsewhere").alias("address")
+    old = lines.filter("l_linenumber <> 1").select(*keys, same, days(-9).alias("ts"))
+    each = F.when(F.col("l_partkey") % 2 == 0, F.array(days(1), days(-3))).otherwise(F.array(days(-1)))
+    unbound = lines.filter("l_suppkey % 5 = 0").select(*keys, F.explode(each).alias("unbound_at"))
+    return ms.replace_changed_children(old, batch, keys, ["address"], blank=["address"], ts="ts", unbound=unbound)
+
+
 @query("ms3_replaced_children", f"""
 WITH {_ONE_LINE}, p AS (SELECT DISTINCT l_orderkey FROM lines WHERE l_shipdate >= TIMESTAMP '1998-01-01')
 SELECT l_orderkey, l_linenumber, 'old' AS version FROM lines WHERE l_orderkey NOT IN (SELECT l_orderkey FROM p) UNION ALL SELECT l_orderkey, l_linenumber, 'new' FROM lines WHERE l_shipdate >= TIMESTAMP '1998-01-01'""")

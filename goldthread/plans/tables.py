@@ -9,6 +9,7 @@ from goldthread.operators import changes as ch, merge as mg
 from goldthread.operators.dedup import latest_action, latest_per_key
 from goldthread.plans.fixtures import MESSAGES_CTE, SPLIT_DATE, messages
 from goldthread.plans.registry import Tables, query
+from goldthread.session import new_path
 
 _AT = f"TIMESTAMP '{SPLIT_DATE} 00:00:00'"
 _KEY = ["user_id", "event_type"]
@@ -180,6 +181,42 @@ def archive(t: Tables) -> DataFrame:
     return old.select("o_orderkey", F.lit("archived").alias("place")).unionByName(kept.select("o_orderkey", F.lit("kept").alias("place")))
 
 
+def _archive_rules(t: Tables) -> list:
+    from goldthread.operators.erasure import ArchiveRule
+    return [
+        ArchiveRule("orders", t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day")), "day", 1000),
+        ArchiveRule("broken", t.customer, "no_such_column", 10),
+        ArchiveRule("lines", t.lineitem.select("l_orderkey", F.col("l_shipdate").cast("date").alias("day")), "day", 400),
+    ]
+
+
+_ARCHIVED = """
+WITH c AS (SELECT 'orders' AS "group", count(*) FILTER (o_orderdate::DATE < DATE '2000-01-01' - 1000) AS archived, count(*) AS n FROM orders
+ UNION ALL SELECT 'lines', count(*) FILTER (l_shipdate::DATE < DATE '2000-01-01' - 400), count(*) FROM lineitem)
+"""
+
+
+@query("snk16_archive_run", _ARCHIVED + """
+SELECT "group", 'SUCCESS' AS status, archived, n - archived AS kept, archived AS in_archive, n - archived AS in_table FROM c
+UNION ALL SELECT 'broken', 'FAILED', 0, 0, 0, 0""")
+def archive_groups(t: Tables) -> DataFrame:
+    """What the run reports, beside what its files hold; the group in the middle fails and stops nothing."""
+    from goldthread.operators.erasure import archive_run
+    folder = new_path(t.spark, "archive")
+    report = archive_run(t.spark, _archive_rules(t), F.lit("2000-01-01").cast("date"), folder).drop("message")
+    def held(place: str, name: str) -> DataFrame:
+        parts = [t.spark.read.parquet(f"{folder}/{place}/{g}").select(F.lit(g).alias("group")) for g in ("orders", "lines")]
+        return parts[0].unionByName(parts[1]).groupBy("group").agg(F.count(F.lit(1)).alias(name))
+    return report.join(held("archive", "in_archive"), "group", "left").join(held("kept", "in_table"), "group", "left").na.fill(0)
+
+
+@query("snk16_dry_run", _ARCHIVED + """SELECT "group", 'DRY_RUN' AS status, archived, n - archived AS kept, '' AS message FROM c""")
+def archive_dry(t: Tables) -> DataFrame:
+    from goldthread.operators.erasure import archive_run
+    rules = [r for r in _archive_rules(t) if r.group != "broken"]
+    return archive_run(t.spark, rules, F.lit("2000-01-01").cast("date"), new_path(t.spark, "archive-dry"), dry_run=True)
+
+
 @query("snk17_update_and_delete", """
 SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN NULL ELSE c_name END AS c_name FROM customer WHERE NOT c_acctbal < -500""")
 def update_delete(t: Tables) -> DataFrame:

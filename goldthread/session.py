@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app: str = "goldthread", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,7 +64,31 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for scope in _SCOPES:
+        scope.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def release(spark: SparkSession, *staged: DataFrame | str) -> None:
+    """Remove the folders of staged tables that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for one in staged:
+        folder = jvm.org.apache.hadoop.fs.Path(one if isinstance(one, str) else one._staged)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end every folder that ``stage`` wrote inside it; use or write the results before."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        release(spark, *paths)
 
 
 def plan_bytes(df: DataFrame) -> int:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,9 @@ from goldthread.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+    shared = tempfile.mkdtemp(prefix="goldthread-tests-")
+    session = build_session("tests", "local[8]", **{
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
     return session
 

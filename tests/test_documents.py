@@ -73,6 +73,42 @@ def test_element_of_a_repeated_list_is_counted(spark, rows):
     assert diff(spark, rows, {"l": ["x", "x"]}, {"l": ["x"]}, keyed={"l": "*"}) != []
 
 
+def test_names_like_types_and_odd_names(spark, rows):
+    a = {"VOIDED": 1, "VARIANT_ID": "x", "OBJECT": {"VOID": None, "x: VOID": 1}, "a.b": 1, 'd"q': [1], "q`t": True}
+    b = {"VOIDED": 2, "VARIANT_ID": "y", "OBJECT": {"VOID": "v", "x: VOID": 2}, "a.b": 2, 'd"q': [2], "q`t": False}
+    got = {p: (k, x, y) for p, k, x, y in diff(spark, rows, a, b)}
+    assert got == {
+        "VOIDED": ("value", "1", "2"), "VARIANT_ID": ("value", "x", "y"), "OBJECT.VOID": ("missing_left", None, "v"), "OBJECT.x: VOID": ("value", "1", "2"),
+        "`a.b`": ("value", "1", "2"), 'd"q[0]': ("value", "1", "2"), "`q`t`": ("value", "true", "false")}
+    assert diff(spark, rows, a, a) == []
+
+
+def test_single_elements_are_unwrapped(spark, rows):
+    one = lambda a, b: diff(spark, rows, a, b, unwrap_single=True)
+    assert one({"it": ["a"]}, {"it": ["a"]}) == [] and one({"it": ["a"]}, {"it": "a"}) == []
+    assert one({"it": ["a", "b"]}, {"it": ["a", "c"]}) == [("it[1]", "value", "b", "c")]
+    assert one({"it": [{"k": 1}]}, {"it": [{"k": 2}]}) == [("it.k", "value", "1", "2")]
+    assert one({"it": "b"}, {"it": ["a"]}) == [("it", "value", "b", "a")]
+
+
+def test_unordered_lists_without_a_key(spark, rows):
+    free = lambda a, b, *p: [r[1:] for r in diff(spark, rows, a, b, unordered=p)]
+    assert free({"l": ["a", "b"]}, {"l": ["b", "a"]}, "l") == []
+    left = {"l": [{"k": 1, "v": "x", "w": 1}, {"k": 2, "v": "y", "w": 1}]}
+    right = {"l": [{"k": 2, "v": "z", "w": 1}, {"k": 1, "v": "x", "w": 1}]}
+    assert free(left, right, "l") == [("value", "y", "z")]
+    nested = lambda *inner: {"l": [{"id": 1, "m": list(inner)}, {"id": 2, "m": ["q"]}]}
+    assert free(nested("a", "b"), nested("b", "a"), "l", "l[].m") == []
+    assert free({"l": ["a"]}, {"l": ["a", "c"]}, "l") == [("length", "1", "2"), ("missing_left", None, "c")]
+
+
+def test_unreadable_documents_are_reported(spark, rows):
+    left = spark.createDataFrame([(1, '{"a":1}'), (2, "{broken"), (3, "{broken"), (4, None)], "id long, j string")
+    right = spark.createDataFrame([(1, "not json"), (2, '{"a":1}'), (3, "{broken"), (4, None)], "id long, j string")
+    got = rows(dc.document_diff(left, right, ["id"], "j"), "id", "path", "kind")
+    assert (1, "", "unreadable") in got and (2, "", "unreadable") in got and not [r for r in got if r[0] in (3, 4)]
+
+
 def test_clean_up(spark):
     df = spark.createDataFrame([('{"a":[],"b":1,"c":null}',), ('{"b":1,"a":[]}',)], "j string")
     got = [r[0] for r in df.select(jf.drop_null_members(jf.drop_empty_lists(F.col("j"), ["a"]), ["c"])).collect()]
