@@ -168,6 +168,7 @@ def contact_survivor(contacts: DataFrame, keys: Sequence[str], rules: ContactRul
     ts = F.max("source_timestamp").alias("ts")
     # Rows with the same value and date are interchangeable for the dates, so they are merged first.
     dates = contacts.groupBy(*by_type, "value", "optin_date").agg(*some("v", value_levels), *some("k", type_levels), *times, ts)
+    dates = stage(dates, "dates")  # read by both ways to decide, which no longer see the contacts
     flags = [f"k{i}" for i in range(len(type_levels))]
     dated = dates.filter(F.col("optin_date").isNotNull())
     per_value = dated.groupBy(*by_type, "value").agg(
@@ -177,12 +178,14 @@ def contact_survivor(contacts: DataFrame, keys: Sequence[str], rules: ContactRul
     fallback = dates.groupBy(*by_type).agg(F.coalesce(*[F.max(f"t{i}") for i in range(len(time_levels))]).alias("_by_time"))
     chosen = fallback.select(F.struct(*by_type).alias("_k"), "_by_time").join(
         decided.select(F.struct(*by_type).alias("_k"), F.col("d.ts").alias("_by_date")), "_k", "left"
-    ).select("_k", F.coalesce("_by_date", "_by_time").alias("_ts"))
+    )
+    chosen = stage(chosen.select("_k", F.coalesce("_by_date", "_by_time").alias("_ts")), "chosen")
     # The best row of every timestamp, then the best of those.
     rest = [c for c in contacts.columns if c not in by_type]
     order = ("update_dt", "record_id", "contact_id")
     per_time = contacts.groupBy(F.struct(*by_type).alias("_k"), F.col("source_timestamp").alias("_at")).agg(
         F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    per_time = stage(per_time, "per-time")
     joined = salted_join(per_time, chosen, ["_k"], ["_at"])
     hit = F.coalesce(F.col("_at") == F.col("_ts"), F.lit(False))
     picked = joined.groupBy("_k").agg(F.max_by("_r", F.struct(hit, *[f"_r.{c}" for c in order])).alias("_r"))

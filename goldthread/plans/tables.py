@@ -9,7 +9,7 @@ from goldthread.operators import changes as ch, merge as mg
 from goldthread.operators.dedup import latest_action, latest_per_key
 from goldthread.plans.fixtures import MESSAGES_CTE, SPLIT_DATE, messages
 from goldthread.plans.registry import Tables, query
-from goldthread.session import new_path
+from goldthread.session import new_path, stage
 
 _AT = f"TIMESTAMP '{SPLIT_DATE} 00:00:00'"
 _KEY = ["user_id", "event_type"]
@@ -262,9 +262,10 @@ _FEED = f"""{_STATES}, feed AS (SELECT *, 1 AS v FROM ({_diff_sql('s0', 's1')})
 
 
 def _feed(t: Tables) -> DataFrame:
-    states = [_state(t, c) for c in _CUTS]
+    """The change table of three steps; every state is computed once, and the feed is a table, as receivers read it."""
+    states = [stage(_state(t, c), "state") for c in _CUTS]
     parts = [ch.snapshot_diff(a, b, _KEY, version=i + 1) for i, (a, b) in enumerate(zip(states, states[1:]))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "feed")
 
 
 @query("dl2_collapse_versions", f"""{_FEED} SELECT user_id, event_type, arg_max(event_id, v) AS event_id, arg_max("CDC_CODE", v) AS "CDC_CODE" FROM feed GROUP BY user_id, event_type""")
