@@ -37,7 +37,8 @@ from goldthread.session import new_path, stage
 SEQUENCE = 2048
 BATCH_SEQUENCES = 64
 END_ID = 2
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 750_000  # of each of two generations
+CLOSING = frozenset((b".", b",", b"!", b"?", b";", b":"))
 JOINED = 256
 MANIFEST = "part int, docs_file string, ids_file string, n_docs bigint, n_tokens bigint"
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -58,7 +59,7 @@ class Encoder:
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.joins = self._closes_words()
         self.cache: dict[bytes, bytes] = {}
-        self.base: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -76,52 +77,50 @@ class Encoder:
         line = np.array(self._ids([" ".join(words)])[0])
         return bool(self.closes[line].sum() == len(words)) and [i for w in self._ids(words) for i in w] == line.tolist()
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        texts = {c: c.decode() for c in chunks}
-        wanted: dict[str, None] = {}
-        for text in texts.values():
-            for part in _parts(text):
-                if part not in self.base:
-                    wanted[part] = None
-        plain = [w for w in wanted if self.joins and w.isalpha()]
+    def _learn(self, chunks: list[bytes]) -> None:
+        split = {c: _parts(c) for c in chunks}
+        wanted = {p: p.decode() for p in dict.fromkeys(p for parts in split.values() for p in parts) if not self._known(p)}
+        plain = [p for p, word in wanted.items() if self.joins and word.isalpha()]
         for at in range(0, len(plain), JOINED * 16):
             groups = [plain[i:i + JOINED] for i in range(at, min(at + JOINED * 16, len(plain)), JOINED)]
-            for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            for group, ids in zip(groups, self._ids([b" ".join(g).decode() for g in groups])):
                 line = np.array(ids, self.dtype)
                 ends = np.flatnonzero(self.closes[line]) + 1
-                if len(ends) != len(group):  # a word that is not one unit: encode the group word by word
-                    self.base.update((w, np.array(x, self.dtype).tobytes()) for w, x in zip(group, self._ids(group)))
-                    continue
-                self.base.update((w, line[a:b].tobytes()) for w, a, b in zip(group, [0, *ends[:-1]], ends))
-        rest = [w for w in wanted if w not in self.base]
-        self.base.update((w, np.array(x, self.dtype).tobytes()) for w, x in zip(rest, self._ids(rest) if rest else []))
-        for chunk, text in texts.items():
-            self.cache[chunk] = b"".join(self.base[p] for p in _parts(text))
+                if len(ends) == len(group):  # else a word is not one unit, and the group is encoded word by word below
+                    self.cache.update((w, line[a:b].tobytes()) for w, a, b in zip(group, [0, *ends[:-1]], ends))
+        rest = [p for p in wanted if p not in self.cache]
+        if rest:
+            self.cache.update((p, np.array(x, self.dtype).tobytes()) for p, x in zip(rest, self._ids([wanted[p] for p in rest])))
+        for chunk, parts in split.items():
+            if chunk not in self.cache:
+                self.cache[chunk] = b"".join([self.cache[p] for p in parts])
+
+    def _known(self, chunk: bytes) -> bool:
+        """Whether the cache has the chunk; one from the older generation moves to the newer."""
+        if chunk in self.cache:
+            return True
+        ids = self.older.get(chunk)
+        if ids is not None:
+            self.cache[chunk] = ids
+        return ids is not None
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.cache) > CACHE_CHUNKS:  # what is still in use comes back from the older generation
+            self.cache, self.older = {}, self.cache
         split = [t.encode().split() for t in texts]
-        missing = {c for chunks in split for c in chunks} - self.cache.keys()
-        if len(self.cache) + len(missing) > CACHE_CHUNKS:
-            self.cache.clear()
-            self.base.clear()
-            missing = {c for chunks in split for c in chunks}
-        self._learn(missing)
+        self._learn([c for c in {c for chunks in split for c in chunks} if not self._known(c)])
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, chunks)), self.dtype) for chunks in split]
 
 
-def _parts(text: str) -> list[str]:
+def _parts(chunk: bytes) -> list[bytes]:
     """A chunk without white space as pieces that the tokenizer treats on their own: a word and one closing mark."""
-    if "<|" in text:  # perhaps a special token, which is matched before anything else
-        return [text]
-    if len(text) > 1 and text[-1] in ".,!?;:" and text[-2].isalpha() and text.isascii() or text[-1:] in (".", ",") and text[:-1].isalpha():
-        return [_lower(text[:-1]), text[-1]]
-    return [_lower(text)]
-
-
-def _lower(text: str) -> str:
-    """A-Z in lower case, as the tokenizer's own normaliser does."""
-    return text.lower() if text.isascii() else text.encode().lower().decode()
+    if b"<|" in chunk:  # perhaps a special token, which is matched before anything else
+        return [chunk]
+    low = chunk.lower()  # A-Z, as the tokenizer's own normaliser does
+    if low[-1:] in CLOSING and low[:-1].isalpha() or low[-1:] in CLOSING and low[:-1].decode().isalpha():
+        return [low[:-1], low[-1:]]
+    return [low]
 
 
 class PartWriter:
