@@ -56,16 +56,6 @@ def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
     return stage(at.join(main.select("bucket", "main"), "bucket"), "open")
 
 
-def open_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(a, b)``, a < b: pairs that share a bucket but no component, the bucket's largest component against the others
-    and those among themselves."""
-    at = _open_members(members, roots)
-    left = at.filter("root <> main").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    right = at.select("bucket", F.col("node").alias("y"), F.col("root").alias("y_root"), "main")
-    pairs = left.join(right, "bucket").filter("x_root <> y_root and (y_root = main or x < y)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_rows: int) -> DataFrame:
     """``(main, i, j, query, node, root)``: what has to be compared, in blocks of bounded size, without any pair.
 
