@@ -198,6 +198,21 @@ def test_lines(docs, none):
     assert texts[1] == PROSE and texts[2] == "" and texts[3] is None and texts[5] == " \n\t " and texts[2**60 + 1] == "line one is here\n"
 
 
+def test_lines_read_every_character(spark):
+    """Lines that differ only behind the 8th character of a word, or have no spaces, are told apart; near copies of such lines are found."""
+    poem = "床前明月光疑是地上霜举头望明月低头思故乡白日依山尽黄河入海流欲穷千里目更上一层楼"
+    apart = [
+        "https://example.com/products/shoes", "https://example.com/about", "user_id=1234", "user_id=99", "2024-01-05", "2024-01-17",
+        poem[:8] + "春眠不觉晓处处闻啼鸟", poem[:8] + "红豆生南国春来发几枝", "internationalization matters", "internationally known",
+    ]
+    near = [(poem * 2 + "甲", poem * 2 + "乙"), ("x" + poem * 2, "y" + poem * 2), ("/".join(f"p{i}" for i in range(40)), "/".join(f"p{i}" for i in range(41)))]
+    lines = apart + [line for pair in near for line in pair] + ["short", "SHORT"]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    n, first = len(apart), {r.doc_id: r.first_doc for r in line_dedup.find_lines(df).collect()}
+    assert [first[i] for i in range(n)] == list(range(n))
+    assert [first[i] for i in range(n, len(lines))] == [n + 0, n + 0, n + 0, n + 0, n + 4, n + 4, n + 6, n + 6]
+
+
 def test_tokens(spark, docs, none, tmp_path):
     import numpy as np
     import public_tokenizers

@@ -103,6 +103,22 @@ def test_lines(spark):
     assert all(r.kept == ((r.doc_id, r.line_no) == (r.first_doc, r.first_line)) for r in rows)
 
 
+def test_lines_at_every_character(spark):
+    """Like test_lines, with a shingle at every character; test_lines takes only those at the start of a word, so it no longer holds."""
+    first, where = {}, []
+    for r in sorted(table("documents"), key=lambda r: r["doc_id"]):
+        for i, line in enumerate((r["text"] or "").split("\n")):
+            norm = re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ")
+            if norm:
+                where.append((r["doc_id"], i, norm))
+                first.setdefault(norm, (r["doc_id"], i))
+    sets = {first[n]: frozenset(n[i:i + 8] for i in range(max(1, len(n) - 7))) for n in first}
+    root = groups(sets, 80)
+    want = {(d, i): root[first[n]] for d, i, n in where}
+    rows = LLM_QUERIES["op2_fuzzy_lines"](spark, FOLDER).collect()
+    assert {(r.doc_id, r.line_no): (r.first_doc, r.first_line) for r in rows} == want and len(rows) == len(want)
+
+
 def test_tokens(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
