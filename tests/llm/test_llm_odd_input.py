@@ -213,6 +213,22 @@ def test_lines_read_every_character(spark):
     assert [first[i] for i in range(n, len(lines))] == [n + 0, n + 0, n + 0, n + 0, n + 4, n + 4, n + 6, n + 6]
 
 
+def test_short_lines_share_a_band(spark):
+    """The hash functions are independent: of 5,000 pairs of short lines about as many share no band as (1 - s ** 3) ** 8 says."""
+    import random
+
+    pick = random.Random(5)
+    rows = []
+    for i in range(10_000):
+        text = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=17))
+        rows += [(i, 0, text[:16 if i < 5000 else 15]), (i, 1, text)]  # 9 or 8 of 10 shingles
+    lines = spark.createDataFrame(rows, "k1 long, k2 long, line string")
+    bands = line_dedup.signatures(lines).withColumn("bands", F.array(*[f"b{i}" for i in range(line_dedup.BANDS)]))
+    both = bands.filter("k2 = 0").select("k1", F.col("bands").alias("a")).join(bands.filter("k2 = 1").select("k1", F.col("bands").alias("b")), "k1")
+    missed = [r.k1 < 5000 for r in both.filter(~F.arrays_overlap("a", "b")).select("k1").collect()]
+    assert sum(missed) <= 2 and len(missed) - sum(missed) <= 30, (sum(missed), len(missed) - sum(missed))
+
+
 def test_tokens(spark, docs, none, tmp_path):
     import numpy as np
     import public_tokenizers
