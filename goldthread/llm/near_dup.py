@@ -81,11 +81,11 @@ def _estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "likeness": (a == b).mean(axis=1)})
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+def likely(pairs: DataFrame, nodes: DataFrame, least: float, percent: int = PERCENT) -> DataFrame:
     """``(a, b, likeness)`` of the pairs whose sizes allow a link and whose estimated similarity is at least ``least``."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("labels").alias(f"labels_{c}"), F.col("n_shingles").alias(f"n_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    both = both.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     return both.select("a", "b", "labels_a", "labels_b").mapInPandas(_estimate, "a bigint, b bigint, likeness double").filter(
         F.col("likeness") >= least
     )
@@ -169,7 +169,7 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         crowd = stage(led(crowded(crowd)), "regions")
         pairs = pairs.unionByName(star_pairs(crowd))
     least = percent / 100 - DOUBT
-    pairs = stage(likely(pairs.distinct(), nodes, least), "likely")
+    pairs = stage(likely(pairs.distinct(), nodes, least, percent), "likely")
 
     members = regions.select("node").distinct()
     keys = nodes.join(members, "node").select("node", F.struct("doc_id", "text_key").alias("_k"))

@@ -73,6 +73,14 @@ def test_copies_in_large_groups(spark):
     assert [got[i] for i in range(len(texts))] == root
 
 
+def test_near_duplicates_below_the_default(spark):
+    """At 80 percent a pair may differ in size by more than 85 percent allow: 80 of 96 shingles shared, similarity 0.83."""
+    texts = [" ".join(f"k{k}w{i}" for i in range(n)) for k in range(20) for n in (100, 84)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dup.keep_one(df, 80).collect()) == list(range(0, 40, 2))
+    assert near_dup.keep_one(df).count() == 40
+
+
 def near_set(text):
     words = text.split()
     return set(zip(*[words[i:] for i in range(5)]))
