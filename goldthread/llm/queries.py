@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from goldthread.llm import chat, decontaminate, line_dedup, line_rules, main_text, mix, near_dup, ring, token_files, warc
+from goldthread.llm import (
+    chat, decontaminate, line_dedup, line_rules, main_text, mix, near_dup, piece_ids, ring, token_files, warc,
+)
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -145,3 +147,10 @@ def op5_tag_path_text(spark, folder):
 @register("op2_fuzzy_lines")
 def op2_fuzzy_lines(spark, folder):
     return line_dedup.line_report(table(spark, folder, "documents"))
+
+
+@register("op13_distinct_chunks")
+def op13_distinct_chunks(spark, folder):
+    import public_tokenizers
+
+    return piece_ids.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
