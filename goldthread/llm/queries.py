@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from goldthread.llm import (
-    chat, decontaminate, line_dedup, line_rules, main_text, mix, near_dup, piece_ids, ring, token_files, warc,
+    chat, decontaminate, lexical, line_dedup, line_rules, main_text, mix, near_dup, piece_ids, ring, spelling, token_files, warc,
 )
 from goldthread.llm.registry import LLM_ORACLES, LLM_QUERIES, register, table
 
@@ -154,3 +154,76 @@ def op13_distinct_chunks(spark, folder):
     import public_tokenizers
 
     return piece_ids.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op12_mask_search", sql=r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), stats AS (
+  SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs
+), postings AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), stats
+), scored AS (
+  SELECT item_id, r, sum(weights.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * len(docs.w) * n_docs) // n_terms)))))::BIGINT AS score
+  FROM items JOIN postings USING (term) JOIN weights USING (term) JOIN docs USING (r), stats GROUP BY item_id, r
+)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+      FROM scored JOIN docs USING (r) WHERE score > 0)
+WHERE rank <= 50
+""")
+def op12_mask_search(spark, folder):
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@register("op11_kd_spelling", sql=r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+') AS w
+  FROM documents
+), runs AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS named, count(*) AS n
+  FROM (SELECT r, doc_id, unnest(w) AS run FROM docs) GROUP BY r, doc_id, run
+), bits AS (
+  SELECT [list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+          FOR i IN range(256)] AS place
+), bytes AS (
+  SELECT run, n, [(strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1 FOR i IN range(len(h) // 2)] AS b
+  FROM (SELECT run, n, hex(named) AS h FROM runs)
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, place[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, bits
+), spelled AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS form, b.n AS form_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(form, (-form_n, form)) AS form, max(form_n) AS form_n FROM near GROUP BY word
+), named AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  WITH RECURSIVE steps AS (
+    SELECT word, word AS root, form AS ahead FROM named
+    UNION ALL SELECT s.word, s.ahead, n.form FROM steps s JOIN named n ON n.word = s.ahead
+  ) SELECT word, root FROM steps WHERE ahead IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM named JOIN chain USING (word)
+""")
+def op11_kd_spelling(spark, folder):
+    return spelling.variants(table(spark, folder, "documents"))
