@@ -97,11 +97,14 @@ _TYPES = re.compile(r"`(?:[^`]|``)*`|(?:(?<=: )|(?<=ARRAY<)|^)(OBJECT|VARIANT|VO
 def infer_schema(df: DataFrame, json: str, mixed: str = "STRING") -> str:
     """Schema of a JSON column over all of its rows (one aggregate), as DDL text for ``from_json``.
 
-    Names stay as they are; ``mixed`` is the type of a member that holds different types in different rows.
+    Names stay as they are; ``mixed`` is the type of a member that holds different types in different rows. With VARIANT the
+    root may be of any type too.
     """
     found = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(json))).alias("ddl")).first()[0]
     types = {"OBJECT": "STRUCT", "VARIANT": mixed, "VOID": "STRING"}
     ddl = _TYPES.sub(lambda m: types[m[1]] if m[1] else m[0], found)
+    if mixed == "VARIANT" and not ddl.startswith("STRUCT<"):
+        return ddl if ddl.startswith("ARRAY<") else "VARIANT"  # a list, a scalar, or different types at the root
     return ddl if ddl.startswith("STRUCT<") else "STRUCT<>"
 
 
@@ -119,6 +122,7 @@ def flatten_paths(
     names one for that array path (``a``, ``a[].b``), so that unordered lists can be compared by key.
     A key may be several members (``("Code", "Source.Id")``); ``*`` is the element's whole content.
     An array itself is a leaf too, with its length as value. With ``unwrap`` a list of one element is that element.
+    An object or array in a variant is one leaf of type ``variant``, with its text as value; ``variant_children`` opens it.
     """
     keyed = keyed or {}
     row = "struct<path:string,type:string,value:string>"
@@ -153,15 +157,7 @@ def flatten_paths(
             leaves = F.when(F.size(value) == 1, flatten_paths(schema.elementType, F.get(value, F.lit(0)), path, keyed, unwrap)).otherwise(leaves)
         return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(leaves).cast(f"array<{row}>")
     if isinstance(schema, VariantType):
-        text, items = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "array<variant>")
-        if unwrap:
-            text = F.when(F.size(items) == 1, F.try_variant_get(value, "$[0]", "string")).otherwise(text)
-        places = F.transform(items, lambda x, i: F.struct(
-            F.concat(F.lit(f"{path}["), i.cast("string"), F.lit("]")).alias("path"), F.lit("string").alias("type"),
-            F.try_variant_get(x, "$", "string").alias("value")))
-        listed = items.isNotNull() & (F.size(items) != (1 if unwrap else -1))
-        one = F.when(text.isNull(), _leaf(path, "null", F.lit(None))).otherwise(_leaf(path, "string", text))
-        return F.when(listed, F.concat(_leaf(path, "array", F.size(items)), places)).otherwise(one).cast(f"array<{row}>")
+        return F.array(variant_leaf(F.lit(path), value))
     return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(
         _leaf(path, schema.simpleString(), value.cast("string"))
     )
@@ -171,3 +167,43 @@ def _leaf(path: str, kind: str, value: Column) -> Column:
     return F.array(
         F.struct(F.lit(path).alias("path"), F.lit(kind).alias("type"), value.cast("string").alias("value"))
     )
+
+
+def variant_leaf(path: Column, value: Column) -> Column:
+    """``(path, type, value)`` of a variant: the value of a scalar, the text of an object or array (type ``variant``)."""
+    found = F.schema_of_variant(value)
+    kind = (
+        F.when(value.isNull() | (found == "VOID"), "null").when(found.rlike("^(OBJECT|ARRAY)<"), "variant")
+        .when(found.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "number").otherwise(F.lower(found)))
+    text = F.when(kind == "variant", F.to_json(value)).when(kind != "null", F.try_variant_get(value, "$", "string"))
+    return F.struct(path.alias("path"), kind.alias("type"), text.alias("value"))
+
+
+def variant_children(path: Column, value: Column, keyed: Mapping[str, str | Sequence[str]] | None = None, unwrap: bool = False) -> Column:
+    """Array of ``(path, type, value)`` one level below an object or array in a variant; names and places as in ``flatten_paths``."""
+    items, members = F.try_variant_get(value, "$", "array<variant>"), F.try_variant_get(value, "$", "map<string,variant>")
+    plain = F.regexp_replace(path, r"\[[^\]]*\]", "[]")
+
+    def place(x: Column, i: Column) -> Column:
+        out = i.cast("string")
+        for at, member in (keyed or {}).items():
+            if member == "*":
+                key = F.md5(F.to_json(x))
+            else:
+                names = [member] if isinstance(member, str) else member
+                inside = ["$" + "".join(f"['{n}']" for n in name.split(".")) for name in names]
+                key = F.concat_ws("|", *[F.coalesce(F.try_variant_get(x, n, "string"), F.lit("")) for n in inside])
+            out = F.when(plain == at, key).otherwise(out)
+        return out
+
+    def named(e: Column) -> Column:
+        name = F.when(e["key"].rlike(r"[.\[\]`]"), F.concat(F.lit("`"), e["key"], F.lit("`"))).otherwise(e["key"])
+        return variant_leaf(F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name)), e["value"])
+
+    length = F.struct(path.alias("path"), F.lit("array").alias("type"), F.size(items).cast("string").alias("value"))
+    listed = F.concat(F.array(length), F.transform(items, lambda x, i: variant_leaf(F.concat(path, F.lit("["), place(x, i), F.lit("]")), x)))
+    if unwrap:
+        listed = F.when(F.size(items) == 1, F.transform(items, lambda x: variant_leaf(path, x))).otherwise(listed)
+    empty = F.struct(path.alias("path"), F.lit("object").alias("type"), F.lit("{}").alias("value"))
+    held = F.when(F.size(members) == 0, F.array(empty)).otherwise(F.transform(F.map_entries(members), named))
+    return F.when(items.isNotNull(), listed).otherwise(held)

@@ -11,6 +11,7 @@ import time
 
 from pyspark.sql import DataFrame, functions as F
 
+from goldthread.operators import skew
 from goldthread.operators.skew import salted_join, with_group_values
 from goldthread.session import release, stage
 
@@ -43,15 +44,20 @@ def _neighbourhood(edges: DataFrame) -> DataFrame:
     )
 
 
-def _is_star_forest(nodes: DataFrame) -> bool:
-    """Every node has either one parent and no child, or no parent."""
-    return nodes.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+def _progress(nodes: DataFrame) -> tuple[bool, int]:
+    """Whether every node has either one parent and no child, or no parent; and the rows of the node with the most neighbours."""
+    loose = F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))
+    found = nodes.agg(loose.alias("loose"), F.max("_rows").alias("most")).first()
+    return not found["loose"], found["most"] or 0
 
 
-def _large_star(edges: DataFrame, nodes: DataFrame, rows_per_task: int | None) -> DataFrame:
-    """Larger neighbours move to the node's smallest neighbour."""
+def _large_star(edges: DataFrame, nodes: DataFrame, most: int, rows_per_task: int | None) -> DataFrame:
+    """Larger neighbours move to the node's smallest neighbour; nodes with more than ``rows_per_task`` neighbours are cut."""
     larger = _both_ways(edges).filter("v > u")
-    joined = salted_join(larger, nodes.select("u", "m"), ["u"], ["v"], counts=nodes, rows_per_task=rows_per_task)
+    if most <= (skew.ROWS_PER_TASK if rows_per_task is None else rows_per_task):
+        joined = larger.join(nodes.select("u", "m"), "u")
+    else:
+        joined = salted_join(larger, nodes.select("u", "m"), ["u"], ["v"], counts=nodes, rows_per_task=rows_per_task)
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
@@ -76,16 +82,52 @@ def connected_components(
     for turn in range(max_rounds + 1):
         began = time.perf_counter()
         nodes = stage(_neighbourhood(current), "nodes")
-        if _is_star_forest(nodes):
+        done, most = _progress(nodes)
+        if done:
             return nodes.select(F.col("u").alias("node"), F.col("m").alias("root"))
         if turn == max_rounds:
             break
-        done, current = (current, nodes), stage(_small_star(_large_star(current, nodes, rows_per_task)), "edges")
-        release(current.sparkSession, *done)
+        used, current = (current, nodes), stage(_small_star(_large_star(current, nodes, most, rows_per_task)), "edges")
+        release(current.sparkSession, *used)
         log.info("round %d of the components took %.1f s", turn + 1, time.perf_counter() - began)
     raise NotConverged(f"no star forest after {max_rounds} rounds")
 
 
+def root_moves(roots: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> tuple[DataFrame, DataFrame]:
+    """What new ``edges`` change in known components: ``(root, new_root)`` of joined ones, and ``(node, root)`` of new nodes.
+
+    Edges are relabelled by the current roots and only the contracted graph is resolved, so the cost grows with the batch: the known nodes
+    are read once, to find the roots of its ends. ``roots`` has ``node`` and ``root`` (the smallest node).
+    """
+    ends = edges.select(F.col(src).alias("node")).union(edges.select(F.col(dst).alias("node"))).filter("node IS NOT NULL").distinct()
+    ends = stage(ends.join(roots.select("node", "root"), "node", "left").select("node", F.coalesce("root", "node").alias("at"), F.col("root").isNull().alias("new")), "ends")
+    side = lambda name, to: ends.select(F.col("node").alias(name), F.col("at").alias(to))
+    contracted = edges.join(side(src, "_u"), src).join(side(dst, "_v"), dst).select(F.col("_u").alias("src"), F.col("_v").alias("dst"))
+    joined = stage(connected_components(contracted).toDF("root", "new_root"), "moves")
+    fresh = ends.filter("new").join(joined.withColumnRenamed("root", "node"), "node", "left").select("node", F.coalesce("new_root", "node").alias("root"))
+    return joined.join(ends.filter("new").select(F.col("node").alias("root")), "root", "left_anti").filter("root <> new_root"), fresh
+
+
+def add_edges(roots: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``roots`` after new ``edges``: the same as resolving all edges again."""
+    moves, fresh = root_moves(roots, edges, src, dst)
+    kept = salted_join(roots.select("node", "root"), moves, ["root"], ["node"], "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    return kept.unionByName(fresh)
+
+
+def remove_edges(roots: DataFrame, left: DataFrame, removed: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``roots`` after ``removed`` edges went and the edges ``left`` remain: only components that lost an edge are resolved again.
+
+    A node without edges stays as its own root.
+    """
+    ends = removed.select(F.col(src).alias("node")).union(removed.select(F.col(dst).alias("node"))).distinct()
+    hurt = stage(ends.join(roots.select("node", "root"), "node").select("root").distinct(), "hurt")
+    nodes = stage(roots.select("node", "root").join(hurt, "root", "left_semi").select("node"), "hurt-nodes")
+    inside = left.join(nodes.withColumnRenamed("node", src), src, "left_semi")  # both ends of an edge are in one component
+    again = with_singletons(connected_components(inside, src, dst), nodes)
+    return roots.select("node", "root").join(hurt, "root", "left_anti").select("node", "root").unionByName(again.select("node", "root"))
+
+
 def with_singletons(components: DataFrame, nodes: DataFrame, node: str = "node") -> DataFrame:
     """All ``nodes`` with their root; a node without edges is its own root."""
     found = components.select(F.col("node").alias(node), "root")

@@ -7,16 +7,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
 
-from goldthread.functions.jsonfn import flatten_paths, infer_schema
+from goldthread.functions.jsonfn import flatten_paths, infer_schema, variant_children
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.ordering import number_rows
 from goldthread.session import stage
 
 
+_OUTSIDE_NAMES = re.compile(r"`(?:[^`]|``)*`")  # the quoted names of a schema text
+
+
 @dataclass(frozen=True)
 class ChildList:
     """Child rows that become one list of the document: what an element holds, and its order."""
@@ -81,17 +82,37 @@ class CompareRules:
     unwrap_single: bool = False
 
 
+def open_variants(leaves: DataFrame, keys: Sequence[str], keyed: Mapping[str, str | Sequence[str]], unwrap: bool) -> DataFrame:
+    """``leaves`` (``keys, path, type, value``) with those of type ``variant`` replaced by what they hold.
+
+    One level of all documents at a time, by each row's own type; a level is written once, and there are as many as the deepest one has.
+    """
+    done, level = leaves.filter("type <> 'variant'"), stage(leaves.filter("type = 'variant'"), "variants")
+    while not level.isEmpty():
+        below = level.select(*keys, "path", F.parse_json("value").alias("_v"))
+        below = below.select(*keys, F.explode(variant_children(F.col("path"), F.col("_v"), keyed, unwrap)).alias("_l"))
+        below = stage(below.select(*keys, "_l.*"), "variants")
+        done, level = done.unionByName(below.filter("type <> 'variant'")), below.filter("type = 'variant'")
+    return done
+
+
 def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rules: CompareRules) -> DataFrame:
-    """``keys, path, type, value``: one row per leaf of the document; a text that is no JSON is one leaf of type unreadable."""
+    """``keys, path, type, value``: one row per leaf of the document; a text that is no JSON is one leaf of type unreadable.
+
+    What ``ddl`` declares is flattened in one expression. Its variants (members, or whole documents, whose type differs by row) are
+    opened level by level.
+    """
     broken = F.col(json).isNotNull() & F.try_parse_json(F.col(json)).isNull()
-    body = df.select(*keys, F.from_json(json, ddl).alias("_d"), F.when(broken, F.col(json)).alias("_text"))
-    schema = body.schema["_d"].dataType
-    assert isinstance(schema, StructType)
+    parsed = F.try_parse_json(F.col(json)) if ddl == "VARIANT" else F.from_json(json, ddl)
+    body = df.select(*keys, parsed.alias("_d"), F.when(broken, F.col(json)).alias("_text"))
     places = {**(rules.keyed or {}), **dict.fromkeys(rules.unordered, "*")}
-    flat = flatten_paths(schema, F.col("_d"), keyed=places, unwrap=rules.unwrap_single)
+    flat = flatten_paths(body.schema["_d"].dataType, F.col("_d"), keyed=places, unwrap=rules.unwrap_single)
     unread = F.array(F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("type"), F.col("_text").alias("value")))
     leaves = body.select(*keys, F.explode(F.when(F.col("_text").isNotNull(), unread).otherwise(flat)).alias("_l"))
-    leaves = leaves.select(*keys, "_l.*").withColumn("_plain", F.regexp_replace("path", r"\[[^\]]*\]", "[]"))
+    leaves = leaves.select(*keys, "_l.*")
+    if "VARIANT" in _OUTSIDE_NAMES.sub("", ddl):
+        leaves = open_variants(leaves, keys, places, rules.unwrap_single)
+    leaves = leaves.withColumn("_plain", F.regexp_replace("path", r"\[[^\]]*\]", "[]"))
     for path in rules.ignore:
         leaves = leaves.filter(~F.col("_plain").rlike(rf"^{re.escape(path)}([.\[]|$)"))
     if rules.trim:
@@ -107,23 +128,75 @@ def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rule
     ).withColumn("value", F.when(F.col("_filled") > 0, F.col("value"))).drop("_filled")
 
 
-def _greedy(pairs: pd.DataFrame) -> pd.DataFrame:
-    """Of the candidate pairs of one list, best first, those whose elements are both free."""
-    pairs = pairs.sort_values(["_n", "_left", "_right"], ascending=[False, True, True])
-    lefts, rights, keep = set(), set(), []
-    for a, b in zip(pairs["_left"], pairs["_right"]):
-        keep.append(a not in lefts and b not in rights)
-        if keep[-1]:
-            lefts.add(a)
-            rights.add(b)
-    return pairs[keep].drop(columns="_n")
+PAIRS_PER_LEAF = 1024  # a leaf whose free elements make more pairs is common: it pairs by rank, never with all
+
+
+def _dominant(edges: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A matching of weighted ``edges`` (``names, _left, _right, _n``): what taking the heaviest edge first gives.
+
+    Rounds over all lists at once: an edge that is the best of both its ends is taken, the edges of matched elements go.
+    Equal weights are ordered by a hash of the edge, so the rounds are few however many ties a list has.
+    """
+    order = F.struct((-F.col("_n")).alias("w"), F.xxhash64("_left", "_right").alias("h"), "_left", "_right")
+    edges, found = stage(edges.withColumn("_order", order), "edges"), None
+    while not edges.isEmpty():
+        best = lambda side: edges.groupBy(*names, side).agg(F.min("_order").alias("_order"))
+        tops = best("_left").select(*names, "_order").intersect(best("_right").select(*names, "_order"))
+        taken = stage(tops.select(*names, "_order._left", "_order._right"), "matched")
+        found = taken if found is None else found.unionByName(taken)
+        for side in ("_left", "_right"):
+            edges = edges.join(taken.select(*names, side), [*names, side], "left_anti")
+        edges = stage(edges, "edges")
+    return found
+
+
+def _by_rank(lefts: DataFrame, rights: DataFrame, groups: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The first element of each group on one side with the first on the other, and so on; numbered without gathering a group."""
+    left, right = number_rows(lefts, ["_left"], groups, "_i"), number_rows(rights, ["_right"], groups, "_i")
+    return left.join(right.select(*groups, "_i", "_right"), [*groups, "_i"]).select(*names, "_left", "_right")
+
+
+def match_elements(lefts: DataFrame, rights: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``names, _left, _right``: elements of two sides of a list paired by equal leaves, each at most once.
+
+    ``lefts`` and ``rights`` hold ``names`` (of the list), ``_left`` or ``_right`` and ``_leaf``, one row per leaf. Rare leaves first: where a
+    leaf's free elements make at most ``PAIRS_PER_LEAF`` pairs, these are weighed by all their equal leaves and matched (:func:`_dominant`). When only
+    common leaves are left, elements with the same open leaves are paired by rank, then those with the same rarest leaf. So
+    work grows with the leaves, also where all elements of a long list share one.
+    """
+    names = list(names)
+    key = [*names, "_leaf"]
+    found = None
+    lefts, rights = stage(lefts, "lefts"), stage(rights, "rights")
+    while True:
+        sizes = lefts.groupBy(*key).agg(F.count(F.lit(1)).alias("_l")).join(rights.groupBy(*key).agg(F.count(F.lit(1)).alias("_r")), key)
+        sizes = stage(sizes.select(*key, (F.col("_l") * F.col("_r")).alias("_pairs")), "leaf-sizes")
+        top = sizes.agg(F.count(F.lit(1)).alias("n"), F.min("_pairs").alias("least")).first()
+        if not top["n"]:
+            return found if found is not None else lefts.join(rights, key).select(*names, "_left", "_right").limit(0)
+        if top["least"] <= PAIRS_PER_LEAF:
+            rare = sizes.filter(F.col("_pairs") <= PAIRS_PER_LEAF).select(*key)
+            near = stage(lefts.join(rare, key).join(rights, key).select(*names, "_left", "_right").distinct(), "near")
+            equal = near.join(lefts, [*names, "_left"]).join(rights, [*names, "_right", "_leaf"])
+            taken = _dominant(equal.groupBy(*names, "_left", "_right").agg(F.count(F.lit(1)).alias("_n")), names)
+        else:
+            open_ = lambda rows, side: stage(rows.join(sizes, key).groupBy(*names, side).agg(
+                F.xxhash64(F.sort_array(F.collect_list("_leaf"))).alias("_all"), F.min(F.struct("_pairs", "_leaf")).getField("_leaf").alias("_rarest"),
+            ), "open")
+            a, b = open_(lefts, "_left"), open_(rights, "_right")
+            taken = stage(_by_rank(a, b, [*names, "_all"], names), "matched")
+            a, b = a.join(taken, [*names, "_left"], "left_anti"), b.join(taken, [*names, "_right"], "left_anti")
+            taken = taken.unionByName(stage(_by_rank(a, b, [*names, "_rarest"], names), "matched"))
+        found = taken if found is None else found.unionByName(taken)
+        lefts = stage(lefts.join(taken, [*names, "_left"], "left_anti"), "lefts")
+        rights = stage(rights.join(taken, [*names, "_right"], "left_anti"), "rights")
 
 
 def align_unordered(a: DataFrame, b: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
     """``b`` with the elements of the unordered list ``path`` renamed after the elements of ``a`` they are closest to.
 
-    An element's place is the hash of its content, so equal elements agree already; the others are paired by the number of
-    equal leaves.
+    An element's place is the hash of its content, so equal elements agree already; the others are paired by equal leaves
+    (:func:`match_elements`), all lists of all documents at once.
     """
     inside = re.escape(path).replace(re.escape("[]"), r"\[[^\]]*\]")
     form = rf"^({inside})\[([0-9a-f]{{32}})\](.*)$"
@@ -136,10 +209,10 @@ def align_unordered(a: DataFrame, b: DataFrame, keys: Sequence[str], path: str)
 
     lefts, rights = split(a, "_left"), split(b, "_right")
     only = lambda x, y, n, m: x.join(y.select(*names, F.col(m).alias(n)).distinct(), [*names, n], "left_anti")
-    mine, theirs = only(lefts, rights, "_left", "_right"), only(rights, lefts, "_right", "_left")
-    shared = mine.join(theirs, [*names, "_sub", "value"]).groupBy(*names, "_left", "_right").agg(F.count(F.lit(1)).alias("_n"))
-    schema = shared.drop("_n").schema
-    pairs = shared.groupBy(*names).applyInPandas(_greedy, schema).withColumnsRenamed({"_list": "_l2"})
+    leaf = F.sha2(F.concat_ws("\u001f", "_sub", "value"), 256).alias("_leaf")
+    mine, theirs = (x.filter("value IS NOT NULL").select(*names, n, leaf) for x, n in (
+        (only(lefts, rights, "_left", "_right"), "_left"), (only(rights, lefts, "_right", "_left"), "_right")))
+    pairs = match_elements(mine, theirs, names).withColumnsRenamed({"_list": "_l2"})
     marked = b.withColumns({"_l": part(1), "_r": part(2), "_s": part(3)})
     joined = marked.join(pairs.withColumnsRenamed({"_l2": "_l", "_right": "_r"}), [*keys, "_l", "_r"], "left")
     moved = F.concat("_l", F.lit("["), "_left", F.lit("]"), "_s")
@@ -157,7 +230,7 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
     if latest:
         columns = [*keys, json]  # written once: read for the schema and again for the leaves
         left, right = (stage(latest_per_key(d, keys, latest).select(*columns), "documents") for d in (left, right))
-    ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json, "VARIANT" if rules.unwrap_single else "STRING")
+    ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json, "VARIANT")
     a, b = (document_paths(d, keys, json, ddl, rules) for d in (left, right))
     for path in sorted(rules.unordered, key=len):  # outer lists first: inner ones are compared inside paired elements
         a, b = stage(a, "leaves"), stage(b, "leaves")

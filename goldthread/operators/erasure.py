@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,6 +14,7 @@ from goldthread.operators.keys import derived_key
 from goldthread.operators.merge import delete_where, update_where
 from goldthread.operators.ordering import number_rows
 from goldthread.operators.projection import encrypt
+from goldthread.session import stage
 
 
 def due_requests(requests: DataFrame, now: Column, grace: str = "grace_date", completed: DataFrame | None = None,
@@ -115,6 +118,43 @@ def cascade_delete(keys: DataFrame, tables: Mapping[str, Cascade]) -> dict[str,
     return out
 
 
+@dataclass(frozen=True)
+class KeyLink:
+    """Rows of ``child`` go with the rows of ``parent`` that they point to: child column -> parent column."""
+
+    parent: str
+    child: str
+    on: Mapping[str, str]
+
+
+def _parents_first(links: Sequence[KeyLink]) -> list[str]:
+    ahead = {name: {k.parent for k in links if k.child == name} for k in links for name in (k.parent, k.child)}
+    try:
+        return list(TopologicalSorter(ahead).static_order())
+    except CycleError as circle:
+        raise ValueError(f"the key links go round in a circle: {circle.args[1]}") from None
+
+
+def cascade_graph(tables: Mapping[str, DataFrame], links: Sequence[KeyLink], seeds: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every table without the rows that the ``seeds`` reach over the ``links``.
+
+    ``seeds`` name the rows to delete in some tables by columns of these. Tables are taken parents first. Of the rows a table
+    loses only the columns that its children point to are written, so a layer that is reached through the ids of another one needs no
+    keys from the caller. A null points to nothing. Links that go round in a circle are refused.
+    """
+    out = dict(tables)
+    lost: dict[str, list[DataFrame]] = {name: [rows.distinct()] for name, rows in seeds.items()}
+    for name in [*(n for n in seeds if all(n not in (k.parent, k.child) for k in links)), *_parents_first(links)]:
+        gone = lost.get(name, [])
+        for keys in gone:
+            out[name] = out[name].join(keys, keys.columns, "left_anti")
+        for link in (k for k in links if k.parent == name and gone):
+            hit = reduce(DataFrame.unionByName, [tables[name].join(keys, keys.columns, "left_semi").select(*link.on.values()) for keys in gone])
+            keys = stage(hit.na.drop().distinct().select(*[F.col(theirs).alias(own) for own, theirs in link.on.items()]), "gone-keys")
+            lost.setdefault(link.child, []).append(keys)
+    return out
+
+
 def split_by_retention(table: DataFrame, ts: str, cutoff: Column) -> tuple[DataFrame, DataFrame]:
     """(rows to archive, rows to keep). A row without a timestamp is kept."""
     old = F.coalesce(F.col(ts) < cutoff, F.lit(False))

@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from goldthread.operators.asof import as_of_join
 from goldthread.operators.dedup import latest_per_key
-from goldthread.operators.skew import group_values, join_groups
+from goldthread.operators.merge import check_unique
+from goldthread.operators.skew import group_values, join_groups, salted_join
 from goldthread.session import stage
 
 HISTORY_ID_LENGTH = 36  # ids shorter than a uuid come from the first load and are the oldest
@@ -97,26 +99,37 @@ def attach_by_lookup(
     return out.withColumn(name, F.coalesce(*found)).drop(*found)
 
 
-def final_keys(key_map: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """``old_key, new_key`` with every chain followed to its end (A to B and B to C give A to C).
+def final_keys(moves: DataFrame, run: str = "run", max_rounds: int = 64) -> DataFrame:
+    """``old_key, new_key`` over several runs of re-keying: where a key that stood before the first run is after the last one.
 
-    Each round doubles the steps taken, so a chain of n keys needs log2(n) rounds; a cycle is refused.
+    ``moves`` has ``run, old_key, new_key``. One run is a simultaneous map; only a later run moves a key on. A to B in run 1 and B to C in run 2
+    take A to C; in the other order A ends at B, and a swap stays a swap. Two moves of a key in one run are refused. A move is followed
+    by the first later move of its new key (an as-of join); the chain's length is bounded by the runs, and each round doubles the steps.
     """
-    now = stage(key_map.select("old_key", "new_key"), "key-map")
+    given = stage(moves.select(F.col(run).alias("run"), "old_key", "new_key").distinct(), "moves")
+    check_unique(given, ["run", "old_key"])
+    onward = given.select(F.col("old_key").alias("key"), F.col("run").alias("_at"), F.struct("run", "old_key").alias("_move"))
+    linked = as_of_join(given.withColumn("key", F.col("new_key")), onward, ["key"], "run", "_at", {"next": "_move"}, strict=True, forward=True)
+    now = stage(linked.select(F.struct("run", "old_key").alias("move"), "next", "new_key"), "moves")
     for _ in range(max_rounds):
-        onward = now.select(F.col("old_key").alias("new_key"), F.col("new_key").alias("_next"))
-        if now.join(onward, "new_key", "left_semi").isEmpty():
-            return now
-        now = stage(now.join(onward, "new_key", "left").select("old_key", F.coalesce("_next", "new_key").alias("new_key")), "key-map")
-        if not now.filter("old_key = new_key").isEmpty():
-            break
-    raise ValueError("the key map has a cycle")
+        if now.filter("next IS NOT NULL").isEmpty():
+            first = now.groupBy("move.old_key").agg(F.min_by("new_key", "move.run").alias("new_key"))
+            return first.select("old_key", "new_key")
+        ahead = now.select(F.col("move").alias("next"), F.col("next").alias("_next"), F.col("new_key").alias("_key"))
+        step = salted_join(now, ahead, ["next"], ["move"], "left")
+        now = stage(step.select("move", F.col("_next").alias("next"), F.coalesce("_key", "new_key").alias("new_key")), "moves")
+    raise ValueError(f"the moves are not followed to their end after {max_rounds} rounds")
 
 
 def repoint(df: DataFrame, key: str, key_map: DataFrame) -> DataFrame:
-    """Replace ``key`` by its latest successor; ``key_map`` has unique ``old_key`` and ``new_key`` and may hold chains."""
-    m = final_keys(key_map).select(F.col("old_key").alias(key), F.col("new_key").alias("_new"))
-    return df.join(m, key, "left").withColumn(key, F.coalesce("_new", key)).select(*df.columns)
+    """Replace ``key`` by its successor, one step: ``key_map`` (``old_key, new_key``) is what one run of re-keying did, all at once.
+
+    A to B and B to A is a swap. Two successors of one key are refused. For several runs give ``final_keys`` of their moves. A
+    key with very many rows is cut.
+    """
+    step = stage(key_map.select(F.col("old_key").alias(key), F.col("new_key").alias("_new")).distinct(), "key-map")
+    check_unique(step, [key])
+    return salted_join(df, step, [key], df.columns, "left").withColumn(key, F.coalesce("_new", key)).select(*df.columns)
 
 
 def key_changes(assigned: DataFrame, old: str, new: str, order: Sequence[Column]) -> DataFrame:

@@ -145,9 +145,10 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str], or
     """Rows of ``source`` whose key the target lacks, one per key: what an insert-only merge appends.
 
     Of several rows for a key the first in ``order`` wins, then the smallest by all columns, so every run inserts the same.
+    Nulls in keys are values, so a second run inserts nothing.
     """
     fresh = latest_per_key(source, keys, [*order, *[F.col(c).asc() for c in source.columns]])
-    return fresh.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+    return fresh.alias("s").join(target.select(*keys).alias("t"), null_safe("s", "t", keys), "left_anti").select(*source.columns)
 
 
 def delete_keys(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:

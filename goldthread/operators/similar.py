@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from goldthread.functions.similarity import jaro_winkler, levenshtein_similarity
+from goldthread.functions.similarity import BOOST_ABOVE, PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler, levenshtein_similarity
 
 _EPS = 1e-9
 
@@ -76,66 +76,75 @@ def edit_similar(names: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-# Fixed value: letters from rare to common; any fixed order gives the same result.
-_RARE_FIRST = "ZQXJKVBPYGFWMUCLDRHSNIOATE"
+FREQUENT_TOKENS = 256  # so many most frequent tokens get a rank; all others are rarer than these
 
 
-def _jaro_floor(threshold: float) -> float:
-    """Least Jaro value a pair with this Jaro-Winkler value can have."""
-    return threshold if threshold <= 0.7 else max(0.7, (threshold - 0.4) / 0.6)
+def _jaro_floor(threshold: float, prefix: int) -> float:
+    """Least Jaro value of a pair with this Jaro-Winkler value whose common prefix (at most 4 counted) has this length."""
+    boost = prefix * PREFIX_WEIGHT
+    return threshold if threshold <= BOOST_ABOVE else max(BOOST_ABOVE, (threshold - boost) / (1 - boost))
 
 
 def _char_tokens(text: Column) -> Column:
-    """Characters numbered by occurrence (``a1``, ``a2``), rare letters first: a set standing for the multiset."""
+    """Characters numbered by occurrence (``a1``, ``a2``): a set standing for the multiset."""
     chars = F.split(text, "")
-    counted = F.transform(
-        chars,
-        lambda c, i: F.struct(
-            F.instr(F.lit(_RARE_FIRST), F.upper(c)).alias("rank"), c.alias("c"),
-            F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).alias("n"),
-        ),
-    )
-    return F.array_sort(counted)
+    numbered = F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(numbered)
+
+
+def _rare_first(texts: DataFrame) -> Column:
+    """The most frequent tokens as a constant, rare ones first; a bounded number, whatever the alphabet."""
+    counts = texts.select(F.explode(_char_tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect()
+    return F.array(*[F.lit(r["token"]) for r in reversed(top)]).cast("array<string>")
 
 
 def jaro_candidates(names: DataFrame, threshold: float) -> DataFrame:
     """Pairs ``(block, id_a, id_b)``, ``id_a < id_b``, that hold every pair of texts with Jaro-Winkler >= threshold.
 
-    ``names`` has ``(block, id, text)``; an id may have several texts (first and last name). Two texts of
-    lengths x and y need at least c*x*y/(x+y) common characters, so their token prefixes must meet.
+    ``names`` has ``(block, id, text)``; an id may have several texts (first and last name). Two texts with l common letters
+    at the start need a Jaro value that falls with l, and so a number of common characters, which are the l letters and characters
+    of what follows. So texts are joined, for each l up to 4, by those letters and by one of the rarest characters that follow: as many as the
+    least number of common ones leaves open, which depends on which text is longer. A pair is taken at its first common character,
+    if enough follow and all common characters together are enough; so it is met once, and what is scored could be similar.
     """
-    need = 3 * _jaro_floor(threshold) - 1
-    if need <= 1:
+    needs = [3 * _jaro_floor(threshold, n) - 1 for n in range(PREFIX_LENGTH + 1)]
+    if min(needs) <= 1:
         raise ValueError("threshold too low: no pair can be ruled out without comparing all pairs")
-    sized = names.filter(F.length("text") > 0).select("block", "id", F.length("text").alias("len"), _char_tokens(F.col("text")).alias("tokens"))
+    sized = names.filter(F.length("text") > 0).select("block", "id", "text", F.length("text").alias("len"))
+    ranks = _rare_first(sized)
+
+    def level(n: int) -> Column:
+        rest = _char_tokens(F.substring("text", n + 1, 1 << 30))
+        ordered = F.array_sort(F.transform(rest, lambda t: F.struct(F.array_position(ranks, t).alias("r"), t.alias("t"))))
+        return F.when(F.col("len") >= n, F.struct(
+            F.lit(n).alias("n"), F.lit(needs[n]).alias("need"), F.substring("text", 1, n).alias("head"), F.transform(ordered, lambda x: x["t"]).alias("rest")))
+
+    levels = F.filter(F.array(*[level(n) for n in range(PREFIX_LENGTH + 1)]), lambda x: x.isNotNull())
+    rows = sized.select("block", "id", "text", "len", F.explode(levels).alias("_l")).select("block", "id", "text", "len", "_l.*")
+
+    def common(x: Column, y: Column) -> Column:
+        """How many characters of the rests must be common."""
+        return F.ceil(F.col("need") * x * y / (x + y) - F.lit(_EPS)).cast("int") - F.col("n")
+
+    def by_token(least: Column, side: str) -> DataFrame:
+        prefix = F.when(least > 0, F.slice("rest", F.lit(1), F.greatest(F.lit(0), F.size("rest") - least + 1))).otherwise(F.concat("rest", F.array(F.lit(""))))
+        out = rows.select("block", "n", "need", "head", "id", "text", "len", "rest", F.posexplode(prefix).alias("at", "token"))
+        return out.withColumnsRenamed({c: f"{c}_{side}" for c in ("id", "text", "len", "rest", "at")})
+
     length = F.col("len")
-    present = [r["len"] for r in sized.select("len").distinct().orderBy("len").collect()]  # text lengths: a few integers
-    low, high = F.ceil(length * F.lit(need - 1) - F.lit(_EPS)), F.ceil(length / F.lit(need - 1))
-    others = F.filter(F.array(*[F.lit(n) for n in present]), lambda n: n.between(low, high))
-
-    def prefix(other: Column) -> Column:
-        common = F.ceil(F.lit(need) * length * other / (length + other) - F.lit(_EPS)).cast("int")
-        keep = F.greatest(F.lit(0), length - common + 1)
-        usable = F.when(common <= F.least(length, other), keep).otherwise(F.lit(0))
-        return F.transform(
-            F.slice("tokens", F.lit(1), usable),
-            lambda t: F.struct(
-                F.least(length, other).alias("lo"), F.greatest(length, other).alias("hi"),
-                t["c"].alias("c"), t["n"].alias("n"),
-            ),
-        )
-
-    tokens = sized.select(
-        "block", "id", "len", F.explode(F.flatten(F.transform(others, prefix))).alias("t")
-    ).select("block", "id", "len", "t.*")
-    left = tokens.filter("len = lo").select("block", "lo", "hi", "c", "n", F.col("id").alias("x"))
-    right = tokens.filter("len = hi").select("block", "lo", "hi", "c", "n", F.col("id").alias("y"))
-    return (
-        left.join(right, ["block", "lo", "hi", "c", "n"])
-        .filter("x <> y")
-        .select("block", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-        .distinct()
-    )
+    shortest = F.greatest(F.col("n"), F.ceil(length * (F.col("need") - 1) - F.lit(_EPS)).cast("int"), F.lit(1))
+    longer, shorter = by_token(common(length, shortest), "x"), by_token(common(length, length), "y").drop("need")
+    needed = common(F.col("len_x"), F.col("len_y"))
+    left = F.least(F.size("rest_x") - F.col("at_x"), F.size("rest_y") - F.col("at_y"))
+    met = longer.join(shorter, ["block", "n", "head", "token"]).filter(
+        ((F.col("len_x") > F.col("len_y")) | ((F.col("len_x") == F.col("len_y")) & (F.col("id_x") < F.col("id_y")))) & (F.col("id_x") != F.col("id_y")))
+    after = lambda c: F.substr(c, F.col("n") + 1, F.lit(1))
+    whole_prefix = (F.col("n") == PREFIX_LENGTH) | (F.col("len_y") == F.col("n")) | (after(F.col("text_x")) != after(F.col("text_y")))
+    met = met.filter(whole_prefix & (needed <= F.col("len_y") - F.col("n")) & ((F.col("token") == "") | (left >= needed)))
+    met = met.withColumn("shared", F.array_intersect("rest_x", "rest_y"))
+    met = met.filter((F.coalesce(F.get("shared", F.lit(0)), F.lit("")) == F.col("token")) & (F.size("shared") >= needed))
+    return met.select("block", F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b")).distinct()
 
 
 def weighted_name_score(pairs: DataFrame, a: tuple[str, ...], b: tuple[str, ...], weights: tuple[float, ...]) -> DataFrame:

@@ -10,6 +10,7 @@ from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.merge import merge_two_keys
 from goldthread.plans.fixtures import CHAIN, KEYED_CTE, keyed, profiles
 from goldthread.plans.registry import Tables, plain, query
+from goldthread.session import stage
 
 
 def _config(*rows) -> list[dict]:
@@ -66,6 +67,52 @@ def components_chain(t: Tables) -> DataFrame:
     return cc.connected_components(t.sql(CHAIN))
 
 
+# Edges of three batches between customers: each batch adds paths of other lengths, and edges between what earlier ones joined.
+_GROWING = """
+SELECT a.c_custkey AS src, b.c_custkey AS dst, CAST(CASE WHEN b.c_custkey % 3 <> 0 THEN 0 WHEN b.c_custkey % 9 <> 0 THEN 1 ELSE 2 END AS INT) AS batch
+FROM {customer} a JOIN {customer} b ON b.c_custkey = a.c_custkey + 1 WHERE b.c_custkey % 45 <> 0
+UNION ALL SELECT c_custkey, c_custkey - 90, 2 FROM {customer} WHERE c_custkey % 180 = 135
+UNION ALL SELECT c_custkey, c_custkey, 1 FROM {customer} WHERE c_custkey % 45 = 7
+"""
+_GROWN = f"""
+WITH RECURSIVE e AS ({plain(_GROWING)}), cuts AS (SELECT unnest([0, 1, 2])::INT AS upto),
+pairs AS (SELECT src, dst, batch FROM e UNION SELECT dst, src, batch FROM e),
+nodes AS (SELECT DISTINCT upto, src AS node FROM pairs, cuts WHERE batch <= upto),
+reach AS (SELECT upto, node, node AS other FROM nodes UNION SELECT r.upto, r.node, b.dst FROM reach r JOIN pairs b ON b.src = r.other AND b.batch <= r.upto)
+SELECT upto AS batch, node, min(other) AS root FROM reach GROUP BY ALL"""
+
+
+@query("er8_incremental", _GROWN)
+def components_grown(t: Tables) -> DataFrame:
+    """The components after each of three batches; each batch meets only the roots of the one before."""
+    edges, out = stage(t.sql(_GROWING), "growing"), None
+    roots = t.spark.createDataFrame([], "node bigint, root bigint")
+    for batch in range(3):
+        roots = stage(cc.add_edges(roots, edges.filter(F.col("batch") == batch)), "roots")
+        now = roots.select(F.lit(batch).alias("batch"), "node", "root")
+        out = now if out is None else out.unionByName(now)
+    return out
+
+
+@query("er16_removed_edges", f"""
+WITH RECURSIVE e AS ({plain(_GROWING)}), cuts AS (SELECT unnest([0, 1, 2])::INT AS gone),
+pairs AS (SELECT src, dst, batch FROM e UNION SELECT dst, src, batch FROM e), nodes AS (SELECT DISTINCT gone, src AS node FROM pairs, cuts),
+reach AS (SELECT gone, node, node AS other FROM nodes UNION SELECT r.gone, r.node, b.dst FROM reach r JOIN pairs b ON b.src = r.other AND b.batch < 3 - r.gone)
+SELECT gone, node, min(other) AS root FROM reach GROUP BY ALL""")
+def components_shrunk(t: Tables) -> DataFrame:
+    """All edges, then without the last batch, then without the last two; only components that lost an edge are resolved again."""
+    edges, out = stage(t.sql(_GROWING), "growing"), None
+    ends = edges.select(F.col("src").alias("node")).union(edges.select("dst"))
+    roots = stage(cc.with_singletons(cc.connected_components(edges), ends), "roots")
+    for gone in range(3):
+        if gone:
+            batch = F.col("batch")
+            roots = stage(cc.remove_edges(roots, edges.filter(batch < 3 - gone), edges.filter(batch == 3 - gone)), "roots")
+        now = roots.select(F.lit(gone).alias("gone"), "node", "root")
+        out = now if out is None else out.unionByName(now)
+    return out
+
+
 @query("ag3_component_size", _CONTACT_PAIRS + ", s AS (SELECT root, count(*) AS n FROM roots GROUP BY root) SELECT CAST(n AS BIGINT) AS group_size, count(*) AS groups FROM s GROUP BY n")
 def component_size_counts(t: Tables) -> DataFrame:
     return cc.component_sizes(_contact_components(t)).groupBy("group_size").agg(F.count(F.lit(1)).alias("groups"))
@@ -425,11 +472,33 @@ def clashing(t: Tables) -> DataFrame:
 @query("er15_key_chain", """
 SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 THEN o_custkey ELSE o_custkey - o_custkey % 7 END AS owner_key FROM orders""")
 def key_chain(t: Tables) -> DataFrame:
-    """Every key that is no multiple of 7 moved to the one below it: chains of up to six steps."""
+    """Runs 1 to 6: the keys with that remainder, from 6 down, move to the one below: chains of up to six steps."""
     moves = t.orders.select(F.col("o_custkey").alias("c")).distinct()
     steps = moves.withColumn("old_key", F.explode(F.sequence(F.col("c") - F.col("c") % 7, F.col("c")))).filter("old_key % 7 <> 0")
-    key_map = steps.select("old_key", (F.col("old_key") - 1).alias("new_key")).distinct()
-    return ky.repoint(t.orders.select("o_orderkey", F.col("o_custkey").alias("owner_key")), "owner_key", key_map)
+    runs = steps.select((7 - F.col("old_key") % 7).alias("run"), "old_key", (F.col("old_key") - 1).alias("new_key")).distinct()
+    return ky.repoint(t.orders.select("o_orderkey", F.col("o_custkey").alias("owner_key")), "owner_key", ky.final_keys(runs))
+
+
+@query("er15_swap", """
+SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN o_custkey + 1 ELSE o_custkey - 1 END AS owner_key FROM orders""")
+def key_swap(t: Tables) -> DataFrame:
+    """One run in which each even key and the next odd one change places."""
+    other = F.col("o_custkey") + F.when(F.col("o_custkey") % 2 == 0, 1).otherwise(-1)
+    swaps = t.orders.select(F.col("o_custkey").alias("old_key"), other.alias("new_key"))
+    return ky.repoint(t.orders.select("o_orderkey", F.col("o_custkey").alias("owner_key")), "owner_key", swaps)
+
+
+_RUNS = """SELECT DISTINCT CAST(o_custkey % 3 AS INT) AS run, o_custkey AS old_key, o_custkey + CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE 3 END AS new_key FROM {orders}"""
+
+
+@query("er15_simultaneous", f"""
+WITH RECURSIVE m AS ({plain(_RUNS)}), walk AS (
+  SELECT o_orderkey, o_custkey AS owner_key, -1 AS done FROM orders
+  UNION ALL SELECT o_orderkey, coalesce(m.new_key, owner_key), done + 1 FROM walk LEFT JOIN m ON m.old_key = owner_key AND m.run = done + 1 WHERE done < 2)
+SELECT o_orderkey, owner_key FROM walk WHERE done = 2""")
+def key_runs(t: Tables) -> DataFrame:
+    """Three runs: a move into a key that the same or an earlier run re-keys ends there, a later run moves it on."""
+    return ky.repoint(t.orders.select("o_orderkey", F.col("o_custkey").alias("owner_key")), "owner_key", ky.final_keys(t.sql(_RUNS)))
 
 
 _PROGRAMS = "SELECT o_custkey AS owner, o_orderpriority AS program, o_orderdate FROM {orders}"

@@ -11,7 +11,7 @@ from goldthread.operators.sharing import number_files
 from goldthread.plans.registry import Tables, query
 from goldthread.session import new_path
 from goldthread.sources import files as fs, history as hs, jdbc, snapshots as sn, topics as tp
-from goldthread.streaming import ingest
+from goldthread.streaming import ingest, state as st
 
 
 def _at(text: str) -> F.Column:
@@ -118,6 +118,22 @@ def stream_view(t: Tables) -> DataFrame:
 _CUTS = ("2024-01-09", "2024-01-16")
 
 
+@query("str3_keyed_state", """
+SELECT user_id, arg_max(event_id, struct_pack(t := ts, i := event_id)) AS event_id, max(ts) AS ts FROM events
+GROUP BY user_id HAVING arg_max(event_type, struct_pack(t := ts, i := event_id)) <> 'error'""")
+def keyed_state(t: Tables) -> DataFrame:
+    """The middle of the events, then the early ones (late), then the first ones once more and the rest, in three runs of one checkpoint."""
+    spark, schema = t.spark, t.events.schema
+    source, target, checkpoint = (new_path(spark, n) for n in ("keyed-in", "keyed-out", "keyed-checkpoint"))
+    first, second = (_at(c) for c in _CUTS)
+    ts = F.col("ts")
+    for rows in ((ts >= first) & (ts < second), ts < first, ts >= first):
+        t.events.filter(rows).coalesce(1).write.mode("append").parquet(source)
+        stream = ingest.file_stream(spark, source, schema, files_per_batch=1)
+        st.keep_newest(stream, checkpoint, target, ["user_id"], "ts", ["event_id"], F.col("event_type") == "error", late="90 days")
+    return st.current_state(spark, target, schema, ["user_id"], "ts", ["event_id"]).select("user_id", "event_id", "ts")
+
+
 @query("src6_two_checkpoints", "SELECT event_id, user_id, value FROM events")
 def two_checkpoints(t: Tables) -> DataFrame:
     """Two queries with checkpoints of their own fill one target from overlapping sources; every message is stored once."""
@@ -330,6 +346,21 @@ def partition_overwrite(t: Tables) -> DataFrame:
     return t.spark.read.schema(fresh.schema).parquet(path).select(*columns)
 
 
+@query("snk2_null_partition", """
+SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderpriority >= '4' AND o_orderkey % 4 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE NOT (o_orderpriority = '4-NOT SPECIFIED' AND o_orderkey % 4 = 0)""")
+def null_partition(t: Tables) -> DataFrame:
+    """A merge that changes some rows of the null partition, and deletes some of another one; all other rows stay."""
+    keys, path = ["o_orderkey", "o_orderpriority"], new_path(t.spark, "null-parts")
+    priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    rows = t.orders.select("o_orderkey", "o_totalprice", priority.alias("o_orderpriority"))
+    rows.write.partitionBy("o_orderpriority").parquet(path)
+    some = rows.filter("o_orderkey % 4 = 0 AND coalesce(o_orderpriority, '4') LIKE '4%'").withColumn("o_totalprice", F.lit(0.0))
+    sn.merge_partitions(t.spark, path, some, keys, ["o_orderpriority"], null_safe_keys=True, delete_when=lambda target, source: target["o_orderpriority"].isNotNull())
+    return t.spark.read.schema(rows.schema).parquet(path).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
 # --- history loads
 
 @query("hl1_history_load", """

@@ -201,6 +201,24 @@ def cascade(t: Tables) -> DataFrame:
     return dq.table_counts(left)
 
 
+@query("an8_key_graph", """
+WITH n AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 1), c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (FROM n)),
+s AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (FROM n) OR s_acctbal < 0), o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (FROM c))
+SELECT 'nation' AS table_name, count(*) AS rows FROM nation WHERE n_nationkey NOT IN (FROM n) UNION ALL SELECT 'customer', count(*) FROM customer WHERE c_custkey NOT IN (FROM c)
+UNION ALL SELECT 'supplier', count(*) FROM supplier WHERE s_suppkey NOT IN (FROM s) UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderkey NOT IN (FROM o)
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_orderkey NOT IN (FROM o) AND l_suppkey NOT IN (FROM s)
+UNION ALL SELECT 'events', count(*) FROM events WHERE user_id NOT IN (FROM c)""")
+def cascade_layers(t: Tables) -> DataFrame:
+    """Nations go, and all that points to them over up to three other layers; some suppliers are named themselves."""
+    names = ("nation", "customer", "supplier", "orders", "lineitem", "events")
+    links = [
+        er.KeyLink("orders", "lineitem", {"l_orderkey": "o_orderkey"}), er.KeyLink("customer", "orders", {"o_custkey": "c_custkey"}),
+        er.KeyLink("nation", "customer", {"c_nationkey": "n_nationkey"}), er.KeyLink("nation", "supplier", {"s_nationkey": "n_nationkey"}),
+        er.KeyLink("supplier", "lineitem", {"l_suppkey": "s_suppkey"}), er.KeyLink("customer", "events", {"user_id": "c_custkey"})]
+    seeds = {"nation": t.nation.filter("n_regionkey = 1").select("n_nationkey"), "supplier": t.supplier.filter("s_acctbal < 0").select("s_suppkey")}
+    return dq.table_counts(er.cascade_graph({n: getattr(t, n) for n in names}, links, seeds))
+
+
 @query("an9_encrypted_and_complete", f"""
 SELECT o_orderkey, CASE WHEN o_custkey IN ({_GONE}) THEN 'COMPLETE' ELSE 'OPEN' END AS status, o_custkey IN ({_GONE}) AS is_hidden, o_custkey::VARCHAR AS plain_id FROM orders""")
 def encrypted(t: Tables) -> DataFrame:

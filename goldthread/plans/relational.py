@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from goldthread.functions import text as tx
 from goldthread.operators import dedup as dd, ordering as od, quality as dq, survive as sv
+from goldthread.operators.asof import as_of_join
 from goldthread.operators.skew import with_group_values
 from goldthread.plans.fixtures import KEYED_CTE, MESSAGES_CTE, PROFILES_CTE, keyed, messages, profiles
 from goldthread.plans.registry import Tables, query
@@ -97,6 +98,23 @@ def unknown_key(t: Tables) -> DataFrame:
     return out.select("src_id", "n")
 
 
+_SHARED = "CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END"
+
+
+@query("jn17_value_at_time", f"""
+WITH e AS (SELECT {_SHARED} AS k, event_id, ts, event_type = 'signup' AS is_value FROM events),
+u AS (SELECT *, last_value(CASE WHEN is_value THEN event_id END IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, is_value DESC, event_id ROWS UNBOUNDED PRECEDING) AS before,
+ last_value(CASE WHEN is_value THEN event_id END IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts DESC, is_value DESC, event_id ROWS UNBOUNDED PRECEDING) AS after FROM e)
+SELECT event_id, before AS last_signup, after AS next_signup FROM u WHERE NOT is_value""")
+def value_at_time(t: Tables) -> DataFrame:
+    """For each event the last sign-up of its key until then and the next one; a third of the rows have one key."""
+    e = t.events.select("event_id", "ts", "event_type", F.expr(_SHARED).alias("k"))
+    signups = e.filter("event_type = 'signup'").select("k", F.col("ts").alias("since"), "event_id")
+    out = as_of_join(e.filter("event_type <> 'signup'"), signups, ["k"], "ts", "since", {"last_signup": "event_id"}, ties=["event_id"])
+    out = as_of_join(out, signups, ["k"], "ts", "since", {"next_signup": "event_id"}, forward=True, ties=["event_id"])
+    return out.select("event_id", "last_signup", "next_signup")
+
+
 @query("jn17_dimension_enrichment", """
 SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def enrichment(t: Tables) -> DataFrame:

@@ -272,6 +272,45 @@ def odd_names(t: Tables) -> DataFrame:
     return dc.document_diff(_payloads(t, body(F.lit(1))), _payloads(t, body(other)), ["o_orderkey"], "payload")
 
 
+def _texts(t: Tables, body: Column) -> DataFrame:
+    return t.orders.select("o_orderkey", body.alias("payload"))
+
+
+@query("dq9_root_list", """
+SELECT o_orderkey, kind, CASE kind WHEN 'list' THEN '[1].q' ELSE '' END AS path, 'value' AS difference, o_orderkey::VARCHAR AS left_value, (o_orderkey + 1)::VARCHAR AS right_value
+FROM orders, (VALUES ('list'), ('scalar'), ('mixed')) v(kind) WHERE o_orderkey % 2 = 0 AND (kind <> 'mixed')
+UNION ALL SELECT o_orderkey, 'mixed', CASE WHEN o_orderkey % 3 = 0 THEN '[1].q' ELSE '' END, 'value', o_orderkey::VARCHAR, (o_orderkey + 1)::VARCHAR FROM orders WHERE o_orderkey % 2 = 0""")
+def root_list(t: Tables) -> DataFrame:
+    """Documents whose root is a list, a scalar, or either."""
+    key = F.col("o_orderkey")
+    other = F.when(key % 2 == 0, key + 1).otherwise(key)
+    listed = lambda v: F.concat(F.lit('[{"p":"x"},{"q":'), v.cast("string"), F.lit("}]"))
+    bodies = {"list": listed, "scalar": lambda v: v.cast("string"), "mixed": lambda v: F.when(key % 3 == 0, listed(v)).otherwise(v.cast("string"))}
+    out = None
+    for kind, body in bodies.items():
+        found = dc.document_diff(_texts(t, body(key)), _texts(t, body(other)), ["o_orderkey"], "payload")
+        found = found.select("o_orderkey", F.lit(kind).alias("kind"), "path", F.col("kind").alias("difference"), "left_value", "right_value")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query("dq9_mixed_members", """
+WITH k AS (SELECT o_orderkey, o_orderkey % 4 AS r FROM orders)
+SELECT o_orderkey, 'm.a.y[b].v' AS path, 'value' AS kind, '1' AS left_value, '2' AS right_value FROM k WHERE r = 1
+UNION ALL SELECT o_orderkey, 'm.a', 'value', '7', '8' FROM k WHERE r = 2
+UNION ALL SELECT o_orderkey, 'm.a', 'missing_right', '7', NULL FROM k WHERE r = 3
+UNION ALL SELECT o_orderkey, 'm.a.`x.z`', 'missing_left', NULL, 'w' FROM k WHERE r = 3""")
+def mixed_members(t: Tables) -> DataFrame:
+    """Member a is an object in some rows and a number in others: members in another order (0), a nested change (1), another number (2), another type (3)."""
+    r = F.col("o_orderkey") % 4
+    left = F.when(r <= 1, F.lit('{"m":{"a":{"x":1,"y":[{"k":"a","v":0},{"k":"b","v":1}]}}}')).otherwise(F.lit('{"m":{"a":7}}'))
+    right = (
+        F.when(r == 0, F.lit('{"m":{"a":{"y":[{"k":"b","v":1},{"v":0,"k":"a"}],"x":1}}}')).when(r == 1, F.lit('{"m":{"a":{"y":[{"k":"b","v":2},{"k":"a","v":0}],"x":1}}}'))
+        .when(r == 2, F.lit('{"m":{"a":8}}')).otherwise(F.lit('{"m":{"a":{"x.z":"w"}}}')))
+    rules = dc.CompareRules(keyed={"m.a.y": "k"})
+    return dc.document_diff(_texts(t, left), _texts(t, right), ["o_orderkey"], "payload", rules)
+
+
 # --- master maintenance
 
 @query("ms1_parent_upsert", f"""

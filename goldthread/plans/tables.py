@@ -97,6 +97,18 @@ def insert_only(t: Tables) -> DataFrame:
     return mg.insert_missing(old.select(*keys), fresh.select(*keys), keys)
 
 
+@query("snk10_null_keys", f"""
+WITH m AS (SELECT user_id, CASE WHEN value < 50 THEN NULL ELSE event_type END AS event_type, ts FROM events)
+SELECT user_id, event_type, 'inserted' AS part FROM (SELECT user_id, event_type FROM m EXCEPT SELECT user_id, event_type FROM m WHERE ts < {_AT})""")
+def insert_null_keys(t: Tables) -> DataFrame:
+    """Keys that hold nulls; the same insert again finds nothing to do."""
+    m = t.events.withColumn("event_type", F.when(F.col("value") >= 50, F.col("event_type"))).select("user_id", "event_type", "ts")
+    old, fresh = m.filter(F.col("ts") < _split()).select(*_KEY), m.select(*_KEY)
+    once = mg.insert_missing(old, fresh, _KEY)
+    again = mg.insert_missing(old.unionByName(once), fresh, _KEY)
+    return once.withColumn("part", F.lit("inserted")).unionByName(again.withColumn("part", F.lit("again")))
+
+
 @query("snk10_insert_winner", f"""
 WITH m AS (SELECT user_id, event_type, CAST(floor(value / 10) AS BIGINT) AS slot, event_id, value, ts FROM events),
 w AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, slot ORDER BY value DESC, event_id) AS n FROM m WHERE ts >= {_AT})

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from goldthread.operators.changes import first_version, snapshot_diff
 from goldthread.operators.merge import merge
+from goldthread.operators.skew import null_safe
 from goldthread.session import stage
 
 _LOG = "versions"
@@ -64,13 +65,14 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("the keys must hold the partition columns")
-    touched = source.select(*partition_by).distinct()
-    target = spark.read.schema(source.schema).parquet(path).join(touched, list(partition_by), "left_semi")
+    touched = source.select(*partition_by).distinct().alias("touched")
+    here = null_safe("target", "touched", partition_by)  # a null is a partition too
+    target = spark.read.schema(source.schema).parquet(path).alias("target").join(touched, here, "left_semi")
     merged = stage(merge(target.select(*source.columns), source, keys, **options), "merged-partitions")
-    left = merged.select(*partition_by).distinct()
+    left = merged.select(*partition_by).distinct().alias("left")
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
-    rows = spark.read.schema(source.schema).parquet(path).select(*partition_by, folder).distinct()
-    emptied = rows.join(touched, list(partition_by), "left_semi").join(left, list(partition_by), "left_anti")
+    rows = spark.read.schema(source.schema).parquet(path).select(*partition_by, folder).distinct().alias("target")
+    emptied = rows.join(touched, here, "left_semi").alias("target").join(left, null_safe("target", "left", partition_by), "left_anti")
     emptied = [r["_folder"] for r in emptied.select("_folder").collect()]  # folders of partitions without a row left
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     for name in emptied:  # an overwrite replaces only partitions that it has rows for

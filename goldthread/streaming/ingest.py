@@ -12,6 +12,7 @@ from pyspark.sql.types import DateType, StringType, StructType
 from goldthread.operators.changes import snapshot_diff
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.merge import upsert_newer
+from goldthread.operators.skew import null_safe
 from goldthread.session import stage
 
 BATCH, DAY, VERSION = "ingest_batch", "ingest_day", "state_version"
@@ -64,7 +65,7 @@ def insert_batch(target: str, keys: Sequence[str], order: Sequence[str] = (), da
             span = fresh.agg(F.min(DAY).alias("low"), F.max(DAY).alias("high")).first()
             if span["low"] is not None:
                 seen = seen.filter(F.col(DAY).between(F.lit(span["low"]), F.lit(span["high"])) | F.col(DAY).isNull())
-            fresh = fresh.join(seen.select(*keys), list(keys), "left_anti")
+            fresh = fresh.alias("f").join(seen.select(*keys).alias("s"), null_safe("f", "s", keys), "left_anti")
         rows = fresh.withColumn(BATCH, F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         rows.partitionBy(DAY, BATCH).parquet(target)
 
