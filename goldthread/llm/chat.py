@@ -70,22 +70,25 @@ def format_chats(turns: DataFrame, learned: str = LEARNED) -> DataFrame:
 
 
 def parse(formatted: DataFrame) -> DataFrame:
-    """The turns of formatted conversations: conv_id, i (from 0), role, text, and loss (whether a span covers the text)."""
+    """The turns of formatted conversations: conv_id, i (from 0), role, text, and loss (whether a span covers the text).
+
+    Turns and spans are rows and meet by (conversation, start), so a row carries its own text and nothing of its conversation.
+    """
     blocks = F.split("formatted", r"<\|im_end\|>\n", -1)
-    cut = formatted.select("conv_id", "loss", F.posexplode(F.slice(blocks, 1, F.size(blocks) - 1)).alias("b", "block"))
+    cut = formatted.select("conv_id", F.posexplode(F.slice(blocks, 1, F.size(blocks) - 1)).alias("b", "block"))
     head = F.substring_index("block", "\n", 1)
     role = unescape(F.replace(F.substring(head, F.lit(len(START) + 1), F.char_length(head)), F.lit(NEWLINE), F.lit("\n")))
     texts = F.split(F.substring(F.col("block"), F.char_length(head) + 2, F.char_length("block")), r"<\|im_sep\|>", -1)
-    turns = cut.select("conv_id", "loss", "b", F.char_length(head).alias("head"), role.alias("role"), F.posexplode(texts).alias("k", "text"))
+    turns = cut.select("conv_id", "b", F.char_length(head).alias("head"), role.alias("role"), F.posexplode(texts).alias("k", "text"))
     before = F.when(F.col("k") == 0, F.col("head") + 1).otherwise(F.lit(len(SEP)))
     after = F.lit(len(END) + 1)
     order = Window.partitionBy("conv_id").orderBy("b", "k")
     so_far = F.sum(before + F.char_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     placed = turns.withColumn("until", so_far + F.col("b") * after).withColumn("i", F.row_number().over(order) - 1)
     placed = placed.withColumn("start", F.col("until") - F.char_length("text"))
-    spans = F.map_from_entries(F.array_distinct(F.transform("loss", lambda s: F.struct(s["start"], s["end"]))))
-    masked = F.coalesce(F.element_at(spans, F.col("start")) == F.col("until"), F.lit(False))
-    return placed.select("conv_id", "i", "role", unescape(F.col("text")).alias("text"), masked.alias("loss"))
+    spans = formatted.select(F.col("conv_id").alias("_conv"), F.explode("loss").alias("s")).select("_conv", F.col("s.start").alias("_start"), F.col("s.end").alias("_end")).distinct()
+    covers = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("start") == F.col("_start")) & (F.col("until") == F.col("_end"))
+    return placed.join(spans, covers, "left").select("conv_id", "i", "role", unescape(F.col("text")).alias("text"), F.col("_start").isNotNull().alias("loss"))
 
 
 def chat_report(turns: DataFrame) -> DataFrame:

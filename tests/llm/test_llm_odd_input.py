@@ -339,3 +339,32 @@ def test_pipeline_on_odd_rows(spark, docs, none):
             now = step(spark, now, folder)
             assert now.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, now, folder).count() == now.count()
+
+
+@pytest.mark.parametrize("name,cuts", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_tokens_of_two_tokenizers(name, cuts):
+    """Chunks are cached only where the tokenizer treats them on their own; the ids are those of the whole text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    encoder, whole = token_files.Encoder(path), Tokenizer.from_file(path)
+    texts = ["Two  WORDS", " a\n\nB\tc ", "d'été, 12.5%!", "", "The <|endoftext|> mark", PROSE, "x" * 5000 + " Y"] * 2
+    assert encoder.cuts == cuts
+    assert [i.tolist() for i in encoder.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_long_conversations(spark):
+    """Time grows in proportion to the turns of one conversation; 100,000 turns come back whole."""
+    import time
+
+    def report(n):
+        turns = spark.range(n).selectExpr("7L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('turn <|im_sep|> ', id) AS text")
+        began = time.perf_counter()
+        row = chat.chat_report(turns).first()
+        assert row.n_turns == n and row.loss_chars == sum(len(f"turn <|im_sep|> {i}") for i in range(1, n, 2))
+        return time.perf_counter() - began
+
+    report(1000)
+    short, long = report(10_000), report(100_000)
+    assert long < 20 * short + 5 and long < 60
