@@ -5,10 +5,12 @@ What a stage returns is written as Parquet and read again as the documents of th
 the columns of ``documents``:
 
 1. quality rules: rejected documents go;
-2. near-dedup: of each group of near duplicates the document with the smallest id stays;
+2. near-dedup: of each group of near duplicates (similarity ``NEAR_PERCENT`` and more) the document with the smallest id stays;
 3. decontamination: documents that hold a benchmark passage go;
 4. mixing: a document appears as often as the mix takes it;
 5. sharding: doc_id, size, text_crc32, law, shard, slot and grown_shard of every row of the mix.
+
+What a stage staged for itself, and the documents that it read, are removed once its result is written.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from goldthread.llm import decontaminate, line_rules, mix, near_dup, ring
-from goldthread.session import stage
+from goldthread.session import new_path, release, work_scope
+
+NEAR_PERCENT = 80
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.keep_one(docs)
+    return near_dup.keep_one(docs, NEAR_PERCENT)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +55,12 @@ ORACLE_SQL: str | None = None  # the cube method and the forest are not SQL; tes
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_path(spark, name.replace(" ", "-"))
+        with work_scope(spark):
+            found = step(spark, docs, sf_dir)
+            found.write.parquet(path)
+        release(spark, *read)
+        docs, read = spark.read.schema(found.schema).parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)
