@@ -1,12 +1,12 @@
 """Quality rules: text statistics, and lines that too many documents of a host share.
 
 Lines are normalised (A-Z lower, white space single) and hashed; a line that more distinct documents of a host
-hold than the limit is removed from all of them but the one with the smallest id. A document that loses
-most of its words this way is depleted and rejected, as is one that fails the statistics. Copies with the very
-same text count as one document.
+hold than the limit is removed from all of them but the one with the smallest id. The limit is a number of documents, whatever
+the size of the host. A document that loses most of its words this way is depleted and rejected, as is one that fails the
+statistics. Copies with the very same text count as one document.
 
 Counting is partially aggregated and keyed by (host, line, text), so neither a hot host nor a hot line gathers in
-one task; texts are read once and only hashes are shuffled.
+one task; the lines meet the frequent ones with hot lines cut in parts. Texts are read once and only hashes are shuffled.
 
 Defined cases: a null text has no words (and fails the statistics); null is a host of its own; a null id counts as
 the smallest; repeated rows are judged one by one, alike; an empty table gives an empty result; other columns are ignored.
@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.llm.rows import id_text, text_key, with_id, without
 from goldthread.llm.words import hash_runs, hashed_texts, pieces, words_of
+from goldthread.operators.skew import salted_join
 from goldthread.session import stage
 
 MIN_WORDS = 50
 MIN_DOCS = 20
-HOST_SHARE = 0.01
 KEEP_SHARE = 0.3
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -79,25 +79,27 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def judge(
-    docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE,
+    docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, host_share: float = 0.0,
     keep_share: float = KEEP_SHARE, min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """Statistics, ``removed_words``, ``removed_lines`` (numbers of the lines with words, from 0), ``base_failed`` and ``kept``.
 
-    A line goes when more than ``min_docs`` and more than ``host_share`` of the host's documents hold it; a document
-    stays when at least ``keep_share`` of its words remain.
+    A line goes when more than ``min_docs`` of the host's documents hold it; a document stays when at least ``keep_share`` of its
+    words remain. A ``host_share`` above 0 spares lines that no larger share of the host holds: then the limit grows with the host.
     """
     measured = stage(measure(docs, host).withColumn("_host", F.struct("host")), "measured")
     lines = measured.select(
         "_row", "_host", "text_key", "doc_id", F.posexplode(F.arrays_zip("lines", "line_words")).alias("pos", "line"),
     ).select("_row", "_host", "text_key", "doc_id", "pos", F.col("line.lines").alias("line"), F.col("line.line_words").alias("words"))
-    owned = lines.groupBy("_host", "line", "text_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    shared = owned.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"))
-    hosts = measured.select("_host", "text_key").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"))
-    frequent = shared.filter(F.col("n_docs") > min_docs).join(hosts, "_host")
-    frequent = frequent.filter(F.col("n_docs") > F.col("host_docs") * host_share)
-    frequent = stage(frequent.select("_host", "line", F.col("first.text_key").alias("owner")), "frequent")
-    removed = lines.join(frequent, ["_host", "line"]).filter("text_key <> owner").groupBy("_row").agg(
+    owned = lines.groupBy("_host", "line", "text_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("_rows"))
+    shared = owned.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"), F.sum("_rows").alias("_rows"))
+    frequent = shared.filter(F.col("n_docs") > min_docs)
+    if host_share > 0:
+        hosts = measured.select("_host", "text_key").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"))
+        frequent = frequent.join(hosts, "_host").filter(F.col("n_docs") > F.col("host_docs") * host_share)
+    frequent = stage(frequent.select("_host", "line", F.col("first.text_key").alias("owner"), "_rows"), "frequent")
+    found = salted_join(lines, frequent.drop("_rows"), ["_host", "line"], ["_row", "pos"], counts=frequent)
+    removed = found.filter("text_key <> owner").groupBy("_row").agg(
         F.sum("words").alias("removed_words"), F.array_sort(F.collect_set("pos")).alias("removed_lines"),
     )
     out = measured.drop("lines", "line_words").join(removed, "_row", "left")

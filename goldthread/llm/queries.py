@@ -41,11 +41,8 @@ WITH docs AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY r
 ), shared AS (
   SELECT source, norm, count(DISTINCT t) AS n_docs, arg_min(t, doc_id) AS owner FROM full_lines GROUP BY source, norm
-), hosts AS (
-  SELECT source, count(DISTINCT t) AS host_docs FROM docs GROUP BY source
 ), frequent AS (
-  SELECT s.source, norm, owner FROM shared s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
-  WHERE n_docs > 20 AND n_docs > host_docs * 0.01
+  SELECT source, norm, owner FROM shared WHERE n_docs > 20
 ), removed AS (
   SELECT r, sum(n) AS n FROM full_lines l JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm
   WHERE l.t <> f.owner GROUP BY r

@@ -1,9 +1,10 @@
 """A deterministic, sharded WARC writer and its reader.
 
-Pages are cut into id ranges of one width, which holds about ``shard_bytes`` of payload on average and depends on the
-data alone (ids are distinct numbers, so a range cannot crowd). A task writes its ranges one after the other, sorted by id and digest, every record as a gzip member of its own, and begins a new file when the compressed
-size passes ``roll_bytes``. Headers and digests are made anew from the payload; nothing in a file depends on time, task or
-attempt.
+Pages are sorted by id and digest and cut into ranges of about ``shard_bytes``: where the running sum of their bytes passes a
+multiple of it, so the cuts depend on the data alone, and far ids, clusters of ids and many null ids leave ranges even. There are at most
+``MAX_RANGES`` ranges, so that their borders can be sent to every task; larger archives get larger ranges. A task writes a range in
+order, every record as a gzip member of its own, and begins a new file when the compressed size passes ``roll_bytes``. Headers
+and digests are made anew from the payload; nothing in a file depends on time, task or attempt.
 
 Copies: of records with one payload that with the largest page_id is the response, the others are revisits that
 refer to it. The largest id per digest is found on (id, digest) pairs; its revisits travel as markers in the same sort as
@@ -30,19 +31,23 @@ import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.llm.files import make_folder, open_store, rename
+from goldthread.operators.ordering import running_sum
 from goldthread.session import new_path, stage
 
 SHARD_BYTES = 32 << 20
+MAX_RANGES = 65_536
+RECORD_BYTES = 512  # what a record takes besides its payload
 ROLL_BYTES = 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MANIFEST = "range bigint, roll int, temporary string, file string, n_records bigint, n_bytes bigint, sha1 string"
+MANIFEST = "range int, roll int, temporary string, file string, n_records bigint, n_bytes bigint, sha1 string"
 RECORD = (
     "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, html string, "
     "file string, offset bigint"
@@ -159,15 +164,30 @@ def _write(folder: str, roll_bytes: int):
     return run
 
 
-def id_ranges(sizes: DataFrame, shard_bytes: int) -> tuple[int, int]:
-    """``(low, width)``: ids from ``low`` on, cut every ``width``, hold about ``shard_bytes`` where they are evenly dense."""
-    row = sizes.agg(
-        F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum("payload_bytes").alias("bytes"),
-    ).first()
-    if row["low"] is None:
-        return 0, 1
-    shards = max(1, -(-row["bytes"] // shard_bytes))
-    return row["low"], max(1, -(-(row["high"] - row["low"] + 1) // shards))
+def sort_key() -> Column:
+    """A text that sorts like (page_id, sha1), null ids first."""
+    number = F.lpad(F.hex(F.col("page_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.coalesce(number, F.lit("")), F.lit("/"), F.col("sha1"))
+
+
+def range_borders(digests: DataFrame, shard_bytes: int) -> list[str]:
+    """The least :func:`sort_key` of each range of about ``shard_bytes``; at most ``MAX_RANGES``."""
+    sized = digests.select(sort_key().alias("key"), (F.col("payload_bytes") + RECORD_BYTES).alias("bytes"))
+    total = sized.agg(F.sum("bytes")).first()[0] or 0
+    width = max(shard_bytes, -(-total // MAX_RANGES))
+    at = running_sum(sized, "bytes", ["key"]).select("key", F.floor((F.col("running") - F.col("bytes")) / F.lit(width)).alias("range"))
+    return sorted(r["key"] for r in at.groupBy("range").agg(F.min("key").alias("key")).collect())
+
+
+def in_range(borders: list[str]) -> Column:
+    """The number of the range that holds the row's sort key."""
+    places = np.array(borders, dtype=object)
+
+    @F.pandas_udf("int")
+    def number(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(np.searchsorted(places, keys.to_numpy(dtype=object), side="right") - 1, 0))
+
+    return number(sort_key())
 
 
 def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, parts: int | None = None) -> DataFrame:
@@ -181,15 +201,15 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, ro
         F.sha1(html.cast("binary")).alias("sha1"),
     )
     digests = stage(whole.select("page_id", "sha1", F.octet_length("html").cast("bigint").alias("payload_bytes")), "digests")
-    low, width = id_ranges(digests, shard_bytes)
+    borders = range_borders(digests, shard_bytes)
     latest = digests.groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     revisits = digests.select("page_id", "sha1").distinct().join(latest, "sha1").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     markers = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit("").alias("html"), "sha1", "refers_to")
     rows = whole.withColumn("refers_to", F.lit(None).cast("bigint")).withColumn("marker", F.lit(False)).unionByName(
         markers.withColumn("marker", F.lit(True)))
-    rows = rows.withColumn("range", F.coalesce(F.floor((F.col("page_id") - low) / F.lit(width)), F.lit(-1)).cast("bigint"))
+    rows = rows.withColumn("range", in_range(borders))
     sequence = ["range", F.col("page_id").asc_nulls_first(), "sha1", F.col("marker").desc(), "url"]
-    sorted_rows = rows.repartition(parts, "range").sortWithinPartitions(*sequence)
+    sorted_rows = rows.repartitionById(max(1, len(borders)), F.col("range")).sortWithinPartitions(*sequence)  # a task per range
     text = F.col("page_id").cast("string").alias("page_id"), F.col("refers_to").cast("string").alias("refers_to")  # a null would make floats
     sorted_rows = sorted_rows.select("range", *text, "url", "html", "sha1", "marker")
     written = stage(sorted_rows.mapInPandas(_write(folder, roll_bytes), MANIFEST), "warc-files")

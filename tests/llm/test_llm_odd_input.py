@@ -113,6 +113,19 @@ def test_frequent_lines(spark):
     assert text == body(5)
 
 
+def test_frequent_lines_of_a_large_host(spark, monkeypatch):
+    """A banner of 100 documents goes, however many documents the host has; so it does where its rows are cut in parts."""
+    from goldthread.operators import skew
+
+    banner = "please accept our cookies " * 10
+    rows = [(k, (f"{banner}\n" if k % 25 == 0 else "") + " ".join(f"w{k}x{j}" for j in range(60)), "h") for k in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {k: 40 if k % 25 == 0 and k else 0 for k in range(2500)}
+    assert {r.doc_id: r.removed_words for r in line_rules.judge(df).collect()} == want
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
+    assert {r.doc_id: r.removed_words for r in line_rules.judge(df).collect()} == want
+
+
 def test_decontamination(spark, docs, none):
     item = " ".join(f"word{i}" for i in range(5, 17))
     items = spark.createDataFrame([
@@ -327,6 +340,18 @@ def test_archive(spark, tmp_path):
     assert warc.archive_report(df.filter("false")).count() == 0
 
 
+def test_archive_ranges_are_even(spark, tmp_path):
+    """One id far away, ids in two clusters, and many null ids: ranges are cut by bytes."""
+    rows = [(i, "u", f"page {i} " * 40) for i in range(2000)] + [(10**15, "u", "far"), *((10**9 + i, "u", f"x{i} " * 60) for i in range(2000))]
+    rows += [(None, "u", f"no id {i} " * 30) for i in range(4000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write_warc(df, f"{tmp_path}/a", shard_bytes=300_000, roll_bytes=1 << 20)
+    sizes = [r.n for r in manifest.groupBy("range").agg(F.sum("n_records").alias("n")).collect()]
+    assert len(sizes) > 8 and max(sizes) < 2.5 * sum(sizes) / len(sizes) and sum(sizes) == len(rows)
+    read = warc.read_warc(manifest)
+    assert sorted(((r.page_id is None, r.page_id or 0, r.html) for r in read.collect())) == sorted((i is None, i or 0, h) for i, _, h in rows)
+
+
 def test_pipeline_on_odd_rows(spark, docs, none):
     items = spark.createDataFrame([(1, "no such words are in it")], "item_id long, text string")
     import tempfile

@@ -170,7 +170,7 @@ def test_pipeline(spark):
     con = duck(FOLDER)
     kept = {d for d, in con.sql(f"SELECT doc_id FROM ({LLM_ORACLES['op8_line_frequency']}) WHERE kept").fetchall()}
     sets = {d: five_words(docs[d]["text"]) for d in kept}
-    root = groups(sets, 85)
+    root = groups(sets, corpus_pipeline.NEAR_PERCENT)
     kept = {d for d in kept if root[d] == d}
     bad = {d for d, in con.sql(f"SELECT doc_id FROM ({LLM_ORACLES['op7_prefix_decontaminate']}) WHERE contaminated").fetchall()}
     kept -= bad
@@ -181,6 +181,7 @@ def test_pipeline(spark):
         assert now.columns == frames[""].columns
     assert sorted(r.doc_id for r in now.collect()) == sorted(kept)
     assert all(r.asDict() == docs[r.doc_id] for r in now.collect())
+    assert corpus_pipeline.NEAR_PERCENT == 80
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     times = collections.Counter(r.doc_id for r in rows)
     assert set(times) <= kept and set(times.values()) <= {1, 2}
