@@ -147,7 +147,7 @@ def cascade_graph(tables: Mapping[str, DataFrame], links: Sequence[KeyLink], see
     for name in [*(n for n in seeds if all(n not in (k.parent, k.child) for k in links)), *_parents_first(links)]:
         gone = lost.get(name, [])
         for keys in gone:
-            out[name] = out[name].join(keys, keys.columns, "left_anti")
+            out[name] = out[name].join(keys, keys.columns, "left_anti").select(*tables[name].columns)
         for link in (k for k in links if k.parent == name and gone):
             hit = reduce(DataFrame.unionByName, [tables[name].join(keys, keys.columns, "left_semi").select(*link.on.values()) for keys in gone])
             keys = stage(hit.na.drop().distinct().select(*[F.col(theirs).alias(own) for own, theirs in link.on.items()]), "gone-keys")
