@@ -40,13 +40,14 @@ LEAST_COUNT = 3
 NOISE = 97
 FLUSH_WORDS = 500_000
 SAMPLE_WORDS = 262_144
-CELL_WORDS = 8192
-LEAF_WORDS = 32
-BLOCK_WORDS = 16_384
-BLOCK_QUERIES = 65_536
-COMPARED = 2_000_000  # pairs of vectors compared at once
+CELL_WORDS = 16_384
+LEAF_WORDS = 64
+BLOCK_WORDS = 32_768
+BLOCK_QUERIES = 131_072
+COMPARED = 4_000_000  # pairs of vectors compared at once
 LETTERS = 26 + 64  # a-z and U+00C0 to U+00FF
 REPLACED, INSERTED = (1, 1), (1, 0)  # letters that the other word may have more, and fewer
+_ORDERED = np.uint64((1 << 52) - 1)  # the marks of a-z: more letters, more marks
 _RUNS = re.compile("[a-zÀ-ÿ]+")
 
 
@@ -88,7 +89,8 @@ def letter_counts(points: np.ndarray) -> np.ndarray:
     """The letter-count vector of each row."""
     letters = np.where(points < 0xC0, points - 97, points - 0xC0 + 26)
     places = np.arange(len(points))[:, None] * LETTERS + letters
-    return np.bincount(places.ravel(), minlength=len(points) * LETTERS).reshape(-1, LETTERS).astype(np.int32)
+    counts = np.bincount(places.ravel(), minlength=len(points) * LETTERS).reshape(-1, LETTERS)
+    return counts.astype(np.int8 if points.shape[1] < 120 else np.int32)
 
 
 class KdTree:
@@ -101,19 +103,23 @@ class KdTree:
     def _build(self, vectors: np.ndarray, rows: np.ndarray, leaf_size: int):
         if len(rows) > leaf_size:
             mine = vectors[rows]
-            middle = np.sort(mine, axis=0)[(len(rows) - 1) // 2]
-            plane = np.maximum(np.minimum(middle, mine.max(axis=0) - 1), 0)  # never the highest count: both sides get rows
-            left = (mine <= plane).sum(axis=0)
-            best = int(np.argmin(np.maximum(left, len(rows) - left)))
-            if 0 < left[best] < len(rows):
-                side = mine[:, best] <= plane[best]
-                return best, int(plane[best]), self._build(vectors, rows[side], leaf_size), self._build(vectors, rows[~side], leaf_size)
+            low, high = mine.min(axis=0), mine.max(axis=0)
+            planes = [low, np.minimum(low + 1, high)]  # counts are small: one of the first planes is near the median
+            if (high - low).max() > 3:
+                planes.append(np.sort(mine, axis=0)[(len(rows) - 1) // 2])
+            left = np.stack([(mine <= plane).sum(axis=0) for plane in planes])
+            left[left == len(rows)] = 0  # both sides must get rows
+            which, letter = np.unravel_index(np.argmax(np.minimum(left, len(rows) - left)), left.shape)
+            if left[which, letter]:
+                plane = int(planes[which][letter])
+                side = mine[:, letter] <= plane
+                return int(letter), plane, self._build(vectors, rows[side], leaf_size), self._build(vectors, rows[~side], leaf_size)
         self.leaves.append(rows)
         return len(self.leaves) - 1
 
     def search(self, queries: np.ndarray, more: int, fewer: int) -> Iterator[tuple[int, np.ndarray]]:
         """``(leaf, rows of queries)`` where the leaf's box has a vector with at most ``more`` letters added and ``fewer`` removed."""
-        zero = np.zeros(len(queries), np.int32)
+        zero = np.zeros(len(queries), queries.dtype)
         stack = [(self.root, np.arange(len(queries)), zero, zero, {}, {})]
         while stack:
             node, rows, added, removed, low, high = stack.pop()
@@ -134,6 +140,37 @@ class KdTree:
             stack.append((right, rows[at], up[at], removed[at], low | {letter: plane + 1}, high))
 
 
+class BoxedTree(KdTree):
+    """A tree whose nodes know the box of their rows, as the marks (:func:`_marks`) that any and that all of them have."""
+
+    def __init__(self, vectors: np.ndarray, marks: np.ndarray, leaf_size: int):
+        super().__init__(vectors, leaf_size)
+        self.marks = marks & _ORDERED
+        self.boxes = self._box(self.root)
+
+    def _box(self, node):
+        if isinstance(node, tuple):
+            left, right = self._box(node[2]), self._box(node[3])
+            return left[0] | right[0], left[1] & right[1], left, right
+        held = self.marks[self.leaves[node]]
+        return np.bitwise_or.reduce(held, initial=0), np.bitwise_and.reduce(held) if len(held) else _ORDERED, node
+
+    def search_boxes(self, queries: np.ndarray, more: int, fewer: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Like ``search``, for the marks of queries: a box is out of reach when it lacks, or adds, more than the edit may."""
+        queries = queries & _ORDERED
+        stack = [(self.boxes, np.arange(len(queries)))]
+        while stack:
+            (any_, all_, *below), rows = stack.pop()
+            mine = queries[rows]
+            near = (np.bitwise_count(mine & ~any_) <= fewer) & (np.bitwise_count(all_ & ~mine) <= more)
+            rows = rows[near]
+            if len(rows):
+                if len(below) == 1:
+                    yield below[0], rows
+                else:
+                    stack += [(child, rows) for child in below]
+
+
 def fit_trees(words: DataFrame) -> dict[int, KdTree]:
     """The upper tree of each length of the sample, without the sample's rows."""
     share = min(1.0, SAMPLE_WORDS / max(1, words.count()))
@@ -151,12 +188,17 @@ def fit_trees(words: DataFrame) -> dict[int, KdTree]:
 def _route(trees: dict[int, KdTree]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for length, same in batch.groupby(batch["word"].str.len()):
-                vectors = letter_counts(code_points(list(same["word"])))
+            lengths, found = batch["word"].str.len().to_numpy(), []
+            for length in np.unique(lengths).tolist():
+                own = np.flatnonzero(lengths == length)
+                vectors = letter_counts(code_points(batch["word"].iloc[own].tolist()))
                 for to, more, fewer, query in ((length, 0, 0, False), (length, *REPLACED, True), (length + 1, *INSERTED, True)):
-                    places = trees[to].search(vectors, more, fewer) if to in trees else [(0, np.arange(len(same)))]
-                    for cell, rows in places:
-                        yield same.iloc[rows].assign(length=to, cell=cell, query=query)[["length", "cell", "query", "word", "n"]]
+                    places = trees[to].search(vectors, more, fewer) if to in trees else [(0, np.arange(len(own)))]
+                    found += [(own[rows], to, cell, query) for cell, rows in places]
+            sizes = [len(rows) for rows, *_ in found]
+            out = batch.iloc[np.concatenate([rows for rows, *_ in found])] if found else batch
+            columns = {name: np.repeat([f[i + 1] for f in found], sizes) for i, name in enumerate(("length", "cell", "query"))}
+            yield pd.DataFrame(columns | {"word": out["word"].to_numpy(), "n": out["n"].to_numpy()})
 
     return run
 
@@ -170,32 +212,59 @@ def _same_but_one(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return head + tail >= a.shape[1]
 
 
-def near_rows(asked: np.ndarray, held: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of ``asked`` and ``held`` (code points, one length each) that are one edit apart."""
+def _marks(counts: np.ndarray) -> np.ndarray:
+    """64 bits: two for each of a-z (at least one, at least two of it), twelve shared by the other letters (odd). A count that changes
+    by one changes at most one bit, so the bits in which two words differ are at most their vectors' distance."""
+    bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    plain, other = counts[:, :26], counts[:, 26:]
+    marks = np.where(plain > 0, bit[:26], np.uint64(0)).sum(axis=1) | np.where(plain > 1, bit[26:52], np.uint64(0)).sum(axis=1)
+    return marks | np.bitwise_xor.reduce(np.where(other & 1, bit[52 + np.arange(64) % 12], np.uint64(0)), axis=1)
+
+
+def _halves(points: np.ndarray, size: int, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``half`` letters and of the last ``size - half`` ones. One edit of a word of ``size`` letters leaves one of them as it is."""
+    factors = np.random.default_rng(7).integers(1, 1 << 62, size, dtype=np.uint64) | np.uint64(1)
+    hashed = lambda part: (part.astype(np.uint64) * factors[:part.shape[1]]).sum(axis=1)
+    return hashed(points[:, :half]), hashed(points[:, points.shape[1] - (size - half):])
+
+
+def near_rows(asked: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of ``asked`` and ``held`` (code points, one length each) that are one edit apart.
+
+    In a leaf that a box touches, vectors are compared by their marks, and the order of letters by halves, before the words
+    themselves are.
+    """
     queries, members = letter_counts(asked), letter_counts(held)
+    marks, own_marks = _marks(queries), _marks(members)
     more, fewer = REPLACED if asked.shape[1] == held.shape[1] else INSERTED
-    used = np.flatnonzero(members.any(axis=0) | queries.any(axis=0))
-    queries, members = np.ascontiguousarray(queries[:, used]), np.ascontiguousarray(members[:, used])
-    tree = KdTree(members, LEAF_WORDS)
-    for leaf, rows in tree.search(queries, more, fewer):
+    size, half = asked.shape[1], asked.shape[1] // 2
+    (head, tail), (own_head, own_tail) = _halves(asked, size, half), _halves(held, size, half)
+    tree = BoxedTree(members, own_marks, LEAF_WORDS)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for leaf, rows in tree.search_boxes(marks, more, fewer):
         mine = tree.leaves[leaf]
-        for some in np.array_split(rows, -(-len(rows) * len(mine) * len(used) // COMPARED)):
-            distance = np.abs(queries[some][:, None, :] - members[mine][None, :, :]).sum(axis=2)
-            q, m = np.nonzero(distance <= more + fewer)
+        for some in np.array_split(rows, -(-len(rows) * len(mine) // COMPARED)):
+            near = np.bitwise_count(marks[some][:, None] ^ own_marks[mine]) <= more + fewer
+            near &= (head[some][:, None] == own_head[mine]) | (tail[some][:, None] == own_tail[mine])
+            q, m = np.nonzero(near)
             q, m = some[q], mine[m]
             good = _same_but_one(asked[q], held[m])
-            yield q[good], m[good]
+            found.append((q[good], m[good]))
+    q, m = zip(*found)
+    return np.concatenate(q), np.concatenate(m)
 
 
 def _search(block: pd.DataFrame) -> pd.DataFrame:
     asked, held = block[block["query"]], block[~block["query"]]
     found = [pd.DataFrame({"a": [], "n_a": [], "b": [], "n_b": []})]
+    words, counts = held["word"].to_numpy(), held["n"].to_numpy()
     for _, same in asked.groupby(asked["word"].str.len()) if len(held) else ():
-        for q, m in near_rows(code_points(list(same["word"])), code_points(list(held["word"]))):
-            a, b = same.iloc[q], held.iloc[m]
-            found.append(pd.DataFrame({"a": a["word"].to_numpy(), "n_a": a["n"].to_numpy(), "b": b["word"].to_numpy(), "n_b": b["n"].to_numpy()}))
-    out = pd.concat(found, ignore_index=True)
-    return out[(out["a"].str.len() < out["b"].str.len()) | (out["a"] < out["b"])] if len(out) else out
+        mine, n = same["word"].to_numpy(), same["n"].to_numpy()
+        q, m = near_rows(code_points(mine.tolist()), code_points(words.tolist()))
+        once = (mine[q] < words[m]) | (len(mine[0]) < len(words[0]))  # words of one length find each other twice
+        q, m = q[once], m[once]
+        found.append(pd.DataFrame({"a": mine[q], "n_a": n[q], "b": words[m], "n_b": counts[m]}))
+    return pd.concat(found, ignore_index=True)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -57,17 +58,17 @@ def test_pieces_of_odd_texts(odd):
 
 def test_pieces_in_small_slices(spark, odd, monkeypatch):
     """Slices of a few characters, a table of two chunks, and whole texts as chunks give the same ids."""
-    want = pieces_wanted(SentencePieceProcessor(model_file=MODEL), ODD[:10])
+    rows = [(f"id {i}", text) for i, (_, text) in enumerate(ODD)]
+    want = pieces_wanted(SentencePieceProcessor(model_file=MODEL), rows)
 
-    def run(**limits):
+    def run():
         cut = piece_ids.Slice(0, 4)
         model = piece_ids.Model.of(MODEL)
-        for doc_id, text in ODD[:10]:
+        for doc_id, text in rows:
             cut.add(doc_id, model.chunks(text or ""), len(text or ""))
-        rows = cut.rows()
-        answers = list(piece_ids._segment(MODEL)([rows[rows["bucket"] >= 0].assign(slice=0)]))
-        import pandas as pd
-        return sorted(map(tuple, piece_ids._look_up(2)(rows[rows["bucket"] < 0], pd.concat(answers)).itertuples(index=False)), key=repr)
+        written = cut.rows()
+        answers = list(piece_ids._segment(MODEL)([written[written["bucket"] >= 0]]))
+        return sorted(map(tuple, piece_ids._look_up(2)(written[written["bucket"] < 0], pd.concat(answers)).itertuples(index=False)), key=repr)
 
     assert run() == want
     monkeypatch.setattr(piece_ids, "TABLE_CHUNKS", 2)
@@ -185,7 +186,6 @@ def test_search_with_ties_many_masks_and_slices(spark, monkeypatch):
     assert sorted(map(tuple, lexical.search(frame, asked).collect()), key=repr) == want
     monkeypatch.setattr(lexical, "FIRST_DOCS", 1)
     weights = np.full(90, 7, np.int64)
-    import pandas as pd
     rows = pd.DataFrame({"doc_id": range(40), "no_id": False, "n": 5, "terms": [np.array([0, i % 3 + 1]) for i in range(40)], "counts": [np.array([1, 1 + i % 2]) for i in range(40)]})
     best = lexical.Best(3, 1)
     part = lexical.Slice([rows], weights, 40, 200)
