@@ -4,6 +4,8 @@ First every member of a bucket is paired with its leader, the member most like t
 components; where a bucket still holds more than one, the members outside its largest component are compared with the
 members of other components. So every pair that shares a bucket is either tested or already connected, and a bucket of
 copies costs as many tests as it has members.
+
+What is known of a bucket returns to its members by joins that cut buckets of more than ``HOT_ROWS`` members in parts.
 """
 
 from __future__ import annotations
@@ -11,13 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from goldthread.operators.components import connected_components
+from goldthread.operators.skew import salted_join
 from goldthread.session import stage
 
+HOT_ROWS = 1024
+
+
+def _of_bucket(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``members`` with the columns of their bucket; ``buckets`` has one row per bucket with the number ``n`` of its members."""
+    buckets = stage(buckets, "bucket-values")
+    mine = [c for c in buckets.columns if c == "bucket" or c not in members.columns]
+    return salted_join(members, buckets.select(mine), ["bucket"], ["node"], counts=buckets, size="n", rows_per_task=HOT_ROWS)
+
 
 def crowded(members: DataFrame) -> DataFrame:
     """Members ``(bucket, node, ...)`` of buckets of two or more, with their number ``n``."""
     counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return members.join(counts, "bucket")
+    return _of_bucket(members, counts)
 
 
 def degrees(crowd: DataFrame) -> DataFrame:
@@ -30,8 +42,8 @@ def led(crowd: DataFrame) -> DataFrame:
 
     Of a group of copies that is the one most like the others, so most members link with it at once.
     """
-    best = crowd.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("best"))
-    return crowd.join(best.select("bucket", (-F.col("best")["col2"]).alias("lead")), "bucket")
+    best = crowd.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("best"), F.max("n").alias("n"))
+    return _of_bucket(crowd, best.select("bucket", "n", (-F.col("best")["col2"]).alias("lead")))
 
 
 def star_pairs(led_members: DataFrame) -> DataFrame:
@@ -46,14 +58,14 @@ def components_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return stage(out.select("node", F.coalesce("root", "node").alias("root")), "components")
 
 
-def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+def open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of buckets with several components, with ``root`` and ``main``, the bucket's largest component."""
     at = members.select("bucket", "node").join(roots, "node")
     sizes = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).getField("root").alias("main")
+        F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).getField("root").alias("main"), F.sum("n").alias("n")
     ).filter("roots > 1")
-    return stage(at.join(main.select("bucket", "main"), "bucket"), "open")
+    return stage(_of_bucket(at, main.select("bucket", "main", "n")).drop("n"), "open")
 
 
 def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_rows: int) -> DataFrame:
@@ -62,7 +74,7 @@ def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_row
     For each component that is the largest of some bucket: the other members of those buckets are queries, its own
     members and the queries are the rows to search; block (i, j) holds the i-th part of the queries and the j-th of the rows.
     """
-    at = _open_members(members, roots)
+    at = open_members(members, roots)
     queries = at.filter("root <> main").select("main", "node", "root").distinct()
     rows = roots.withColumn("main", F.col("root")).join(queries.select("main").distinct(), "main", "left_semi")
     rows = rows.select("main", "node", "root").unionByName(queries)
@@ -75,3 +87,25 @@ def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_row
     r = rows.join(shape, "main").withColumn("j", part("n_j")).withColumn("i", every("n_i")).withColumn("query", F.lit(False))
     names = ["main", "i", "j", "query", "node", "root"]
     return q.select(names).unionByName(r.select(names))
+
+
+def paired_blocks(pairs: DataFrame, roots: DataFrame, query_rows: int, block_rows: int) -> DataFrame:
+    """``(part, i, query, node, root)``: candidate pairs ``(query, row)`` as blocks of bounded size, without a row per pair.
+
+    The rows lie in parts of about ``block_rows``: a large component is cut, small ones share a part. A query comes once to each part in which
+    it has a candidate; of a part's queries block i holds the i-th share.
+    """
+    rows = pairs.select(F.col("row").alias("node")).distinct().join(roots, "node")
+    sizes = stage(rows.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    total = sizes.agg(F.coalesce(F.sum(F.when(F.col("n") < block_rows, F.col("n"))), F.lit(0))).first()[0]
+    few = max(1, -(-total // block_rows))
+    own = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(block_rows))).cast("int")
+    small = F.struct(F.lit(-1).cast("bigint").alias("root"), F.pmod(F.xxhash64("root"), F.lit(few)).cast("int").alias("k"))
+    part = F.when(F.col("n") < block_rows, small).otherwise(F.struct(F.col("root").cast("bigint").alias("root"), own.alias("k")))
+    placed = stage(salted_join(rows, sizes, ["root"], ["node"], counts=sizes, size="n").withColumn("part", part).select("node", "root", "part"), "placed")
+    asked = pairs.join(placed.select(F.col("node").alias("row"), "part"), "row").select("part", F.col("query").alias("node")).distinct()
+    shape = stage(asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("n_i")), "shape")
+    asked = asked.join(shape, "part").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n_i")).cast("int")).join(roots, "node")
+    held = placed.join(shape, "part").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)))
+    names = ["part", "i", "query", "node", "root"]
+    return asked.withColumn("query", F.lit(True)).select(names).unionByName(held.withColumn("query", F.lit(False)).select(names))

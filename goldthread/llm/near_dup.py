@@ -4,8 +4,10 @@ Every document has several labels, each a sequence of MinHash values. A tree of
 order of one label; documents with a long common prefix are neighbours there. A region (documents with a common prefix
 of ``BASE`` values) is cut deeper as long as it has company: a document meets the leader of its region at each depth, so
 a sparse region is searched at the base depth and a crowded one down to the whole label. Estimates from the
-signatures drop clearly different neighbours, the closest neighbour of each document is confirmed first, and
-regions that still hold several components are searched to the end (see ``linking``).
+signatures drop clearly different neighbours, and the closest neighbour of each document is confirmed first. The documents of
+regions that still hold several components are joined by their rarest shingles: as many of each as similar sets must
+share one of, bounded by sizes and places. In a cloud of documents just below the limit these are the ones that few share, so its
+cost grows with its members.
 
 Documents with the same shingle set are one node from the start. A pair at similarity 0.85 shares no region with
 probability (1 - 0.85 ** BASE) ** TREES, below 1 in 100,000; above it less.
@@ -24,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.llm.linking import components_of, crowded, degrees, led, open_blocks, star_pairs
+from goldthread.llm.linking import components_of, crowded, degrees, led, open_members, paired_blocks, star_pairs
 from goldthread.llm.rows import id_text, only, text_key, with_id
 from goldthread.llm.words import hash_runs, hashed_texts, pieces, words_of
 from goldthread.session import stage
@@ -38,6 +40,7 @@ DOUBT = 0.15  # an estimate further below the limit than this (nearly five stand
 BLOCK = 2048
 QUERY_ROWS = 256
 BLOCK_ROWS = 512
+SLOTS = 1 << 20  # counters of shingles, whatever their number: they order shingles by rarity and decide nothing
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -147,6 +150,55 @@ def _search(percent: int, least: float):
     return run
 
 
+def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in (piece for whole in batches for piece in pieces(whole)):
+        for hashes in hashed_texts([_lower_words(t) for t in batch["text"]]):
+            np.add.at(counts, (shingle_set(hashes) % np.uint64(SLOTS)).astype(np.int64), 1)
+    used = np.flatnonzero(counts)
+    yield pd.DataFrame({"slot": used.astype(np.int32), "n": counts[used]})
+
+
+def _rarest(counts: np.ndarray, percent: int):
+    """The shingles of each text that come first, rare ones before common ones, as far as a similar text must share one of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
+            out = []
+            for hashes in hashed_texts([_lower_words(t) for t in batch["text"]]):
+                shingles = shingle_set(hashes)
+                order = np.lexsort((shingles, counts[(shingles % np.uint64(SLOTS)).astype(np.int64)]))
+                out.append(shingles[order[:len(shingles) - -(-percent * len(shingles) // 100) + 1]])
+            sizes = [len(o) for o in out]
+            yield pd.DataFrame({
+                "node": np.repeat(batch["node"].to_numpy(), sizes), "shingle": np.concatenate([*out, np.zeros(0, np.uint64)]).view(np.int64),
+                "at": np.concatenate([*(np.arange(n) for n in sizes), np.zeros(0, np.int64)]).astype(np.int32),
+            })
+
+    return run
+
+
+def open_pairs(regions: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(query, row)`` of different components in regions that hold several, whose rarest shingles and sizes allow a link.
+
+    Members outside the largest component of a region are joined with all members, by shingle; no region is paired with itself.
+    """
+    at = open_members(regions, roots)
+    asked = at.filter("root <> main").select("node").distinct().withColumn("asks", F.lit(True))
+    inside = stage(at.select("node", "root").distinct().join(asked, "node", "left").join(nodes.select("node", "n_shingles"), "node").join(texts, "node"), "open-texts")
+    counts = np.zeros(SLOTS, np.int64)
+    for row in inside.select("text").mapInPandas(_slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
+        counts[row["slot"]] = row["n"]
+    rare = inside.select("node", "text").mapInPandas(_rarest(counts, percent), "node bigint, shingle bigint, at int")
+    rare = stage(rare.join(inside.select("node", "root", "asks", F.col("n_shingles").alias("n")), "node"), "rarest")
+    side = lambda c: rare.select("shingle", *[F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "at", "n", "asks")])
+    met = side("q").filter("asks_q").join(side("r"), "shingle").filter("root_q <> root_r AND (asks_r IS NULL OR node_q < node_r)")
+    met = met.filter(100 * F.least("n_q", "n_r") >= percent * F.greatest("n_q", "n_r"))
+    needed = F.ceil(F.lit(percent) * (F.col("n_q") + F.col("n_r")) / F.lit(100 + percent) - F.lit(1e-9))
+    met = met.filter(F.least(F.col("n_q") - F.col("at_q"), F.col("n_r") - F.col("at_r")) >= needed)
+    return met.select(F.col("node_q").alias("query"), F.col("node_r").alias("row")).distinct()
+
+
 def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, text_key, n_shingles, root (of its component, null without words), component_id."""
     sketched = stage(sketch(docs), "sketches")
@@ -184,9 +236,9 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = components_of(links, members)
     rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
     between = lambda p: p.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b").filter("_ra <> _rb").select("a", "b")
-    blocks = open_blocks(regions.filter("n > 2"), roots, QUERY_ROWS, BLOCK_ROWS)
-    blocks = blocks.join(texts, "node").join(nodes.select("node", "labels"), "node")
-    searched = blocks.groupBy("main", "i", "j").applyInPandas(_search(percent, least), "a bigint, b bigint")
+    met = open_pairs(regions.filter("n > 2"), roots, texts, nodes, percent)
+    blocks = paired_blocks(met, roots, QUERY_ROWS, BLOCK_ROWS).join(texts, "node").join(nodes.select("node", "labels"), "node")
+    searched = blocks.groupBy("part", "i").applyInPandas(_search(percent, least), "a bigint, b bigint")
     more = confirm(between(rest), texts, percent).unionByName(searched)
     links = links.unionByName(stage(more, "links"))
     roots = components_of(links, members).toDF("_node", "root")

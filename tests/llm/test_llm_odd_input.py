@@ -73,6 +73,26 @@ def test_copies_in_large_groups(spark):
     assert [got[i] for i in range(len(texts))] == root
 
 
+def test_a_cloud_below_the_limit(spark):
+    """Texts that share three quarters of their shingles with all others, some near copies among them: candidates grow with the texts, not with their pairs."""
+    base = [f"w{i}" for i in range(60)]
+    text = lambda k: " ".join(base[:54] + [f"own{k}x{j}" for j in range(6)])
+    def run(n):
+        rows = [(k, text(k)) for k in range(n)] + [(n + k, text(k) + " tail") for k in range(0, n, 50)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        met = []
+        real = near_dup.paired_blocks
+        near_dup.paired_blocks = lambda pairs, *rest: (met.append(pairs.count()), real(pairs, *rest))[1]
+        try:
+            got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+        finally:
+            near_dup.paired_blocks = real
+        assert got == {d: d - n if d >= n else d for d, _ in rows}
+        return sum(met)
+
+    assert run(2000) <= 5 * max(run(500), 50)
+
+
 def test_near_duplicates_below_the_default(spark):
     """At 80 percent a pair may differ in size by more than 85 percent allow: 80 of 96 shingles shared, similarity 0.83."""
     texts = [" ".join(f"k{k}w{i}" for i in range(n)) for k in range(20) for n in (100, 84)]
