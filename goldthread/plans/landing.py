@@ -11,7 +11,7 @@ from goldthread.operators.sharing import number_files
 from goldthread.plans.registry import Tables, query
 from goldthread.session import new_path
 from goldthread.sources import files as fs, history as hs, jdbc, snapshots as sn, topics as tp
-from goldthread.streaming import ingest, state as st
+from goldthread.streaming import ingest, state as st, windows as wn
 
 
 def _at(text: str) -> F.Column:
@@ -115,7 +115,42 @@ def stream_view(t: Tables) -> DataFrame:
     return ingest.current_rows(spark, target, t.events.schema, ["user_id"], "ts", ["event_id"]).select("user_id", "event_id", "ts")
 
 
+@query("str2_watermark_dedup", "SELECT event_id, user_id, value FROM events")
+def watermark_dedup(t: Tables) -> DataFrame:
+    """Messages delivered twice in one batch, in the next batch, and in another run are stored once, without a look at the target."""
+    spark, source = t.spark, _event_files(t, "dedup-in")
+    t.events.filter("event_id % 3 = 0").coalesce(1).write.mode("append").parquet(source)
+    target, checkpoint = new_path(spark, "dedup-out"), new_path(spark, "dedup-checkpoint")
+    stream = ingest.file_stream(spark, source, t.events.schema, files_per_batch=2)
+    for again in (False, True):
+        if again:
+            t.events.filter("event_id % 2 = 0").coalesce(1).write.mode("append").parquet(source)
+        wn.store_messages(stream, checkpoint, target, ["event_id"], "ts", "90 days")
+    return spark.read.parquet(target).select("event_id", "user_id", "value")
+
+
 _CUTS = ("2024-01-09", "2024-01-16")
+_LATE = f"(ts < TIMESTAMP '{_CUTS[0]}' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE ts >= TIMESTAMP '{_CUTS[0]}' AND ts < TIMESTAMP '{_CUTS[1]}') - INTERVAL 10 DAY)"
+
+
+@query("dq6_streamed_volume", f"""
+SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, event_type, count(*) AS rows FROM events WHERE NOT {_LATE} GROUP BY ALL
+UNION ALL SELECT NULL, 'late', count(*) FROM events WHERE {_LATE}""")
+def streamed_volume(t: Tables) -> DataFrame:
+    """Volumes per hour and type; the early events come after the middle ones, and those more than 10 days behind come too late."""
+    spark, source = t.spark, new_path(t.spark, "volume-in")
+    target, log, checkpoint, log_checkpoint = (new_path(spark, n) for n in ("volume-out", "volume-log", "volume-checkpoint", "log-checkpoint"))
+    first, second = (_at(c) for c in _CUTS)
+    ts = F.col("ts")
+    hour_end = F.date_trunc("hour", ts) + F.expr("INTERVAL 1 HOUR")
+    for rows in ((ts >= first) & (ts < second), ts < first, ts >= second):
+        t.events.filter(rows).coalesce(1).write.mode("append").parquet(source)
+        stream = ingest.file_stream(spark, source, t.events.schema)
+        wn.store_volumes(stream, checkpoint, target, "ts", "1 hour", ["event_type"], "10 days")
+        wn.run_available(stream, log_checkpoint, wn.log_arrivals(log, "ts", F.expr("INTERVAL 10 DAYS"), hour_end))
+    volume = wn.current_volumes(spark, target, ["event_type"]).select(F.col("window_start").cast("timestamp_ntz").alias("hour"), "event_type", "rows")
+    late = wn.arrivals(spark, log).agg(F.lit(None).cast("timestamp_ntz").alias("hour"), F.lit("late").alias("event_type"), F.sum("n_late").alias("rows"))
+    return volume.unionByName(late)
 
 
 @query("str3_keyed_state", """

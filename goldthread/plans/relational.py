@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from goldthread.functions import text as tx
-from goldthread.operators import dedup as dd, ordering as od, quality as dq, survive as sv
+from goldthread.operators import dedup as dd, ordering as od, quality as dq, sketches as sk, survive as sv
 from goldthread.operators.asof import as_of_join
 from goldthread.operators.skew import with_group_values
 from goldthread.plans.fixtures import KEYED_CTE, MESSAGES_CTE, PROFILES_CTE, keyed, messages, profiles
 from goldthread.plans.registry import Tables, query
+from goldthread.session import stage
 
 _MONEY = "CAST(sum(CAST({c} AS DECIMAL(18, 2))) AS DOUBLE)"
 
@@ -285,6 +286,55 @@ def approx_in_group(t: Tables) -> DataFrame:
     return with_group_values(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey"], ["o_orderkey"], n=F.approx_count_distinct("o_orderpriority", 0.01)).select("o_orderkey", "n")
 
 
+def _monthly(t: Tables, groups: list[str], key: str | None = None, value: str | None = None) -> DataFrame:
+    """Sketches per month and group, written as a nightly job would."""
+    rows = t.orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    return stage(sk.batch_sketches(rows, ["month", *groups], key, value), "sketches")
+
+
+@query("wn8_sketched_counts", """
+SELECT o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers, true AS within, true AS within_hll FROM orders GROUP BY 1""")
+def sketched_counts(t: Tables) -> DataFrame:
+    """Distinct customers per priority, merged from the sketches of all months, against the exact counts."""
+    merged = sk.merge_sketches(_monthly(t, ["o_orderpriority"], "o_custkey"), ["o_orderpriority"])
+    exact = t.orders.groupBy("o_orderpriority").agg(F.countDistinct("o_custkey").alias("customers"))
+    near = lambda estimate: F.abs(estimate - F.col("customers")) <= sk.DISTINCT_ERROR * F.col("customers")
+    out = merged.join(exact, "o_orderpriority")
+    return out.select("o_orderpriority", "n", "customers", near(sk.distinct_count()).alias("within"), near(sk.distinct_count_hll()).alias("within_hll"))
+
+
+@query("ag2_sketched_overlap", """
+WITH k AS (SELECT DISTINCT o_orderpriority AS p, o_custkey FROM orders)
+SELECT a.p AS one, b.p AS other, count(*) AS shared, true AS within, true AS within_only FROM k a JOIN k b ON a.o_custkey = b.o_custkey AND a.p < b.p GROUP BY 1, 2""")
+def sketched_overlap(t: Tables) -> DataFrame:
+    """Customers that two priorities share, from stored sketches, against the exact counts."""
+    merged = stage(sk.merge_sketches(_monthly(t, ["o_orderpriority"], "o_custkey"), ["o_orderpriority"]), "sketches")
+    side = lambda name, keys: merged.select(F.col("o_orderpriority").alias(name), F.col("keys").alias(keys))
+    pairs = side("one", "a").join(side("other", "b"), F.col("one") < F.col("other"))  # one row per priority
+    k = t.orders.select("o_orderpriority", "o_custkey").distinct()
+    own = k.groupBy(F.col("o_orderpriority").alias("one")).agg(F.count(F.lit(1)).alias("total"))
+    exact = k.withColumnRenamed("o_orderpriority", "one").join(k.withColumnRenamed("o_orderpriority", "other"), "o_custkey").filter("one < other")
+    exact = exact.groupBy("one", "other").agg(F.count(F.lit(1)).alias("shared")).join(own, "one")
+    out = pairs.join(exact, ["one", "other"]).withColumn("union", sk.distinct_count(F.theta_union("a", "b")))
+    near = lambda estimate, count: F.abs(estimate - count) <= sk.OVERLAP_ERROR * F.col("union")
+    return out.select(
+        "one", "other", "shared", near(sk.overlap("a", "b"), F.col("shared")).alias("within"),
+        near(sk.only_left("a", "b"), F.col("total") - F.col("shared")).alias("within_only"))
+
+
+@query("ag12_sketched_quantiles", """
+SELECT o_orderstatus, q::DOUBLE AS q, count(*) AS n, true AS within FROM orders, (VALUES (0.05), (0.5), (0.95)) v(q) GROUP BY 1, 2""")
+def sketched_quantiles(t: Tables) -> DataFrame:
+    """Quantiles of the price per status from merged sketches: their rank among all prices is within the stated error."""
+    merged = sk.merge_sketches(_monthly(t, ["o_orderstatus"], value="o_totalprice"), ["o_orderstatus"])
+    marks = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), sk.quantile("values", q).alias("at")) for q in (0.05, 0.5, 0.95)]))
+    marks = stage(merged.select("o_orderstatus", marks.alias("m")).select("o_orderstatus", "m.*"), "quantiles")  # three per status
+    below = t.orders.join(F.broadcast(marks), "o_orderstatus").groupBy("o_orderstatus", "q").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_totalprice") < F.col("at")).alias("less"), F.count_if(F.col("o_totalprice") <= F.col("at")).alias("upto"))
+    within = (F.col("less") <= (F.col("q") + sk.RANK_ERROR) * F.col("n") + 1) & (F.col("upto") >= (F.col("q") - sk.RANK_ERROR) * F.col("n") - 1)
+    return below.select("o_orderstatus", "q", "n", within.alias("within"))
+
+
 @query("wn9_conflict_flag", "SELECT o_orderkey, n > 1 AS has_conflict FROM orders JOIN (SELECT o_custkey, count(DISTINCT o_orderstatus) AS n FROM orders GROUP BY 1) USING (o_custkey)")
 def conflict(t: Tables) -> DataFrame:
     from goldthread.operators.keys import flag_conflicts

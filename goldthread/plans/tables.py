@@ -260,14 +260,14 @@ def _diff_sql(old: str, new: str) -> str:
       WHERE o.event_id IS NULL OR n.event_id IS NULL OR o.event_id <> n.event_id OR o.action <> n.action"""
 
 
-@query("snk9_snapshot_diff", f"{_STATES} {_diff_sql('s1', 's2')}")
+@query("snk9_snapshot_diff", f"{_STATES} {_diff_sql('s2', 's3')}")
 def diff(t: Tables) -> DataFrame:
-    return ch.snapshot_diff(_state(t, _CUTS[1]), _state(t, _CUTS[2]), _KEY).drop("action")
+    return ch.snapshot_diff(_state(t, _CUTS[2]), _state(t, _CUTS[3]), _KEY).drop("action")
 
 
-@query("src17_change_feed_first_version", f"""{_STATES} SELECT user_id, event_type, event_id, 'I' AS "CDC_CODE", 0::BIGINT AS "CDC_OperationVersion" FROM s0""")
+@query("src17_change_feed_first_version", f"""{_STATES} SELECT user_id, event_type, event_id, 'I' AS "CDC_CODE", 0::BIGINT AS "CDC_OperationVersion" FROM s3""")
 def first(t: Tables) -> DataFrame:
-    return ch.first_version(_state(t, _CUTS[0]), version=0).drop("action")
+    return ch.first_version(_state(t, _CUTS[3]), version=0).drop("action")
 
 
 _FEED = f"""{_STATES}, feed AS (SELECT *, 1 AS v FROM ({_diff_sql('s0', 's1')}) UNION ALL SELECT *, 2 FROM ({_diff_sql('s1', 's2')}) UNION ALL SELECT *, 3 FROM ({_diff_sql('s2', 's3')}))"""
