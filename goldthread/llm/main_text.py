@@ -1,16 +1,23 @@
 """The main text of web pages by tag-path ratios.
 
 A text node belongs to the path of open tags from the root down to it. Per path of a page the characters and punctuation
-marks are added up; their ratios to the number of nodes are smoothed over the nodes in page order and fused into
-one score, lowered by the share of linked characters. A block of text is kept when the mean score of its nodes reaches a share
-of the page's best score; inside a marked article the share is so low that only what is named otherwise goes. Subtrees that the markup itself names as something else (menus, page headers, footers, sidebars, notices,
-adverts, forms, comments, scripts, styles, hidden parts) take no part; where the page marks its article, only that does.
+marks are added up; their ratios to the number of nodes are smoothed over the nodes in page order and fused into one score, lowered
+where a path holds several links and little else. What the markup says about a node are further terms of its score: a marked
+article raises it, tags, roles and names of boilerplate (menus, page headers, footers, sidebars, notices, adverts, forms, comments)
+lower it, strongly on a container that is named so, weakly on a paragraph or where the name has other words too. A block of
+text is kept when the mean score of its nodes reaches a share of the page's best. Only what is never read is cut: scripts, styles,
+form controls, media and hidden parts.
+
+Marked articles compete: one that has at least ``RIVAL`` of the text of the largest, and of the unnamed text outside, is the
+article (there may be several); beside it the limit is a small share, so that its short blocks stay. If none wins, the ratios of all paths
+decide, and several articles that lost are teasers.
 
 Pages are independent of each other: no shuffle, and a task holds one batch of pages. A helper parses a page in one pass; time and
 memory are linear in its length.
 
 Defined cases: a null or empty html has an empty text; broken markup is read as far as it goes (open elements end with their parent, a
-lone ``<`` is text, an article inside an unclosed advert counts where the page has no other text); repeated rows are extracted each; an empty table gives an empty result; other columns are ignored.
+lone ``<`` is text); where all text is named boilerplate, what is in an article, or on a page without one what is no link, competes; repeated rows
+are extracted each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +26,7 @@ import re
 from collections.abc import Iterator
 from html import unescape
 from math import log1p
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -26,7 +34,11 @@ from pyspark.sql import DataFrame, functions as F
 from goldthread.llm.words import pieces
 
 KEEP = 0.25
-KEEP_IN_ARTICLE = 0.04
+KEEP_BESIDE_ARTICLE = 0.04
+ARTICLE_BONUS = 40.0
+RIVAL = 0.5
+TEASER = 0.2
+NAMED, NAMED_BLOCK, PARTLY, PARTLY_BLOCK = 0.01, 0.03, 0.15, 0.6  # a container or a block of text, named so entirely or in part
 KERNEL = (0.25, 0.5, 0.25)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,10 +52,10 @@ SIBLINGS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
 }
 SCOPES = frozenset("ul ol dl table select div section article body html".split())
-BOILERPLATE = frozenset((
-    "aside audio button canvas datalist dialog embed footer form head iframe map menu nav noscript object optgroup option script select style "
-    "svg template textarea title video"
+CUT = frozenset((
+    "audio button canvas datalist embed head iframe map noscript object optgroup option script select style svg template textarea title video"
 ).split())
+BOILERPLATE = frozenset("aside dialog footer form menu nav".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NAMES = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert "
@@ -52,7 +64,12 @@ NAMES = frozenset((
     "aside footer toolbar widget widgets masthead copyright disclaimer skip search"
 ).split())
 COMMENTS = frozenset("comment comments discussion disqus replies reply respond ad ads advert advertisement sponsored related".split())
+COMMON = frozenset((
+    "area bar block box bottom button buttons container content global icon icons inner left link links main outer page panel right section "
+    "site slot text title to tools top unit wrap wrapper zone"
+).split())
 ARTICLE = frozenset(("article", "main"))
+TEXT_BLOCKS = frozenset("a b blockquote dd dt em figcaption h1 h2 h3 h4 h5 h6 i li p pre span strong td th".split())
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>""",
@@ -63,31 +80,47 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
 
-def _names_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether a start tag opens something that is not main text."""
-    if tag in BOILERPLATE or tag == "header" and not in_article:
-        return True
+def _weight(tag: str, attributes: str, in_article: bool) -> float:
+    """The factor that a start tag puts on the scores of what it holds; 0 for what is hidden."""
+    weight = NAMED if tag in BOILERPLATE or tag == "header" and not in_article else 1.0
     if "=" not in attributes:
-        return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes)) if "hidden" in attributes else False
+        return 0.0 if "hidden" in attributes and re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes) else weight
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    if values.get("role", "").lower() in ROLES or values.get("aria-hidden") == "true" or "hidden" in values:
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", "")):
-        return True
-    words = {w.lower() for w in _NAME.findall(f"{values.get('class', '')} {values.get('id', '')}")}
+    if values.get("aria-hidden") == "true" or "hidden" in values or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", "")):
+        return 0.0
     if tag in ("html", "body"):
-        return False
-    return bool(words & (COMMENTS if tag in ARTICLE else NAMES)) or "header" in words and not in_article and tag not in ARTICLE
+        return weight
+    if values.get("role", "").lower() in ROLES:
+        weight = NAMED
+    words = {w.lower() for w in _NAME.findall(f"{values.get('class', '')} {values.get('id', '')}")}
+    known = NAMES if in_article or tag in ARTICLE else NAMES | {"header"}
+    if not words & known:
+        return weight
+    entirely = words <= known | COMMON
+    if tag in TEXT_BLOCKS:
+        return min(weight, NAMED_BLOCK if entirely else PARTLY_BLOCK)
+    if tag in ARTICLE:
+        return min(weight, NAMED if words & COMMENTS else 1.0)
+    return min(weight, NAMED if entirely or words & COMMENTS else PARTLY)
+
+
+class _Node(NamedTuple):
+    block: int
+    path: int
+    text: str
+    linked: bool
+    article: int  # number of the outermost article or main element around it, 0 for none
+    weight: float
 
 
 class _Page:
-    """Text nodes of a page: (block, path, text, linked, in_article)."""
+    """The text nodes of a page."""
 
-    def __init__(self, html: str, free_article: bool = False):
-        self.free_article = free_article
-        self.nodes: list[tuple[int, int, str, bool, bool]] = []
+    def __init__(self, html: str):
+        self.nodes: list[_Node] = []
         self.paths: dict[tuple[int, str], int] = {}
-        self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, path, left out, in article
+        self.stack: list[tuple[str, int, float, int]] = [("", 0, 1.0, 0)]  # tag, path, weight (0: cut), article
+        self.articles = 0
         self.block = 0
         at = 0
         while (m := _MARKUP.search(html, at)) is not None:
@@ -104,9 +137,9 @@ class _Page:
         self._text(html[at:])
 
     def _text(self, raw: str) -> None:
-        tag, path, out, inside = self.stack[-1]
-        if raw and not out:
-            self.nodes.append((self.block, path, unescape(raw), any(s[0] == "a" for s in self.stack[-3:]), inside))
+        _, path, weight, article = self.stack[-1]
+        if raw and weight:
+            self.nodes.append(_Node(self.block, path, unescape(raw), any(s[0] == "a" for s in self.stack[-3:]), article, weight))
 
     def _pop_to(self, index: int) -> None:
         del self.stack[index:]
@@ -126,18 +159,15 @@ class _Page:
             if tag == "br":
                 self._text(" ")
             return
-        parent, path, out, inside = self.stack[-1]
-        if tag in BOILERPLATE and attributes.endswith("/"):
+        _, path, weight, article = self.stack[-1]
+        if tag in CUT and attributes.endswith("/"):
             return
-        if tag in ARTICLE and out and (self.free_article or self._only_form()):
-            out = False
-        out = out or _names_boilerplate(tag, attributes, inside)
+        weight *= 0.0 if tag in CUT else _weight(tag, attributes, article > 0)
+        if tag in ARTICLE and weight and not article:
+            self.articles += 1
+            article = self.articles
         here = self.paths.setdefault((path, tag), len(self.paths) + 1)
-        self.stack.append((tag, here, out, inside or tag in ARTICLE and not out))
-
-    def _only_form(self) -> bool:
-        """Whether a form around the whole page is all that was left out."""
-        return next(s for s in self.stack if s[2])[0] == "form"
+        self.stack.append((tag, here, weight, article))
 
     def _close(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -150,45 +180,56 @@ class _Page:
                 return
 
 
-def path_scores(nodes: list[tuple[int, int, str, bool, bool]], lower_links: bool = True) -> list[float]:
-    """The fused, smoothed ratio of each node's path. A path of links alone is not smoothed: a menu stays low beside a paragraph."""
+def path_scores(nodes: list[_Node]) -> list[float]:
+    """The fused, smoothed ratio of each node's path. A path of links alone is not smoothed: a menu stays low beside a paragraph, and the
+    lower the more links it has."""
     totals: dict[int, list[float]] = {}
-    for _, path, text, linked, _ in nodes:
-        total = totals.setdefault(path, [0, 0, 0, 0])
-        length = len(text.strip())
-        for k, v in enumerate((1, length, len(_PUNCTUATION.findall(text)), length * linked)):
+    for node in nodes:
+        total = totals.setdefault(node.path, [0, 0, 0, 0])
+        length = len(node.text.strip())
+        for k, v in enumerate((1, length, len(_PUNCTUATION.findall(node.text)), length * node.linked)):
             total[k] += v
     fused = {}
     for path, (n, length, marks, linked) in totals.items():
-        share = linked / length if lower_links else 0
-        fused[path] = log1p(length / n) * (1 - share) + log1p(marks / n), share > 0.5
-    raw = [fused[path][0] for _, path, *_ in nodes]
+        share = linked / length
+        fused[path] = (log1p(length / n) + log1p(marks / n)) * (1 - share * (1 - 1 / n)) ** 2, share > 0.5
+    raw = [fused[node.path][0] for node in nodes]
     edged = [raw[0], *raw, raw[-1]]
     smooth = [sum(w * edged[i + k] for k, w in enumerate(KERNEL)) for i in range(len(raw))]
-    return [r if fused[path][1] else s for r, s, (_, path, *_) in zip(raw, smooth, nodes)]
+    return [r if fused[node.path][1] else s for r, s, node in zip(raw, smooth, nodes)]
+
+
+def _winners(nodes: list[_Node], articles: int) -> tuple[set[int], bool]:
+    """The articles that hold the page's text, and whether all others are teasers."""
+    mass = [0.0] * (articles + 1)
+    for node in nodes:
+        if not node.linked:
+            mass[node.article] += len(node.text.strip()) * node.weight
+    best = max(mass[1:], default=0.0)
+    won = {i for i in range(1, articles + 1) if mass[i] >= RIVAL * best and mass[i] >= RIVAL * mass[0] and mass[i] > 0}
+    return won, not won and articles > 1
 
 
-def main_text(html: str | None, keep: float = KEEP, keep_in_article: float = KEEP_IN_ARTICLE) -> str:
-    nodes = _Page(html).nodes if html else []
-    if html and not any(n[2].strip() for n in nodes):  # an advert or menu that is never closed can swallow the article
-        nodes = _Page(html, free_article=True).nodes
-    marked = any(n[4] and n[2].strip() for n in nodes)
-    if marked:
-        nodes = [n for n in nodes if n[4]]
-    full = [n for n in nodes if n[2].strip()]
+def main_text(html: str | None, keep: float = KEEP, keep_beside_article: float = KEEP_BESIDE_ARTICLE) -> str:
+    page = _Page(html) if html else None
+    full = [n for n in page.nodes if n.text.strip()] if page else []
+    if full and max(n.weight for n in full) <= PARTLY:  # nothing but named boilerplate
+        full = [n for n in full if n.article] if page.articles else [n for n in full if not n.linked]
     if not full:
         return ""
+    won, teasers = _winners(full, page.articles)
     blocks: dict[int, list[float]] = {}
-    for (block, _, text, *_), score in zip(full, path_scores(full, not marked)):
-        held = blocks.setdefault(block, [0.0, 0.0])
-        held[0] += score * len(text)
-        held[1] += len(text)
+    for node, score in zip(full, path_scores(full)):
+        term = ARTICLE_BONUS if node.article in won else TEASER if teasers and node.article else 1.0
+        held = blocks.setdefault(node.block, [0.0, 0.0])
+        held[0] += score * node.weight * term * len(node.text)
+        held[1] += len(node.text)
     means = {b: total / weight for b, (total, weight) in blocks.items()}
-    least = (keep_in_article if marked else keep) * max(means.values())
+    least = (keep_beside_article if won else keep) * max(means.values())
     texts: dict[int, list[str]] = {}
-    for block, _, text, *_ in nodes:
-        if means.get(block, -1.0) >= least:
-            texts.setdefault(block, []).append(text)
+    for node in page.nodes:
+        if means.get(node.block, -1.0) >= least:
+            texts.setdefault(node.block, []).append(node.text)
     return "\n".join(" ".join("".join(parts).split()) for parts in texts.values())
 
 

@@ -343,6 +343,26 @@ def test_ratios_drop_link_lists(spark):
     assert main_text.main_text(listed).split("\n")[:10] == ["A"] + ["1"] * 9 and main_text.main_text(listed).endswith("\nmore")
 
 
+def test_scores_decide_beside_markup():
+    """Names and marked elements are terms of the score: teasers, a story outside its article, odd names, links inside an article."""
+    story = "<p>A long paragraph, with many words and marks, that goes on. And on, for a while.</p>" * 6
+    text = "\n".join(["A long paragraph, with many words and marks, that goes on. And on, for a while."] * 6)
+    teaser = "<article><h3><a href='/x'>Another story</a></h3><p>It is short, read on.</p></article>"
+    assert main_text.main_text(f"<body>{teaser}<div>{story}</div>{teaser}</body>") == text
+    assert main_text.main_text(f"<article><h1>The heading of it</h1></article><div>{story}</div>") == f"The heading of it\n{text}"
+    for name in ("class='share-price'", "id='notice-of-appeal'", "class='skip-list'"):
+        assert main_text.main_text(f"<nav><a href='/'>Home</a></nav><article>{story.replace('<p>', f'<p {name}>')}</article>") == text
+    links = "".join(f"<li><a href='/{i}'>Another story of the day, number {i}</a></li>" for i in range(12))
+    assert main_text.main_text(f"<article>{story}<ul>{links}</ul><p><a href='/x'>more</a></p></article>") == f"{text}\nmore"
+    inline = story.replace("many words", "<a href='/w'>many words</a>")
+    assert main_text.main_text(f"<article>{inline}</article>") == text
+    advert = "<div class='ad-slot'><p>Buy this, now. It is cheap, it is good, and it is here.</p></div><p class='advert'>Buy that, too. Cheap, good.</p>"
+    comments = "<section id='reader-comments'><p>I do not think so, at all. Not for a while.</p></section>"
+    assert main_text.main_text(f"<article>{story}{advert}{comments}</article>") == text
+    assert main_text.main_text(f"<div>{story}</div>{comments}{advert}<footer>All rights, and so on.</footer>") == text
+    assert main_text.main_text("<nav><a href='/'>Home</a></nav><article></article><footer>All rights.</footer>") == ""
+
+
 def test_archive(spark, tmp_path):
     rows = [(1, None, None), (2, "http://x/\r\nWARC-Type: no", ""), (3, "u", "é<p>"), (5, "u", "é<p>"), (4, "u", "é<p>"), (6, "v", "x\r\n\r\ny"),
             (6, "v", "x\r\n\r\ny"), (None, "v", "alone"), (7, "w", "long " * 100_000), (2**60 + 1, "w", "é<p>")]
