@@ -5,7 +5,7 @@ components; where a bucket still holds more than one, the members outside its la
 members of other components. So every pair that shares a bucket is either tested or already connected, and a bucket of
 copies costs as many tests as it has members.
 
-What is known of a bucket returns to its members by joins that cut buckets of more than ``HOT_ROWS`` members in parts.
+What is known of a bucket returns to its members by a join; with ``hot``, buckets of more members than that are cut in parts.
 """
 
 from __future__ import annotations
@@ -16,20 +16,20 @@ from goldthread.operators.components import connected_components
 from goldthread.operators.skew import salted_join
 from goldthread.session import stage
 
-HOT_ROWS = 1024
 
-
-def _of_bucket(members: DataFrame, buckets: DataFrame) -> DataFrame:
+def _of_bucket(members: DataFrame, buckets: DataFrame, hot: int | None) -> DataFrame:
     """``members`` with the columns of their bucket; ``buckets`` has one row per bucket with the number ``n`` of its members."""
-    buckets = stage(buckets, "bucket-values")
     mine = [c for c in buckets.columns if c == "bucket" or c not in members.columns]
-    return salted_join(members, buckets.select(mine), ["bucket"], ["node"], counts=buckets, size="n", rows_per_task=HOT_ROWS)
+    if hot is None:
+        return members.join(buckets.select(mine), "bucket")
+    buckets = stage(buckets, "bucket-values")
+    return salted_join(members, buckets.select(mine), ["bucket"], ["node"], counts=buckets, size="n", rows_per_task=hot)
 
 
-def crowded(members: DataFrame) -> DataFrame:
+def crowded(members: DataFrame, hot: int | None = None) -> DataFrame:
     """Members ``(bucket, node, ...)`` of buckets of two or more, with their number ``n``."""
     counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return _of_bucket(members, counts)
+    return _of_bucket(members, counts, hot)
 
 
 def degrees(crowd: DataFrame) -> DataFrame:
@@ -37,13 +37,13 @@ def degrees(crowd: DataFrame) -> DataFrame:
     return crowd.groupBy("node").agg(F.sum("n").alias("degree"))
 
 
-def led(crowd: DataFrame) -> DataFrame:
+def led(crowd: DataFrame, hot: int | None = None) -> DataFrame:
     """``crowd`` (with ``degree``) with the ``lead`` of each bucket: its member of highest degree, the smallest of equal ones.
 
     Of a group of copies that is the one most like the others, so most members link with it at once.
     """
     best = crowd.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("best"), F.max("n").alias("n"))
-    return _of_bucket(crowd, best.select("bucket", "n", (-F.col("best")["col2"]).alias("lead")))
+    return _of_bucket(crowd, best.select("bucket", "n", (-F.col("best")["col2"]).alias("lead")), hot)
 
 
 def star_pairs(led_members: DataFrame) -> DataFrame:
@@ -58,14 +58,14 @@ def components_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return stage(out.select("node", F.coalesce("root", "node").alias("root")), "components")
 
 
-def open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+def open_members(members: DataFrame, roots: DataFrame, hot: int | None = None) -> DataFrame:
     """Members of buckets with several components, with ``root`` and ``main``, the bucket's largest component."""
     at = members.select("bucket", "node").join(roots, "node")
     sizes = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).getField("root").alias("main"), F.sum("n").alias("n")
     ).filter("roots > 1")
-    return stage(_of_bucket(at, main.select("bucket", "main", "n")).drop("n"), "open")
+    return stage(_of_bucket(at, main.select("bucket", "main", "n"), hot).drop("n"), "open")
 
 
 def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_rows: int) -> DataFrame:

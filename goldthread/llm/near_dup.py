@@ -40,6 +40,7 @@ DOUBT = 0.15  # an estimate further below the limit than this (nearly five stand
 BLOCK = 2048
 QUERY_ROWS = 256
 BLOCK_ROWS = 512
+HOT_ROWS = 1024
 SLOTS = 1 << 20  # counters of shingles, whatever their number: they order shingles by rarity and decide nothing
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -183,7 +184,7 @@ def open_pairs(regions: DataFrame, roots: DataFrame, texts: DataFrame, nodes: Da
 
     Members outside the largest component of a region are joined with all members, by shingle; no region is paired with itself.
     """
-    at = open_members(regions, roots)
+    at = open_members(regions, roots, HOT_ROWS)
     asked = at.filter("root <> main").select("node").distinct().withColumn("asks", F.lit(True))
     inside = stage(at.select("node", "root").distinct().join(asked, "node", "left").join(nodes.select("node", "n_shingles"), "node").join(texts, "node"), "open-texts")
     counts = np.zeros(SLOTS, np.int64)
@@ -213,12 +214,12 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     label = F.substring("labels", F.col("tree") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
     rows = trees.select("node", "tree", label.alias("label"))
     prefix = lambda depth: F.xxhash64("tree", F.substring("label", 1, 4 * depth))
-    crowd = stage(crowded(rows.withColumn("bucket", prefix(BASE))), "crowd")
-    regions = stage(led(crowd.join(degrees(crowd), "node")), "regions")
+    crowd = stage(crowded(rows.withColumn("bucket", prefix(BASE)), HOT_ROWS), "crowd")
+    regions = stage(led(crowd.join(degrees(crowd), "node"), HOT_ROWS), "regions")
     pairs, crowd = star_pairs(regions), regions
     for depth in range(BASE + 1, DEPTH + 1):
         crowd = crowd.filter("n > 2").select("node", "tree", "label", "degree").withColumn("bucket", prefix(depth))
-        crowd = stage(led(crowded(crowd)), "regions")
+        crowd = stage(led(crowded(crowd, HOT_ROWS), HOT_ROWS), "regions")
         pairs = pairs.unionByName(star_pairs(crowd))
     least = percent / 100 - DOUBT
     pairs = stage(likely(pairs.distinct(), nodes, least, percent), "likely")
