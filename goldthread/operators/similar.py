@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from goldthread.functions.similarity import BOOST_ABOVE, PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler, levenshtein_similarity
+from goldthread.operators.skew import join_groups
+from goldthread.session import stage
 
 _EPS = 1e-9
+LONG_TEXT = 48
+GRAM = 4
 
 
 def _floor(c: Column) -> Column:
@@ -27,13 +31,52 @@ def _segment_bounds(length: Column, k: Column, i: Column) -> tuple[Column, Colum
     return start + 1, F.floor((i + 1) * length / k).cast("int") - start
 
 
-def edit_similar(names: DataFrame, threshold: float) -> DataFrame:
+def edit_similar(names: DataFrame, threshold: float, long: int = LONG_TEXT) -> DataFrame:
     """Pairs ``(block, a, b, similarity)`` of texts with edit similarity >= ``threshold``, ``a < b``.
 
-    ``names`` has distinct ``(block, text)``. A text cut into d + 1 segments shares at least one whole
-    segment, shifted by at most d, with any text within distance d (pigeonhole).
+    ``names`` has distinct ``(block, text)``. Pairs of texts up to ``long`` characters meet by segments, which are few and selective there; where
+    the longer text is longer they meet by q-grams, whose number grows in proportion to the text.
     """
     sized = names.filter(F.length("text") > 0).withColumn("len", F.length("text"))
+    pairs = _by_segments(sized.filter(F.col("len") <= long), threshold)
+    if not sized.filter(F.col("len") > long).isEmpty():
+        pairs = pairs.unionByName(_by_grams(sized.filter(F.col("len") >= threshold * (long + 1) - _EPS), threshold, long))
+    return pairs.withColumn("similarity", levenshtein_similarity(F.col("a"), F.col("b"))).filter(F.col("similarity") >= threshold)
+
+
+def _by_grams(sized: DataFrame, threshold: float, long: int) -> DataFrame:
+    """``(block, a, b)`` with a text over ``long`` characters that may be within the distance.
+
+    An edit touches at most q of a text's q-grams (with q - 1 marks before and after it). So of each text the q * d + 1 rarest
+    grams are enough: one of them is common, at places at most d apart. q is the largest that leaves a text more grams than d edits can touch.
+    """
+    q = max(1, min(GRAM, int(threshold / (1 - threshold) + _EPS)))
+    if q * (1 - threshold) / threshold > 1:
+        raise ValueError("threshold too low: no pair of long texts can be ruled out without comparing all pairs")
+    texts = stage(sized.withColumn("id", F.monotonically_increasing_id()), "texts")
+    marked = F.concat(F.repeat(F.lit("\u0001"), F.lit(q - 1)), "text", F.repeat(F.lit("\u0002"), F.lit(q - 1)))
+    cut = F.regexp_extract_all(marked, F.lit(rf"(?s)(?=(.{{{q}}}))."), F.lit(1))
+    grams = texts.select("block", "id", "len", F.posexplode(cut).alias("at", "gram"))
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("_rows")).withColumn("n", F.col("_rows"))
+    ranked = join_groups(grams, counts, ["gram"], ["id", "at"])
+    kept = q * _floor(F.col("len") * F.lit((1 - threshold) / threshold)) + 1
+    first = ranked.groupBy("block", "id", "len").agg(F.sort_array(F.collect_list(F.struct("n", "gram", "at"))).alias("all"))
+    first = first.select("block", "id", "len", F.explode(F.slice("all", F.lit(1), kept)).alias("g")).select("block", "id", "len", "g.gram", "g.at")
+    first = stage(first, "grams")
+    side = lambda s: first.select("block", "gram", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "len", "at")])
+    longer = F.greatest("len_a", "len_b")
+    met = side("a").join(side("b"), ["block", "gram"]).filter("id_a < id_b").filter(
+        (longer > long) & (F.least("len_a", "len_b") >= threshold * longer - _EPS)
+        & (F.abs(F.col("at_a") - F.col("at_b")) <= _floor(longer * F.lit(1 - threshold))))
+    met = met.select("block", "id_a", "id_b").distinct()
+    text = lambda s: texts.select(F.col("id").alias(f"id_{s}"), F.col("text").alias(f"text_{s}"))
+    both = met.join(text("a"), "id_a").join(text("b"), "id_b").filter("text_a <> text_b")
+    return both.select("block", F.least("text_a", "text_b").alias("a"), F.greatest("text_a", "text_b").alias("b"))
+
+
+def _by_segments(sized: DataFrame, threshold: float) -> DataFrame:
+    """``(block, a, b)`` that may be within the distance: a text cut into d + 1 segments shares at least one whole segment, shifted by at
+    most d, with any text within distance d (pigeonhole)."""
     length = F.col("len")
 
     def index_segment(i: Column) -> Column:
@@ -65,15 +108,12 @@ def edit_similar(names: DataFrame, threshold: float) -> DataFrame:
         F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(shortest, length), probes)))).alias("p"),
     ).select("block", "long", "p.*")
 
-    pairs = (
+    return (
         probe.join(index, ["block", "l", "i", "seg"])
         .filter(F.col("long") != F.col("short"))
         .select("block", F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b"))
         .distinct()
     )
-    return pairs.withColumn("similarity", levenshtein_similarity(F.col("a"), F.col("b"))).filter(
-        F.col("similarity") >= threshold
-    )
 
 
 FREQUENT_TOKENS = 256  # so many most frequent tokens get a rank; all others are rarer than these

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from goldthread.functions import codes
-from goldthread.operators import erasure as er, quality as dq, runlog, sharing as sh
+from goldthread.operators import erasure as er, prefilter as pf, quality as dq, runlog, sharing as sh
 from goldthread.operators.projection import SinkSpec, decrypt
 from goldthread.plans.fixtures import KEYED_CTE, keyed
 from goldthread.plans.registry import Tables, plain, query
@@ -219,6 +219,17 @@ def cascade_layers(t: Tables) -> DataFrame:
     return dq.table_counts(er.cascade_graph({n: getattr(t, n) for n in names}, links, seeds))
 
 
+@query("an8_prefiltered_delete", """
+SELECT 'left' AS part, l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 100 <> 7 UNION ALL SELECT 'gone', l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 100 = 7""")
+def prefiltered(t: Tables) -> DataFrame:
+    """One percent of the orders go: the other rows of the large table are cleared by a bitmap and do not move."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber")
+    gone = t.orders.filter("o_orderkey % 100 = 7").select(F.col("o_orderkey").alias("l_orderkey"))
+    parts = {"left": pf.without_keys(lines, gone, ["l_orderkey"]), "gone": pf.semi_by_keys(lines, gone, ["l_orderkey"])}
+    left, taken = (df.select(F.lit(n).alias("part"), "*") for n, df in parts.items())
+    return left.unionByName(taken)
+
+
 @query("an9_encrypted_and_complete", f"""
 SELECT o_orderkey, CASE WHEN o_custkey IN ({_GONE}) THEN 'COMPLETE' ELSE 'OPEN' END AS status, o_custkey IN ({_GONE}) AS is_hidden, o_custkey::VARCHAR AS plain_id FROM orders""")
 def encrypted(t: Tables) -> DataFrame:

@@ -10,6 +10,7 @@ from goldthread.functions.similarity import _jaro_winkler
 from goldthread.operators import components as cc, documents as dc, erasure as er, keys as ky, similar as sm
 from goldthread.operators.asof import as_of_join
 from goldthread.operators.merge import DuplicateKeys
+from goldthread.session import stage
 
 
 @pytest.mark.parametrize("strict,forward", [(False, False), (True, False), (False, True), (True, True)])
@@ -127,11 +128,11 @@ def test_documents_of_any_shape(spark, rows):
 
 
 def test_few_name_pairs_are_scored(spark):
-    """20,000 names in one block: under 5 % of the pairs, and every pair of a sample that is similar."""
+    """Names of common parts in one block: under 5 % of the pairs, and every pair of a sample that is similar."""
     r = random.Random(2)
     parts = ["an", "ma", "ri", "jo", "el", "ka", "the", "son", "ber", "li", "to", "wil", "ro", "chris", "ti", "na", "dor", "es", "ham", "ford"]
-    names = set()
-    while len(names) < 20_000:
+    names, n = set(), 4000
+    while len(names) < n:
         name = "".join(r.choice(parts) for _ in range(r.randint(2, 4)))
         if r.random() < 0.3:
             i = r.randrange(len(name))
@@ -139,10 +140,51 @@ def test_few_name_pairs_are_scored(spark):
         names.add(name.upper())
     names = sorted(names)
     frame = spark.createDataFrame([("x", i, n) for i, n in enumerate(names)], "block string, id long, text string")
-    found = sm.jaro_candidates(frame, 0.9)
-    assert found.count() < 0.05 * 20_000 * 19_999 / 2
-    sample = r.sample(range(20_000), 60)
-    near = {(min(i, j), max(i, j)) for i in sample for j in range(20_000) if i != j and _jaro_winkler(names[min(i, j)], names[max(i, j)]) >= 0.9}
+    found = stage(sm.jaro_candidates(frame, 0.9))
+    assert found.count() < 0.05 * n * (n - 1) / 2
+    sample = r.sample(range(n), 40)
+    near = {(min(i, j), max(i, j)) for i in sample for j in range(n) if i != j and _jaro_winkler(names[min(i, j)], names[max(i, j)]) >= 0.9}
     asked = spark.createDataFrame([(i,) for i in sample], "id long")
     got = found.join(asked.withColumnRenamed("id", "id_a"), "id_a", "left_semi").unionByName(found.join(asked.withColumnRenamed("id", "id_b"), "id_b", "left_semi"))
     assert near and near <= {(p["id_a"], p["id_b"]) for p in got.collect()}
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.85, 0.95])
+def test_edit_join_by_grams_finds_every_pair(spark, rows, threshold):
+    """Short texts sent through the grams: the same pairs as by segments and by brute force."""
+    from test_matching import levenshtein, words
+
+    texts = words(120, 13, high=16)
+    df = spark.createDataFrame([("x", w) for w in texts], "block string, text string")
+    want = sorted((p, q) for i, p in enumerate(texts) for q in texts[i + 1:] if 1 - levenshtein(p, q) / max(len(p), len(q)) >= threshold)
+    assert rows(sm.edit_similar(df, threshold, long=0), "a", "b") == want == rows(sm.edit_similar(df, threshold, long=7), "a", "b") and (want or threshold > 0.9)
+
+
+def test_long_texts_take_time_in_proportion(spark, rows):
+    import time
+
+    r = random.Random(6)
+    def run(size):
+        texts = [" ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(size // 5))[:size] for _ in range(60)]
+        near = [t[:size // 2] + "zz" + t[size // 2 + 3:] for t in texts[:10]]
+        df = spark.createDataFrame([("x", t) for t in texts + near], "block string, text string")
+        began = time.perf_counter()
+        found = rows(sm.edit_similar(df, 0.85), "a", "b")
+        assert found == sorted(tuple(sorted(p)) for p in zip(texts, near))
+        return time.perf_counter() - began
+
+    run(100)
+    assert run(2000) < 20 * run(400) + 10
+
+
+def test_only_rows_that_may_match_move(spark, rows):
+    from goldthread.operators import prefilter as pf
+
+    table = spark.range(200_000).select((F.col("id") % 50_000).alias("k"), "id").unionByName(spark.createDataFrame([(None, -1)], "k long, id long"))
+    keys = spark.createDataFrame([(k,) for k in range(0, 50_000, 100)] + [(None,), (10**12,)], "k long")
+    passed = table.filter(pf.may_be_in(pf.key_bitmap(keys.na.drop(), ["k"]), ["k"])).count()
+    assert 2000 <= passed < 0.05 * 200_000
+    assert pf.semi_by_keys(table, keys, ["k"]).count() == 2000
+    left = pf.without_keys(table, keys, ["k"])
+    assert left.count() == 198_001 and left.filter("k % 100 = 0").isEmpty() and left.columns == ["k", "id"]
+    assert pf.without_keys(table, keys.filter("false"), ["k"]).count() == 200_001 and pf.semi_by_keys(table, keys.filter("false"), ["k"]).count() == 0
