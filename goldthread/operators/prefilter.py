@@ -36,7 +36,7 @@ def may_be_in(bitmap: tuple[bytes, int], columns: Sequence[str]) -> Column:
     data, bits = bitmap
     place = _place(columns, bits)
     byte = F.conv(F.hex(F.substring(F.lit(data), F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.shiftright(byte, place.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def semi_by_keys(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
