@@ -89,23 +89,28 @@ def open_blocks(members: DataFrame, roots: DataFrame, query_rows: int, block_row
     return q.select(names).unionByName(r.select(names))
 
 
-def paired_blocks(pairs: DataFrame, roots: DataFrame, query_rows: int, block_rows: int) -> DataFrame:
-    """``(part, i, query, node, root)``: candidate pairs ``(query, row)`` as blocks of bounded size, without a row per pair.
-
-    The rows lie in parts of about ``block_rows``: a large component is cut, small ones share a part. A query comes once to each part in which
-    it has a candidate; of a part's queries block i holds the i-th share.
-    """
-    rows = pairs.select(F.col("row").alias("node")).distinct().join(roots, "node")
-    sizes = stage(rows.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "sizes")
+def parts_of(nodes: DataFrame, block_rows: int) -> DataFrame:
+    """``(node, root, part)`` of ``nodes`` (``node, root``) in parts of about ``block_rows``: a large component is cut, small ones share a
+    part; written. ``part`` names its component, or -1 for small ones."""
+    sizes = stage(nodes.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "sizes")
     total = sizes.agg(F.coalesce(F.sum(F.when(F.col("n") < block_rows, F.col("n"))), F.lit(0))).first()[0]
     few = max(1, -(-total // block_rows))
     own = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(block_rows))).cast("int")
     small = F.struct(F.lit(-1).cast("bigint").alias("root"), F.pmod(F.xxhash64("root"), F.lit(few)).cast("int").alias("k"))
     part = F.when(F.col("n") < block_rows, small).otherwise(F.struct(F.col("root").cast("bigint").alias("root"), own.alias("k")))
-    placed = stage(salted_join(rows, sizes, ["root"], ["node"], counts=sizes, size="n").withColumn("part", part).select("node", "root", "part"), "placed")
-    asked = pairs.join(placed.select(F.col("node").alias("row"), "part"), "row").select("part", F.col("query").alias("node")).distinct()
+    sized = salted_join(nodes, sizes, ["root"], ["node"], counts=sizes, size="n")
+    return stage(sized.select("node", "root", part.alias("part")), "parts")
+
+
+def part_blocks(asked: DataFrame, parts: DataFrame, query_rows: int) -> DataFrame:
+    """``(part, i, query, node, root)``: the queries ``asked`` of parts (``part, node``) and the rows of these, as blocks of bounded size.
+
+    Of a part's queries block i holds the i-th share.
+    """
+    asked = stage(asked, "asked")
     shape = stage(asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("n_i")), "shape")
-    asked = asked.join(shape, "part").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n_i")).cast("int")).join(roots, "node")
-    held = placed.join(shape, "part").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)))
+    share = F.pmod(F.xxhash64("node"), F.col("n_i")).cast("int")
     names = ["part", "i", "query", "node", "root"]
-    return asked.withColumn("query", F.lit(True)).select(names).unionByName(held.withColumn("query", F.lit(False)).select(names))
+    queries = asked.join(shape, "part").withColumn("i", share).join(parts.select("node", "root"), "node")
+    rows = parts.join(shape, "part").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)))
+    return queries.withColumn("query", F.lit(True)).select(names).unionByName(rows.withColumn("query", F.lit(False)).select(names))

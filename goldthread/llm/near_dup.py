@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.llm.linking import components_of, crowded, degrees, led, open_members, paired_blocks, star_pairs
+from goldthread.llm.linking import components_of, crowded, degrees, led, open_members, part_blocks, parts_of, star_pairs
 from goldthread.llm.rows import id_text, only, text_key, with_id
 from goldthread.llm.words import hash_runs, hashed_texts, pieces, words_of
 from goldthread.session import stage
@@ -179,25 +179,31 @@ def _rarest(counts: np.ndarray, percent: int):
     return run
 
 
-def open_pairs(regions: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``(query, row)`` of different components in regions that hold several, whose rarest shingles and sizes allow a link.
+def open_blocks(regions: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(part, i, query, node, root)``: the members of regions with several components, in blocks where a link is possible.
 
-    Members outside the largest component of a region are joined with all members, by shingle; no region is paired with itself.
+    The members outside the largest component of a region ask those parts (of about ``BLOCK_ROWS`` members) in which another text has one of
+    their rarest shingles and a fitting size. A shingle stands once per part, so neither pairs of texts nor of copies are made.
     """
     at = open_members(regions, roots, HOT_ROWS)
     asked = at.filter("root <> main").select("node").distinct().withColumn("asks", F.lit(True))
-    inside = stage(at.select("node", "root").distinct().join(asked, "node", "left").join(nodes.select("node", "n_shingles"), "node").join(texts, "node"), "open-texts")
+    inside = at.select("node", "root").distinct().join(asked, "node", "left").join(nodes.select("node", F.col("n_shingles").alias("n")), "node")
+    inside = stage(inside.join(texts, "node"), "open-texts")
+    parts = parts_of(inside.select("node", "root"), BLOCK_ROWS)
     counts = np.zeros(SLOTS, np.int64)
     for row in inside.select("text").mapInPandas(_slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["slot"]] = row["n"]
     rare = inside.select("node", "text").mapInPandas(_rarest(counts, percent), "node bigint, shingle bigint, at int")
-    rare = stage(rare.join(inside.select("node", "root", "asks", F.col("n_shingles").alias("n")), "node"), "rarest")
-    side = lambda c: rare.select("shingle", *[F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "at", "n", "asks")])
-    met = side("q").filter("asks_q").join(side("r"), "shingle").filter("root_q <> root_r AND (asks_r IS NULL OR node_q < node_r)")
-    met = met.filter(100 * F.least("n_q", "n_r") >= percent * F.greatest("n_q", "n_r"))
-    needed = F.ceil(F.lit(percent) * (F.col("n_q") + F.col("n_r")) / F.lit(100 + percent) - F.lit(1e-9))
-    met = met.filter(F.least(F.col("n_q") - F.col("at_q"), F.col("n_r") - F.col("at_r")) >= needed)
-    return met.select(F.col("node_q").alias("query"), F.col("node_r").alias("row")).distinct()
+    rare = stage(rare.join(inside.drop("text"), "node").join(parts.select("node", "part"), "node"), "rarest")
+    held = rare.groupBy("shingle", "part").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("node").alias("holder"), F.min("n").alias("low"), F.max("n").alias("high"),
+        F.max(F.col("n") - F.col("at")).alias("left"))
+    met = rare.filter("asks").drop("part").join(held, "shingle").filter("part.root <> root AND (holders > 1 OR holder <> node)")
+    met = met.filter((100 * F.col("n") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("n")))
+    least = F.greatest(F.col("low"), F.ceil(F.lit(percent) * F.col("n") / F.lit(100) - F.lit(1e-9)))
+    needed = F.ceil(F.lit(percent) * (F.col("n") + least) / F.lit(100 + percent) - F.lit(1e-9))
+    met = met.filter(F.least(F.col("n") - F.col("at"), F.col("left")) >= needed)
+    return part_blocks(met.select("part", "node").distinct(), parts, QUERY_ROWS)
 
 
 def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -237,8 +243,8 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = components_of(links, members)
     rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
     between = lambda p: p.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b").filter("_ra <> _rb").select("a", "b")
-    met = open_pairs(regions.filter("n > 2"), roots, texts, nodes, percent)
-    blocks = paired_blocks(met, roots, QUERY_ROWS, BLOCK_ROWS).join(texts, "node").join(nodes.select("node", "labels"), "node")
+    blocks = open_blocks(regions.filter("n > 2"), roots, texts, nodes, percent)
+    blocks = blocks.join(texts, "node").join(nodes.select("node", "labels"), "node")
     searched = blocks.groupBy("part", "i").applyInPandas(_search(percent, least), "a bigint, b bigint")
     more = confirm(between(rest), texts, percent).unionByName(searched)
     links = links.unionByName(stage(more, "links"))

@@ -81,12 +81,12 @@ def test_a_cloud_below_the_limit(spark):
         rows = [(k, text(k)) for k in range(n)] + [(n + k, text(k) + " tail") for k in range(0, n, 50)]
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         met = []
-        real = near_dup.paired_blocks
-        near_dup.paired_blocks = lambda pairs, *rest: (met.append(pairs.count()), real(pairs, *rest))[1]
+        real = near_dup.part_blocks
+        near_dup.part_blocks = lambda asked, *rest: (met.append(asked.count()), real(asked, *rest))[1]
         try:
             got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
         finally:
-            near_dup.paired_blocks = real
+            near_dup.part_blocks = real
         assert got == {d: d - n if d >= n else d for d, _ in rows}
         return sum(met)
 
