@@ -7,6 +7,7 @@ bounded size, whatever it stands for. Errors (three standard deviations, for the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,6 +48,17 @@ def distinct_count_hll(bits: str | Column = "key_bits") -> Column:
     return F.hll_sketch_estimate(bits)
 
 
+def approx_distinct(value: str | Column, error: float) -> Column:
+    """Aggregate: about how many distinct values, nulls left out, to a relative standard deviation of ``error``.
+
+    The sketch has as many registers as ``approx_count_distinct`` takes for this error, but starts as a list of the values seen: a group of few values has
+    a few bytes, not all registers, so there may be any number of groups. Values are sketched by their 64-bit hash.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    bits = min(max(math.ceil(2 * math.log2(1.106 / error)), 4), 21)
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value)), bits)), F.lit(0))
+
+
 def overlap(a: str | Column, b: str | Column) -> Column:
     """How many distinct keys two groups share."""
     return F.theta_sketch_estimate(F.theta_intersection(a, b))

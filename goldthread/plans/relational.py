@@ -283,7 +283,7 @@ def distinct_in_group(t: Tables) -> DataFrame:
 @query("wn8_approx_distinct_in_group", "SELECT o_orderkey, n FROM orders JOIN (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders GROUP BY 1) USING (o_custkey)")
 def approx_in_group(t: Tables) -> DataFrame:
     """Approximate counts of at most five values are exact."""
-    return with_group_values(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey"], ["o_orderkey"], n=F.approx_count_distinct("o_orderpriority", 0.01)).select("o_orderkey", "n")
+    return with_group_values(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey"], ["o_orderkey"], n=sk.approx_distinct("o_orderpriority", 0.01)).select("o_orderkey", "n")
 
 
 def _monthly(t: Tables, groups: list[str], key: str | None = None, value: str | None = None) -> DataFrame:

@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from goldthread.functions.similarity import _jaro_winkler
-from goldthread.operators import components as cc, documents as dc, erasure as er, keys as ky, similar as sm
+from goldthread.operators import components as cc, documents as dc, erasure as er, keys as ky, similar as sm, sketches as sk, skew
 from goldthread.operators.asof import as_of_join
 from goldthread.operators.merge import DuplicateKeys
 from goldthread.session import stage
@@ -188,3 +189,24 @@ def test_only_rows_that_may_match_move(spark, rows):
     left = pf.without_keys(table, keys, ["k"])
     assert left.count() == 198_001 and left.filter("k % 100 = 0").isEmpty() and left.columns == ["k", "id"]
     assert pf.without_keys(table, keys.filter("false"), ["k"]).count() == 200_001 and pf.semi_by_keys(table, keys.filter("false"), ["k"]).count() == 0
+
+
+def test_small_groups_have_small_distinct_sketches(spark, rows, monkeypatch):
+    """Nulls are left out, an empty text is a value, a group of nulls has none; no group holds all registers of the sketch."""
+    small = spark.createDataFrame(
+        [(1, v) for v in ("a", "b", "b", "", None)] + [(2, None)] + [(None, "a")], "g int, v string")
+    found = small.groupBy("g").agg(sk.approx_distinct("v", 0.01).alias("n"))
+    assert rows(found) == sorted([(1, 3), (2, 0), (None, 1)], key=repr)
+    many = spark.range(40000).select(sk.approx_distinct(F.col("id") % 20000, 0.01).alias("n")).first()["n"]
+    assert abs(many - 20000) <= 3 * 0.01 * 20000
+    plans = []
+
+    def watched(df, label="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(skew, "stage", watched)
+    queries = entry_points.queries()
+    ask = lambda name: rows(queries[name](spark, "/root/testdata/sf0.001"))
+    assert ask("wn8_approx_distinct_in_group") == ask("wn7_distinct_in_group")
+    assert "hll_sketch_agg" in plans[0] and "approx_count_distinct" not in plans[0]
