@@ -46,14 +46,15 @@ def rate_limit(df: DataFrame, quotas: DataFrame, group: str, unit: Sequence[str]
 def same_members(left: DataFrame, right: DataFrame, group: Sequence[str], member: Sequence[str]) -> DataFrame:
     """Groups of ``left`` with flags: the member sets are equal; left holds all of right's; right holds all of left's.
 
-    Members are compared row by row after a full join, so no group is ever collected into a set.
+    One aggregate says for each member on which sides it stands, a second counts per group: no group is ever collected into a set, and
+    no side is sorted. A null is never a common member.
     """
-    a = left.select(*group, *member).distinct().withColumn("_l", F.lit(True))
-    b = right.select(*group, *member).distinct().withColumn("_r", F.lit(True))
-    joined = a.join(b, [*group, *member], "full_outer")
-    flags = joined.groupBy(*group).agg(
-        F.count("_l").alias("left_members"), F.count("_r").alias("right_members"),
-        F.count(F.when(F.col("_l") & F.col("_r"), 1)).alias("common_members"),
+    side = lambda df, l, r: df.select(*group, *member, F.lit(l).alias("_l"), F.lit(r).alias("_r"))
+    both = side(left, True, False).union(side(right, False, True)).groupBy(*group, *member).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*group, *member)])
+    flags = both.groupBy(*group).agg(
+        F.count_if("_l").alias("left_members"), F.count_if("_r").alias("right_members"),
+        F.count_if(F.col("_l") & F.col("_r") & known).alias("common_members"),
     ).filter("left_members > 0")
     return flags.select(
         *group, ((F.col("common_members") == F.col("left_members")) & (F.col("common_members") == F.col("right_members"))).alias("is_equal"),

@@ -210,3 +210,15 @@ def test_small_groups_have_small_distinct_sketches(spark, rows, monkeypatch):
     ask = lambda name: rows(queries[name](spark, "/root/testdata/sf0.001"))
     assert ask("wn8_approx_distinct_in_group") == ask("wn7_distinct_in_group")
     assert "hll_sketch_agg" in plans[0] and "approx_count_distinct" not in plans[0]
+
+
+def test_member_sets_need_no_sort(spark, rows):
+    """Equal, larger, smaller and null members; one aggregate per level instead of a sorted full join."""
+    table = lambda found: spark.createDataFrame(found, "k int, m int")
+    left = table([(1, 1), (1, 1), (1, 2), (2, 1), (3, 1), (3, 2), (4, None), (None, 1), (5, 1)])
+    right = table([(1, 2), (1, 1), (2, 1), (2, 2), (3, 1), (4, None), (None, 1), (6, 1)])
+    found = er.same_members(left, right, ["k"], ["m"])
+    assert rows(found) == sorted([
+        (1, True, True, True), (2, False, False, True), (3, False, True, False), (4, False, False, False), (5, False, True, False),
+        (None, False, False, False)], key=repr)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
