@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from goldthread.operators import components as cc
+from goldthread.session import stage
 
 
 def union_find(edges):
@@ -65,3 +66,22 @@ def test_round_limit_is_an_error_not_a_silent_stop(spark):
     edges = [(i, i + 1) for i in range(200)]
     with pytest.raises(cc.NotConverged):
         cc.connected_components(spark.createDataFrame(edges, "src long, dst long"), max_rounds=1)
+
+
+def test_no_node_table_passes_the_driver(spark, rows, monkeypatch):
+    """Neither the rounds nor added and removed edges broadcast a table of nodes, however small its files are."""
+    plans = []
+
+    def watched(df, label="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(cc, "stage", watched)
+    edge = lambda found: spark.createDataFrame(found, "src long, dst long")
+    kept, gone = edge([(1, 2), (2, 3), (5, 6), (8, 8)]), edge([(3, 5)])
+    roots = cc.connected_components(kept.union(gone))
+    roots = watched(cc.remove_edges(roots, kept, gone))
+    assert rows(roots, "node", "root") == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)]
+    roots = watched(cc.add_edges(roots, edge([(6, 9), (9, 1)])))
+    assert rows(roots, "node", "root") == [(1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (9, 1)]
+    assert len(plans) > 5 and not [p for p in plans if "BroadcastHashJoin" in p]
