@@ -19,9 +19,10 @@ def _at(text: str) -> F.Column:
 
 
 def _write_documents(df: DataFrame, label: str) -> str:
-    """One JSON file per row."""
+    """One JSON file per row. Each task moves its own files to the folder, which is new and read only after the write; else the driver moves them all, one by one."""
     path = new_path(df.sparkSession, label)
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    text = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    text.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     return path
 
 
