@@ -199,21 +199,27 @@ def align_unordered(a: DataFrame, b: DataFrame, keys: Sequence[str], path: str)
     (:func:`match_elements`), all lists of all documents at once.
     """
     inside = re.escape(path).replace(re.escape("[]"), r"\[[^\]]*\]")
-    form = rf"^({inside})\[([0-9a-f]{{32}})\](.*)$"
-    part = lambda i: F.regexp_extract("path", form, i)
+    form = rf"^({inside}\[)[0-9a-f]{{32}}\].*$"
     names = [*keys, "_list"]
 
+    def parts(df: DataFrame, list_: str, name: str, sub: str) -> DataFrame:
+        """With the list, the element's hash and what follows, all cut from one match of the path; null where the path is not inside."""
+        head = F.length(F.nullif(F.regexp_extract("path", form, 1), F.lit("")))
+        cut = df.withColumn("_at", head)
+        at = F.col("_at")
+        return cut.withColumns({
+            list_: F.substr("path", F.lit(1), at - 1), name: F.substr("path", at + 1, F.lit(32)), sub: F.substr("path", at + 34)})
+
     def split(df: DataFrame, name: str) -> DataFrame:
-        hit = df.filter(F.col("path").rlike(form))
-        return hit.select(*keys, part(1).alias("_list"), part(2).alias(name), part(3).alias("_sub"), "value")
+        return parts(df, "_list", name, "_sub").filter("_at IS NOT NULL").select(*names, name, "_sub", "value")
 
-    lefts, rights = split(a, "_left"), split(b, "_right")
+    lefts, rights = stage(split(a, "_left"), "lefts"), stage(split(b, "_right"), "rights")
     only = lambda x, y, n, m: x.join(y.select(*names, F.col(m).alias(n)).distinct(), [*names, n], "left_anti")
     leaf = F.sha2(F.concat_ws("\u001f", "_sub", "value"), 256).alias("_leaf")
     mine, theirs = (x.filter("value IS NOT NULL").select(*names, n, leaf) for x, n in (
         (only(lefts, rights, "_left", "_right"), "_left"), (only(rights, lefts, "_right", "_left"), "_right")))
     pairs = match_elements(mine, theirs, names).withColumnsRenamed({"_list": "_l2"})
-    marked = b.withColumns({"_l": part(1), "_r": part(2), "_s": part(3)})
+    marked = parts(b, "_l", "_r", "_s")
     joined = marked.join(pairs.withColumnsRenamed({"_l2": "_l", "_right": "_r"}), [*keys, "_l", "_r"], "left")
     moved = F.concat("_l", F.lit("["), "_left", F.lit("]"), "_s")
     return joined.withColumn("path", F.when(F.col("_left").isNotNull(), moved).otherwise(F.col("path"))).select(*b.columns)
