@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from goldthread.llm.linking import components_of, crowded, degrees, led, open_members, part_blocks, parts_of, star_pairs
+from goldthread.llm.linking import components_of, crowded, degrees, joined_roots, led, open_members, part_blocks, parts_of, star_pairs
 from goldthread.llm.rows import id_text, only, text_key, with_id
 from goldthread.llm.words import hash_runs, hashed_texts, pieces, words_of
 from goldthread.session import stage
@@ -95,7 +95,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float, percent: int = PERC
     )
 
 
-def _confirm(percent: int):
+def _confirm(percent: int, names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: dict[int, np.ndarray] = {}
         for batch in (piece for whole in batches for piece in pieces(whole)):
@@ -106,20 +106,20 @@ def _confirm(percent: int):
             for a, b in zip(batch["a"], batch["b"]):
                 shared = len(np.intersect1d(kept[a], kept[b], assume_unique=True))
                 good.append(100 * shared >= percent * (len(kept[a]) + len(kept[b]) - shared))
-            yield batch.loc[good, ["a", "b"]]
+            yield batch.loc[good, names]
 
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, names: tuple[str, ...] = ("a", "b")) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough, with the columns ``names``."""
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm(percent), "a bigint, b bigint")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select(*dict.fromkeys(["a", "b", *names]), "text_a", "text_b")
+    return both.mapInPandas(_confirm(percent, list(names)), ", ".join(f"{n} bigint" for n in names))
 
 
 def _search(percent: int, least: float):
-    """Links between the queries of a block and its rows, as few as connect what is similar (exact, on full sets)."""
+    """Links ``(a, b)`` between the roots of a block's queries and of its rows, as few as connect what is similar (exact, on full sets)."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         asked, rows = block[block["query"]], block[~block["query"]]
@@ -130,10 +130,10 @@ def _search(percent: int, least: float):
         sizes = np.array([len(s) for s in sets])
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         table = np.frombuffer(b"".join(rows["labels"]), ">u4").reshape(len(rows), -1)
-        nodes, owner = rows["node"].to_numpy(), rows["root"].to_numpy().copy()
+        owner = rows["root"].to_numpy().copy()
         links, joined = [], {}
         own = [shingle_set(h) for h in hashed_texts([_lower_words(t) for t in asked["text"]])]
-        for node, root, label, mine in zip(asked["node"], asked["root"], asked["labels"], own):
+        for root, label, mine in zip(asked["root"], asked["labels"], own):
             while root in joined:
                 root = joined[root]
             maybe = (100 * np.minimum(sizes, len(mine)) >= percent * np.maximum(sizes, len(mine))) & (owner != root)
@@ -142,8 +142,8 @@ def _search(percent: int, least: float):
                 continue
             shared = np.add.reduceat(np.isin(known, mine, assume_unique=True)[places], starts)
             found = np.flatnonzero(maybe & (100 * shared >= percent * (sizes + len(mine) - shared)))
-            for other, k in zip(*np.unique(owner[found], return_index=True)):  # one link per component is enough
-                links.append((node, nodes[found[k]]))
+            for other in np.unique(owner[found]):  # one link per component is enough
+                links.append((root, other))
                 joined[other] = root
                 owner[owner == other] = root
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -191,8 +191,8 @@ def open_blocks(regions: DataFrame, roots: DataFrame, texts: DataFrame, nodes: D
     inside = stage(inside.join(texts, "node"), "open-texts")
     parts = parts_of(inside.select("node", "root"), BLOCK_ROWS)
     counts = np.zeros(SLOTS, np.int64)
-    for row in inside.select("text").mapInPandas(_slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[row["slot"]] = row["n"]
+    used = inside.select("text").mapInPandas(_slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts[used["slot"].to_numpy()] = used["n"].to_numpy()
     rare = inside.select("node", "text").mapInPandas(_rarest(counts, percent), "node bigint, shingle bigint, at int")
     rare = stage(rare.join(inside.drop("text"), "node").join(parts.select("node", "part"), "node"), "rarest")
     held = rare.groupBy("shingle", "part").agg(
@@ -219,16 +219,15 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     trees = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "labels")
     label = F.substring("labels", F.col("tree") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
     rows = trees.select("node", "tree", label.alias("label"))
-    prefix = lambda depth: F.xxhash64("tree", F.substring("label", 1, 4 * depth))
-    crowd = stage(crowded(rows.withColumn("bucket", prefix(BASE)), HOT_ROWS), "crowd")
+    prefix = lambda depth: F.xxhash64("tree", F.substring("label", F.lit(1), 4 * depth))
+    crowd = stage(crowded(rows.withColumn("bucket", prefix(F.lit(BASE))), HOT_ROWS), "crowd")
     regions = stage(led(crowd.join(degrees(crowd), "node"), HOT_ROWS), "regions")
-    pairs, crowd = star_pairs(regions), regions
-    for depth in range(BASE + 1, DEPTH + 1):
-        crowd = crowd.filter("n > 2").select("node", "tree", "label", "degree").withColumn("bucket", prefix(depth))
-        crowd = stage(led(crowded(crowd, HOT_ROWS), HOT_ROWS), "regions")
-        pairs = pairs.unionByName(star_pairs(crowd))
+    # A region of two has the same pair at every depth; the deeper ones of all others are led at once, a row per depth.
+    deeper = regions.filter("n > 2").withColumn("depth", F.explode(F.sequence(F.lit(BASE + 1), F.lit(DEPTH))))
+    deeper = led(deeper.select("node", "degree", prefix(F.col("depth")).alias("bucket")), HOT_ROWS)
+    pairs = star_pairs(regions.select("node", "lead").unionByName(deeper.select("node", "lead")))
     least = percent / 100 - DOUBT
-    pairs = stage(likely(pairs.distinct(), nodes, least, percent), "likely")
+    pairs = stage(likely(pairs, nodes, least, percent), "likely")
 
     members = regions.select("node").distinct()
     keys = nodes.join(members, "node").select("node", F.struct("doc_id", "text_key").alias("_k"))
@@ -242,13 +241,12 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = stage(confirm(tried, texts, percent), "links")
     roots = components_of(links, members)
     rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
-    between = lambda p: p.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b").filter("_ra <> _rb").select("a", "b")
+    between = lambda p: p.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b").filter("_ra <> _rb")
     blocks = open_blocks(regions.filter("n > 2"), roots, texts, nodes, percent)
     blocks = blocks.join(texts, "node").join(nodes.select("node", "labels"), "node")
     searched = blocks.groupBy("part", "i").applyInPandas(_search(percent, least), "a bigint, b bigint")
-    more = confirm(between(rest), texts, percent).unionByName(searched)
-    links = links.unionByName(stage(more, "links"))
-    roots = components_of(links, members).toDF("_node", "root")
+    more = confirm(between(rest), texts, percent, ("_ra", "_rb")).toDF("a", "b").unionByName(searched)
+    roots = joined_roots(roots, stage(more, "links")).toDF("_node", "root")
 
     named = nodes.join(roots, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
     named = stage(named.select("digest", "n_shingles", "root", "doc_id"), "named")
