@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -90,6 +90,9 @@ def mapping_envelope(
     return document(F.struct(body.alias("ConsumerMappingList")))
 
 
+_JSON_SPACE = " \t\r\n"  # what JSON allows before a value
+
+
 # A quoted name, or a type that stands where a type can stand: at the start, after a name's colon, or inside ARRAY<>.
 _TYPES = re.compile(r"`(?:[^`]|``)*`|(?:(?<=: )|(?<=ARRAY<)|^)(OBJECT|VARIANT|VOID)(?=[<,>]|$)")
 
@@ -108,13 +111,24 @@ def infer_schema(df: DataFrame, json: str, mixed: str = "STRING") -> str:
     return ddl if ddl.startswith("STRUCT<") else "STRUCT<>"
 
 
+def opens(json: Column) -> Column:
+    """Whether a text, if it is JSON, is an object or array."""
+    return F.coalesce(F.substr(F.ltrim(json, F.lit(_JSON_SPACE)), F.lit(1), F.lit(1)).isin("{", "["), F.lit(False))
+
+
 def path_name(name: str) -> str:
     """A member's name in a path; quoted when it holds a sign that paths use."""
     return f"`{name}`" if re.search(r"[.\[\]`]", name) else name
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often ``use`` names it, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def flatten_paths(
     schema: DataType, value: Column, path: str = "", keyed: Mapping[str, str | Sequence[str]] | None = None, unwrap: bool = False,
+    full: Column | None = None,
 ) -> Column:
     """Array of ``(path, type, value)`` for every leaf below ``value``, following its declared type.
 
@@ -123,87 +137,124 @@ def flatten_paths(
     A key may be several members (``("Code", "Source.Id")``); ``*`` is the element's whole content.
     An array itself is a leaf too, with its length as value. With ``unwrap`` a list of one element is that element.
     An object or array in a variant is one leaf of type ``variant``, with its text as value; ``variant_children`` opens it.
+    ``path`` is without places; ``full`` is the path with them, below a list.
     """
     keyed = keyed or {}
-    row = "struct<path:string,type:string,value:string>"
+    at = F.lit(path) if full is None else full
     if isinstance(schema, StructType):
-        names = [(f, f"{path}.{path_name(f.name)}" if path else path_name(f.name)) for f in schema]
-        parts = [flatten_paths(f.dataType, value.getField(f.name), at, keyed, unwrap) for f, at in names]
-        inside = F.concat(*parts) if parts else _leaf(path, "object", F.lit("{}"))
-        return F.when(value.isNotNull(), inside).otherwise(_leaf(path, "null", F.lit(None)))
+        parts = []
+        for f in schema:
+            name = f".{path_name(f.name)}" if path else path_name(f.name)
+            inner = None if full is None else F.concat(full, F.lit(name))
+            parts.append(flatten_paths(f.dataType, value.getField(f.name), path + name, keyed, unwrap, inner))
+        inside = F.concat(*parts) if parts else _leaf(at, "object", F.lit("{}"))
+        return F.when(value.isNotNull(), inside).otherwise(_leaf(at, "null", F.lit(None)))
     if isinstance(schema, ArrayType):
-        member = keyed.get(re.sub("\0\\d*\0", "", path))
-        mark = f"\0{path.count('[')}\0"
-
-        def element(x: Column, i: Column) -> Column:
-            if member == "*":
-                place = F.md5(F.to_json(F.struct(x.alias("x"))))
-            elif member:
-                parts = [reduce(lambda v, name: v[name], p.split("."), x) for p in ([member] if isinstance(member, str) else member)]
-                place = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
-            else:
-                place = i.cast("string")
-            inner = flatten_paths(schema.elementType, x, f"{path}[{mark}]", keyed, unwrap)
-            return F.transform(
-                inner,
-                lambda leaf: F.struct(
-                    F.replace(leaf["path"], F.lit(mark), place).alias("path"),
-                    leaf["type"].alias("type"), leaf["value"].alias("value"),
-                ),
-            )
-
-        leaves = F.concat(_leaf(path, "array", F.size(value)), F.flatten(F.transform(value, element)))
+        element = lambda x, i: _element_paths(schema.elementType, x, i, path, keyed, unwrap, at)
+        leaves = F.concat(_leaf(at, "array", F.size(value)), F.flatten(F.transform(value, element)))
         if unwrap:
-            leaves = F.when(F.size(value) == 1, flatten_paths(schema.elementType, F.get(value, F.lit(0)), path, keyed, unwrap)).otherwise(leaves)
-        return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(leaves).cast(f"array<{row}>")
+            leaves = F.when(F.size(value) == 1, flatten_paths(schema.elementType, F.get(value, F.lit(0)), path, keyed, unwrap, full)).otherwise(leaves)
+        return F.when(value.isNull(), _leaf(at, "null", F.lit(None))).otherwise(leaves)
     if isinstance(schema, VariantType):
-        return F.array(variant_leaf(F.lit(path), value))
-    return F.when(value.isNull(), _leaf(path, "null", F.lit(None))).otherwise(
-        _leaf(path, schema.simpleString(), value.cast("string"))
+        return F.array(variant_leaf(at, value))
+    return F.when(value.isNull(), _leaf(at, "null", F.lit(None))).otherwise(
+        _leaf(at, schema.simpleString(), value.cast("string"))
     )
 
 
-def _leaf(path: str, kind: str, value: Column) -> Column:
+def _element_paths(
+    schema: DataType, x: Column, i: Column, path: str, keyed: Mapping[str, str | Sequence[str]], unwrap: bool, at: Column,
+) -> Column:
+    """The leaves of the element ``x`` with index ``i`` of the list ``path`` (``at``, with places)."""
+    member = keyed.get(path)
+
+    def inside(place: Column) -> Column:
+        return flatten_paths(schema, x, f"{path}[]", keyed, unwrap, F.concat(at, F.lit("["), place, F.lit("]")))
+
+    if member == "*":
+        return _bound(F.md5(F.to_json(F.struct(x.alias("x")))), inside)
+    if member:
+        parts = [reduce(lambda v, name: v[name], p.split("."), x) for p in ([member] if isinstance(member, str) else member)]
+        return _bound(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), inside)
+    return inside(i.cast("string"))
+
+
+def root_list_paths(
+    schema: ArrayType, n: Column, x: Column, i: Column, keyed: Mapping[str, str | Sequence[str]], unwrap: bool,
+) -> Column:
+    """What ``flatten_paths`` gives for a list at the root, from its rows by ``posexplode_outer``: ``x`` with index ``i`` of ``n`` elements.
+
+    The row of the first element holds the list's own leaf too; a list that is empty (``n`` 0) or null (``n`` null) is one row.
+    """
+    root = F.lit("")
+    length = _leaf(root, "array", n)
+    inside = _element_paths(schema.elementType, x, i, "", keyed, unwrap, root)
+    leaves = F.concat(F.slice(length, F.lit(1), F.when(i == 0, 1).otherwise(0)), inside)
+    if unwrap:
+        leaves = F.when(n == 1, flatten_paths(schema.elementType, x, "", keyed, unwrap)).otherwise(leaves)
+    return F.when(n.isNull(), _leaf(root, "null", F.lit(None))).when(n == 0, length).otherwise(leaves)
+
+
+def _leaf(path: Column, kind: str, value: Column) -> Column:
     return F.array(
-        F.struct(F.lit(path).alias("path"), F.lit(kind).alias("type"), value.cast("string").alias("value"))
+        F.struct(path.alias("path"), F.lit(kind).alias("type"), value.cast("string").alias("value"))
     )
 
 
 def variant_leaf(path: Column, value: Column) -> Column:
     """``(path, type, value)`` of a variant: the value of a scalar, the text of an object or array (type ``variant``)."""
-    found = F.schema_of_variant(value)
-    kind = (
-        F.when(value.isNull() | (found == "VOID"), "null").when(found.rlike("^(OBJECT|ARRAY)<"), "variant")
-        .when(found.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "number").otherwise(F.lower(found)))
+    return _bound(variant_kind(value), lambda kind: variant_struct(path, kind, value))
+
+
+def variant_kind(value: Column) -> Column:
+    """The type of a variant's leaf."""
+    return _bound(F.schema_of_variant(value), _variant_kind)
+
+
+def _variant_kind(found: Column) -> Column:
+    """The type of a leaf, from the schema of its variant."""
+    starts = lambda *names: reduce(lambda a, b: a | b, [found.startswith(n) for n in names])
+    return (
+        F.when(found.isNull() | (found == "VOID"), "null").when(starts("OBJECT<", "ARRAY<"), "variant")
+        .when(starts("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number").otherwise(F.lower(found)))
+
+
+def variant_struct(path: Column, kind: Column, value: Column) -> Column:
     text = F.when(kind == "variant", F.to_json(value)).when(kind != "null", F.try_variant_get(value, "$", "string"))
     return F.struct(path.alias("path"), kind.alias("type"), text.alias("value"))
 
 
-def variant_children(path: Column, value: Column, keyed: Mapping[str, str | Sequence[str]] | None = None, unwrap: bool = False) -> Column:
-    """Array of ``(path, type, value)`` one level below an object or array in a variant; names and places as in ``flatten_paths``."""
-    items, members = F.try_variant_get(value, "$", "array<variant>"), F.try_variant_get(value, "$", "map<string,variant>")
-    plain = F.regexp_replace(path, r"\[[^\]]*\]", "[]")
-
-    def place(x: Column, i: Column) -> Column:
-        out = i.cast("string")
-        for at, member in (keyed or {}).items():
-            if member == "*":
-                key = F.md5(F.to_json(x))
-            else:
-                names = [member] if isinstance(member, str) else member
-                inside = ["$" + "".join(f"['{n}']" for n in name.split(".")) for name in names]
-                key = F.concat_ws("|", *[F.coalesce(F.try_variant_get(x, n, "string"), F.lit("")) for n in inside])
-            out = F.when(plain == at, key).otherwise(out)
-        return out
-
-    def named(e: Column) -> Column:
-        name = F.when(e["key"].rlike(r"[.\[\]`]"), F.concat(F.lit("`"), e["key"], F.lit("`"))).otherwise(e["key"])
-        return variant_leaf(F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name)), e["value"])
-
-    length = F.struct(path.alias("path"), F.lit("array").alias("type"), F.size(items).cast("string").alias("value"))
-    listed = F.concat(F.array(length), F.transform(items, lambda x, i: variant_leaf(F.concat(path, F.lit("["), place(x, i), F.lit("]")), x)))
+def variant_children(
+    level: DataFrame, keys: Sequence[str], keyed: Mapping[str, str | Sequence[str]] | None = None, unwrap: bool = False,
+) -> DataFrame:
+    """``keys, path, type, value`` one level below ``level`` (``keys, path, value``, the text of an object or array); names and places as in
+    ``flatten_paths``. A text that is no JSON has no children.
+
+    Every child is a row of its own (``variant_explode``), so its leaf is compiled code and not a lambda over a list.
+    """
+    listed = F.ltrim(F.col("value"), F.lit(_JSON_SPACE)).startswith("[")
+    parsed = level.select(*keys, F.col("path").alias("_at"), listed.alias("_list"), F.try_parse_json("value").alias("_v"))
+    size = F.when(F.col("_list"), F.size(F.try_variant_get("_v", "$", "array<variant>")))
+    parsed = parsed.select("*", size.alias("_n"), F.col("_v").isNull().alias("_none"))
+    children = level.sparkSession.tvf.variant_explode_outer(F.col("_v").outer()).toDF("_i", "_name", "_x")
+    rows = parsed.lateralJoin(children).drop("_v")
+    at, i, x = F.col("_at"), F.col("_i"), F.col("_x")
+    place = i.cast("string")
+    for of, member in (keyed or {}).items():
+        if member == "*":
+            key = F.md5(F.to_json(x))
+        else:
+            names = [member] if isinstance(member, str) else member
+            inside = ["$" + "".join(f"['{n}']" for n in name.split(".")) for name in names]
+            key = F.concat_ws("|", *[F.coalesce(F.try_variant_get(x, n, "string"), F.lit("")) for n in inside])
+        place = F.when(F.regexp_replace("_at", r"\[[^\]]*\]", "[]") == of, key).otherwise(place)
+    name = F.when(F.col("_name").rlike(r"[.\[\]`]"), F.concat(F.lit("`"), "_name", F.lit("`"))).otherwise(F.col("_name"))
+    path = F.when(F.col("_list"), F.concat("_at", F.lit("["), place, F.lit("]"))).when(at == "", name).otherwise(F.concat("_at", F.lit("."), name))
+    rows = rows.select(*keys, "_at", "_list", "_i", "_n", "_none", path.alias("_path"), "_x", _variant_kind(F.schema_of_variant("_x")).alias("_kind"))
+    child = F.array(variant_struct(F.col("_path"), F.col("_kind"), x))
+    length = _leaf(at, "array", F.col("_n"))
+    empty = F.when(F.col("_list"), length).otherwise(_leaf(at, "object", F.lit("{}")))
+    found = F.when(F.col("_list") & (i == 0), F.concat(length, child)).otherwise(child)
     if unwrap:
-        listed = F.when(F.size(items) == 1, F.transform(items, lambda x: variant_leaf(path, x))).otherwise(listed)
-    empty = F.struct(path.alias("path"), F.lit("object").alias("type"), F.lit("{}").alias("value"))
-    held = F.when(F.size(members) == 0, F.array(empty)).otherwise(F.transform(F.map_entries(members), named))
-    return F.when(items.isNotNull(), listed).otherwise(held)
+        found = F.when(F.col("_n") == 1, F.array(variant_struct(at, F.col("_kind"), x))).otherwise(found)
+    return rows.select(*keys, F.explode(F.when(~F.col("_none"), F.when(i.isNull(), empty).otherwise(found))).alias("_l")).select(*keys, "_l.*")

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
-from goldthread.functions.jsonfn import flatten_paths, infer_schema, variant_children
+from goldthread.functions.jsonfn import flatten_paths, infer_schema, opens, root_list_paths, variant_children, variant_kind, variant_struct
 from goldthread.operators.dedup import latest_per_key
 from goldthread.operators.ordering import number_rows
 from goldthread.session import stage
@@ -82,18 +83,44 @@ class CompareRules:
     unwrap_single: bool = False
 
 
-def open_variants(leaves: DataFrame, keys: Sequence[str], keyed: Mapping[str, str | Sequence[str]], unwrap: bool) -> DataFrame:
-    """``leaves`` (``keys, path, type, value``) with those of type ``variant`` replaced by what they hold.
+def open_variants(leaves: DataFrame, level: DataFrame, keys: Sequence[str], keyed: Mapping[str, str | Sequence[str]], unwrap: bool) -> DataFrame:
+    """``leaves`` (``keys, path, type, value``) and all that ``level`` (``keys, path, value``: texts of objects and arrays) holds.
 
     One level of all documents at a time, by each row's own type; a level is written once, and there are as many as the deepest one has.
     """
-    done, level = leaves.filter("type <> 'variant'"), stage(leaves.filter("type = 'variant'"), "variants")
     while not level.isEmpty():
-        below = level.select(*keys, "path", F.parse_json("value").alias("_v"))
-        below = below.select(*keys, F.explode(variant_children(F.col("path"), F.col("_v"), keyed, unwrap)).alias("_l"))
-        below = stage(below.select(*keys, "_l.*"), "variants")
-        done, level = done.unionByName(below.filter("type <> 'variant'")), below.filter("type = 'variant'")
-    return done
+        below = stage(variant_children(level, keys, keyed, unwrap), "variants")
+        leaves, level = leaves.unionByName(below.filter("type <> 'variant'")), below.filter("type = 'variant'")
+    return leaves
+
+
+def _root_variants(df: DataFrame, keys: Sequence[str], json: str) -> tuple[DataFrame, DataFrame]:
+    """Of documents of any shape the leaves (scalars, nulls and texts that are no JSON) and the level of objects and arrays.
+
+    The first sign of a text tells which it is, so neither side parses the other's texts, except to find those that are no JSON.
+    """
+    text, nested = F.col(json), opens(F.col(json))
+    rest = df.select(*keys, text.alias("_text"), F.try_parse_json(text).alias("_d"), nested.alias("_nested")).filter("NOT _nested OR _d IS NULL")
+    rest = rest.select(*keys, "_text", "_d", variant_kind(F.col("_d")).alias("_kind"))
+    unread = F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("type"), F.col("_text").alias("value"))
+    leaf = F.when(F.col("_text").isNotNull() & F.col("_d").isNull(), unread).otherwise(variant_struct(F.lit(""), F.col("_kind"), F.col("_d")))
+    return rest.select(*keys, leaf.alias("_l")).select(*keys, "_l.*"), df.filter(nested).select(*keys, F.lit("").alias("path"), text.alias("value"))
+
+
+def _declared_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, places: Mapping[str, str | Sequence[str]], unwrap: bool) -> DataFrame:
+    broken = F.col(json).isNotNull() & F.try_parse_json(F.col(json)).isNull()
+    body = df.select(*keys, F.from_json(json, ddl).alias("_d"), F.when(broken, F.col(json)).alias("_text"))
+    kind = body.schema["_d"].dataType
+    if isinstance(kind, ArrayType):  # a row per element: expressions on rows are compiled, lambdas are not
+        held = F.when(F.col("_text").isNull(), F.col("_d"))
+        body = body.select(*keys, "_text", held.alias("_d")).select("*", F.when(F.col("_d").isNotNull(), F.size("_d")).alias("_n"))
+        body = body.select(*keys, "_text", "_n", F.posexplode_outer("_d").alias("_i", "_x"))
+        flat = root_list_paths(kind, F.col("_n"), F.col("_x"), F.col("_i"), places, unwrap)
+    else:
+        flat = flatten_paths(kind, F.col("_d"), keyed=places, unwrap=unwrap)
+    unread = F.array(F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("type"), F.col("_text").alias("value")))
+    leaves = body.select(*keys, F.explode(F.when(F.col("_text").isNotNull(), unread).otherwise(flat)).alias("_l"))
+    return leaves.select(*keys, "_l.*")
 
 
 def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rules: CompareRules) -> DataFrame:
@@ -102,16 +129,14 @@ def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rule
     What ``ddl`` declares is flattened in one expression. Its variants (members, or whole documents, whose type differs by row) are
     opened level by level.
     """
-    broken = F.col(json).isNotNull() & F.try_parse_json(F.col(json)).isNull()
-    parsed = F.try_parse_json(F.col(json)) if ddl == "VARIANT" else F.from_json(json, ddl)
-    body = df.select(*keys, parsed.alias("_d"), F.when(broken, F.col(json)).alias("_text"))
     places = {**(rules.keyed or {}), **dict.fromkeys(rules.unordered, "*")}
-    flat = flatten_paths(body.schema["_d"].dataType, F.col("_d"), keyed=places, unwrap=rules.unwrap_single)
-    unread = F.array(F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("type"), F.col("_text").alias("value")))
-    leaves = body.select(*keys, F.explode(F.when(F.col("_text").isNotNull(), unread).otherwise(flat)).alias("_l"))
-    leaves = leaves.select(*keys, "_l.*")
-    if "VARIANT" in _OUTSIDE_NAMES.sub("", ddl):
-        leaves = open_variants(leaves, keys, places, rules.unwrap_single)
+    if ddl == "VARIANT":
+        leaves = open_variants(*_root_variants(df, keys, json), keys, places, rules.unwrap_single)
+    else:
+        leaves = _declared_paths(df, keys, json, ddl, places, rules.unwrap_single)
+        if "VARIANT" in _OUTSIDE_NAMES.sub("", ddl):
+            level = stage(leaves.filter("type = 'variant'"), "variants")
+            leaves = open_variants(leaves.filter("type <> 'variant'"), level, keys, places, rules.unwrap_single)
     leaves = leaves.withColumn("_plain", F.regexp_replace("path", r"\[[^\]]*\]", "[]"))
     for path in rules.ignore:
         leaves = leaves.filter(~F.col("_plain").rlike(rf"^{re.escape(path)}([.\[]|$)"))
