@@ -270,6 +270,39 @@ def test_short_lines_share_a_band(spark):
     assert sum(missed) <= 2 and len(missed) - sum(missed) <= 30, (sum(missed), len(missed) - sum(missed))
 
 
+def test_long_lines_share_a_band(spark):
+    """Of 1,000 pairs of 200 shingles at similarity 0.82 about as many share no band of bins as (1 - s ** 3) ** 8 says; no list of pieces is made."""
+    import random
+
+    pick = random.Random(7)
+    word = lambda n: "".join(pick.choices("abcdefghijklmnopqrstuvwxyzé😀", k=n))
+    rows = []
+    for i in range(1000):
+        text = word(207)
+        rows += [(i, 0, text, 207), (i, 1, text[20:] + word(20), 207)]  # 180 of 220 shingles
+    lines = spark.createDataFrame(rows, "k1 long, k2 long, line string, n_chars long")
+    found = line_dedup.buckets_of(lines)
+    assert "regexp" not in line_dedup.bin_signatures(lines)._jdf.queryExecution().toString()
+    bands = found.select("k1", "k2", F.explode("buckets").alias("bucket")).filter("bucket IS NOT NULL")
+    met = bands.groupBy("k1", "bucket").agg(F.countDistinct("k2").alias("n")).filter("n = 2").select("k1").distinct().count()
+    assert met >= 990
+
+
+def test_lines_that_repeat_themselves(spark):
+    """A line written many times over has the shingles of the line, whatever its length; lines of one sign are apart."""
+    import random
+
+    pick = random.Random(8)
+    rows = []
+    for i in range(40):
+        text = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.choice([50, 71, 90, 150, 250]))) + " "
+        rows += [(2 * i, text * 3), (2 * i + 1, text * pick.choice([6, 11, 30]))]
+    rows += [(100, "-" * 300), (101, "=" * 300), (102, "-" * 3000), (103, "-" * 30)]
+    first = {r.doc_id: r.first_doc for r in line_dedup.find_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(first[2 * i] == first[2 * i + 1] == 2 * i for i in range(40))
+    assert (first[100], first[101], first[102], first[103]) == (100, 101, 100, 100)
+
+
 def test_tokens(spark, docs, none, tmp_path):
     import numpy as np
     import public_tokenizers
