@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, FractionalType, IntegralType, NullType, StringType, StructType
 
 from goldthread.functions.jsonfn import flatten_paths, infer_schema, opens, root_list_paths, variant_children, variant_kind, variant_struct
 from goldthread.operators.dedup import latest_per_key
@@ -153,6 +153,57 @@ def document_paths(df: DataFrame, keys: Sequence[str], json: str, ddl: str, rule
     ).withColumn("value", F.when(F.col("_filled") > 0, F.col("value"))).drop("_filled")
 
 
+_PLAIN_PATH = re.compile(r"\w+(\.\w+)*")
+_PRINTED = (StringType, BooleanType, IntegralType, FractionalType, NullType)  # what to_json prints so that different values differ
+
+
+def _is_printed(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_is_printed(f.dataType) for f in kind.fields)
+    return _is_printed(kind.elementType) if isinstance(kind, ArrayType) else isinstance(kind, _PRINTED)
+
+
+def _kind_at(kind: DataType, path: str) -> DataType | None:
+    for name in path.split("."):
+        kind = kind[name].dataType if isinstance(kind, StructType) and name in kind.names else None
+    return kind
+
+
+def _digests(df: DataFrame, keys: Sequence[str], json: str, ddl: str, unordered: Sequence[str]) -> DataFrame | None:
+    """``keys`` and a digest of the key's documents: sums of their hashes, so that neither their order nor that of ``unordered`` lists counts.
+
+    A document counts by what it holds as ``ddl`` reads it, printed again; None where not every difference would be printed.
+    """
+    broken = F.col(json).isNotNull() & F.try_parse_json(F.col(json)).isNull()
+    body = df.select(*keys, F.from_json(json, ddl).alias("_d"), F.when(broken, F.col(json)).alias("_text"))
+    kind = body.schema["_d"].dataType
+    if not _is_printed(kind):
+        return None
+    held = F.col("_d")
+    for path in unordered:  # other places of lists keep their order: equal lists in another order are then compared leaf by leaf
+        if _PLAIN_PATH.fullmatch(path) and isinstance(_kind_at(kind, path), ArrayType):
+            held = F.when(held[path.split(".")[0]].isNotNull(), held.withField(path, F.sort_array(reduce(lambda c, n: c[n], path.split("."), F.col("_d"))))).otherwise(held)
+    body = body.select(*keys, F.to_json(F.struct(held.alias("d"), F.col("_text").alias("t"))).alias("_text"))
+    parts = []
+    for seed in (0, 1):
+        hash_ = F.xxhash64(F.lit(seed), F.col("_text"))
+        parts += [F.sum(F.shiftright(hash_, 32)), F.sum(hash_.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return body.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[p.alias(f"_h{i}") for i, p in enumerate(parts)])
+
+
+def without_equal(left: DataFrame, right: DataFrame, keys: Sequence[str], json: str, ddl: str, unordered: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides without the keys that hold the same documents on both: they have no differences, and most documents seldom change.
+
+    Rows with a null in their keys stay, as these match nothing. Only digests meet, then documents with the keys that go.
+    """
+    a, b = (_digests(d, keys, json, ddl, unordered) for d in (left, right))
+    if a is None:
+        return left, right
+    digest = ["_n", *[f"_h{i}" for i in range(4)]]
+    equal = stage(a.join(b, [*keys, *digest]).select(*keys), "equal")
+    return left.join(equal, list(keys), "left_anti"), right.join(equal, list(keys), "left_anti")
+
+
 PAIRS_PER_LEAF = 1024  # a leaf whose free elements make more pairs is common: it pairs by rank, never with all
 
 
@@ -217,11 +268,11 @@ def match_elements(lefts: DataFrame, rights: DataFrame, names: Sequence[str]) ->
         rights = stage(rights.join(taken, [*names, "_right"], "left_anti"), "rights")
 
 
-def align_unordered(a: DataFrame, b: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
-    """``b`` with the elements of the unordered list ``path`` renamed after the elements of ``a`` they are closest to.
+def align_unordered(lefts: DataFrame, rights: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """``rights`` with the elements of the unordered list ``path`` renamed after the elements of ``lefts`` they are closest to.
 
-    An element's place is the hash of its content, so equal elements agree already; the others are paired by equal leaves
-    (:func:`match_elements`), all lists of all documents at once.
+    Both hold leaves whose path the other side has not. An element's place is the hash of its content, so equal elements agree already and
+    are not among them; the others are paired by equal leaves (:func:`match_elements`), all lists of all documents at once.
     """
     inside = re.escape(path).replace(re.escape("[]"), r"\[[^\]]*\]")
     form = rf"^({inside}\[)[0-9a-f]{{32}}\].*$"
@@ -236,38 +287,22 @@ def align_unordered(a: DataFrame, b: DataFrame, keys: Sequence[str], path: str)
             list_: F.substr("path", F.lit(1), at - 1), name: F.substr("path", at + 1, F.lit(32)), sub: F.substr("path", at + 34)})
 
     def split(df: DataFrame, name: str) -> DataFrame:
-        return parts(df, "_list", name, "_sub").filter("_at IS NOT NULL").select(*names, name, "_sub", "value")
-
-    lefts, rights = stage(split(a, "_left"), "lefts"), stage(split(b, "_right"), "rights")
-    only = lambda x, y, n, m: x.join(y.select(*names, F.col(m).alias(n)).distinct(), [*names, n], "left_anti")
-    leaf = F.sha2(F.concat_ws("\u001f", "_sub", "value"), 256).alias("_leaf")
-    mine, theirs = (x.filter("value IS NOT NULL").select(*names, n, leaf) for x, n in (
-        (only(lefts, rights, "_left", "_right"), "_left"), (only(rights, lefts, "_right", "_left"), "_right")))
-    pairs = match_elements(mine, theirs, names).withColumnsRenamed({"_list": "_l2"})
-    marked = parts(b, "_l", "_r", "_s")
-    joined = marked.join(pairs.withColumnsRenamed({"_l2": "_l", "_right": "_r"}), [*keys, "_l", "_r"], "left")
+        leaf = F.sha2(F.concat_ws("\u001f", "_sub", "value"), 256).alias("_leaf")
+        return parts(df, "_list", name, "_sub").filter("_at IS NOT NULL AND value IS NOT NULL").select(*names, name, leaf)
+
+    pairs = match_elements(split(lefts, "_left"), split(rights, "_right"), names).withColumnsRenamed({"_list": "_l", "_right": "_r"})
+    joined = parts(rights, "_l", "_r", "_s").join(pairs, [*keys, "_l", "_r"], "left")
     moved = F.concat("_l", F.lit("["), "_left", F.lit("]"), "_s")
-    return joined.withColumn("path", F.when(F.col("_left").isNotNull(), moved).otherwise(F.col("path"))).select(*b.columns)
+    return joined.withColumn("path", F.when(F.col("_left").isNotNull(), moved).otherwise(F.col("path"))).select(*rights.columns)
 
 
-def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json: str, rules: CompareRules = CompareRules(),
-                  latest: Sequence[Column] = (), ddl: str | None = None) -> DataFrame:
-    """Differences of two sets of documents: ``keys, path, kind, left_value, right_value``.
+def _sides(a: DataFrame, b: DataFrame, keys: Sequence[str], rules: CompareRules) -> DataFrame:
+    """``a`` and ``b`` (``keys, path, type, value``) side by side with the ``kind`` of their difference, null where they are equal.
 
-    ``kind`` is missing_left or missing_right (absent or null there), type, length (of a list), value, or unreadable (a text that is
-    no JSON); ``latest`` picks
-    one document per key and side. Both sides become rows, so one large document or one large key is spread like any other data.
+    ``_only`` is a or b where the other side has no such path.
     """
-    if latest:
-        columns = [*keys, json]  # written once: read for the schema and again for the leaves
-        left, right = (stage(latest_per_key(d, keys, latest).select(*columns), "documents") for d in (left, right))
-    ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json, "VARIANT")
-    a, b = (document_paths(d, keys, json, ddl, rules) for d in (left, right))
-    for path in sorted(rules.unordered, key=len):  # outer lists first: inner ones are compared inside paired elements
-        a, b = stage(a, "leaves"), stage(b, "leaves")
-        b = align_unordered(a, b, keys, path)
-    a = a.withColumnsRenamed({"type": "_ta", "value": "left_value"})
-    b = b.withColumnsRenamed({"type": "_tb", "value": "right_value"})
+    a = a.withColumnsRenamed({"type": "_ta", "value": "left_value"}).withColumn("_a", F.lit(True))
+    b = b.withColumnsRenamed({"type": "_tb", "value": "right_value"}).withColumn("_b", F.lit(True))
     joined = a.join(b, [*keys, "path"], "full_outer")
     same = F.col("left_value").eqNullSafe(F.col("right_value"))
     equal = same if rules.null_equals_empty else same & F.col("_ta").isNotNull() & F.col("_tb").isNotNull()
@@ -280,4 +315,29 @@ def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json:
         .when((F.col("_ta") != F.col("_tb")), "type")
         .when(~same, "value")
     )
-    return joined.withColumn("kind", kind).filter("kind IS NOT NULL").select(*keys, "path", "kind", "left_value", "right_value")
+    only = F.when(F.col("_b").isNull(), "a").when(F.col("_a").isNull(), "b")
+    return joined.select(*keys, "path", "_ta", "_tb", "left_value", "right_value", kind.alias("kind"), only.alias("_only"))
+
+
+def document_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], json: str, rules: CompareRules = CompareRules(),
+                  latest: Sequence[Column] = (), ddl: str | None = None) -> DataFrame:
+    """Differences of two sets of documents: ``keys, path, kind, left_value, right_value``.
+
+    ``kind`` is missing_left or missing_right (absent or null there), type, length (of a list), value, or unreadable (a text that is
+    no JSON); ``latest`` picks
+    one document per key and side. Both sides become rows, so one large document or one large key is spread like any other data.
+    """
+    if latest:
+        columns = [*keys, json]  # written once: read for the schema and again for the leaves
+        left, right = (stage(latest_per_key(d, keys, latest).select(*columns), "documents") for d in (left, right))
+    ddl = ddl or infer_schema(left.select(json).unionByName(right.select(json)), json, "VARIANT")
+    if rules.unordered:
+        left, right = without_equal(left, right, keys, json, ddl, rules.unordered)
+    a, b = (document_paths(d, keys, json, ddl, rules) for d in (left, right))
+    sides = _sides(a, b, keys, rules)
+    for path in sorted(rules.unordered, key=len):  # outer lists first: inner ones are compared inside paired elements
+        open_ = stage(sides.filter("kind IS NOT NULL OR _only IS NOT NULL"), "open")  # equal leaves have done their part
+        a = open_.filter("_only = 'a'").select(*keys, "path", F.col("_ta").alias("type"), F.col("left_value").alias("value"))
+        b = open_.filter("_only = 'b'").select(*keys, "path", F.col("_tb").alias("type"), F.col("right_value").alias("value"))
+        sides = open_.filter("_only IS NULL").unionByName(_sides(a, align_unordered(a, b, keys, path), keys, rules))
+    return sides.filter("kind IS NOT NULL").select(*keys, "path", "kind", "left_value", "right_value")
